@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import packing, quality, simhash
 
 QUERIES = {
     "op1_simhash_components": simhash.query,
+    "op4_ngram_quality": quality.query,
+    "op6_best_fit_packing": packing.query,
 }
 ORACLE_SQL: dict[str, str] = {}
