@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import packing, quality, simhash
+from . import packing, quality, simhash, toxicity
 
 QUERIES = {
     "op1_simhash_components": simhash.query,
+    "op2_boosted_toxicity": toxicity.query,
     "op4_ngram_quality": quality.query,
     "op6_best_fit_packing": packing.query,
 }
