@@ -83,7 +83,8 @@ def log_ratio(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_
     """
     ids = trusted.select(F.col(id_col).cast("long").alias("t_id")).filter("t_id IS NOT NULL").distinct()
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).filter("text IS NOT NULL")
-    marked = rows.join(ids, rows["doc_id"] == ids["t_id"], "left").select("text", F.col("t_id").isNotNull().alias("good"))
+    # a shuffled join at every size: the trusted ids grow with the corpus
+    marked = rows.join(ids.hint("merge"), rows["doc_id"] == ids["t_id"], "left").select("text", F.col("t_id").isNotNull().alias("good"))
     parts = map_batches(marked, _counter, "bucket long, raw long, target long")
     total = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     both = np.zeros((2, 1 << BITS))
