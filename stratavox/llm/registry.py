@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import packing, quality, simhash, toxicity
+from . import packing, pii, quality, simhash, toxicity
 
 QUERIES = {
     "op1_simhash_components": simhash.query,
     "op2_boosted_toxicity": toxicity.query,
     "op4_ngram_quality": quality.query,
     "op6_best_fit_packing": packing.query,
+    "op7_crf_pii": pii.query,
 }
 ORACLE_SQL: dict[str, str] = {}
