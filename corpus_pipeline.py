@@ -4,16 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratavox.llm import simhash
+from stratavox.llm import packing, pii, quality, simhash, toxicity
 from stratavox.llm.common import read, spill
 
 
-def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.keep_good(docs, quality.trusted_ids(spark, sf_dir))
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't predicted toxic; the model learns from the labels of what came in."""
+    return toxicity.keep_clean(docs, read(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: that of the least doc_id."""
     return simhash.keep_one(docs)
 
 
-STAGES = [("near_dedup", deduplicate)]
+def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in text replaced by its kind in brackets; n_chars follows."""
+    return pii.redact(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents with their places in sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("toxicity", toxicity_filter),
+    ("near_dedup", near_dedup),
+    ("pii", pii_redaction),
+    ("packing", pack_sequences),
+]
+#: The stages score, cluster and pack by means that SQL can't express; tests compare them with brute force.
 ORACLE_SQL = None
 
 
