@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, raw_texts, read
 
-BITS, SMOOTHING, THRESHOLD = 16, 1.0, -0.25
+BITS, SMOOTHING, THRESHOLD = 16, 6.0, -0.2
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _TAIL = bytes(range(0x80, 0xC0))
@@ -91,8 +91,9 @@ def log_ratio(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_
     both[:, total["bucket"].to_numpy(np.int64)] = total[["raw", "target"]].to_numpy(float).T
     if not both[1].any():
         return np.zeros(1 << BITS)
-    p = (both + SMOOTHING) / (both.sum(axis=1, keepdims=True) + SMOOTHING * (1 << BITS))
-    return np.log(p[1]) - np.log(p[0])
+    # smoothing in proportion to the two sizes: a bucket that the target should hold but a few times says little
+    share = both[1].sum() / both[0].sum()
+    return np.log(both[1] + SMOOTHING) - np.log(both[0] * share + SMOOTHING)
 
 
 def judge(raw: bytes, ratio: np.ndarray, threshold: float) -> tuple:
