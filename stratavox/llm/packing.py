@@ -22,7 +22,8 @@ from .common import map_batches, read, spill, texts
 
 CAPACITY, SHARD_PIECES, GROUPS, LARGE = 4096, 20_000, 64, 4096 // 6
 END = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
+_CLOSING = ".,;:!?*#$%&)\""
 _SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -32,11 +33,29 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_ranks(tok):
+    """The tokenizer's merges as a function from a lower-case pre-token's bytes and 0xff to ids."""
+    import tiktoken
+
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(x for x in range(256) if x not in plain)}
+    special = {t.content for t in tok.get_added_tokens_decoder().values()}
+    ranks = {}
+    for word, i in tok.get_vocab().items():
+        if word not in special:
+            end = word.endswith("</w>")
+            ranks[bytes(byte[c] for c in (word[:-4] if end else word)) + b"\xff" * end] = i
+    return tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+
+
 def encoder(vocab: str):
-    """A function from a text to its ids as little-endian uint32 bytes.
+    """A function from texts to their ids as little-endian uint32 bytes.
 
-    The tokenizer drops white space and never joins across it, so each blank-separated word is encoded
-    once and remembered; a text that spells a special token is encoded as a whole.
+    The tokenizer drops white space and never joins across it, nor across the border of letters and closing
+    punctuation, and it lowers letters first. So each blank-separated word is looked up, and what is encoded
+    once is its lower-case stem and its closing punctuation; a text that spells a special token is encoded as
+    a whole. Stems of Latin letters alone are one pre-token each, so the same merges are run on them without
+    the tokenizer's normalising and aligning (the vocabulary as byte ranks, 0xff for the end of a word).
     """
     import os
 
@@ -45,21 +64,44 @@ def encoder(vocab: str):
 
     tok = Tokenizer.from_file(vocab)
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
+    merges = byte_ranks(tok)
     known: dict[str, bytes] = {}
+    stems: dict[str, bytes] = {}
 
-    def pack(ids) -> bytes:
-        return np.asarray(ids, "<u4").tobytes()
+    def parts(word: str) -> tuple[str, str]:
+        stem = word.rstrip(_CLOSING)
+        if not stem or not stem[-1].isalnum() or not (stem.isascii() or max(stem) < "\u0250" and "\u0130" not in stem):
+            return word, ""
+        return stem.lower(), word[len(stem) :]
+
+    def learn(words: list[str]) -> None:
+        split = [parts(w) for w in words]
+        new = [x for x in set().union(*split) if x not in stems]
+        rest = []
+        for x in new:
+            if x.isalpha() and x == x.lower() and (x.isascii() or max(x) < "\u0250"):
+                stems[x] = np.array(merges(x.encode() + b"\xff"), "<u4").tobytes()
+            else:
+                rest.append(x)
+        for k in range(0, len(rest), 2000):
+            some = rest[k : k + 2000]
+            e = tok.encode(" ".join(some), add_special_tokens=False)
+            begin = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)) + 1)
+            cut = np.searchsorted([a for a, _ in e.offsets], begin)  # where each one's tokens end
+            ids = np.asarray(e.ids, "<u4").tobytes()
+            stems.update(zip(some, (ids[4 * a : 4 * b] for a, b in zip([0, *cut[:-1]], cut, strict=True)), strict=True))
+        known.update((w, stems[a] + stems[b] if b else stems[a]) for w, (a, b) in zip(words, split, strict=True))
 
     def encode_all(texts: list[str]) -> list[bytes]:
         split = [None if any(s in t for s in special) else t.split(" ") for t in texts]
         if len(known) > CACHE_WORDS:
             known.clear()
-        new = [w for w in set().union(*(s for s in split if s)) if w not in known]
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
-            known.update(zip(part, (pack(e.ids) for e in tok.encode_batch(part, add_special_tokens=False)), strict=True))
+            stems.clear()
+        stems.setdefault("", b"")
+        if new := [w for w in set().union(*(s for s in split if s)) if w not in known]:
+            learn(new)
         get = known.__getitem__
-        return [pack(tok.encode(t, add_special_tokens=False).ids) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split, strict=True)]
+        return [np.asarray(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if s is None else b"".join(map(get, s)) for t, s in zip(texts, split, strict=True)]
 
     return encode_all
 
