@@ -64,9 +64,3 @@ def raw_texts(b: pa.RecordBatch, name: str = "text") -> list[bytes]:
 
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
-    """Equi-join on one column of the same name in which nulls meet nulls; keeps left's column."""
-    r = right.withColumnRenamed(key, "_k")
-    return left.join(r, left[key].eqNullSafe(r["_k"]), how).drop("_k")

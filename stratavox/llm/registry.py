@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from . import packing, pii, quality, simhash, toxicity
+from . import bpe, licenses, packing, pii, quality, simhash, toxicity, urls
 
 QUERIES = {
     "op1_simhash_components": simhash.query,
     "op2_boosted_toxicity": toxicity.query,
+    "op3_license_scan": licenses.query,
     "op4_ngram_quality": quality.query,
     "op6_best_fit_packing": packing.query,
     "op7_crf_pii": pii.query,
+    "op8_url_filter": urls.query,
+    "op10_byte_bpe": bpe.query,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op8_url_filter": urls.ORACLE_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}

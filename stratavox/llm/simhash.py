@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, null_safe_join, raw_texts, read, spill, texts
+from .common import map_batches, raw_texts, read, spill, texts
 from .components import connected_components
 
 BANDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
