@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Rows that a function of a batch sees at once.
+ROWS = 2048
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -49,9 +53,9 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], lis
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
-        for b in batches:
-            if b.num_rows:
-                cols = each(b)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                cols = each(whole.slice(at, ROWS))
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t.type) for c, t in zip(cols, arrow, strict=True)], schema=arrow)
 
     return df.mapInArrow(run, fields)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, licenses, packing, pii, quality, simhash, toxicity, urls
+from . import bpe, licenses, media, packing, pii, quality, simhash, toxicity, urls
 
 QUERIES = {
     "op1_simhash_components": simhash.query,
     "op2_boosted_toxicity": toxicity.query,
     "op3_license_scan": licenses.query,
     "op4_ngram_quality": quality.query,
+    "op5_chunked_media": media.query,
     "op6_best_fit_packing": packing.query,
     "op7_crf_pii": pii.query,
     "op8_url_filter": urls.query,
