@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, licenses, media, packing, pii, quality, simhash, toxicity, urls
+from . import bpe, html, licenses, media, packing, pii, quality, simhash, toxicity, urls
 
 QUERIES = {
     "op1_simhash_components": simhash.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_best_fit_packing": packing.query,
     "op7_crf_pii": pii.query,
     "op8_url_filter": urls.query,
+    "op9_html_text": html.query,
     "op10_byte_bpe": bpe.query,
 }
 ORACLE_SQL: dict[str, str] = {
