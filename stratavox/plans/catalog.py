@@ -2,5 +2,576 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..operators import blocks, density, filters, names, objects, regions, resample, slices, voxels
+from ..sources import files as io
+from ..storage import fresh_path
+from ..streaming import slices as streaming
+from . import fixtures as X
+from .fixtures import NX, NY, NZ, SEG_SHAPE, SHAPE, with_tables
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+SMALL = (13, 64, 64)
+FACTORS = (0.4, 0.25, 0.25)
+SLAB = 10
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with the SQL it equals if there is one."""
+
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLE_SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+# names and inventories
+
+
+@query(with_tables("files", "SELECT name, nullif(regexp_extract(name, '_(C\\d+)_Z(\\d+)', 1), '') AS c_strict, nullif(regexp_extract(name, '_(C\\d+)_Z(\\d+)', 2), '') AS z_strict, TRY_CAST(nullif(regexp_extract(regexp_replace(name, '\\.[^.]*$', ''), 'C(\\d+)', 1), '') AS INT) AS c, TRY_CAST(nullif(regexp_extract(regexp_replace(name, '\\.[^.]*$', ''), 'Z(\\d+)', 1), '') AS INT) AS z FROM files"))
+def filename_parse(spark, d):
+    f = X.files(spark, d)
+    (c1, z1), (c2, z2) = names.parse_strict(F.col("name")), names.parse_loose(F.col("name"))
+    return f.select("name", c1.alias("c_strict"), z1.alias("z_strict"), c2.alias("c"), z2.alias("z"))
+
+
+@query(with_tables("files", "SELECT name, CASE WHEN regexp_matches(name, '(?i)^.*_C(\\d+)_.*\\.tif') THEN 'ch' || CAST(CAST(regexp_extract(name, '(?i)^.*_C(\\d+)_.*\\.tif', 1) AS INT) AS VARCHAR) WHEN regexp_matches(name, '_Ch\\d+') THEN 'ch' || CAST(CAST(nullif(regexp_extract(list_extract(regexp_split_to_array(name, '[_.]'), -2), '(?i)^ch(\\d+)$', 1), '') AS INT) AS VARCHAR) END AS folder FROM files"))
+def channel_route(spark, d):
+    return X.files(spark, d).select("name", names.route_channel(F.col("name")).alias("folder"))
+
+
+@query(with_tables("files", "SELECT name FROM (SELECT name, TRY_CAST(nullif(regexp_extract(regexp_replace(name, '\\.[^.]*$', ''), 'C(\\d+)', 1), '') AS INT) AS c, TRY_CAST(nullif(regexp_extract(regexp_replace(name, '\\.[^.]*$', ''), 'Z(\\d+)', 1), '') AS INT) AS z FROM files) WHERE (c IS NULL OR c = 4) AND (z IS NULL OR z BETWEEN 20 AND 900)"))
+def file_select(spark, d):
+    c, z = names.parse_loose(F.col("name"))
+    return names.select_files(X.files(spark, d).select("name", c.alias("c"), z.alias("z")), channel=4, z_min=20, z_max=900).select("name")
+
+
+@query(with_tables("slices", "SELECT channel, name, z FROM slices"))
+def slice_inventory(spark, d):
+    return slices.inventory(X.slice_files(spark, d)).select("channel", "name", "z")
+
+
+def _slices(spark, d):
+    return slices.inventory(X.slice_files(spark, d))
+
+
+@query(with_tables("slices", "SELECT channel, count(*) AS nz, arg_min(height, z) AS height, arg_min(width, z) AS width, arg_min(dtype, z) AS dtype FROM slices GROUP BY channel"))
+def volume_shape(spark, d):
+    return slices.volume_shape(_slices(spark, d))
+
+
+@query("SELECT conv_id AS file, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, length(text), text) - 1 AS INT) AS z, CAST(length(text) AS INT) AS data FROM conversations WHERE text IS NOT NULL")
+def pages_to_slices(spark, d):
+    c = X.table(spark, d, "conversations").filter("text IS NOT NULL")
+    pages = c.groupBy(F.col("conv_id").alias("file")).agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", F.length("text").alias("n"), "text"))), lambda p: p["n"]).alias("pages"))
+    return slices.pages_to_slices(pages)
+
+
+@query(with_tables("slices", "SELECT channel, z, name, height FROM slices WHERE z = 0"))
+def first_slice(spark, d):
+    return slices.first_slice(_slices(spark, d), "name", "height")
+
+
+@query(with_tables("slices", "SELECT channel, z, name FROM slices JOIN (SELECT channel, CAST(count(*) // 2 AS INT) AS z FROM slices GROUP BY channel) USING (channel, z)"))
+def middle_slice(spark, d):
+    return slices.middle_slice(_slices(spark, d)).select("channel", "z", "name")
+
+
+@query(with_tables("slices", "SELECT channel, z, name FROM slices JOIN (SELECT DISTINCT channel, CAST(CASE WHEN k = 1 THEN 0 ELSE (i * (n - 1)) // (k - 1) END AS INT) AS z FROM (SELECT *, unnest(range(k)) AS i FROM (SELECT channel, count(*) AS n, greatest(1, count(*) * 3 // 200) AS k FROM slices GROUP BY channel))) USING (channel, z)"))
+def even_slice_sample(spark, d):
+    return slices.even_sample(_slices(spark, d), 0.015).select("channel", "z", "name")
+
+
+@query("WITH a AS (SELECT c_name AS name, row_number() OVER (ORDER BY c_name) AS rank FROM customer), b AS (SELECT s_name AS name, row_number() OVER (ORDER BY s_name) AS rank FROM supplier) SELECT CAST(rank AS INT) AS rank, a.name AS a_name, b.name AS b_name FROM a JOIN b USING (rank)")
+def slice_zip(spark, d):
+    return slices.pair_up(X.table(spark, d, "customer").select(F.col("c_name").alias("name")), X.table(spark, d, "supplier").select(F.col("s_name").alias("name")), "name")
+
+
+_FOLDERS = "folders AS (SELECT DISTINCT CASE o_orderkey % 6 WHEN 0 THEN 'ch0_' || o_custkey WHEN 1 THEN 'ch' || (o_custkey % 7) WHEN 2 THEN 'x_ch0_' || o_custkey WHEN 3 THEN 'ch' || (o_custkey % 7) || '_subtracted' ELSE 'other' || (o_custkey % 9) END AS name FROM orders)"
+
+
+def _folders(spark, d):
+    k, c = F.col("o_orderkey") % 6, F.col("o_custkey")
+    s = lambda x: x.cast("string")
+    name = F.when(k == 0, F.concat(F.lit("ch0_"), s(c))).when(k == 1, F.concat(F.lit("ch"), s(c % 7))).when(k == 2, F.concat(F.lit("x_ch0_"), s(c))).when(k == 3, F.concat(F.lit("ch"), s(c % 7), F.lit("_subtracted"))).otherwise(F.concat(F.lit("other"), s(c % 9)))
+    return X.table(spark, d, "orders").select(name.alias("name")).distinct()
+
+
+@query(f"WITH {_FOLDERS} SELECT name FROM folders WHERE lower(name) LIKE '%ch0%' ORDER BY CASE WHEN lower(name) = 'ch0' OR lower(name) LIKE 'ch0\\_%' ESCAPE '\\' THEN 0 ELSE 1 END, name LIMIT 1")
+def reference_folder(spark, d):
+    return slices.reference_folder(_folders(spark, d))
+
+
+@query(f"WITH {_FOLDERS} SELECT name FROM folders WHERE name NOT LIKE '%\\_subtracted' ESCAPE '\\' AND name <> 'ch0'")
+def folder_except(spark, d):
+    f = _folders(spark, d)
+    return f.exceptAll(f.filter(F.col("name").endswith("_subtracted"))).join(f.filter("name = 'ch0'"), "name", "left_anti")
+
+
+@query(with_tables("files", "SELECT name FROM files WHERE name LIKE '%.tif' UNION ALL SELECT name FROM files WHERE name LIKE '%.TIFF'"))
+def file_union(spark, d):
+    f = X.files(spark, d)
+    return f.filter("name LIKE '%.tif'").unionByName(f.filter("name LIKE '%.TIFF'"))
+
+
+@query(with_tables("slices", "SELECT z, name FROM slices WHERE channel = 1 AND z IN (SELECT z FROM slices WHERE channel = 0 AND height = 100)"))
+def slices_in_both(spark, d):
+    s = _slices(spark, d)
+    return s.filter("channel = 1").join(s.filter("channel = 0 AND height = 100"), "z", "left_semi").select("z", "name")
+
+
+@query(with_tables("files", "SELECT name FROM files WHERE length(name) % 3 <> 0"))
+def resume_pending(spark, d):
+    f = X.files(spark, d)
+    return slices.pending(f, f.filter("length(name) % 3 = 0"), "name")
+
+
+@query(with_tables("slices", "SELECT channel * 1000 + z // 64 AS batch, bool_and(height = 100 OR z % 64 < 40) AS complete FROM slices GROUP BY 1"))
+def resume_batches(spark, d):
+    s = _slices(spark, d).withColumn("batch", (F.col("channel") * 1000 + F.floor(F.col("z") / 64)).cast("int"))
+    return slices.whole_batches(s, s.filter("height = 100 OR z % 64 < 40"), "name", "batch")
+
+
+@query(with_tables("files", "SELECT CASE WHEN length(name) % 3 = 0 THEN 'existed' WHEN name LIKE '%.txt' THEN 'skipped' ELSE 'processed' END AS status, count(*) AS n FROM files GROUP BY 1"))
+def status_counts(spark, d):
+    return slices.status_counts(X.files(spark, d).withColumn("status", F.expr("CASE WHEN length(name) % 3 = 0 THEN 'existed' WHEN name LIKE '%.txt' THEN 'skipped' ELSE 'processed' END")))
+
+
+@query(with_tables("vox", "SELECT channel, z, 'S1_C' || channel || '_Z' || lpad(CAST(z AS VARCHAR), 4, '0') || '.tif' AS name, z // 64 AS batch, count(*) AS n FROM vox WHERE channel IN (1) GROUP BY ALL"))
+def channel_extract(spark, d):
+    return io.extract_channels(X.vox(spark, d), "1", "S1").groupBy("channel", "z", "name", "batch").agg(F.count("*").alias("n"))
+
+
+# voxel algebra
+
+
+@query(with_tables("vox", "SELECT channel, z, y, x, CASE WHEN x BETWEEN 30 AND 200 AND y BETWEEN 40 AND 255 THEN 0 ELSE value END AS value FROM vox"))
+def roi_zero(spark, d):
+    return voxels.zero_roi(X.vox(spark, d), (30, 200, 40, 900), NY, NX)
+
+
+_CELL = 1.8 * 1.8 * 2.0
+
+
+@query(with_tables("vox", f"SELECT channel, z, count(*) FILTER (value > 1000) AS voxels, count(*) FILTER (value > 1000) * CAST({_CELL!r} AS DOUBLE) AS volume_um3, count(*) FILTER (value > 1000) * CAST({_CELL!r} AS DOUBLE) / CAST(1e9 AS DOUBLE) AS volume_mm3 FROM vox GROUP BY 1, 2"))
+def threshold_volume(spark, d):
+    return voxels.threshold_volume(X.vox(spark, d), 1000, by=["channel", "z"])
+
+
+@query(with_tables("mask", "SELECT z, CAST(sum(value) AS BIGINT) AS total FROM mask GROUP BY z"))
+def mask_sum_by_slice(spark, d):
+    return voxels.mask_sum(X.mask(spark, d))
+
+
+@query("WITH e AS (SELECT CAST(label AS INT) AS z, vec_id, embedding FROM embeddings), v AS (SELECT z, vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS x, CAST(unnest(embedding) AS DOUBLE) * (CASE WHEN z % 2 = 0 THEN 1 ELSE 3000 END) AS value FROM e), t AS (SELECT z, max(value) <= 1.0 AS scaled FROM v GROUP BY z) SELECT z, vec_id, x, CAST(trunc(CASE WHEN scaled THEN value * 65535 ELSE value END) AS INT) AS value, scaled FROM v JOIN t USING (z)")
+def float_scale_flag(spark, d):
+    e = X.table(spark, d, "embeddings").select(F.col("label").cast("int").alias("z"), "vec_id", F.posexplode("embedding").alias("x", "v"))
+    v = e.select("z", "vec_id", "x", (F.col("v").cast("double") * F.when(F.col("z") % 2 == 0, 1).otherwise(3000)).alias("value"))
+    return voxels.float_scaled(v)
+
+
+_INV = "inv AS (SELECT channel, z, 'a' AS name, 256 AS height, CASE WHEN channel = 1 AND z % 11 = 10 THEN 255 ELSE 256 END AS width FROM (SELECT DISTINCT channel, z FROM vox) WHERE NOT (channel = 0 AND z % 7 = 6))"
+
+
+@query(with_tables("vox", "SELECT a.channel, a.z, a.y, a.x, CAST(least(greatest(a.value - coalesce(b.value, 0), 0), 65535) AS INT) AS value FROM vox a JOIN inv i ON a.channel = i.channel AND a.z = i.z JOIN inv r ON r.channel = 0 AND r.z = a.z AND r.width = i.width LEFT JOIN vox b ON b.channel = 0 AND a.z = b.z AND a.y = b.y AND a.x = b.x WHERE a.channel <> 0 AND a.value - coalesce(b.value, 0) > 0", _INV))
+def channel_subtract(spark, d):
+    v = X.vox(spark, d)
+    inv = v.select("channel", "z").distinct().filter("NOT (channel = 0 AND z % 7 = 6)").select("channel", "z", F.lit("a").alias("name"), F.lit(256).alias("height"), F.expr("CASE WHEN channel = 1 AND z % 11 = 10 THEN 255 ELSE 256 END").alias("width"))
+    return voxels.subtract_channel(v, inv, 0)
+
+
+@query(with_tables("mask atlas", "SELECT z, y, x, value FROM mask JOIN (SELECT z, y, x FROM atlas WHERE value <> 0) USING (z, y, x)"))
+def atlas_mask(spark, d):
+    return voxels.mask_to(X.mask(spark, d), X.atlas(spark, d))
+
+
+@query(with_tables("mask edge", "SELECT coalesce(m.z, e.z) AS z, coalesce(m.y, e.y) AS y, coalesce(m.x, e.x) AS x, coalesce(e.value, m.r, 0) AS r, coalesce(e.value, m.g, 0) AS g, coalesce(e.value, m.b, 0) AS b FROM (SELECT z, y, x, value % 256 AS r, 0 AS g, value // 8 AS b FROM mask) m FULL JOIN (SELECT * FROM edge WHERE value <> 0) e USING (z, y, x)"))
+def edge_overlay(spark, d):
+    heat = X.mask(spark, d).select("z", "y", "x", (F.col("value") % 256).alias("r"), F.lit(0).alias("g"), F.floor(F.col("value") / 8).cast("int").alias("b"))
+    return voxels.overlay(heat, X.edge(spark, d))
+
+
+_LP = "CAST(l_extendedprice AS DOUBLE)"
+
+
+@query(f"SELECT CAST(l_orderkey AS BIGINT) AS k, CAST(trunc(least(greatest({_LP} * 3 - 50000, 0), 65535)) AS INT) AS saturated FROM lineitem")
+def saturate_cast(spark, d):
+    return X.table(spark, d, "lineitem").select(F.col("l_orderkey").cast("long").alias("k"), voxels.saturate(F.col("l_extendedprice").cast("double") * 3 - 50000).alias("saturated"))
+
+
+@query("SELECT CAST(l_orderkey AS BIGINT) AS k, CAST(((l_orderkey * 977 - l_partkey * 4001) % 65536 + 65536) % 65536 AS INT) AS wrapped FROM lineitem")
+def wrap_uint16(spark, d):
+    return X.table(spark, d, "lineitem").select(F.col("l_orderkey").cast("long").alias("k"), voxels.wrap_uint16(F.col("l_orderkey").cast("long") * 977 - F.col("l_partkey") * 4001).alias("wrapped"))
+
+
+_BLOCKS = "cells AS (SELECT CAST(l_orderkey // 64 AS INT) AS block, CAST(l_suppkey % 4 AS INT) AS z, CAST(l_orderkey % 8 AS INT) AS y, CAST(l_partkey % 8 AS INT) AS x, CAST(max(l_quantity) AS INT) AS value FROM lineitem GROUP BY ALL)"
+
+
+@query(f"WITH {_BLOCKS} SELECT block, z, y, x, coalesce(value, 0) AS value FROM (SELECT DISTINCT block FROM cells) CROSS JOIN (SELECT CAST(unnest(range(4)) AS INT) AS z) CROSS JOIN (SELECT CAST(unnest(range(8)) AS INT) AS y) CROSS JOIN (SELECT CAST(unnest(range(8)) AS INT) AS x) LEFT JOIN cells USING (block, z, y, x)")
+def densify_small(spark, d):
+    key = [F.floor(F.col("l_orderkey") / 64).cast("int").alias("block"), *[(F.col(c) % n).cast("int").alias(k) for c, n, k in (("l_suppkey", 4, "z"), ("l_orderkey", 8, "y"), ("l_partkey", 8, "x"))]]
+    cells = X.table(spark, d, "lineitem").groupBy(*key).agg(F.max("l_quantity").cast("int").alias("value"))
+    return voxels.densify(cells, (4, 8, 8), "block")
+
+
+_HIST = f"counts AS (SELECT z // 8 AS slab, value, count(*) AS n FROM vox WHERE channel = 0 GROUP BY 1, 2), hist AS (SELECT * FROM counts UNION ALL SELECT CAST(s AS INT), 0, 8 * {NY} * {NX} - coalesce((SELECT sum(n) FROM counts WHERE slab = s), 0) FROM range({NZ // 8}) t(s))"
+
+
+@query(with_tables("vox", "SELECT slab, value, CAST(n AS BIGINT) AS n FROM hist", _HIST))
+def slab_histogram(spark, d):
+    return voxels.slab_histogram(X.vox(spark, d).filter("channel = 0"), 8, SHAPE)
+
+
+@query(with_tables("vox", "SELECT slab, CAST(arg_min(value, (-score, value)) AS INT) AS threshold FROM (SELECT *, CASE WHEN w1 < nn THEN (ss * w1 - nn * s1) * (ss * w1 - nn * s1) / (w1 * (nn - w1)) ELSE -1 END AS score FROM (SELECT slab, value, CAST(sum(n) OVER a AS DOUBLE) AS w1, CAST(sum(n * value) OVER a AS DOUBLE) AS s1, CAST(sum(n) OVER b AS DOUBLE) AS nn, CAST(sum(n * value) OVER b AS DOUBLE) AS ss FROM hist WINDOW a AS (PARTITION BY slab ORDER BY value), b AS (PARTITION BY slab))) GROUP BY slab", _HIST))
+def otsu_slab(spark, d):
+    return voxels.otsu(voxels.slab_histogram(X.vox(spark, d).filter("channel = 0"), 8, SHAPE))
+
+
+# regions
+
+
+@query(with_tables("labels_vox", "SELECT label, count(*) AS total_vox FROM labels_vox WHERE label <> 0 GROUP BY label"))
+def region_voxels(spark, d):
+    return regions.region_voxels(X.labels(spark, d))
+
+
+@query(with_tables("labels_vox mask", "SELECT label, count(*) AS signal_vox FROM labels_vox JOIN mask USING (z, y, x) WHERE label <> 0 GROUP BY label"))
+def region_signal(spark, d):
+    return regions.region_signal(X.mask(spark, d), X.labels(spark, d))
+
+
+_DENSITY = "dens AS (SELECT label, count(*) AS total_vox, count(*) FILTER (m.value > 0) AS signal_vox FROM labels_vox LEFT JOIN mask m USING (z, y, x) WHERE label <> 0 GROUP BY label)"
+_ROLL = _DENSITY + ", clos AS (SELECT region_id, region_id AS ancestor, parent_id AS up FROM regions UNION ALL SELECT c.region_id, c.up, r.parent_id FROM clos c JOIN regions r ON c.up = r.region_id), sums AS (SELECT ancestor, CAST(coalesce(sum(total_vox), 0) AS BIGINT) AS total_vox, CAST(coalesce(sum(signal_vox), 0) AS BIGINT) AS signal_vox FROM clos LEFT JOIN dens ON clos.region_id = label GROUP BY ancestor), rolled AS (SELECT region_id, name, parent_id, level, total_vox, signal_vox FROM regions JOIN sums ON region_id = ancestor)"
+
+
+@query(with_tables("labels_vox mask", "SELECT * FROM dens", _DENSITY))
+def region_density(spark, d):
+    return regions.region_density(X.mask(spark, d), X.labels(spark, d))
+
+
+@query(with_tables("labels_vox mask regions", "SELECT * FROM rolled", _ROLL))
+def region_rollup(spark, d):
+    return regions.rollup(regions.region_density(X.mask(spark, d), X.labels(spark, d)), X.regions(spark, d))
+
+
+@query(with_tables("labels_vox mask regions", f"SELECT level, CAST(row_number() OVER (PARTITION BY level ORDER BY region_id) AS INT) AS index, region_id, name, total_vox, signal_vox, CASE WHEN total_vox > 0 THEN CAST(signal_vox AS DOUBLE) / total_vox END AS density, total_vox * CAST({_CELL!r} AS DOUBLE) / CAST(1e9 AS DOUBLE) AS volume_mm3 FROM rolled", _ROLL))
+def level_report(spark, d):
+    rolled = regions.rollup(regions.region_density(X.mask(spark, d), X.labels(spark, d)), X.regions(spark, d))
+    return regions.level_report(rolled)
+
+
+# resampling
+
+_MZ = [m for *_, m, _ in resample.slabs(NZ, SLAB, FACTORS[0])]
+_ZMAP = " UNION ALL ".join(f"SELECT CAST({z0} + {'0' if m == 1 else f'(2 * k * {n - 1} + {m - 1}) // {2 * (m - 1)}'} AS INT) AS z, CAST({t0} + k AS INT) AS tz FROM range({m}) t(k)" for z0, n, m, t0 in resample.slabs(NZ, SLAB, FACTORS[0]) if m)
+
+
+def _axis_sql(n: int, m: int, c: str) -> str:
+    return f"SELECT CAST((2 * k * {n - 1} + {m - 1}) // {2 * (m - 1)} AS INT) AS {c}, CAST(k AS INT) AS t{c} FROM range({m}) t(k)"
+
+
+_MAPS = f"zm AS ({_ZMAP}), ym AS ({_axis_sql(NY, 64, 'y')}), xm AS ({_axis_sql(NX, 64, 'x')})"
+
+
+@query(with_tables("mask", "SELECT tz AS z, ty AS y, tx AS x, value FROM mask JOIN zm USING (z) JOIN ym USING (y) JOIN xm USING (x)", _MAPS))
+def downsample_nearest(spark, d):
+    return resample.downsample_nearest(X.mask(spark, d), SHAPE, FACTORS, SLAB)
+
+
+def _lin_sql(n: int, m: int, c: str, z0: int = 0, t0: int = 0) -> str:
+    den = max(m - 1, 1)
+    low, part = (f"(k * {n - 1}) // {den}", f"(k * {n - 1}) % {den}") if m > 1 else ("0", "0")
+    return f"SELECT CAST({z0} + s AS INT) AS {c}, CAST({t0} + k AS INT) AS t{c}, w AS w{c}, {den} AS d{c} FROM (SELECT k, {low} AS s, {den} - {part} AS w FROM range({m}) t(k) UNION ALL SELECT k, least({low} + 1, {n - 1}), {part} FROM range({m}) t(k)) WHERE w > 0"
+
+
+_LZ = " UNION ALL ".join(_lin_sql(n, m, "z", z0, t0) for z0, n, m, t0 in resample.slabs(NZ, SLAB, FACTORS[0]) if m)
+
+
+@query(with_tables("mask", "SELECT tz AS z, ty AS y, tx AS x, CAST(sum(CAST(value AS BIGINT) * wz * wy * wx) AS DOUBLE) / CAST(max(dz * dy * dx) AS DOUBLE) AS value FROM mask JOIN zl USING (z) JOIN yl USING (y) JOIN xl USING (x) GROUP BY 1, 2, 3", f"zl AS ({_LZ}), yl AS ({_lin_sql(NY, 64, 'y')}), xl AS ({_lin_sql(NX, 64, 'x')})"))
+def downsample_linear(spark, d):
+    return resample.downsample_linear(X.mask(spark, d), SHAPE, FACTORS, SLAB)
+
+
+@query(with_tables("mask", "SELECT tz AS z, ty AS y, tx AS x, 255 AS value FROM mask JOIN zw USING (z) JOIN ym USING (y) JOIN xm USING (x)", _MAPS + f", zw AS ({_axis_sql(NZ, 13, 'z')})"))
+def heatmap_mask_downsample(spark, d):
+    return resample.mask_for_heatmap(X.mask(spark, d), SHAPE, FACTORS)
+
+
+_UP = (40, 300, 300)
+
+
+def _up_sql(n: int, m: int, c: str, even: bool) -> str:
+    src = f"round_even(CAST(k * {n - 1} AS DOUBLE) / {m - 1}, 0)" if even else f"(k * {n}) // {m}"
+    return f"SELECT CAST({src} AS INT) AS {c}, CAST(k AS INT) AS t{c} FROM range({m}) t(k)"
+
+
+@query(with_tables("labels_vox", "SELECT tz AS z, ty AS y, tx AS x, label FROM labels_vox JOIN zu USING (z) JOIN yu USING (y) JOIN xu USING (x)", f"zu AS ({_up_sql(NZ, _UP[0], 'z', True)}), yu AS ({_up_sql(NY, _UP[1], 'y', False)}), xu AS ({_up_sql(NX, _UP[2], 'x', False)})"))
+def upsample_labels(spark, d):
+    return resample.upsample_labels(X.labels(spark, d), SHAPE, _UP)
+
+
+_AFFINE = [1.0, 0, 0, 1.0, 0, 0.5, 0, 0, 0, 0, 0.5, 0]
+
+
+@query(with_tables("mask vox", "SELECT f.z, f.y, f.x, coalesce(m.value, 0) AS value FROM mask f LEFT JOIN (SELECT * FROM vox WHERE channel = 1) m ON m.z = CAST(floor(f.z * 1.0 + 1.0 + 0.5) AS INT) AND m.y = CAST(floor(f.y * 0.5 + 0.5) AS INT) AND m.x = CAST(floor(f.x * 0.5 + 0.5) AS INT)"))
+def warp_affine(spark, d):
+    return resample.warp_nearest(X.mask(spark, d), X.vox(spark, d).filter("channel = 1"), _AFFINE)
+
+
+@query(with_tables("mask labels_vox", "SELECT f.z, f.y, f.x, coalesce(m.label, 0) AS label FROM mask f LEFT JOIN labels_vox m ON m.z = f.z AND m.y = f.y + f.x % 3 - 1 AND m.x = f.x + f.y % 3 - 1"))
+def warp_displacement(spark, d):
+    f = X.mask(spark, d)
+    moved = f.select("z", "y", "x", F.lit(0.0).alias("dz"), (F.col("x") % 3 - 1).cast("double").alias("dy"), (F.col("y") % 3 - 1).cast("double").alias("dx"))
+    return resample.warp_nearest(f, X.labels(spark, d), [1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 0], moved, "label")
+
+
+@query(with_tables("mask", "SELECT z, y, x, value, CAST(-5.5 AS DOUBLE) + x * CAST(1.8 AS DOUBLE) AS wx, CAST(3.25 AS DOUBLE) + y * CAST(1.8 AS DOUBLE) AS wy, CAST(0.0 AS DOUBLE) + z * CAST(2.0 AS DOUBLE) AS wz FROM mask"))
+def world_coords(spark, d):
+    return resample.world_coordinates(X.mask(spark, d), (1.8, 1.8, 2.0), (-5.5, 3.25, 0.0))
+
+
+# objects
+
+_COMP = f"""nodes AS (SELECT z // 8 AS slab, z, y, x, (CAST(z AS BIGINT) * {SEG_SHAPE[1]} + y) * {SEG_SHAPE[2]} + x AS lin FROM seg_in),
+half AS (SELECT a.lin AS p, b.lin AS q FROM nodes a JOIN nodes b ON a.slab = b.slab AND a.z + 1 = b.z AND a.y = b.y AND a.x = b.x UNION ALL SELECT a.lin, b.lin FROM nodes a JOIN nodes b ON a.z = b.z AND a.y + 1 = b.y AND a.x = b.x UNION ALL SELECT a.lin, b.lin FROM nodes a JOIN nodes b ON a.z = b.z AND a.y = b.y AND a.x + 1 = b.x),
+edges AS (SELECT p, q FROM half UNION ALL SELECT q, p FROM half),
+reach AS (SELECT lin, lin AS root FROM nodes UNION SELECT e.q, r.root FROM reach r JOIN edges e ON r.lin = e.p WHERE r.root < e.q),
+found AS (SELECT slab, z, y, x, lin, root FROM nodes JOIN (SELECT lin, min(root) AS root FROM reach GROUP BY lin) USING (lin)),
+obj AS (SELECT slab, z, y, x, CAST(dense_rank() OVER (PARTITION BY slab ORDER BY root) AS INT) AS obj_id FROM found),
+sz AS (SELECT slab, obj_id, count(*) AS size FROM obj GROUP BY 1, 2)"""
+
+
+def _objects(spark, d):
+    return objects.numbered(objects.components(X.seg_in(spark, d), SEG_SHAPE, 8))
+
+
+@query(with_tables("seg_in", "SELECT slab, z, y, x, obj_id FROM obj", _COMP))
+def components_slab(spark, d):
+    return _objects(spark, d).select("slab", "z", "y", "x", "obj_id")
+
+
+@query(with_tables("seg_in", "SELECT * FROM sz", _COMP))
+def component_sizes(spark, d):
+    return objects.sizes(_objects(spark, d))
+
+
+@query(with_tables("seg_in", "SELECT slab, z, y, x, CAST(obj_id % 65536 AS INT) AS obj_id FROM obj JOIN sz USING (slab, obj_id) WHERE size >= 2", _COMP))
+def size_filter(spark, d):
+    return objects.drop_small(_objects(spark, d), 2).select("slab", "z", "y", "x", F.col("obj_id").cast("int").alias("obj_id"))
+
+
+@query(with_tables("seg_in", "SELECT slab, max(obj_id) AS max_id, count(DISTINCT obj_id) AS n_objects FROM obj GROUP BY slab", _COMP))
+def object_count(spark, d):
+    return objects.object_count(_objects(spark, d))
+
+
+@query(with_tables("seg_in labels_vox", "SELECT label, count(*) AS n_objects FROM (SELECT key, arg_min(label, (-n, label)) AS label FROM (SELECT slab * 1000000 + obj_id AS key, label, count(*) AS n FROM obj JOIN labels_vox USING (z, y, x) WHERE label <> 0 GROUP BY 1, 2) GROUP BY key) GROUP BY label", _COMP))
+def objects_by_region(spark, d):
+    o = _objects(spark, d).withColumn("obj_id", F.col("slab") * 1000000 + F.col("obj_id"))
+    return regions.objects_by_region(o, X.labels(spark, d))
+
+
+_TILES = "tiles AS (SELECT DISTINCT CAST(l_orderkey // 2048 * 40 + l_suppkey % 20 AS INT) AS z, CAST(l_orderkey % 8 AS INT) AS y, CAST(l_partkey % 8 AS INT) AS x FROM lineitem), inst AS (SELECT z, y, x, CAST(1 + (y * 8 + x + z // 5) // 4 AS INT) AS obj_id FROM tiles)"
+
+
+@query(f"""WITH RECURSIVE {_TILES},
+size AS (SELECT z, obj_id, count(*) AS n FROM inst GROUP BY 1, 2),
+inter AS (SELECT a.z, a.obj_id AS a, b.obj_id AS b, count(*) AS n FROM inst a JOIN inst b ON b.z = a.z + 1 AND a.y = b.y AND a.x = b.x GROUP BY 1, 2, 3),
+iou AS (SELECT i.z, a, b, CAST(i.n AS DOUBLE) / (s.n + t.n - i.n) AS iou FROM inter i JOIN size s ON s.z = i.z AND s.obj_id = a JOIN size t ON t.z = i.z + 1 AND t.obj_id = b),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY z, a ORDER BY iou DESC, b) AS ra, row_number() OVER (PARTITION BY z, b ORDER BY iou DESC, a) AS rb FROM iou WHERE iou >= 0.5) WHERE ra = 1 AND rb = 1),
+keys AS (SELECT z, obj_id, CAST(z AS BIGINT) * 4294967296 + obj_id AS k FROM size),
+up AS (SELECT CAST(z AS BIGINT) * 4294967296 + a AS p, CAST(z + 1 AS BIGINT) * 4294967296 + b AS q FROM best),
+chain AS (SELECT k, k AS root FROM keys UNION SELECT q, root FROM chain JOIN up ON k = p)
+SELECT z, obj_id, min(root) AS stitched FROM keys JOIN chain USING (k) GROUP BY 1, 2""")
+def stitch_iou(spark, d):
+    li = X.table(spark, d, "lineitem")
+    t = li.select((F.floor(F.col("l_orderkey") / 2048) * 40 + F.col("l_suppkey") % 20).cast("int").alias("z"), (F.col("l_orderkey") % 8).cast("int").alias("y"), (F.col("l_partkey") % 8).cast("int").alias("x")).distinct()
+    return objects.stitch(t.withColumn("obj_id", (1 + F.floor((F.col("y") * 8 + F.col("x") + F.floor(F.col("z") / 5)) / 4)).cast("int")))
+
+
+_WHOLE = _COMP.replace("z // 8 AS slab", "0 AS slab")
+_BLOCK = (16, 24, 24)
+
+
+def _block_objects(spark, d):
+    return objects.segment_blocks(X.seg_in(spark, d), SEG_SHAPE, lambda cells: objects.label_faces(cells > 1700), _BLOCK)
+
+
+@query(with_tables("seg_in", "SELECT z, y, x, root AS obj_id FROM found", _WHOLE))
+def segment_blocks(spark, d):
+    return _block_objects(spark, d)
+
+
+@query(with_tables("seg_in", "SELECT root AS obj_id, min(z) AS min_z, max(z) AS max_z, min(y) AS min_y, max(y) AS max_y, min(x) AS min_x, max(x) AS max_x, count(*) AS size FROM found GROUP BY root", _WHOLE))
+def object_boxes(spark, d):
+    return objects.boxes(_block_objects(spark, d))
+
+
+@query(with_tables("vox", "SELECT slab, z, y, x, root FROM found", f"th AS (SELECT slab, arg_min(value, (-score, value)) AS threshold FROM (SELECT *, CASE WHEN w1 < nn THEN (ss * w1 - nn * s1) * (ss * w1 - nn * s1) / (w1 * (nn - w1)) ELSE -1 END AS score FROM (SELECT slab, value, CAST(sum(n) OVER a AS DOUBLE) AS w1, CAST(sum(n * value) OVER a AS DOUBLE) AS s1, CAST(sum(n) OVER b AS DOUBLE) AS nn, CAST(sum(n * value) OVER b AS DOUBLE) AS ss FROM hist WINDOW a AS (PARTITION BY slab ORDER BY value), b AS (PARTITION BY slab))) GROUP BY slab), seg_in AS (SELECT z, y, x, value FROM vox JOIN th ON slab = z // 8 WHERE channel = 0 AND value > threshold), ".join([_HIST + ", ", ""]) + _COMP.replace(f"* {SEG_SHAPE[1]} + y) * {SEG_SHAPE[2]}", f"* {NY} + y) * {NX}")))
+def segment_otsu(spark, d):
+    return objects.segment_threshold(X.vox(spark, d).filter("channel = 0"), SHAPE, "otsu", 1, 8).select("slab", "z", "y", "x", "root")
+
+
+# density images
+
+
+@query(with_tables("spots", "SELECT DISTINCT CAST(trunc(s.y) AS INT) + dy AS y, CAST(trunc(s.x) AS INT) + dx AS x, 255 AS value FROM spots s CROSS JOIN (SELECT CAST(unnest(range(-3, 4)) AS INT) AS dy) CROSS JOIN (SELECT CAST(unnest(range(-3, 4)) AS INT) AS dx) WHERE dy * dy + dx * dx < 9 AND CAST(trunc(s.y) AS INT) + dy BETWEEN 0 AND 511 AND CAST(trunc(s.x) AS INT) + dx BETWEEN 0 AND 4095"))
+def spot_raster(spark, d):
+    return density.rasterize_spots(X.spots(spark, d), 512, 4096)
+
+
+def _pass_sql(source: str, axis: str, weights, n: int, reflect: bool = False, slab: int | None = None) -> str:
+    rest = [c for c in "zyx" if c != axis]
+    w = ", ".join(f"({k}, {v})" for k, v in weights if v)
+    lo = f"{axis} // {slab} * {slab}" if slab else "0"
+    size = f"least({slab}, {n} - {lo})" if slab else str(n)
+    images = f"unnest([p, -1 - p, 2 * size - 1 - p])" if reflect else "p"
+    return f"SELECT {', '.join(rest)}, CAST(lo + p - d AS INT) AS {axis}, CAST(sum(CAST(value AS BIGINT) * w) AS BIGINT) AS value FROM (SELECT {', '.join(rest)}, value, lo, size, {images} AS p FROM (SELECT {', '.join(rest)}, value, {lo} AS lo, {size} AS size, {axis} - ({lo}) AS p FROM {source})) CROSS JOIN (VALUES {w}) k(d, w) WHERE p - d >= 0 AND p - d < size GROUP BY 1, 2, 3"
+
+
+_K = density.kernel(1.5)
+_HEAT = f"h0 AS (SELECT z, y, x, value FROM bright JOIN (SELECT z, y, x FROM atlas WHERE value <> 0) USING (z, y, x)), h1 AS ({_pass_sql('h0', 'z', _K, NZ)}), h2 AS ({_pass_sql('h1', 'y', _K, NY)}), h3 AS ({_pass_sql('h2', 'x', _K, NX)}), heat AS (SELECT z, y, x, CAST(value AS DOUBLE) / CAST(1e12 AS DOUBLE) * 2.0::DOUBLE AS value FROM h3)"
+
+
+def _heat(spark, d):
+    return density.heat_density(X.bright(spark, d), X.atlas(spark, d), SHAPE, 1.5, 2.0)
+
+
+@query(with_tables("bright atlas", "SELECT z, y, x, round(value, 6) AS value FROM heat", _HEAT))
+def heat_density(spark, d):
+    return _heat(spark, d).withColumn("value", F.round("value", 6))
+
+
+@query(with_tables("bright atlas edge", "SELECT z, y, x, coalesce(e, r, 0) AS r, coalesce(e, g, 0) AS g, coalesce(e, b, 0) AS b FROM (SELECT z, y, x, CAST(trunc(least(greatest(CASE WHEN value > 255 THEN value - 255 ELSE 0 END, 0), 255)) AS INT) AS r, 0 AS g, CAST(trunc(least(greatest(CASE WHEN value <= 255 THEN value WHEN value <= 510 THEN 255 ELSE 255 - (value - 510) END, 0), 255)) AS INT) AS b FROM heat) FULL JOIN (SELECT z, y, x, value AS e FROM edge WHERE value <> 0) USING (z, y, x) JOIN (SELECT z, y, x FROM atlas WHERE value <> 0) USING (z, y, x)", _HEAT))
+def heat_rgb(spark, d):
+    return density.heat_rgb(_heat(spark, d), X.edge(spark, d), X.atlas(spark, d))
+
+
+_REACH = 4
+
+
+def _gauss_weights():
+    from math import exp
+
+    w = [exp(-k * k / 2) for k in range(-_REACH, _REACH + 1)]
+    return [(k, int(x / sum(w) * density.SCALE + 0.5)) for k, x in zip(range(-_REACH, _REACH + 1), w, strict=True)]
+
+
+_G = _gauss_weights()
+
+
+@query(with_tables("bright", "SELECT z, y, x, CAST(value AS DOUBLE) / CAST(1e12 AS DOUBLE) AS value FROM g3", f"g1 AS ({_pass_sql('bright', 'z', _G, NZ, True, 8)}), g2 AS ({_pass_sql('g1', 'y', _G, NY, True)}), g3 AS ({_pass_sql('g2', 'x', _G, NX, True)})"))
+def gaussian_smooth(spark, d):
+    return density.gaussian_smooth(X.bright(spark, d), SHAPE, 1.0, 8)
+
+
+# filters
+
+
+@query(with_tables("vox", "SELECT z, min(dist2) AS dist2 FROM (SELECT z, dist2, sum(energy) OVER (PARTITION BY z ORDER BY dist2) AS cum, sum(energy) OVER (PARTITION BY z) AS total FROM (SELECT z, CAST((y - 128) * (y - 128) + (x - 128) * (x - 128) AS BIGINT) AS dist2, sum(value) AS energy FROM vox GROUP BY 1, 2)) WHERE cum >= total * CAST(0.98 AS DOUBLE) GROUP BY z"))
+def radial_energy_cutoff(spark, d):
+    s = X.vox(spark, d).groupBy("z", F.expr("CAST((y - 128) * (y - 128) + (x - 128) * (x - 128) AS BIGINT)").alias("dist2")).agg(F.sum("value").alias("energy"))
+    return filters.energy_cutoff(s)
+
+
+_ANCHORS = ", ".join(f"CAST({i}.0 AS DOUBLE) / 65" for i in range(66))
+
+
+@query(with_tables("vox", f"SELECT z, y, x, round(CASE WHEN i = 0 THEN b[1] WHEN i = 66 THEN b[66] ELSE b[i] + (value - a[i]) * (b[i + 1] - b[i]) / (a[i + 1] - a[i]) END, 4) AS value FROM (SELECT z, y, x, CAST(value AS DOUBLE) AS value, a, b, len(list_filter(a, lambda p: p <= value)) AS i FROM vox, q WHERE channel = 0)", f"q AS (SELECT (SELECT quantile_cont(CAST(value AS DOUBLE), [{_ANCHORS}]) FROM vox WHERE channel = 0) AS a, (SELECT quantile_cont(CAST(value * value AS DOUBLE), [{_ANCHORS}]) FROM vox WHERE channel = 1) AS b)"))
+def hist_match(spark, d):
+    v = X.vox(spark, d)
+    ref = v.filter("channel = 1").select((F.col("value") * F.col("value")).alias("value"))
+    return filters.match_histogram(v.filter("channel = 0").drop("channel"), ref).withColumn("value", F.round("value", 4))
+
+
+def _images(spark, d, dtype: str = "<u2") -> DataFrame:
+    """Slice images of channel 0 as dense arrays."""
+    return blocks.to_slices(X.vox(spark, d).filter("channel = 0").drop("channel"), SHAPE, dtype, "img")
+
+
+def _image_stats(images: DataFrame) -> DataFrame:
+    """Size, extremes and rounded mean of each image."""
+
+    def stats(parts):
+        import numpy as np
+        import pandas as pd
+
+        for pdf in parts:
+            for r in pdf.itertuples(index=False):
+                a = np.frombuffer(r.data, r.dtype).astype(float)
+                yield pd.DataFrame([(r.z, r.height, r.width, round(float(a.min()), 4), round(float(a.max()), 4), round(float(a.mean()), 4))], columns=["z", "height", "width", "low", "high", "mean"])
+
+    return images.mapInPandas(stats, "z int, height int, width int, low double, high double, mean double")
+
+
+@query()
+def adaptive_cutoff(spark, d):
+    return filters.adaptive_d0(_images(spark, d)).withColumn("d0", F.round("d0", 6))
+
+
+@query()
+def homomorphic_2d(spark, d):
+    return _image_stats(blocks.map_slices(_images(spark, d), lambda a, z: filters.homomorphic(a, 30.0)))
+
+
+@query()
+def homomorphic_3d(spark, d):
+    images = _images(spark, d).withColumn("channel", F.lit(0))
+    d0 = filters.median_d0(filters.adaptive_d0(slices.even_sample(images, 0.2))).first()["d0"]
+    out = filters.homomorphic_3d(X.vox(spark, d).filter("channel = 0").drop("channel"), SHAPE, d0, (16, 128, 128))
+    return out.groupBy("z").agg(F.count("*").alias("n"), F.round(F.avg("value"), 4).alias("mean"))
+
+
+@query()
+def clahe(spark, d):
+    return _image_stats(blocks.map_slices(_images(spark, d), lambda a, z: filters.clahe(a, 2.0, 8), "<u2"))
+
+
+@query()
+def enhance_chain(spark, d):
+    images = _images(spark, d).withColumn("channel", F.lit(0))
+    d0 = filters.adaptive_d0(slices.first_slice(images, "height", "width", "dtype", "data")).first()
+    d0 = float(d0["d0"]) if d0 else 30.0
+    return _image_stats(blocks.map_slices(_images(spark, d), lambda a, z: filters.enhance(a, d0, grid=8), "<u2"))
+
+
+# blocks and streams
+
+_CHUNK = (8, 100, 100)
+
+
+@query(with_tables("vox", "SELECT z // 8 AS bz, y // 100 AS by, x // 100 AS bx, count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM vox WHERE channel = 0 GROUP BY 1, 2, 3"))
+def brick_counts(spark, d):
+    return blocks.brick_counts(X.vox(spark, d).filter("channel = 0"), _CHUNK)
+
+
+@query(with_tables("vox", "SELECT z, y, x, value FROM vox WHERE channel = 0"))
+def brick_roundtrip(spark, d):
+    return blocks.from_bricks(blocks.to_bricks(X.vox(spark, d).filter("channel = 0").drop("channel"), SHAPE, _CHUNK))
+
+
+@query(with_tables("labels_vox", "SELECT label, count(*) AS total_vox FROM labels_vox WHERE label <> 0 GROUP BY label"))
+def brick_region_voxels(spark, d):
+    return regions.brick_totals(blocks.to_bricks(X.labels(spark, d).withColumnRenamed("label", "value"), SHAPE, _CHUNK))
+
+
+@query(with_tables("vox", "SELECT z, 'mask_' || lpad(CAST(z AS VARCHAR), 4, '0') AS name, 256 AS height, 256 AS width, 131072 AS bytes FROM vox WHERE channel = 0 GROUP BY z"))
+def slice_export(spark, d):
+    return _images(spark, d).select("z", F.regexp_replace("name", "img", "mask").alias("name"), "height", "width", F.length("data").alias("bytes"))
+
+
+@query(with_tables("labels_vox mask vox", "SELECT label, count(*) AS total_vox, count(m.value) AS signal_vox FROM labels_vox LEFT JOIN mask m USING (z, y, x) WHERE label <> 0 GROUP BY label"))
+def stream_region_totals(spark, d):
+    path = fresh_path(spark)
+    planes = X.vox(spark, d).select("z").distinct().join(X.mask(spark, d).groupBy("z").agg(F.collect_list(F.struct("y", "x", "value")).alias("v")), "z", "left")
+    empty = F.array().cast("array<struct<y: int, x: int, value: int>>")
+    planes.select("z", F.coalesce("v", empty).alias("voxels")).repartitionByRange(8, "z").write.parquet(path)
+    return streaming.drain_region_totals(spark, path, X.labels(spark, d), "totals_" + path[-8:], fresh_path(spark))
