@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import spill
+
+__all__ = ["LOWER", "ROWS", "UPPER", "lower_ascii", "map_batches", "raw_texts", "read", "spill", "texts"]
+
 #: A-Z to a-z; other characters keep their case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -22,23 +24,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only where the session names none."""
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not found:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        found = sc.getCheckpointDir()
-    return found.rstrip("/")
-
-
-def spill(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read back: lineage ends here and survives a lost executor."""
-    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text), null texts empty; other columns, whatever their names, are left out."""
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))

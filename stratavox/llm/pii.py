@@ -312,7 +312,7 @@ def redact(docs: DataFrame, lines=LABELLED) -> DataFrame:
 
     clean = F.pandas_udf(clean, "string")
     out = docs.withColumn("text", clean(docs["text"]))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns) if "n_chars" in docs.columns else out
+    return out.withColumn("n_chars", F.length("text").cast("long")).select([f"`{c}`" for c in docs.columns]) if "n_chars" in docs.columns else out
 
 
 def hide(text: str, all_: list[Span]) -> str:

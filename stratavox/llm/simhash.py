@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.components import connected_components
 from .common import map_batches, raw_texts, read, spill, texts
-from .components import connected_components
 
 BANDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 RADIUS, BLOCK, N_PIVOTS = 3, 4096, 16
@@ -164,7 +164,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """docs with one row of each near-duplicate group: that of its least doc_id. Rows without doc_id stay."""
     kept = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
     named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    return named.select([f"`{c}`" for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from .common import map_batches, read, spill, texts
 MAX_TRAIN, MAX_LEXICON, FOLDS, NEAR, STEM = 20_000, 3_000, 3, 5, 4
 MIN_TOXIC, MIN_WEIGHT = 3, 2.0
 #: Second-person words of the corpus' languages.
-SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos ti tus usted ustedes vosotros".split())
+SECOND_PERSON = frozenset(b"you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos ti tus usted ustedes vosotros".split())
 _KEEP = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _UPPER, _PUNCT, _ALPHA = (bytes(c for c in range(128) if f(chr(c))) for f in (str.isupper, lambda x: not x.isalnum() and not x.isspace() and x.isprintable(), str.isalpha))
 _LEET = bytes.maketrans(b"013457@$!|", b"oieastasil")
@@ -201,7 +201,7 @@ def scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Da
 def keep_clean(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """The rows of docs whose score is below one half, all columns as they are."""
     model = fit(docs, labels, max_train)
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+    packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     return model.score(packed, ["row"]).filter("score < 0.5").select("row.*")
 
 

@@ -1,0 +1,459 @@
+"""The corpus operators against brute force on small tables, and their edge cases."""
+
+import random
+import struct
+from collections import Counter
+from hashlib import sha256
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from stratavox.llm import bpe, html, licenses, media, packing, pii, quality, registry, simhash, toxicity, urls
+
+pytest.importorskip("public_tokenizers")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, k string, fp long, score double, label string"
+WORDS = "the of and river stone light under over many some walks talks green house garden letter number seven quiet storm".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) + rng.choice("abcdefgh") for _ in range(n))
+
+
+def near(rng, text):
+    w = text.split()
+    w[rng.randrange(len(w))] = "changed"
+    return " ".join(w)
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """(id, text): copies, near copies, empties, nulls, one very long text, repeated rows, odd characters."""
+    rng = random.Random(5)
+    texts = [prose(rng, rng.randint(12, 300)) for _ in range(60)]
+    texts += [texts[0]] * 5 + [near(rng, texts[1]) for _ in range(40)] + [near(rng, prose(rng, 400)) for _ in range(3)]
+    texts += ["", None, " \n\t ", "one", "Two Words", "É́ naïve ﬁn 日本語 🙂🙂 <|endoftext|>", "x" * 5000, prose(rng, 30_000), "a b c d e f g h i j " * 30]
+    rows = list(enumerate(texts))
+    rows += [(3, texts[3]), (3, texts[3]), (4, "another text of the same id, longer than ten words to be kept here"), (None, texts[2]), (None, None)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark, corpus):
+    return spark.createDataFrame([(i, t, "en", None, len(t or ""), "k", 1, 0.5, "x") for i, t in corpus], SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.limit(0)
+
+
+def table(df, key="doc_id"):
+    return sorted(map(repr, (tuple(r) for r in df.collect())))
+
+
+def test_fingerprints_and_components(docs, none, corpus):
+    import xxhash
+
+    def brute(text):
+        w = (text or "").translate({c: c + 32 for c in range(65, 91)}).encode().split()
+        sh = [b" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) > 2 else [b" ".join(w)] if w else []
+        h = [xxhash.xxh64_intdigest(s, 42) for s in sh]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    fps = [brute(t) for _, t in corpus]
+    parent = list(range(len(fps)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 3:
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(corpus):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    want = [(d, f"{fps[i]:016x}", least[find(i)]) for i, (d, _) in enumerate(corpus)]
+    assert table(simhash.near_duplicates(docs)) == sorted(map(repr, want))
+    assert len({x[2] for x in want}) < 75
+    assert simhash.near_duplicates(none).count() == 0
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert Counter(r["doc_id"] for r in kept.select("doc_id").collect()) == Counter([x for x in {w[2] for w in want}] + [None, None])
+
+
+def test_links_of_large_buckets_split_in_blocks(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    fps = np.unique(np.concatenate([base ^ np.uint64((1 << int(a)) | (1 << int(b))) for a, b in rng.integers(0, 12, (12, 2))]))
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    from stratavox.operators.components import connected_components
+
+    want = {}
+    label = simhash._forest(len(fps), *np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3, 1)))
+    for block in (4096, 5):
+        got = {r["node"]: r["root"] for r in connected_components(simhash.links(df, block)).collect()}
+        groups = {}
+        for i, x in enumerate(fps.view(np.int64)):
+            groups.setdefault(got.get(int(x), int(x)), set()).add(int(label[i]))
+        want[block] = groups
+        assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(label))
+
+
+def test_bucket_links_of_one_large_run():
+    rng = np.random.default_rng(0)
+    fp = np.unique(np.uint64(0xABCDEF) ^ (np.uint64(1) << rng.integers(0, 40, 90).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 40, 90).astype(np.uint64)))
+    a, b = simhash.bucket_links(np.zeros(len(fp), np.int64), fp.view(np.int64), simhash.pivots())
+    want = simhash._forest(len(fp), *np.nonzero(np.triu(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 3, 1)))
+    assert len(a) == len(fp) - len(set(want))
+
+
+def test_quality(spark, docs, none, corpus):
+    def base(text):
+        t = text or ""
+        w = [x for x in t.replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\v", " ").replace("\f", " ").split(" ") if x]
+        win = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        hit = set()
+        for i in range(len(w) - 4):
+            if win[tuple(w[i : i + 5])] > 1:
+                hit |= set(range(i, i + 5))
+        lines = [x for x in t.split("\n") if x.strip(" \t\n\r\v\f")]
+        return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(hit), len(w) < 10 or 100 * len(hit) > 20 * len(w)
+
+    extra = [(900, "a # b\na # b\n\nc | d\na # b"), (901, prose(random.Random(1), 40) + "\n" + "$$$ %%% " * 40)]
+    more = docs.unionByName(spark.createDataFrame([(i, t, "en", None, 0, "k", 1, 0.5, "x") for i, t in extra], SCHEMA))
+    trusted = spark.createDataFrame([(i,) for i in [*range(0, 60, 2), 0, None, 12345]], "doc_id long")
+    got = quality.verdicts(more, trusted)
+    cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert table(got.select(cols)) == sorted(repr((i, *base(t))) for i, t in [*corpus, *extra])
+    assert got.filter("base_failed AND kept").count() == 0
+    assert got.filter(f"NOT base_failed AND kept <> (score >= {quality.THRESHOLD})").count() == 0
+    # the ratio by brute force
+    from xxhash import xxh3_64_intdigest
+
+    raw, target = Counter(), Counter()
+    good = set(range(0, 60, 2))
+    for i, t in [*corpus, *extra]:
+        h = [xxh3_64_intdigest(w) for w in (t or "").encode().split()]
+        g = [x >> 48 for x in h] + [((a * 0x9E3779B97F4A7C15 + b) % 2**64) >> 48 for a, b in zip(h, h[1:])]
+        raw.update(g)
+        if i in good:
+            target.update(g)
+    share = sum(target.values()) / sum(raw.values())
+    ratio = quality.log_ratio(more, trusted)
+    for k in list(raw)[:300]:
+        assert ratio[k] == pytest.approx(np.log(target[k] + 6) - np.log(raw[k] * share + 6))
+    assert quality.verdicts(none, trusted).count() == 0
+    free = quality.verdicts(docs, trusted.limit(0))
+    assert free.filter("score <> 0 OR (kept = base_failed)").count() == 0
+    kept = quality.keep_good(more, trusted)
+    assert kept.columns == docs.columns and kept.count() == got.filter("kept").count()
+
+
+def test_toxicity(spark, none):
+    rng = random.Random(2)
+    bad = ["zorbish", "grubnak", "vilepox"]
+    rows, labels = [], []
+    for i in range(600):
+        words = prose(rng, rng.randint(20, 60)).split()
+        toxic = rng.random() < 0.3
+        if toxic:
+            for _ in range(3):
+                words[rng.randrange(len(words))] = rng.choice(bad) + rng.choice(["", "!", ","])
+        rows.append((i, " ".join(words), "en", None, 0, "k", 1, 0.5, "x"))
+        if i % 3:
+            labels.append((i, int(toxic)))
+    truth = [any(b in r[1] for b in bad) for r in rows]
+    rows += [(1000, None, "en", None, 0, "k", 1, 0.5, "x"), (1001, "", "en", None, 0, "k", 1, 0.5, "x"), (None, "you zorbish grubnak vilepox", "en", None, 0, "k", 1, 0.5, "x"), (5, rows[5][1], "en", None, 0, "k", 1, 0.5, "x"), (1002, "you z0rbish gr*bnak v.i.l.e.p.o.x", "en", None, 0, "k", 1, 0.5, "x")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    lab = spark.createDataFrame([*labels, (7, None), (None, 1), (99999, 1), (1, labels[0][1])], "doc_id long, toxic int")
+    got = toxicity.scores(docs, lab).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
+    assert all(r["held_out"] == (r["doc_id"] is not None and crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
+    held = [r for r in got if r["held_out"] and r["doc_id"] < 600]
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) > 0.97
+    assert len({r["score"] for r in got if r["doc_id"] in (1000, 1001)}) == 1 and len([r for r in got if r["doc_id"] == 5]) == 2
+    assert next(r["predicted"] for r in got if r["doc_id"] is None) == 1
+    assert {r["score"] for r in toxicity.scores(docs, lab.filter("toxic = 0")).collect()} == {0.0}
+    assert toxicity.scores(none, lab).count() == 0 and toxicity.scores(docs, lab.limit(0)).count() == len(rows)
+    kept = toxicity.keep_clean(docs, lab)
+    assert kept.columns == docs.columns and kept.count() == sum(r["score"] < 0.5 for r in got)
+
+
+def test_obfuscated_words_are_features():
+    lex = toxicity.Lexicon({b"zorbish": 3.0, b"^vile": 2.0})
+    f = lambda t: toxicity.features(t, lex, toxicity.masked(lex), toxicity.SECOND_PERSON)
+    assert f("so z0rbish")[12] > 0 and f("so zor*ish")[12] > 0 and f("z.o.r.b.i.s.h")[12] > 0 and f("plain words")[:8] == [0.0] * 8
+    assert f("you zorbish")[5] > 0 and f("VILEPOX!")[0] == 1.0 and len(f("")) == toxicity.N_FEATURES
+
+
+def test_licenses(spark, docs, none):
+    given = [
+        (1, "Licensed under CC BY-NC 4.0.\nnothing here"),
+        (2, "all rights reserved cc by cc by, General PUBLIC license"),
+        (3, "before\nyou may not use this file except in full compliance with this License. A copy of the License at apache.org may be obtained, you obtain it\nafter"),
+        (4, "released under the mit license"),
+        (4, "something else of the same id"),
+        (5, None),
+        (None, "Copyright 2020. All Rights Reserved."),
+        (6, "licensed under the apache " + "word " * 5000),
+    ]
+    extra = spark.createDataFrame([(i, t, "en", None, 0, "k", 1, 0.5, "x") for i, t in given], SCHEMA)
+    found = licenses.templates()
+
+    def brute(text):
+        low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+        split = lambda s: "".join(c if c > "\x7f" or c.isdigit() or "a" <= c <= "z" else " " for c in s).split(" ")
+        words = [w for w in split(low) if w]
+        hits = [(i, label.decode() if isinstance(label, bytes) else label) for phrase, label in licenses.PHRASES for i in range(len(words)) if words[i : i + len(p := phrase.decode().split())] == p]
+        more, best = {x for _, x in hits}, 1.0 if hits else 0.0
+        for line in low.split("\n"):
+            have = {w.encode() for w in split(line) if w}
+            for _, label, w, need in found:
+                if len(have & w) >= need:
+                    more.add(label)
+                    best = max(best, len(have & w) / len(w))
+        at = [i for i, _ in hits]
+        return len(words), len(hits), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in hits})), ",".join(sorted(more)), best
+
+    got = licenses.scan(extra.unionByName(docs.limit(40)))
+    have = {(r["doc_id"], r["n_words"]): tuple(r)[1:] for r in got.collect()}
+    for i, t in given:
+        want = brute(t)
+        assert have[i, want[0]] == want
+    assert have[2, 10][5] == "cc-by,gpl,reserved" and have[2, 10][1:4] == (4, 0, 7)
+    assert licenses.scan(none).count() == 0
+    assert licenses.scan(extra, items=()).filter("labels <> base_labels").count() == 0
+
+
+def test_media(docs, none, corpus):
+    got = media.stored_media(docs).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in corpus)
+    want = set()
+    for i, t in corpus:
+        raw = (t or "").encode()
+        p = raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
+        want.add((i, len(raw), len(p), sha256(p).hexdigest(), crc32(p[-64:]), len(p) + 44, sha256(media.header(len(p)) + p).hexdigest()))
+    assert {tuple(r)[:-1] for r in got} == want
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("k", F.sha2("text", 256))
+    own = media.chunk_store(rows).select(F.explode("own").alias("c"), "digests").select(F.element_at("digests", F.col("c.seq") + 1).alias("d"))
+    assert own.distinct().count() >= own.count() - 4  # rows that are repeated whole may write a chunk again
+    assert media.stored_media(none).count() == 0
+
+
+def test_chunks_follow_content():
+    g = media.gear()
+    rng = random.Random(0)
+    a = bytes(rng.randrange(256) for _ in range(40_000))
+    chunks = media.cut(a, g)
+    assert b"".join(chunks) == a and max(map(len, chunks)) <= media.MAX_CHUNK and min(map(len, chunks[:-1])) >= media.MIN_CHUNK
+    moved = media.cut(b"inserted" + a, g)
+    assert len(set(chunks) & set(moved)) > 0.9 * len(chunks)
+    assert b"".join(media.cut(bytes(100_000), g)) == bytes(100_000)
+    head = media.header(64)
+    digests = [media.digest(bytes(64))]
+    media.features(0, head, [bytes(64)], digests, sha256(head + bytes(64)).hexdigest())
+    with pytest.raises(ValueError):
+        media.features(0, head, [bytes(63) + b"x"], digests, sha256(head + bytes(64)).hexdigest())
+
+
+def test_packing(docs, none, corpus):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.vocabulary())
+    got = packing.pack_documents(docs).collect()
+    want = Counter()
+    for i, t in corpus:
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 1]
+        for p, at in enumerate(range(0, len(ids), 4096)):
+            part = ids[at : at + 4096]
+            want[i, p, at, len(part), crc32(struct.pack(f"<{len(part)}I", *part))] += 1
+    assert Counter(tuple(r)[:5] for r in got) == want
+    by = {}
+    for r in got:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for s in by.values():
+        s.sort()
+        assert [o for o, _ in s] == [sum(n for _, n in s[:k]) for k in range(len(s))] and sum(n for _, n in s) <= 4096
+    assert len(by) <= -(-sum(r["length"] for r in got) // 4096) + 2
+    assert packing.pack_documents(none).count() == 0
+
+
+@pytest.mark.parametrize("draw", [lambda r: r.integers(1, 4097, 3000), lambda r: np.minimum(4096, r.lognormal(6.5, 1, 3000).astype(int) + 1), lambda r: np.full(500, 2048), lambda r: np.full(7, 4096), lambda r: np.array([1])])
+def test_pack_is_near_the_bound(draw):
+    lengths = draw(np.random.default_rng(1))
+    seq, offset = packing.pack(lengths)
+    used = np.bincount(seq, lengths)
+    assert used.max() <= 4096 and len(used) <= 1.06 * lengths.sum() / 4096 + 1
+    order = np.lexsort((offset, seq))
+    for k in order[:200]:
+        assert offset[k] == lengths[(seq == seq[k]) & (offset < offset[k])].sum()
+
+
+def test_pii(docs, none, spark):
+    import re
+
+    texts = [
+        "mail a.b@c.de.f_x@y.zz or @none, a@b and x..@q.w",
+        "hosts 1.2.3.4.5.6.7.8 and 300.1.1.1, 0001.02.3.4 v1.2.3.4",
+        "card 4111 1111 1111 1111, 4111-1111-1111-1112; 41111111 and 5500 0000 0000 0004 1",
+        "call +1 (456) 555-2186. or +12 or +49 30 1234567890123456 now +1-2-3-4-5-6-7-8-9",
+        'token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae" end',
+        "😀 é a@b.co 😀 +15551234567",
+        "9" * 5000 + " " + "a" * 5000,
+        None,
+        "",
+    ]
+    rows = [(k, t, "en", None, 0, "k", 1, 0.5, "x") for k, t in enumerate(texts)] + [(0, texts[0], "en", None, 0, "k", 1, 0.5, "x"), (None, texts[0], "en", None, 0, "k", 1, 0.5, "x")]
+    patterns = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
+
+    def luhn(d):
+        return sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
+
+    def brute(t):
+        out = []
+        for k, p in enumerate(patterns):
+            for m in re.finditer(p, t or ""):
+                d = "".join(re.findall("[0-9]", m[0]))
+                if k == 1 and any(int(x) > 255 for x in m[0].split(".")) or k == 2 and not (12 <= len(d) <= 19 and luhn(d)) or k == 3 and not 9 <= len(d) <= 15:
+                    continue
+                out.append((m.start(), k, m.end()))
+        return sorted(out)
+
+    found = pii.spans(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        base = brute(texts[r["doc_id"] or 0])
+        text = pii.listed(base)
+        assert r["base_sha256"] == sha256(text.encode()).hexdigest()
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(k == j for _, k, _ in base) for j in range(4)]
+        assert set(text.split(",")) - {""} <= set(r["spans"].split(","))
+    assert next(r["spans"] for r in found if r["doc_id"] == 4) == "secret:9:49"
+    assert pii.spans(none).count() == 0
+    clean = pii.redact(spark.createDataFrame(rows, SCHEMA)).collect()
+    by = {r["doc_id"]: r for r in clean}
+    assert by[4]["text"] == 'token = "[SECRET]" end' and by[7]["text"] is None and by[5]["text"] == "😀 é [EMAIL] 😀 [PHONE]" and by[5]["n_chars"] == len(by[5]["text"])
+
+
+def test_viterbi_and_the_bound():
+    """Decoding the split chains equals decoding whole texts by brute force over all paths' scores."""
+    crf = pii.Crf()
+    for line in ["call +1 (456) 555-2186 now", "the card 4111 1111 1111 1111 was", "see 12 of 30, v2.0 a@b.c x", "10.0.0.1 5 +49 30 1234567 a"]:
+        words = line.split()
+        sig = [pii.signature(w.encode()) for w in words]
+        near = [pii.CLASSES.index(pii.context_class(w)) for w in [None, *words, None]]
+        e = np.array([crf.scores(s) for s in sig]) + crf.before[near[:-2]] + crf.after[near[2:]]
+        best, back = crf.first + e[0], []
+        for t in range(1, len(words)):
+            to = best[:, None] + crf.step
+            back.append(to.argmax(axis=0))
+            best = to.max(axis=0) + e[t]
+        y = [int((best + crf.last).argmax())]
+        for b in reversed(back):
+            y.append(int(b[y[-1]]))
+        y.reverse()
+        assert all(y[k] == 0 for k, s in enumerate(sig) if crf.outside(crf.scores(s)))
+        whole = crf.decode([(e, True, True)])[0]
+        assert whole.tolist() == y
+
+
+def test_crf_learns_its_table():
+    crf = pii.Crf()
+    right = total = 0
+    for line in pii.LABELLED:
+        words, y = pii.parse(line)
+        near = [pii.CLASSES.index(pii.context_class(w)) for w in [None, *words, None]]
+        e = np.array([crf.scores(pii.signature(w.encode())) for w in words]) + crf.before[near[:-2]] + crf.after[near[2:]]
+        right += (crf.decode([(e, True, True)])[0] == y).sum()
+        total += len(y)
+    assert right / total > 0.99
+
+
+def test_urls(spark):
+    given = ["https://a.Example.ORG/es/x?q#f", "http://example.org/en/123", "http://x.org", "ftp://b.com/fr/", "//no", None, "", "x://HÉ.com/de/1", "http://example.org./es/", "https://c.net/p", "http://spam-farm.example.net/a", "y://z://w.org/", "http://org/"]
+    pages = spark.createDataFrame([(k, u, "h", "r") for k, u in enumerate(given)] + [(None, given[0], "h", "r"), (0, given[0], "h", "r")], "page_id long, url string, host string, rule string")
+    got = {r["page_id"]: tuple(r)[1:] for r in urls.verdicts(pages).collect()}
+    assert got[0] == ("a.example.org", "/es/x", "example.org/es/", "block") == got[None]
+    assert got[1] == ("example.org", "/en/123", "example.org/en/1", "block")
+    assert got[2] == ("x.org", "", None, "allow") and got[3][2:] == ("com/fr/", "allow")
+    assert got[4] == got[5] == got[6] == ("", "", None, "allow")
+    assert got[7] == ("hÉ.com", "/de/1", "com/de/", "block") and got[8][2] is None and got[9][2:] == (None, "allow")
+    assert got[10][2:] == (None, "block") and got[11] == ("z:", "//w.org/", None, "allow") and got[12][2:] == ("org/", "allow")
+    assert urls.verdicts(pages).count() == len(given) + 2 and urls.verdicts(pages.limit(0)).count() == 0
+    table_ = spark.createDataFrame([("net", "/p", "block")], "host string, path string, verdict string")
+    assert {r["page_id"]: r["rule"] for r in urls.verdicts(pages, rules=table_).collect()}[9] == "net/p"
+    plan = urls.verdicts(pages.select("page_id", "url"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_html(spark):
+    cases = {
+        "<p>a<p>b &amp; c<br>d": "a\n\nb & c\nd",
+        "<ul><li>x<li>y<ol start=9><li>z</ol></ul>": "- x\n- y\n\n  9. z",
+        "<table><tr><td>aa<td>b<tr><td>c<th>dd</table>": "aa  b\nc   dd",
+        "<div hidden>no</div><p style='display:none'>no<p>yes<script>x<y</script><!-- <p>no -->": "yes",
+        "a<pre>\n x\n  y\n</pre>b": "a\n\n x\n  y\n\nb",
+        "<head><title>t</title></head><body>b</body>": "b",
+        "1 < 2 > 0 &lt; <b>bo</b>ld <img alt='pic'>": "1 < 2 > 0 < bold pic",
+        "<blockquote>q<hr>r</blockquote>": "    q\n    ---\n    r",
+        "": "",
+        "<p>open <b>bold": "open bold",
+        "</div>stray</p>": "stray",
+    }
+    for source, want in cases.items():
+        assert html.render(source) == want, source
+    assert html.render("<div>" * 5000 + "deep" + "<p>er") == "deep\ner"  # beyond the depth kept, elements are flattened, text is not lost
+    pages = spark.createDataFrame([(1, "<p>a", "t"), (1, "<p>a", "t"), (None, None, "t"), (2, "", "t")], "page_id long, html string, text string")
+    assert table(html.extract(pages)) == sorted(map(repr, [(1, "a"), (1, "a"), (None, ""), (2, "")]))
+    assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_bpe(docs, none, corpus):
+    import public_tokenizers
+    import tiktoken
+
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(bpe.rank_file()), special_tokens={})
+    want = []
+    for i, t in corpus:
+        ids = enc.encode_ordinary(t or "")
+        want.append((i, len(ids), sha256(" ".join(map(str, ids)).encode()).hexdigest(), sha256((t or "").encode()).hexdigest()))
+    assert table(bpe.round_trip(docs)) == sorted(map(repr, want))
+    assert bpe.round_trip(none).count() == 0
+    codec = bpe.Codec(bpe.rank_file(), public_tokenizers.PATTERN)
+    odd = ["  a  b", "a\n\n b\tc ", "it's they'll", "x\u2003y\u3000 z  q", "\x1c a \x85b", " lead", "ab" * 3000, "a\n b"]
+    for t, s in zip(odd, codec.encode(odd)):
+        assert " ".join(x[1] for x in s) == " ".join(map(str, enc.encode_ordinary(t)))
+
+
+def test_pipeline(spark):
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    columns, ids = docs.columns, {r["doc_id"] for r in docs.collect()}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = docs
+        docs = corpus_pipeline.spill(stage(spark, docs, d))
+        if k < 4:
+            assert docs.columns == columns, name
+        if k in (0, 1, 2):
+            now = {r["doc_id"] for r in docs.collect()}
+            lost = {
+                0: lambda: {r["doc_id"] for r in quality.verdicts(before, quality.trusted_ids(spark, d)).filter("NOT kept").collect()},
+                1: lambda: {r["doc_id"] for r in toxicity.scores(before, spark.read.parquet(f"{d}/labels.parquet")).filter("predicted = 1").collect()},
+                2: lambda: {r["doc_id"] for r in simhash.near_duplicates(before).filter("doc_id <> component_id").collect()},
+            }[k]()
+            assert now == ids - lost and now
+            ids = now
+        if k == 3:
+            assert {r["doc_id"] for r in docs.collect()} == ids
+            assert pii.spans(docs).agg(F.sum(F.col("n_email") + F.col("n_ip") + F.col("n_phone"))).first()[0] == 0
+    assert {r["doc_id"] for r in docs.collect()} == ids
+
+
+def test_registry_names():
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
