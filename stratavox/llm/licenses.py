@@ -37,6 +37,8 @@ TEMPLATES = (
     ("reserved", "Copyright. All rights reserved"),
 )
 THRESHOLD = 0.8
+#: Rows of template prefixes that may be broadcast.
+MAX_BROADCAST = 100_000
 _KEEP = bytes(c if c > 127 or 48 <= c < 58 or 97 <= c < 123 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
 
 
@@ -98,6 +100,8 @@ def met_templates(blocks: DataFrame, found: list, words: list[bytes]) -> DataFra
         rows += [(k, label, need, len(ranks), ranks, pos, t) for pos, t in enumerate(ranks[: len(ranks) - need + 1])]
     table = spark.createDataFrame(rows, "t int, label string, need int, t_size int, t_ranks array<int>, t_pos int, token int")
     least = min(need for *_, need in found)
+    if len(rows) <= MAX_BROADCAST:  # the templates are a parameter; a very long list is joined by shuffle instead
+        table = F.broadcast(table)
     as_rank = F.create_map(*[F.lit(x) for k in rank for x in (k, rank[k])])
     ranked = blocks.select("key", F.array_sort(F.transform("block", lambda x: as_rank[x])).alias("ranks")).withColumn("size", F.size("ranks")).filter(F.col("size") >= least)
     heads = ranked.select("key", "ranks", "size", F.posexplode(F.slice("ranks", 1, F.col("size") - least + 1)).alias("pos", "token"))
