@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import spill
 from .components import connected_components
+from .slices import global_rank
 from .voxels import KEY, otsu, slab_histogram, slab_of
 
 
@@ -31,8 +33,9 @@ def components(vox: DataFrame, shape: tuple[int, int, int], depth: int | None =
 
 def numbered(found: DataFrame) -> DataFrame:
     """found with obj_id: 1.. in raster order of the roots, restarting in each slab."""
-    roots = found.select("slab", "root").distinct()
-    ids = roots.withColumn("obj_id", F.row_number().over(Window.partitionBy("slab").orderBy("root")))
+    ranked = spill(global_rank(found.select("slab", "root").distinct(), ["slab", "root"]))
+    first = ranked.groupBy("slab").agg(F.min("rank").alias("low"))
+    ids = ranked.join(first, "slab").select("slab", "root", (F.col("rank") - F.col("low") + 1).cast("int").alias("obj_id"))
     return found.join(ids, ["slab", "root"])
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import spill
+
 
 def inventory(files: DataFrame, key: str = "channel", name: str = "name") -> DataFrame:
     """files with z: the rank of the name within its channel, from 0."""
@@ -49,13 +51,19 @@ def even_sample(slices: DataFrame, rate: float) -> DataFrame:
     return slices.join(at.select("channel", step.cast("int").alias("z")).distinct(), ["channel", "z"], "left_semi")
 
 
-def pair_up(a: DataFrame, b: DataFrame, order: str) -> DataFrame:
-    """(rank, a_<order>, b_<order>): lists zipped by rank and cut to the shorter.
+def global_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
+    """df with its rank from 1 in the given order, numbered in ranges: no task sees more than its range."""
+    parts = spill(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    local = parts.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    sizes = parts.groupBy("_part").count()  # a row for each range
+    starts = sizes.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_start"))
+    return local.join(starts, "_part").withColumn(name, F.col("_start") + F.col("_row")).drop("_part", "_row", "_start")
 
-    Ranks are global, as the lists are inventories of slices, one row each and no payload.
-    """
-    number = lambda df, side: df.select(F.row_number().over(Window.orderBy(order)).alias("rank"), F.col(order).alias(f"{side}_{order}"))
-    return number(a, "a").join(number(b, "b"), "rank")
+
+def pair_up(a: DataFrame, b: DataFrame, order: str) -> DataFrame:
+    """(rank, a_<order>, b_<order>): lists zipped by rank and cut to the shorter."""
+    number = lambda df, side: global_rank(df.select(F.col(order).alias(f"{side}_{order}")), [f"{side}_{order}"])
+    return number(a, "a").join(number(b, "b"), "rank").select(F.col("rank").cast("int").alias("rank"), f"a_{order}", f"b_{order}")
 
 
 def checked_pairs(pairs: DataFrame, same: Column) -> DataFrame:
