@@ -139,3 +139,20 @@ def warp_nearest(fixed: DataFrame, moving: DataFrame, affine: list[float], displ
 def world_coordinates(vox: DataFrame, spacing_xyz: tuple, origin_xyz: tuple) -> DataFrame:
     """vox with wx, wy, wz = origin + index * spacing."""
     return vox.select("*", *[(F.lit(float(o)) + F.col(c) * F.lit(float(s))).alias(f"w{c}") for c, s, o in zip("xyz", spacing_xyz, origin_xyz, strict=True)])
+
+
+def pyramid(vox: DataFrame, shape: tuple[int, int, int], levels: int, factor: float = 0.5) -> DataFrame:
+    """(level, z, y, x, value): the volume and its nearest downsamples, each made from the one before."""
+    out, now = vox.select(F.lit(0).alias("level"), *KEY, "value"), vox
+    for level in range(1, levels):
+        now = downsample_nearest(now, shape, (factor,) * 3, None)
+        shape = tuple(target_size(n, factor) for n in shape)
+        out = out.unionByName(now.select(F.lit(level).alias("level"), *KEY, "value"))
+    return out
+
+
+def occupied_blocks(vox: DataFrame, low: DataFrame, ratio: tuple[int, int, int]) -> DataFrame:
+    """Voxels whose cell of a low-resolution mask (one cell for each ``ratio`` voxels) is above 0."""
+    cell = [F.floor(F.col(c) / r).cast("int").alias(f"l_{c}") for c, r in zip(KEY, ratio, strict=True)]
+    wanted = low.filter("value > 0").select(*[F.col(c).alias(f"l_{c}") for c in KEY]).distinct()
+    return vox.select("*", *cell).join(wanted, [f"l_{c}" for c in KEY], "left_semi").drop(*[f"l_{c}" for c in KEY])

@@ -305,6 +305,23 @@ def heatmap_mask_downsample(spark, d):
     return resample.mask_for_heatmap(X.mask(spark, d), SHAPE, FACTORS)
 
 
+def _half(source: str, n: tuple, level: int) -> str:
+    """A level of the pyramid by the corner rule."""
+    at = ", ".join(f"s{c} AS (SELECT CAST((2 * k * {a - 1} + {a // 2 - 1}) // {2 * (a // 2 - 1)} AS INT) AS {c}, CAST(k AS INT) AS t{c} FROM range({a // 2}) t(k))" for c, a in zip("zyx", n, strict=True))
+    return f"p{level} AS (WITH {at} SELECT tz AS z, ty AS y, tx AS x, value FROM {source} JOIN sz USING (z) JOIN sy USING (y) JOIN sx USING (x))"
+
+
+@query(with_tables("mask", "SELECT 0 AS level, z, y, x, value FROM mask UNION ALL SELECT 1, z, y, x, value FROM p1 UNION ALL SELECT 2, z, y, x, value FROM p2", _half("mask", SHAPE, 1) + ", " + _half("p1", (NZ // 2, NY // 2, NX // 2), 2)))
+def resolution_pyramid(spark, d):
+    return resample.pyramid(X.mask(spark, d), SHAPE, 3)
+
+
+@query(with_tables("vox bright", "SELECT channel, z, y, x, value FROM vox WHERE (z // 4, y // 16, x // 16) IN (SELECT (z // 4, y // 16, x // 16) FROM bright)"))
+def block_prune(spark, d):
+    low = X.bright(spark, d).select(F.floor(F.col("z") / 4).cast("int").alias("z"), F.floor(F.col("y") / 16).cast("int").alias("y"), F.floor(F.col("x") / 16).cast("int").alias("x"), "value")
+    return resample.occupied_blocks(X.vox(spark, d), low, (4, 16, 16))
+
+
 _UP = (40, 300, 300)
 
 
@@ -535,6 +552,11 @@ def clahe(spark, d):
     return _image_stats(blocks.map_slices(_images(spark, d), lambda a, z: filters.clahe(a, 2.0, 8), "<u2"))
 
 
+@query()
+def background_removal(spark, d):
+    return _image_stats(blocks.map_slices(_images(spark, d), lambda a, z: filters.remove_background(a, 20), "<u2"))
+
+
 @query()
 def enhance_chain(spark, d):
     images = _images(spark, d).withColumn("channel", F.lit(0))

@@ -103,6 +103,18 @@ def test_clahe():
         filters.clahe(np.zeros((4, 4), np.int64))
 
 
+def test_background_removal():
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 99, (9, 14))
+    for best, f in ((np.minimum, np.min), (np.maximum, np.max)):
+        want = [[f(x[max(i - 2, 0) : i + 3, max(j - 2, 0) : j + 3]) for j in range(14)] for i in range(9)]
+        assert (filters.sliding(x, 2, best) == want).all()
+    img = np.full((60, 60), 500, np.uint16)
+    img[30, 30] = 9000
+    out = filters.remove_background(img, 8, 1.0)
+    assert out.dtype == np.uint16 and out[30, 30] > 8000 and out[5, 5] == 0
+
+
 def test_histogram_match_to_itself_is_identity(spark, volume):
     v = sparse(spark, volume)
     assert (dense(filters.match_histogram(v, v), volume.shape) == volume).all()
