@@ -9,6 +9,7 @@ keeps them for the next batch: no occurrence of a word is shuffled.
 
 from __future__ import annotations
 
+from array import array
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import map_batches, read, texts
 
-CACHE_WORDS = 800_000
+CACHE_WORDS, MANY = 800_000, 48
 _CLOSING = ".,;:!?*#$%&)\""
 
 
@@ -49,6 +50,13 @@ class Merges:
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
                     self.pairs[a << WIDTH | b] = i
+        self.splits: dict[int, list[int]] = {}
+        for key, i in self.pairs.items():
+            self.splits.setdefault(i, []).append(key)
+        #: tokens that have a part in a token of lower rank than their own
+        self.odd = {part for key, i in self.pairs.items() for part in (key >> WIDTH, key & (1 << WIDTH) - 1) if i < part}
+        self.keys = np.array(sorted(self.pairs), np.int64)
+        self.made = np.array([self.pairs[k] for k in self.keys.tolist()], np.int64)
         self.single = np.array([ranks[bytes([k])] for k in range(256)], np.int64)
         self.double = np.full(1 << 16, -1, np.int64)
         for a in range(256):
@@ -61,7 +69,8 @@ def replay(words: list[bytes], merges: Merges) -> list[list[int]]:
 
     The symbols of all words lie in one list; nxt and prv link those that are left. ``where`` is the inverted
     index: rank -> left places of its pairs. A rank is taken once for all words; each of its places is merged if
-    the pair still stands there, and the two pairs beside it are entered. A word that is a token stays one.
+    the pair still stands there, and the two pairs beside it are entered. A rank with many places is taken as
+    arrays, one with few in a loop. A word that is a token stays one.
     """
     ids: list[list[int]] = [[i] if (i := merges.ranks.get(w)) is not None else [] for w in words]
     todo = [k for k, w in enumerate(words) if w and not ids[k]]
@@ -82,12 +91,52 @@ def replay(words: list[bytes], merges: Merges) -> list[list[int]]:
     ends = [*cut[1:].tolist(), len(place)]
     places_ = place.tolist()
     where = {r: places_[a:b] for r, a, b in zip(ranks.tolist(), cut.tolist(), ends, strict=True)}
-    sym, nxt, prv = merges.single[raw].tolist(), after.tolist(), before.tolist()
+    sym, nxt, prv = (array("q", x.tobytes()) for x in (merges.single[raw], after, before))
+    S, N, V = (np.frombuffer(x, np.int64) for x in (sym, nxt, prv))  # the same memory
     get = merges.pairs.get
+
+    def at_once(m: int, places: list[int]) -> list[int] | None:
+        """Merges all places of m and enters the new pairs; the places that are left if some overlap."""
+        p = np.unique(np.array(places))
+        q = N[p]
+        live = (q >= 0) & (S[p] >= 0)
+        p, q = p[live], q[live]
+        live = np.isin(S[p] << WIDTH | S[q], merges.splits[m])
+        p, q = p[live], q[live]
+        if np.isin(q, p).any():
+            return p.tolist()
+        r = N[q]
+        S[p], S[q], N[p] = m, -1, r
+        has = r >= 0
+        V[r[has]] = p[has]
+        o = V[p]
+        o = o[o >= 0]
+        key = np.concatenate([m << WIDTH | S[r[has]], S[o] << WIDTH | m])
+        spot = np.concatenate([p[has], o])
+        k = np.minimum(np.searchsorted(merges.keys, key), len(merges.keys) - 1)
+        hit = merges.keys[k] == key
+        x, spot = merges.made[k[hit]], spot[hit]
+        if not len(x):
+            return None
+        order = np.argsort(x, kind="stable")
+        found, cut = np.unique(x[order], return_index=True)
+        spot_ = spot[order].tolist()
+        for y, a, b in zip(found.tolist(), cut.tolist(), [*cut[1:].tolist(), len(spot_)], strict=True):
+            if y in where:
+                where[y].extend(spot_[a:b])
+            else:
+                where[y] = spot_[a:b]
+                heappush(heap, y)
+        return None
+
     heap = list(where)  # sorted, so a heap
     while heap:
         m = heappop(heap)
         places = where.pop(m)
+        if len(places) >= MANY and m not in merges.odd:
+            places = at_once(m, places)
+            if places is None:
+                continue
         places.sort()  # overlapping places of one pair merge from the left
         for k, p in enumerate(places):
             if heap and heap[0] < m:  # a merge made a pair of lower rank: that one comes first
