@@ -32,7 +32,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _RUN = re.compile(r"(.)\1+")
 _CLASSES = bytes(ord("d") if 48 <= c < 58 else ord("h") if 97 <= c < 103 else ord("x") if 103 <= c < 123 or c > 127 else ord("X") if 65 <= c < 91 else c for c in range(256))
-PLAIN_WORDS = 500_000
+PLAIN_WORDS = 150_000
 _SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 Span = tuple[int, int, int]  # start, place of the kind, end
 
@@ -308,7 +308,11 @@ def redact(docs: DataFrame, lines=LABELLED) -> DataFrame:
     def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         find = finder(crf)
         for t in parts:
-            yield pd.Series([None if x is None else hide(x, f[1]) for x, f in zip(t, find([x or "" for x in t]), strict=True)], dtype=object)
+            out: list[str | None] = []
+            for lo in range(0, len(t), 500):
+                some = t.iloc[lo : lo + 500]
+                out += [None if x is None else hide(x, f[1]) for x, f in zip(some, find([x or "" for x in some]), strict=True)]
+            yield pd.Series(out, dtype=object)
 
     clean = F.pandas_udf(clean, "string")
     out = docs.withColumn("text", clean(docs["text"]))
