@@ -237,7 +237,8 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS, la
 def pack_pieces(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """found (with a column length) and sequence_id, offset."""
     shards = max(1, math.ceil(found.count() / SHARD_PIECES))
-    dealt = found.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)).cast("long"))
+    # the row's number spreads rows that are equal in all columns; found is a written table, so it is stable
+    dealt = found.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(shards)).cast("long"))
 
     def one(pdf):
         pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable").reset_index(drop=True)
