@@ -1,17 +1,22 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line. A block meets a template when it holds at least ``threshold`` of the template's distinct
-words. Words that no template has can't count, so blocks keep template words only. Words are ordered by
-their number of blocks over the whole corpus, rarest first. If a block and a template share ``need`` words,
+A block is a window of the text's words, whatever its line breaks: ``span`` words long, which is twice the
+template's length and MIN_SPAN at least. There is one from every template word on, so each run of ``span``
+words is in a block whole. A block meets a template of its span when it holds at least ``threshold`` of the
+template's distinct words. Words that no template of the span has can't count, so blocks keep template words
+only; a window that another one holds, or with fewer words than any template of the span needs, is left out.
+Words are ordered by their number of blocks over the whole corpus, rarest first. If a block and a template share ``need`` words,
 then the first size - need + 1 words of each share one (prefix filter); a block of fewer than ``need`` words
 can't meet it (length filter); and the words left behind the shared ones bound the overlap (position filter).
-What passes is verified in full. All joins are on the shared prefix word.
+What passes is verified in full. All joins are on the span and the shared prefix word.
 """
 
 from __future__ import annotations
 
+from itertools import repeat
 from math import ceil
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +42,8 @@ TEMPLATES = (
     ("reserved", "Copyright. All rights reserved"),
 )
 THRESHOLD = 0.8
+#: Least words of a window, so that a short template may have a name or a year between its words.
+MIN_SPAN = 12
 #: Rows of template prefixes that may be broadcast.
 MAX_BROADCAST = 100_000
 _KEEP = bytes(c if c > 127 or 48 <= c < 58 or 97 <= c < 123 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
@@ -53,6 +60,33 @@ def templates(items=TEMPLATES, threshold: float = THRESHOLD) -> list[tuple[int,
     return [(k, label, w, max(1, ceil(threshold * len(w) - 1e-9))) for k, label, w in sets if w]
 
 
+def spans(items=TEMPLATES) -> dict[int, int]:
+    """The window's words for each template, by its number in templates()."""
+    return {k: max(MIN_SPAN, 2 * len(words_of(text.encode()))) for k, (_, text) in enumerate(items)}
+
+
+def windows(at: np.ndarray, token: np.ndarray, span: int, least: int, step: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
+    """(first, end) of the windows, as rows of at, that hold ``least`` different tokens and lie in no other window.
+
+    at: ascending places of the words, token: their numbers.
+    """
+    end = np.searchsorted(at, at + span)
+    first = np.flatnonzero((end - np.arange(len(at)) >= least) & np.r_[True, end[1:] > end[:-1]])
+    order = np.argsort(token, kind="stable")
+    again = token[order[1:]] == token[order[:-1]]
+    before = np.full(len(at), -1)  # the row that has the same token before
+    before[order[1:][again]] = order[:-1][again]
+    keep = []
+    for k in range(0, len(first), step):
+        lo = first[k : k + step]
+        n = end[lo] - lo
+        start = np.cumsum(n) - n
+        rows = np.arange(n.sum()) - np.repeat(start - lo, n)
+        keep.append(np.add.reduceat(before[rows] < np.repeat(lo, n), start, dtype=np.int64) >= least)
+    first = first[np.concatenate(keep)] if keep else first
+    return first, end[first]
+
+
 def phrase_places(words: list[bytes]) -> list[tuple[int, str]]:
     """(first word, label) of every place of a phrase."""
     line = b" " + b" ".join(words) + b" "
@@ -65,28 +99,50 @@ def phrase_places(words: list[bytes]) -> list[tuple[int, str]]:
     return out
 
 
-def _scanner(vocabulary: dict[bytes, int]):
+def _scanner(vocabulary: dict[bytes, int], classes: list[tuple[int, int, np.ndarray]]):
+    """classes: (span, least words that a template of the span needs, which words are in such templates)."""
+    gap = max((span for span, *_ in classes), default=0)  # between texts, so that no window holds words of two
+
     def each(b: pa.RecordBatch) -> tuple:
-        rows = []
+        rows, at, token, start = [], [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
+        begin = 0
         for raw in raw_texts(b):
-            low = raw.translate(_LOWER)
-            words = low.translate(_KEEP).split()
+            words = raw.translate(_KEEP).split()
             places = phrase_places(words)
-            blocks = [sorted({vocabulary[w] for w in words_of(line) if w in vocabulary}) for line in low.split(b"\n")]
+            number = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
+            hit = np.flatnonzero(number >= 0)
+            at.append(hit + begin)
+            token.append(number[hit])
+            start.append(begin)
+            begin += len(words) + gap
             starts = [p for p, _ in places]
-            rows.append((len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places})), [x for x in blocks if x]))
-        return b.column(0), *zip(*rows, strict=True)
+            rows.append((len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))))
+        at, token = np.concatenate(at), np.concatenate(token)
+        blocks = [set() for _ in rows]
+        for span, least, own in classes:
+            mine = own[token]
+            where, what = at[mine], token[mine]
+            first, end = windows(where, what, span, least)
+            for k, i, j in zip(np.searchsorted(start, where[first], "right") - 1, first, end, strict=True):
+                blocks[k].add((span, tuple(sorted(set(what[i:j].tolist())))))
+        return b.column(0), *zip(*rows, strict=True), [[{"span": n, "block": x} for n, x in sorted(found)] for found in blocks]
 
     return each
 
 
-_LOWER = bytes(c + 32 if 65 <= c < 91 else c for c in range(256))
+def least_words(found: list, span: dict[int, int]) -> dict[int, int]:
+    """The least words needed by a template of each span."""
+    out: dict[int, int] = {}
+    for k, *_, need in found:
+        out[span[k]] = min(need, out.get(span[k], need))
+    return out
 
 
-def met_templates(blocks: DataFrame, found: list, words: list[bytes]) -> DataFrame:
+def met_templates(blocks: DataFrame, found: list, words: list[bytes], span: dict[int, int]) -> DataFrame:
     """(key, label, containment): the best containment by key and label over blocks that meet a template.
 
-    blocks: key (any type), block (array of word numbers, distinct). found: as templates() gives them.
+    blocks: key (any type), span, block (array of word numbers, distinct). found: as templates() gives them;
+    span: as spans() gives them.
     """
     spark = blocks.sparkSession
     number = {w: k for k, w in enumerate(words)}
@@ -97,15 +153,15 @@ def met_templates(blocks: DataFrame, found: list, words: list[bytes]) -> DataFra
     rows = []
     for k, label, w, need in found:
         ranks = sorted(rank[number[x]] for x in w)
-        rows += [(k, label, need, len(ranks), ranks, pos, t) for pos, t in enumerate(ranks[: len(ranks) - need + 1])]
-    table = spark.createDataFrame(rows, "t int, label string, need int, t_size int, t_ranks array<int>, t_pos int, token int")
-    least = min(need for *_, need in found)
+        rows += [(k, label, span[k], need, len(ranks), ranks, pos, t) for pos, t in enumerate(ranks[: len(ranks) - need + 1])]
+    table = spark.createDataFrame(rows, "t int, label string, span int, need int, t_size int, t_ranks array<int>, t_pos int, token int")
+    least = F.create_map(*[F.lit(x) for pair in least_words(found, span).items() for x in pair])[F.col("span")]
     if len(rows) <= MAX_BROADCAST:  # the templates are a parameter; a very long list is joined by shuffle instead
         table = F.broadcast(table)
     as_rank = F.create_map(*[F.lit(x) for k in rank for x in (k, rank[k])])
-    ranked = blocks.select("key", F.array_sort(F.transform("block", lambda x: as_rank[x])).alias("ranks")).withColumn("size", F.size("ranks")).filter(F.col("size") >= least)
-    heads = ranked.select("key", "ranks", "size", F.posexplode(F.slice("ranks", 1, F.col("size") - least + 1)).alias("pos", "token"))
-    near = heads.join(table, "token").filter(
+    ranked = blocks.select("key", "span", F.array_sort(F.transform("block", lambda x: as_rank[x])).alias("ranks")).withColumn("size", F.size("ranks")).filter(F.col("size") >= least)
+    heads = ranked.select("key", "span", "ranks", "size", F.posexplode(F.slice("ranks", F.lit(1), F.col("size") - least + 1)).alias("pos", "token"))
+    near = heads.join(table, ["span", "token"]).filter(
         (F.col("size") >= F.col("need"))
         & (F.col("pos") <= F.col("size") - F.col("need"))
         & (F.least(F.col("pos"), F.col("t_pos")) + 1 + F.least(F.col("size") - F.col("pos"), F.col("t_size") - F.col("t_pos")) - 1 >= F.col("need"))
@@ -124,15 +180,17 @@ def scan(docs: DataFrame, items=TEMPLATES, threshold: float = THRESHOLD, id_col:
     found = templates(items, threshold)
     words = sorted(set().union(*(w for _, _, w, _ in found))) if found else []
     vocabulary = {w: k for k, w in enumerate(words)}
-    schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, blocks array<array<int>>"
-    rows = spill(map_batches(texts(docs, id_col, text_col), lambda: _scanner(vocabulary), schema))
+    span = spans(items)
+    classes = [(n, least, np.isin(words, sorted(set().union(*(w for k, _, w, _ in found if span[k] == n))))) for n, least in least_words(found, span).items()]
+    schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, blocks array<struct<span: int, block: array<int>>>"
+    rows = spill(map_batches(texts(docs, id_col, text_col), lambda: _scanner(vocabulary, classes), schema))
     # rows of one id may have different texts: the key holds both
     rows = rows.withColumn("key", F.concat_ws(":", F.col("doc_id").cast("string"), F.hex(F.xxhash64("blocks"))))
-    blocks = rows.select("key", F.explode("blocks").alias("block")) if found else None
+    blocks = rows.select("key", F.inline("blocks")) if found else None
     base = rows.drop("blocks")
     if blocks is None:
         return base.drop("key").select("*", F.col("base_labels").alias("labels"), F.least(F.col("n_base"), F.lit(1)).cast("double").alias("score"))
-    met = met_templates(blocks, found, words).groupBy("key").agg(F.collect_set("label").alias("more"), F.max("containment").alias("most"))
+    met = met_templates(blocks, found, words, span).groupBy("key").agg(F.collect_set("label").alias("more"), F.max("containment").alias("most"))
     out = base.join(met, "key", "left")
     own = F.filter(F.split("base_labels", ","), lambda x: x != "")
     labels = F.array_join(F.array_sort(F.array_distinct(F.concat(own, F.coalesce("more", F.array().cast("array<string>"))))), ",")

@@ -232,6 +232,41 @@ def test_licenses(spark, docs, none):
     assert licenses.scan(extra, items=()).filter("labels <> base_labels").count() == 0
 
 
+def test_licenses_across_and_within_lines(spark, none):
+    rng = random.Random(11)
+    full = [(label, text) for label, text in licenses.TEMPLATES]
+    given = []
+    for label, text in full:
+        w = text.split()
+        for n in (3, 7):
+            given.append(prose(rng, 30) + "\n" + "\n".join(" ".join(w[i : i + n]) for i in range(0, len(w), n)) + "\n" + prose(rng, 30))
+        given.append(prose(rng, 500) + " " + text + " " + prose(rng, 500))
+    wrapped = len(given)
+    scattered = []
+    for _, text in full:  # every word of the template is there, but far apart on one line
+        scattered.append(" ".join(x + " " + prose(rng, 60) for x in text.split()))
+    given += [*scattered, "mit\n" * 40, ("Released under the MIT License " * 2000).strip(), "\n".join(t for _, t in full)]
+    found, span = licenses.templates(), licenses.spans()
+
+    def brute(text):
+        words = licenses.words_of(text.encode())
+        have = {label for _, label in licenses.phrase_places(words)}
+        best = 1.0 if have else 0.0
+        for k, label, w, need in found:
+            for i in range(len(words)):
+                n = len(w.intersection(words[i : i + span[k]]))
+                if n >= need:
+                    have.add(label)
+                    best = max(best, n / len(w))
+        return ",".join(sorted(have)), best
+
+    rows = spark.createDataFrame([(i, t, "en", None, 0, "k", 1, 0.5, "x") for i, t in enumerate(given)], SCHEMA)
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(rows).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(given)}
+    assert all(full[i // 3][0] in got[i][0].split(",") and got[i][1] == 1 for i in range(wrapped))
+    assert all(got[wrapped + i] == ("", 0) for i in range(len(full)))
+
+
 def test_media(docs, none, corpus):
     got = media.stored_media(docs).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in corpus)
