@@ -3,7 +3,8 @@
 A block is a window of the text's words, whatever its line breaks: ``span`` words long, which is twice the
 template's length and MIN_SPAN at least. There is one from every template word on, so each run of ``span``
 words is in a block whole. A block meets a template of its span when it holds at least ``threshold`` of the
-template's distinct words. Words that no template of the span has can't count, so blocks keep template words
+template's distinct words; in a short template, where that can't tell one license from another, these must
+include its marks (the words that name the license), or all its words if it has no marks. Words that no template of the span has can't count, so blocks keep template words
 only; a window that another one holds, or with fewer words than any template of the span needs, is left out.
 Words are ordered by their number of blocks over the whole corpus, rarest first. If a block and a template share ``need`` words,
 then the first size - need + 1 words of each share one (prefix filter); a block of fewer than ``need`` words
@@ -42,6 +43,11 @@ TEMPLATES = (
     ("reserved", "Copyright. All rights reserved"),
 )
 THRESHOLD = 0.8
+#: Templates of fewer different words need their marks, whatever else is there of them.
+SHORT = 10
+MARKS = frozenset(b"apache by cc gnu mit mozilla nc reserved sa".split())
+#: Words that are ordinary ones too (mit is German for with): they count only right after, or right before, such words.
+ORDINARY = {b"mit": (frozenset((b"released", b"under", b"the")), frozenset((b"license",)))}
 #: Least words of a window, so that a short template may have a name or a year between its words.
 MIN_SPAN = 12
 #: Rows of template prefixes that may be broadcast.
@@ -55,9 +61,30 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 def templates(items=TEMPLATES, threshold: float = THRESHOLD) -> list[tuple[int, str, frozenset[bytes], int]]:
-    """(number, label, words, words needed); a template without words is left out."""
+    """(number, label, words, words needed, whichever they are); a template without words is left out."""
     sets = [(k, label, frozenset(words_of(text.encode()))) for k, (label, text) in enumerate(items)]
-    return [(k, label, w, max(1, ceil(threshold * len(w) - 1e-9))) for k, label, w in sets if w]
+    return [(k, label, w, len(w) if len(w) < SHORT else max(1, ceil(threshold * len(w) - 1e-9))) for k, label, w in sets if w]
+
+
+def with_marks(found: list, threshold: float = THRESHOLD) -> list[tuple[int, str, frozenset[bytes], int, frozenset[bytes]]]:
+    """(number, label, words, words needed, marks): fewer words than templates() says will do where marks are among them."""
+    out = []
+    for k, label, w, need in found:
+        marks = w & MARKS if len(w) < SHORT else frozenset()
+        out.append((k, label, w, max(len(marks), ceil(threshold * len(w) - 1e-9)) if marks else need, marks))
+    return out
+
+
+def stray_words(words: list[bytes]) -> list[int]:
+    """Places of ORDINARY words that don't count."""
+    out = []
+    for word, (before, after) in ORDINARY.items():
+        i = -1
+        for _ in range(words.count(word)):
+            i = words.index(word, i + 1)
+            if not (i and words[i - 1] in before or words[i + 1 : i + 2] and words[i + 1] in after):
+                out.append(i)
+    return out
 
 
 def spans(items=TEMPLATES) -> dict[int, int]:
@@ -110,6 +137,7 @@ def _scanner(vocabulary: dict[bytes, int], classes: list[tuple[int, int, np.ndar
             words = raw.translate(_KEEP).split()
             places = phrase_places(words)
             number = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
+            number[stray_words(words)] = -1
             hit = np.flatnonzero(number >= 0)
             at.append(hit + begin)
             token.append(number[hit])
@@ -133,7 +161,7 @@ def _scanner(vocabulary: dict[bytes, int], classes: list[tuple[int, int, np.ndar
 def least_words(found: list, span: dict[int, int]) -> dict[int, int]:
     """The least words needed by a template of each span."""
     out: dict[int, int] = {}
-    for k, *_, need in found:
+    for k, _, _, need, _ in found:
         out[span[k]] = min(need, out.get(span[k], need))
     return out
 
@@ -141,7 +169,7 @@ def least_words(found: list, span: dict[int, int]) -> dict[int, int]:
 def met_templates(blocks: DataFrame, found: list, words: list[bytes], span: dict[int, int]) -> DataFrame:
     """(key, label, containment): the best containment by key and label over blocks that meet a template.
 
-    blocks: key (any type), span, block (array of word numbers, distinct). found: as templates() gives them;
+    blocks: key (any type), span, block (array of word numbers, distinct). found: as with_marks() gives them;
     span: as spans() gives them.
     """
     spark = blocks.sparkSession
@@ -151,10 +179,10 @@ def met_templates(blocks: DataFrame, found: list, words: list[bytes], span: dict
     order = sorted(range(len(words)), key=lambda k: (often.get(k, 0), words[k]))
     rank = {k: r for r, k in enumerate(order)}
     rows = []
-    for k, label, w, need in found:
-        ranks = sorted(rank[number[x]] for x in w)
-        rows += [(k, label, span[k], need, len(ranks), ranks, pos, t) for pos, t in enumerate(ranks[: len(ranks) - need + 1])]
-    table = spark.createDataFrame(rows, "t int, label string, span int, need int, t_size int, t_ranks array<int>, t_pos int, token int")
+    for k, label, w, need, marks in found:
+        ranks, named = sorted(rank[number[x]] for x in w), sorted(rank[number[x]] for x in marks)
+        rows += [(k, label, span[k], need, len(ranks), ranks, named, pos, t) for pos, t in enumerate(ranks[: len(ranks) - need + 1])]
+    table = spark.createDataFrame(rows, "t int, label string, span int, need int, t_size int, t_ranks array<int>, marks array<int>, t_pos int, token int")
     least = F.create_map(*[F.lit(x) for pair in least_words(found, span).items() for x in pair])[F.col("span")]
     if len(rows) <= MAX_BROADCAST:  # the templates are a parameter; a very long list is joined by shuffle instead
         table = F.broadcast(table)
@@ -167,7 +195,7 @@ def met_templates(blocks: DataFrame, found: list, words: list[bytes], span: dict
         & (F.least(F.col("pos"), F.col("t_pos")) + 1 + F.least(F.col("size") - F.col("pos"), F.col("t_size") - F.col("t_pos")) - 1 >= F.col("need"))
     )
     overlap = F.size(F.array_intersect("ranks", "t_ranks"))
-    return near.withColumn("n", overlap).filter("n >= need").groupBy("key", "label").agg(F.max(F.col("n") / F.col("t_size")).alias("containment"))
+    return near.withColumn("n", overlap).filter("n >= need AND size(array_except(marks, ranks)) = 0").groupBy("key", "label").agg(F.max(F.col("n") / F.col("t_size")).alias("containment"))
 
 
 def scan(docs: DataFrame, items=TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,11 +205,11 @@ def scan(docs: DataFrame, items=TEMPLATES, threshold: float = THRESHOLD, id_col:
     empty texts have no words and no labels; rows may repeat and ids may be null; an empty table gives no
     rows; other columns are ignored.
     """
-    found = templates(items, threshold)
-    words = sorted(set().union(*(w for _, _, w, _ in found))) if found else []
+    found = with_marks(templates(items, threshold), threshold)
+    words = sorted(set().union(*(w for _, _, w, *_ in found))) if found else []
     vocabulary = {w: k for k, w in enumerate(words)}
     span = spans(items)
-    classes = [(n, least, np.isin(words, sorted(set().union(*(w for k, _, w, _ in found if span[k] == n))))) for n, least in least_words(found, span).items()]
+    classes = [(n, least, np.isin(words, sorted(set().union(*(w for k, _, w, *_ in found if span[k] == n))))) for n, least in least_words(found, span).items()]
     schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, blocks array<struct<span: int, block: array<int>>>"
     rows = spill(map_batches(texts(docs, id_col, text_col), lambda: _scanner(vocabulary, classes), schema))
     # rows of one id may have different texts: the key holds both

@@ -246,16 +246,18 @@ def test_licenses_across_and_within_lines(spark, none):
     for _, text in full:  # every word of the template is there, but far apart on one line
         scattered.append(" ".join(x + " " + prose(rng, 60) for x in text.split()))
     given += [*scattered, "mit\n" * 40, ("Released under the MIT License " * 2000).strip(), "\n".join(t for _, t in full)]
-    found, span = licenses.templates(), licenses.spans()
+    found, span = licenses.with_marks(licenses.templates()), licenses.spans()
 
     def brute(text):
         words = licenses.words_of(text.encode())
         have = {label for _, label in licenses.phrase_places(words)}
         best = 1.0 if have else 0.0
-        for k, label, w, need in found:
+        stray = set(licenses.stray_words(words))
+        words = [b"" if i in stray else x for i, x in enumerate(words)]
+        for k, label, w, need, marks in found:
             for i in range(len(words)):
                 n = len(w.intersection(words[i : i + span[k]]))
-                if n >= need:
+                if n >= need and marks <= set(words[i : i + span[k]]):
                     have.add(label)
                     best = max(best, n / len(w))
         return ",".join(sorted(have)), best
@@ -267,6 +269,28 @@ def test_licenses_across_and_within_lines(spark, none):
     assert all(got[wrapped + i] == ("", 0) for i in range(len(full)))
 
 
+def test_license_labels_by_hand(spark):
+    given = {
+        "Licensed under CC BY 4.0": "cc-by",
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+        "Licensed under CC BY-SA 4.0": "cc-by,cc-by-sa",
+        "Licensed under CC BY-NC-SA 4.0": "cc-by,cc-by-nc,cc-by-sa",
+        "Licensed under CC BY-NC 3.0": "cc-by,cc-by-nc",
+        "Licensed under CC BY-SA 3.0": "cc-by,cc-by-sa",
+        "Licensed under 4.0": "",
+        "Released under the License": "",
+        "Released under the MIT License": "mit",
+        "Released under MIT License": "mit",
+        "Licensed under the Apache License, Version 2.0": "apache-2.0",
+        "Licensed under the Apache License 2.0": "apache-2.0",
+        "Licensed under the License, Version 2.0": "",
+        "Stein mit Haus\nLicensed under the Apache License, Version 2.0.\nMit Licht mit Stein": "apache-2.0",
+    }
+    rows = spark.createDataFrame([(i, t, "en", None, 0, "k", 1, 0.5, "x") for i, t in enumerate(given)], SCHEMA)
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(rows).collect()}
+    assert [got[i] for i in range(len(given))] == list(given.values())
+
+
 def test_media(docs, none, corpus):
     got = media.stored_media(docs).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in corpus)
