@@ -19,8 +19,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that of the least doc_id."""
-    return simhash.keep_one(docs)
+    """One document of each near-duplicate group: that of the least doc_id, whatever ids repeat or lack."""
+    return simhash.keep_survivors(docs)
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

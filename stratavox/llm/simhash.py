@@ -144,6 +144,13 @@ def links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
     return met.mapInArrow(_links, "a long, b long")
 
 
+def _rooted(fps: DataFrame) -> DataFrame:
+    """(fp, root) for every fingerprint of column fp; root is that of its component."""
+    roots = connected_components(links(fps))
+    one = fps.select("fp").distinct()
+    return one.join(roots, one["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of docs.
 
@@ -161,11 +168,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each near-duplicate group: that of its least doc_id. Rows without doc_id stay."""
+    """docs with one row of each doc_id that is the least of its near-duplicate group. Rows without doc_id stay.
+
+    Only where doc_id is a key that each row has is this one row for each group; else see keep_survivors.
+    """
     kept = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
     named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select([f"`{c}`" for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
 
 
+def keep_survivors(docs: DataFrame) -> DataFrame:
+    """docs with exactly one row of each near-duplicate group: that of its least doc_id, null ids last, and of
+    rows of that id the one whose digest over all columns is least.
+
+    Rows of one doc_id in different groups don't touch each other. An empty table gives no rows.
+    """
+    names = [f"`{c}`" for c in docs.columns]
+    # the digest of the whole row is its key: rows that share it are equal in all columns
+    keyed = docs.withColumn("_row", F.unhex(F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)))
+    rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "_row", F.coalesce("text", F.lit("")).alias("text"))
+    fps = spill(map_batches(rows, lambda: lambda b: (b.column(0), b.column(1), [fingerprint(t) for t in raw_texts(b)]), "doc_id long, _row binary, fp long"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")
+    one = fps.groupBy("fp").agg(first).join(_rooted(fps), "fp")
+    kept = spill(one.groupBy("root").agg(F.min("first").alias("first")).select("first._row"))
+    return keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(names)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))

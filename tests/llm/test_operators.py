@@ -88,6 +88,20 @@ def test_fingerprints_and_components(docs, none, corpus):
     assert Counter(r["doc_id"] for r in kept.select("doc_id").collect()) == Counter([x for x in {w[2] for w in want}] + [None, None])
 
 
+def test_near_dedup_with_repeated_and_missing_ids(spark, docs, none):
+    rng = random.Random(8)
+    a, b, c, d, e = (prose(rng, 400) for _ in range(5))
+    given = [(1, a), (1, b), (2, b), (2, a), (2, c), (3, c), (None, a), (None, d), (None, d), (None, e), (7, e), (7, e), (1, a)]
+    rows = spark.createDataFrame([(i, t, "en", None, k, "k", 1, 0.5, "x") for k, (i, t) in enumerate(given)], SCHEMA).repartition(3)
+    for copy in (rows, rows.unionByName(rows)):
+        kept = corpus_pipeline.near_dedup(spark, copy, "")
+        assert kept.columns == rows.columns
+        assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(1, a), (1, b), (2, c), (None, d), (7, e)])
+    groups = simhash.near_duplicates(docs).select("fingerprint", "component_id").distinct().collect()
+    assert corpus_pipeline.near_dedup(spark, docs, "").count() == len({r["component_id"] for r in groups if r["component_id"] != 4}) + sum(r["component_id"] == 4 for r in groups)
+    assert corpus_pipeline.near_dedup(spark, none, "").count() == 0
+
+
 def test_links_of_large_buckets_split_in_blocks(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
