@@ -87,6 +87,19 @@ def test_homomorphic_3d_has_no_seams(spark, volume):
     assert np.allclose(one[volume > 0], np.expm1(1.5 * (log - low) + 0.5 * low)[volume > 0])
 
 
+def test_homomorphic_3d_is_dense_around_signal(spark):
+    a = np.zeros((8, 20, 24), int)
+    a[3, 7, 8], a[4, 8, 11], a[0, 0, 0], a[7, 19, 23] = 900, 40, 7, 2000
+    low = log = np.log1p(a)
+    s = 24 / (2 * np.pi * 4.0)
+    for k, x in enumerate((s / 1.111, s, s)):
+        low = filters.convolve(low, filters.gaussian_1d(x), k, (True, True))
+    want = np.expm1(1.5 * (log - low) + 0.5 * low)
+    assert (want[a == 0] != 0).any()
+    for block in (a.shape, (3, 6, 7)):
+        assert np.allclose(dense(filters.homomorphic_3d(sparse(spark, a), a.shape, 4.0, block), a.shape), want)
+
+
 def test_homomorphic_2d_gains():
     img = np.random.default_rng(1).integers(0, 500, (32, 48)).astype(float)
     assert np.allclose(filters.homomorphic(img, 10, 1.0, 1.0), img)
