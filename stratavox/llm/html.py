@@ -2,7 +2,8 @@
 
 Blocks stand on lines of their own, paragraphs, headings and tables apart by a blank line; list items carry
 their bullet or number and are indented by nesting; table cells are padded to aligned columns; preformatted
-text keeps its lines. Invisible elements (by name, ``hidden``, or an inline style) give nothing.
+text keeps its lines. Labels of a drawing stand on lines of their own; of a select's options those that the page
+shows are kept. Invisible elements (by name, ``hidden``, or an inline style) give nothing.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from .common import map_batches, read
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-NOT_SHOWN = frozenset("head script style title template noscript iframe noembed noframes datalist object svg math audio video canvas select meta link base".split())
+NOT_SHOWN = frozenset("head script style title template noscript iframe noembed noframes datalist audio video canvas meta link base".split())
+#: drawings and formulas: an element may close itself, and these in it aren't shown
+FOREIGN = {"svg": frozenset("defs title desc metadata".split()), "math": frozenset("annotation annotation-xml".split())}
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset".split())
 BLOCK = SPACED | frozenset("html body div section article aside header footer nav main address form li dt dd tr td th caption thead tbody tfoot hr figcaption details summary center menu legend option".split())
 #: a start tag of the key closes an open element of these names, up to a barrier
@@ -88,8 +91,11 @@ def parse(html: str) -> Node:
             stack.pop()
         attrs = {a.lower(): b or c or d for a, b, c, d in _ATTR.findall(m[3])} if m[3].strip(" /\n\t\r") else {}
         node: Node = (tag, attrs, [])
+        around = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in FOREIGN), 0)
+        if around and tag in FOREIGN[stack[around][0]]:
+            attrs["hidden"] = ""
         stack[-1][2].append(node)
-        if tag in VOID:
+        if tag in VOID or (around or tag in FOREIGN) and m[3].endswith("/"):
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
@@ -106,6 +112,31 @@ def shown(node: Node) -> bool:
     return not (tag in NOT_SHOWN or "hidden" in attrs or tag == "input" and attrs.get("type", "").lower() == "hidden" or (s := attrs.get("style")) and _HIDING.search(s))
 
 
+def options(node: Node) -> list[Node]:
+    """The options of a select that a page shows: all of a list, else the one selected, or the first."""
+    found: list[Node] = []
+
+    def gather(n: Node) -> None:
+        for c in n[2]:
+            if not isinstance(c, str) and shown(c):
+                if c[0] == "option":
+                    found.append(c)
+                else:
+                    gather(c)
+
+    gather(node)
+    size = (node[1].get("size") or "").strip()
+    if "multiple" in node[1] or re.fullmatch(r"[0-9]{1,9}", size) and int(size) > 1:
+        return found
+    chosen = [c for c in found if "selected" in c[1]]
+    ready = [c for c in found if "disabled" not in c[1]]
+    return chosen[-1:] or ready[:1] or found[:1]
+
+
+def option_text(node: Node) -> str:
+    return " ".join(flow(node[2])) or node[1].get("label", "")
+
+
 def flow(nodes: list) -> list[str]:
     """The lines of a run of nodes."""
     lines: list[str] = []
@@ -145,7 +176,9 @@ def flow(nodes: list) -> list[str]:
             inline.append(attrs.get("value", "").replace("\0", ""))
         elif tag == "wbr":
             pass
-        elif tag in BLOCK:
+        elif tag == "select":
+            inline.append("\0".join(option_text(c).replace("\0", "") for c in options(node)))
+        elif tag in BLOCK or tag == "text":
             flush()
             add(block(node), 1 if tag in SPACED else 0)
         else:
@@ -181,6 +214,8 @@ def raw_text(node) -> str:
         return node
     if not shown(node):
         return ""
+    if node[0] == "select":
+        return "\n".join(map(option_text, options(node)))
     return "\n" if node[0] == "br" else "".join(raw_text(c) for c in node[2])
 
 

@@ -487,6 +487,24 @@ def test_html(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+def test_html_formulas_drawings_choices_and_fallbacks():
+    cases = {
+        "<p>so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2 tex</annotation></semantics></math> holds": "so x=2 holds",
+        "<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><path d='M0'/><text>one</text><g><text>two <tspan>more</tspan></text></g></svg>": "one\ntwo more",
+        "<svg><title/><style/><desc/><text>kept</text></svg>after": "kept\nafter",
+        "<desc>outside</desc>": "outside",
+        "pick <select><option>a<option selected>b<option>c</select> now": "pick b now",
+        "<select><option disabled>a<optgroup><option>b<option>c</optgroup></select>": "b",
+        "<select multiple><option>a<option>b</select>": "a\nb",
+        "<select size=3><option>a<option label=l></select>": "a\nl",
+        "<select></select>x": "x",
+        "<object data=f><p>instead</object>": "instead",
+        "<pre>a <select><option>b<option>c</select></pre>": "a b",
+    }
+    for source, want in cases.items():
+        assert html.render(source) == want, source
+
+
 def test_bpe(docs, none, corpus):
     import public_tokenizers
     import tiktoken
