@@ -1,17 +1,21 @@
 """Best-fit packing of tokenized documents by linear grouping.
 
 Documents become token pieces of at most ``capacity``. Pieces are dealt evenly into shards of a bounded
-number of pieces, and each shard is packed on its own; a shard leaves at most one badly filled sequence,
-so the loss does not grow. Inside a shard, large pieces are sorted by length and cut into groups of equal
-cardinality, each group rounded up to its longest; patterns of the few rounded sizes are chosen by column
-generation over the fractional packing problem, rounded down and completed greedily; real pieces replace
-the rounded sizes, longest slots first; the small pieces then go by best fit into what is left.
+number of pieces, and each shard is packed on its own, so the loss stays in proportion (a few sequences of some
+thousands in a shard). Inside a shard, large pieces are sorted by length and cut into groups of equal
+cardinality, each group rounded up to its longest; the fractional packing of the few rounded sizes is
+approximated by multiplicative weights, each step adding the pattern of the greatest price (a knapsack), and the
+patterns' amounts are rounded down; real pieces replace the rounded sizes, longest slots first; the large
+pieces that no whole pattern took and then the small ones go by best fit into what is left.
 """
 
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 from collections import defaultdict
+from struct import pack as pack_ids
 from zlib import crc32
 
 import numpy as np
@@ -22,8 +26,10 @@ from .common import map_batches, read, spill, texts
 
 CAPACITY, SHARD_PIECES, GROUPS, LARGE = 4096, 20_000, 64, 4096 // 6
 END = 1
-CACHE_WORDS = 400_000
-_CLOSING = ".,;:!?*#$%&)\""
+#: Pre-tokens up to so many characters are remembered, in so many bytes at most (about; their ids and the table included).
+WORD_CHARS, MEMORY_BYTES = 48, 160 << 20
+#: Longer pre-tokens are left to the tokenizer, whose time doesn't grow with the square of the length.
+LONG_PIECE = 400
 _SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -48,14 +54,45 @@ def byte_ranks(tok):
     return tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
 
 
+def plain_text() -> tuple[re.Pattern, re.Pattern]:
+    """(what has a character outside the plain ones, the tokenizer's pre-tokens in plain lower-case text).
+
+    Plain are white space and the printable characters below U+0250 whose lower case is one of them too: they
+    are in normal form, and their classes are the same to the tokenizer and here.
+    """
+    white = " \t\n\v\f\r"
+    below = [c for c in map(chr, range(33, 0x250)) if not 127 <= ord(c) <= 160 and len(c.lower()) == 1 and c.lower() < "\u0250"]
+    letters, digits = (re.escape("".join(c for c in below if unicodedata.category(c)[0] == x)) for x in "LN")
+    return re.compile(f"[^{white}{re.escape(''.join(below))}]"), re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{white}{letters}{digits}]+")
+
+
+class Pieces(dict):
+    """Pre-token -> its ids as little-endian uint32 bytes, found when first asked for."""
+
+    def __init__(self, find) -> None:
+        self.find, self.size = find, 0
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.find(word)
+        if len(word) <= WORD_CHARS:
+            self[word] = ids
+            self.size += 200 + len(word) + len(ids)
+        return ids
+
+    def trim(self) -> None:
+        if self.size > MEMORY_BYTES:
+            self.clear()
+            self.size = 0
+
+
 def encoder(vocab: str):
-    """A function from texts to their ids as little-endian uint32 bytes.
+    """A function from a text to its ids as little-endian uint32 bytes.
 
-    The tokenizer drops white space and never joins across it, nor across the border of letters and closing
-    punctuation, and it lowers letters first. So each blank-separated word is looked up, and what is encoded
-    once is its lower-case stem and its closing punctuation; a text that spells a special token is encoded as
-    a whole. Stems of Latin letters alone are one pre-token each, so the same merges are run on them without
-    the tokenizer's normalising and aligning (the vocabulary as byte ranks, 0xff for the end of a word).
+    The tokenizer lowers letters, drops white space, cuts at it and between classes of characters, and merges in each
+    pre-token alone. In a plain text the pre-tokens are found by the same pattern, and each different one is merged
+    once, its bytes by the vocabulary's ranks (0xff for the end of a word). In other texts this holds for the plain
+    ones of the blank-separated words, and the rest go to the tokenizer; a text that spells a special token goes there
+    whole.
     """
     import os
 
@@ -65,63 +102,46 @@ def encoder(vocab: str):
     tok = Tokenizer.from_file(vocab)
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
     merges = byte_ranks(tok)
-    known: dict[str, bytes] = {}
-    stems: dict[str, bytes] = {}
-
-    def parts(word: str) -> tuple[str, str]:
-        stem = word.rstrip(_CLOSING)
-        if not stem or not stem[-1].isalnum() or not (stem.isascii() or max(stem) < "\u0250" and "\u0130" not in stem):
-            return word, ""
-        return stem.lower(), word[len(stem) :]
-
-    def learn(words: list[str]) -> None:
-        split = [parts(w) for w in words]
-        new = [x for x in set().union(*split) if x not in stems]
-        rest = []
-        for x in new:
-            if x.isalpha() and x == x.lower() and (x.isascii() or max(x) < "\u0250"):
-                stems[x] = np.array(merges(x.encode() + b"\xff"), "<u4").tobytes()
-            else:
-                rest.append(x)
-        for k in range(0, len(rest), 2000):
-            some = rest[k : k + 2000]
-            e = tok.encode(" ".join(some), add_special_tokens=False)
-            begin = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)) + 1)
-            cut = np.searchsorted([a for a, _ in e.offsets], begin)  # where each one's tokens end
-            ids = np.asarray(e.ids, "<u4").tobytes()
-            stems.update(zip(some, (ids[4 * a : 4 * b] for a, b in zip([0, *cut[:-1]], cut, strict=True)), strict=True))
-        known.update((w, stems[a] + stems[b] if b else stems[a]) for w, (a, b) in zip(words, split, strict=True))
-
-    def encode_all(texts: list[str]) -> list[bytes]:
-        split = [None if any(s in t for s in special) else t.split(" ") for t in texts]
-        if len(known) > CACHE_WORDS:
-            known.clear()
-            stems.clear()
-        stems.setdefault("", b"")
-        if new := [w for w in set().union(*(s for s in split if s)) if w not in known]:
-            learn(new)
-        get = known.__getitem__
-        return [np.asarray(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if s is None else b"".join(map(get, s)) for t, s in zip(texts, split, strict=True)]
-
-    return encode_all
+    odd, tokens = plain_text()
+
+    def whole(text: str) -> bytes:
+        ids = tok.encode(text, add_special_tokens=False).ids
+        return pack_ids(f"<{len(ids)}I", *ids)
+
+    def merged(word: str) -> bytes:
+        if len(word) > LONG_PIECE:
+            return whole(word)
+        ids = merges(word.encode() + b"\xff")
+        return pack_ids(f"<{len(ids)}I", *ids)
+
+    known = Pieces(merged)
+    strange = Pieces(whole)  # words with other characters
+
+    def encode(text: str) -> bytes:
+        known.trim()
+        strange.trim()
+        if any(s in text for s in special):
+            return whole(text)
+        if not odd.search(text):
+            return b"".join(map(known.__getitem__, tokens.findall(text.lower())))
+        return b"".join([strange[w] if odd.search(w) else b"".join(map(known.__getitem__, tokens.findall(w.lower()))) for w in text.split(" ")])
+
+    return encode
 
 
 def pieces(docs: DataFrame, vocab: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) for every row of docs."""
 
     def make():
-        encode_all, end = encoder(vocab), np.array([END], "<u4").tobytes()
+        encode, end = encoder(vocab), pack_ids("<I", END)
 
         def each(b):
-            ids, out = b.column(0).to_pylist(), []
-            text = b.column(1).to_pylist()
-            for k in range(0, len(ids), 500):
-                for i, e in zip(ids[k : k + 500], encode_all(text[k : k + 500]), strict=True):
-                    e += end
-                    n = len(e) // 4
-                    for p, at in enumerate(range(0, n, capacity)):
-                        part = e[4 * at : 4 * (at + capacity)]
-                        out.append((i, p, at, len(part) // 4, crc32(part)))
+            out = []
+            for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                e = memoryview(encode(text.as_py()) + end)
+                for p, at in enumerate(range(0, len(e) // 4, capacity)):
+                    part = e[4 * at : 4 * (at + capacity)]
+                    out.append((i, p, at, len(part) // 4, crc32(part)))
             return zip(*out, strict=True)
 
         return each
@@ -189,9 +209,8 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS, la
         size, queues = list(by_size), list(by_size.values())
         need = np.array([len(q) for q in queues], float)
         taken = [0] * len(size)
-        scale = 1.0
         for pat, amount in sorted(_patterns(size, need, capacity), key=lambda x: (-float(x[0] @ np.array(size)), -x[1])):
-            for _ in range(int(amount * scale)):
+            for _ in range(int(amount)):
                 if any(taken[g] + pat[g] > len(queues[g]) for g in np.flatnonzero(pat)):
                     break
                 room.append(capacity)

@@ -369,6 +369,29 @@ def test_pack_is_near_the_bound(draw):
         assert offset[k] == lengths[(seq == seq[k]) & (offset < offset[k])].sum()
 
 
+def test_encoder_is_the_tokenizer(corpus):
+    from tokenizers import Tokenizer
+
+    tok, encode = Tokenizer.from_file(packing.vocabulary()), packing.encoder(packing.vocabulary())
+    rng = random.Random(4)
+    odd = "aAbBéÉßñ '\u2019\"stredmlv.,;!?12\u00b2\u00bd \t\n\r\x0b\x0c\x1c\x7f\x85\xa0\u0130\u2c65\u023a\u0301\u03a3\u03c3\u03c2\u00b5\u01c5\u0133K\u65e5\U0001f642<|>\u2009\xad\u200b"
+    texts = [t or "" for _, t in corpus] + ["".join(rng.choice(odd) for _ in range(rng.randint(1, 14))) for _ in range(5000)]
+    texts += ["".join(chr(rng.randrange(1, 0x250)) for _ in range(8)) for _ in range(5000)] + ["y" * 1000, "don't'll", "a<|endoftext|>b"]
+    for t in texts:
+        assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
+def test_fill_of_shards(spark):
+    """100,000 pieces over 5 shards: all sequences within the capacity, few more of them than the tokens need."""
+    rng = np.random.default_rng(2)
+    lengths = np.minimum(4096, rng.lognormal(6, 1.1, 100_000).astype(int) + 1)
+    found = spark.createDataFrame([(k, 0, 0, int(n), 0) for k, n in enumerate(lengths)], packing._SCHEMA)
+    used = packing.pack_pieces(packing.spill(found)).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).toPandas()
+    assert (used["n"] == used["end"]).all() and used["n"].max() <= 4096 and used["n"].sum() == lengths.sum()
+    fill = used["n"].groupby(used["sequence_id"] // 2**32).agg(lambda x: x.sum() / (4096 * len(x)))
+    assert len(fill) == 5 and fill.min() > 0.99, fill
+
+
 def test_pii(docs, none, spark):
     import re
 
