@@ -1,12 +1,14 @@
 """Media columns: content-defined chunks, stored once each, and media rebuilt from ordered chunk lists.
 
 A payload is cut where a rolling gear hash over 32 bytes has its top bits clear. Chunks are named by digest;
-a join of the digests finds those that several payloads hold, and each is stored once, in the row of its
+an aggregate over the digests finds those that several payloads hold, and each is stored once, in the row of its
 owner (the payload of the least content key that has it). A store row holds a media header, the ordered
-digests and the chunks it owns, so most media are rebuilt from their own row; only chunks owned elsewhere
-are fetched, by a join on digest. Bytes move once, into the store: texts that take part in sharing are
-found by a bitmap of bounded size over their content keys (a false hit only joins in vain), and only they
-are shuffled before being written.
+digests, the chunks it owns and the digests of those it lacks, so most media are rebuilt from their own row; what
+is lacking is fetched by a join on digest. Bytes move once, into the store: texts that have copies or lack
+a chunk are found by a bitmap of bounded size over their content keys (a false hit only joins in vain), and
+only they are shuffled before being written, one row of each text from a task.
+
+A key that more than one in HOT rows has is joined by broadcast: there are at most HOT such keys, whatever the table.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_batches, read, spill, texts
@@ -25,8 +27,10 @@ from .common import map_batches, read, spill, texts
 UNIT, MIN_CHUNK, MAX_CHUNK, CUT_BITS = 64, 256, 8192, 10
 BITMAP_BITS = 1 << 27
 RATE = 8000
-_STORE = "k string, n_bytes long, header binary, media_sha256 string, digests array<binary>, own array<struct<seq: int, bytes: binary, shared: boolean>>"
-_FEATURES = "k string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+HOT, SEEN = 1000, 1 << 20
+_CATALOG = "doc_id long, k binary, parts array<binary>"
+_STORE = "doc_id long, alone boolean, k binary, n_bytes long, header binary, media_sha256 string, digests array<binary>, own array<struct<seq: int, bytes: binary, shared: boolean>>, missing array<binary>"
+_FEATURES = "doc_id long, k binary, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
 def gear() -> np.ndarray:
@@ -93,92 +97,150 @@ def features(n_bytes: int, head: bytes, chunks: list[bytes], digests: list[bytes
     return n_bytes, len(payload), sha256(payload).hexdigest(), crc32(payload[-UNIT:]), len(media), whole, feature
 
 
-def _chunk_rows() -> object:
-    table = gear()
+def _catalog_rows():
+    """Columns: doc_id, k, text. A text's distinct chunks are told by its first row in a task."""
+    table, seen = gear(), set()
 
     def each(b: pa.RecordBatch) -> tuple:
-        keys = b.column(0).to_pylist()
-        found = [[digest(c) for c in cut(padded(t), table)] for t in b.column(1).cast(pa.large_binary()).to_pylist()]
-        n = [len(x) for x in found]
-        return np.repeat(np.array(keys, object), n).tolist(), [s for k in n for s in range(k)], [d for x in found for d in x]
+        keys, parts = b.column(1).to_pylist(), []
+        for k, raw in zip(keys, b.column(2).cast(pa.large_binary()), strict=True):
+            if k in seen:
+                parts.append([])
+                continue
+            if len(seen) > SEEN:
+                seen.clear()
+            seen.add(k)
+            parts.append(list(dict.fromkeys(map(digest, cut(padded(raw.as_py()), table)))))
+        return b.column(0), b.column(1), parts
 
     return each
 
 
-def _store_rows() -> object:
+def _store_rows(shared):
+    """Columns: doc_id, alone, k, text, theirs (digests of chunks that others own, or null). shared: their Bitmap."""
     table = gear()
 
     def each(b: pa.RecordBatch) -> tuple:
-        out = []
-        roles = b.column(2).to_pylist() if b.num_columns > 2 else [None] * b.num_rows
-        for k, raw, role in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).to_pylist(), roles, strict=True):
-            payload = padded(raw)
-            head, chunks = header(len(payload)), cut(payload, table)
-            mine = {r["seq"]: r["own"] for r in role or ()}
-            own = [{"seq": s, "bytes": c, "shared": s in mine} for s, c in enumerate(chunks) if mine.get(s, True)]
-            out.append((k, len(raw), head, sha256(head + payload).hexdigest(), [digest(c) for c in chunks], own))
+        from xxhash import xxh64_intdigest
+
+        out, payloads = [], [padded(x.as_py()) for x in b.column(3).cast(pa.large_binary())]
+        chunks = [cut(p, table) for p in payloads]
+        digests = [list(map(digest, c)) for c in chunks]
+        flat = list({d for found in digests for d in found})
+        seen = listed(np.fromiter((xxh64_intdigest(d, 42) for d in flat), np.uint64, len(flat)), shared.value)
+        fetched = {d for d, hit in zip(flat, seen.tolist(), strict=True) if hit}
+        bare = b.column(3).cast(pa.large_binary())
+        for k, (i, alone, key, theirs) in enumerate(zip(*(b.column(c).to_pylist() for c in (0, 1, 2, 4)), strict=True)):
+            head, done, own = header(len(payloads[k])), set(theirs or ()), []
+            for s, (c, d) in enumerate(zip(chunks[k], digests[k], strict=True)):
+                if d not in done:
+                    done.add(d)
+                    own.append({"seq": s, "bytes": c, "shared": d in fetched})
+            out.append((i, alone, key, len(bare[k].as_buffer()), head, sha256(head + payloads[k]).hexdigest(), digests[k], own, theirs or []))
         return zip(*out, strict=True)
 
     return each
 
 
 def _rebuilt(b: pa.RecordBatch) -> tuple:
-    """Columns: those of _STORE, own complete."""
+    """Columns: those of _STORE, and more, an array of (digest, bytes), where chunks were missing."""
     out = []
     for r in b.to_pylist():
-        chunks = [c["bytes"] for c in sorted(r["own"], key=lambda c: c["seq"])]
-        out.append((r["k"], *features(r["n_bytes"], r["header"], chunks, r["digests"], r["media_sha256"])))
+        found = {r["digests"][c["seq"]]: c["bytes"] for c in r["own"]} | {c["digest"]: c["bytes"] for c in r["more"] or ()}
+        out.append((r["doc_id"], r["k"], *features(r["n_bytes"], r["header"], [found[d] for d in r["digests"]], r["digests"], r["media_sha256"])))
     return zip(*out, strict=True)
 
 
-def _bits(keys: DataFrame, size: int) -> np.ndarray:
-    """A bitmap with two bits set for each key."""
-    h = F.xxhash64("k")
+def listed(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the hashes (uint64) a bitmap may hold: all that were entered, and a few others."""
+    size = np.uint64(32 * len(bits))
+    a, b = ((h >> np.uint64(s)) % size for s in (0, 32))
+    bit = lambda at: bits[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32) & np.uint32(1)
+    return (bit(a) & bit(b)) > 0
+
+
+def bitmap(keys: DataFrame, name: str) -> np.ndarray:
+    """A bitmap of at most BITMAP_BITS with two bits set for each value of the column."""
+    size = min(BITMAP_BITS, 1 << max(10, (16 * keys.count()).bit_length()))
+    h = F.xxhash64(name)
     at = keys.select(F.explode(F.array(h.bitwiseAND(size - 1), F.shiftrightunsigned(h, 32).bitwiseAND(size - 1))).alias("at"))
     words = at.groupBy(F.shiftright("at", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(at & 31))")).alias("bits")).toPandas()
-    bitmap = np.zeros(size >> 5, np.uint32)
-    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    return bitmap
-
-
-def chunk_store(rows: DataFrame) -> DataFrame:
-    """The store for rows (doc_id, text, k): one row for each k, each chunk stored once."""
-    spark = rows.sparkSession
-    counted = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
-    copies = counted.filter("n > 1").select("k", "first_id")
-    pieces = spill(map_batches(rows.select("k", "text"), _chunk_rows, "k string, seq int, digest binary"))
-    owners = pieces.groupBy("digest").agg(F.min(F.struct("k", "seq")).alias("owner"), F.max(F.struct("k", "seq")).alias("other")).filter("owner <> other").select("digest", "owner")
-    shared = pieces.join(owners, "digest").select("k", "seq", (F.struct("k", "seq") == F.col("owner")).alias("own"))
-    roles = shared.filter("seq IS NOT NULL").groupBy("k").agg(F.collect_set(F.struct("seq", "own")).alias("roles"))
-    # copies of one text give each of its chunks twice at the same place: such a chunk is still owned there
-    known = spill(roles.join(copies, "k", "full"))
-    size = min(BITMAP_BITS, 1 << max(10, (16 * known.count()).bit_length()))
-    bitmap = spark.sparkContext.broadcast(_bits(known.select("k"), size))
+    bits = np.zeros(size >> 5, np.uint32)
+    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    return bits
+
+
+def by_key(rows: DataFrame, other: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """The inner join of rows with other, whose key is unique; keys of hot (at most HOT) don't go through a shuffle."""
+    hot = F.broadcast(hot.select(key))
+    few = F.broadcast(other.join(hot, key, "left_semi"))  # as few rows as hot has
+    rest = rows.join(hot, key, "left_anti").join(other.hint("merge"), key)
+    return rows.join(few, key).unionByName(rest)
+
+
+def catalog(docs: DataFrame) -> DataFrame:
+    """A written table of docs' (doc_id, text) rows: doc_id, content key k, and parts for the first row of a text in a task."""
+    return spill(map_batches(keyed(docs), _catalog_rows, _CATALOG))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.unhex(F.substring(F.sha2("text", 256), 1, 32)).alias("k"), "text")
+
+
+def chunk_store(docs: DataFrame, listing: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, np.ndarray]:
+    """The store for docs (doc_id, text), one row for each text and one copy of each chunk.
+
+    listing: catalog(docs). Returns the store; the digests that more than one in HOT parts has, and the keys that
+    more than one in HOT rows has; and a bitmap of the keys that are not written by their only row.
+    """
+    spark = docs.sparkSession
+    n = listing.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("parts")), F.lit(0)).alias("parts")).first()
+    parts = listing.select("k", F.explode("parts").alias("digest"))
+    owners = parts.groupBy("digest").agg(F.min("k").alias("owner"), F.max("k").alias("other"), F.count("*").alias("n"))
+    shared = spill(owners.filter("owner <> other").select("digest", "owner", "n"))
+    hot_chunks = shared.filter(F.col("n") * HOT > n["parts"])
+    theirs = by_key(parts, shared, hot_chunks, "digest").filter("k <> owner").groupBy("k").agg(F.collect_set("digest").alias("theirs"))
+    copies = listing.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1")
+    known = spill(theirs.hint("merge").join(copies, "k", "full"))
+    hot_keys = known.filter(F.col("n") * HOT > n["rows"])
+
+    keys = bitmap(known.select("k"), "k")
+    marked = keyed(docs).withColumn("maybe", maybe(keys, "k"))
+    alone = marked.filter("NOT maybe").select("doc_id", F.lit(True).alias("alone"), "k", "text", F.lit(None).cast("array<binary>").alias("theirs"))
+    some = marked.filter("maybe").groupBy("k").agg(F.first("text").alias("text")).join(known.hint("merge"), "k", "left")
+    some = some.select(F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("alone"), "k", "text", "theirs")
+    bits = spark.sparkContext.broadcast(bitmap(shared.select("digest"), "digest"))
+    make = lambda: _store_rows(bits)
+    return spill(map_batches(alone, make, _STORE).unionByName(map_batches(some, make, _STORE))), hot_chunks, hot_keys, keys
+
+
+def maybe(bits: np.ndarray, name: str) -> Column:
+    """Whether a bitmap may hold the column's value."""
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(bits)
 
     @F.pandas_udf("boolean")
-    def listed(h):
+    def test(h):
         import pandas as pd
 
-        x = h.to_numpy(np.int64).view(np.uint64)
-        a, b = ((x >> np.uint64(s)) & np.uint64(size - 1) for s in (0, 32))
-        bit = lambda at: bitmap.value[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32) & np.uint32(1)
-        return pd.Series((bit(a) & bit(b)) > 0)
+        return pd.Series(listed(h.to_numpy(np.int64).view(np.uint64), shared.value))
+
+    return test(F.xxhash64(name))
+
 
-    marked = rows.withColumn("maybe", listed(F.xxhash64("k")))
-    alone = map_batches(marked.filter("NOT maybe").select("k", "text"), _store_rows, _STORE)
-    some = marked.filter("maybe").join(known, "k", "left").filter("first_id IS NULL OR doc_id = first_id").select("k", "text", "roles")
-    return spill(alone.unionByName(map_batches(some, _store_rows, _STORE)))
+def completed(store: DataFrame, hot_chunks: DataFrame) -> DataFrame:
+    """The store's rows that lack chunks, with these in a column more."""
+    part = store.filter(F.size("missing") > 0)
+    own = store.select(F.explode(F.filter("own", lambda c: c["shared"])).alias("c"), "digests").select(F.element_at("digests", F.col("c.seq") + 1).alias("digest"), F.col("c.bytes").alias("bytes"))
+    fetched = by_key(part.select("k", F.explode("missing").alias("digest")), own, hot_chunks, "digest")
+    more = fetched.groupBy("k").agg(F.collect_list(F.struct("digest", "bytes")).alias("more"))
+    return part.join(more.hint("merge"), "k").select(*store.columns, "more")
 
 
-def rebuild(store: DataFrame) -> DataFrame:
-    """Features by k of the media rebuilt from the store, verified."""
-    whole = map_batches(store.filter(F.size("own") == F.size("digests")), lambda: _rebuilt, _FEATURES)
-    part = store.filter(F.size("own") < F.size("digests")).dropDuplicates(["k"])
-    fetched = store.select(F.explode(F.filter("own", lambda c: c["shared"])).alias("c"), "digests").select(F.element_at("digests", F.col("c.seq") + 1).alias("digest"), F.col("c.bytes").alias("bytes")).dropDuplicates(["digest"])
-    missing = part.select("k", F.posexplode("digests").alias("seq", "digest"), F.transform("own", lambda c: c["seq"]).alias("have")).filter(~F.array_contains("have", F.col("seq"))).select("k", "seq", "digest")
-    got = missing.join(fetched, "digest").groupBy("k").agg(F.collect_list(F.struct("seq", "bytes", F.lit(True).alias("shared"))).alias("more"))
-    full = part.join(got, "k").withColumn("own", F.concat("own", "more")).select(store.columns)
-    return whole.unionByName(map_batches(full, lambda: _rebuilt, _FEATURES))
+def rebuilt(rows: DataFrame) -> DataFrame:
+    """Features of the media of store rows, verified; rows that lack chunks must come from completed()."""
+    if "more" not in rows.columns:
+        rows = rows.withColumn("more", F.lit(None).cast("array<struct<digest: binary, bytes: binary>>"))
+    return map_batches(rows, lambda: _rebuilt, _FEATURES)
 
 
 def stored_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,9 +249,13 @@ def stored_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A null or empty text is 64 zero bytes. Rows of equal text share one stored media and get equal values;
     ids may be null or repeat; an empty table gives no rows; other columns are ignored.
     """
-    rows = texts(docs, id_col, text_col).withColumn("k", F.sha2("text", 256))
-    told = rebuild(chunk_store(rows)).dropDuplicates(["k"])
-    return rows.select("doc_id", "k").join(told, "k").drop("k")
+    rows = texts(docs, id_col, text_col)
+    listing = catalog(rows)
+    store, hot_chunks, hot_keys, keys = chunk_store(rows, listing)
+    whole = rebuilt(store.filter("NOT alone AND size(missing) = 0"))
+    told = spill(whole.unionByName(rebuilt(completed(store, hot_chunks)))).drop("doc_id")
+    listing = listing.filter(maybe(keys, "k")).select("doc_id", "k")
+    return rebuilt(store.filter("alone")).drop("k").unionByName(by_key(listing, told, hot_keys, "k").drop("k"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
