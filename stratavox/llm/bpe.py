@@ -9,7 +9,9 @@ keeps them for the next batch: no occurrence of a word is shuffled.
 
 from __future__ import annotations
 
+import re
 from array import array
+from collections.abc import Iterator
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
 
@@ -17,10 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import map_batches, read, texts
+from .common import map_batches, plain_classes, read, texts
 
-CACHE_WORDS, MANY = 800_000, 48
-_CLOSING = ".,;:!?*#$%&)\""
+#: Pre-tokens up to so many characters are remembered, in so many bytes at most (about); places of a rank that are taken as arrays.
+WORD_CHARS, MEMORY_BYTES, MANY = 48, 320 << 20, 48
 
 
 def rank_file() -> str:
@@ -174,11 +176,9 @@ def replay(words: list[bytes], merges: Merges) -> list[list[int]]:
 
 
 class Codec:
-    """Encodes texts to decimal ids and back to bytes, remembering segments.
+    """Encodes texts to decimal ids and back to bytes, remembering pre-tokens.
 
-    A blank between two non-blank characters always begins a pre-token, so a text without runs of white
-    space falls into segments at such blanks, whose pre-tokens depend on the segment alone; other texts
-    are cut by the pattern as a whole.
+    In plain text the same pre-tokens are found by a pattern with its character classes written out.
     """
 
     def __init__(self, path: str, pattern: str) -> None:
@@ -186,43 +186,48 @@ class Codec:
 
         self.merges = Merges(load_ranks(path))
         self.token = {i: t for t, i in self.merges.ranks.items()}
-        self.pattern, self.spaces = regex.compile(pattern), regex.compile(r"\s\s|^\s|\s$")
-        self.words: dict[str, list[int]] = {}
-        self.segments: dict[str, tuple[int, str, bytes]] = {}
+        self.pattern = regex.compile(pattern)
+        white, letters, digits, self.odd = plain_classes()
+        classes = (("[^\\s\\p{L}\\p{N}]", f"[^{white}{letters}{digits}]"), ("\\p{L}", f"[{letters}]"), ("\\p{N}", f"[{digits}]"), ("\\s", f"[{white}]"), ("\\S", f"[^{white}]"))
+        for name, listed in classes:
+            pattern = pattern.replace(name, listed)
+        self.plain = re.compile(pattern)
+        self.words: dict[str, tuple[str, bytes]] = {}
+        self.size = 0
 
     def _learn(self, fresh: list[str]) -> None:
-        cut = [self._pre_tokens(s) for s in fresh]
-        new = [w for w in dict.fromkeys(w for ws in cut for w in ws) if w not in self.words]
-        self.words.update(zip(new, replay([w.encode() for w in new], self.merges), strict=True))
-        for s, ws in zip(fresh, cut, strict=True):
-            ids = [i for w in ws for i in self.words[w]]
-            self.segments[s] = len(ids), " ".join(map(str, ids)), b"".join([self.token[i] for i in ids])
-
-    def _pre_tokens(self, segment: str) -> list[str]:
-        """The pattern's matches; a blank, Latin letters and closing marks are told apart without it."""
-        stem = segment.rstrip(_CLOSING)
-        if stem[1:].isalpha() and (stem.isascii() or max(stem) < "\u0250") and (stem[0] == " " or stem[0].isalpha()):
-            return [stem, segment[len(stem) :]] if len(stem) < len(segment) else [stem]
-        return self.pattern.findall(segment)
-
-    def segments_of(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if self.spaces.search(text):
-            return self.pattern.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + s for s in rest]]
-
-    def encode(self, texts_: list[str]) -> list[list[tuple[int, str, bytes]]]:
-        """For each text its segments' (number of ids, ids in decimal, decoded bytes)."""
-        if len(self.segments) > CACHE_WORDS:
-            self.segments.clear()
+        token = self.token.__getitem__
+        for w, ids in zip(fresh, replay([w.encode() for w in fresh], self.merges), strict=True):
+            self.words[w] = " ".join(map(str, ids)), b"".join(map(token, ids))
+            self.size += 300 + 12 * len(ids)
+
+    def encode(self, texts_: list[str]) -> list[list[tuple[str, bytes]]]:
+        """For each text its pre-tokens' (ids in decimal, decoded bytes)."""
+        if self.size > MEMORY_BYTES:
             self.words.clear()
-        parts = [self.segments_of(t) for t in texts_]
-        if fresh := [s for s in set().union(*parts) if s not in self.segments]:
+            self.size = 0
+        parts = [(self.pattern if self.odd.search(t) else self.plain).findall(t) for t in texts_]
+        if fresh := list(set().union(*parts) - self.words.keys()):
             self._learn(fresh)
-        get = self.segments.__getitem__
-        return [list(map(get, p)) for p in parts]
+        get = self.words.__getitem__
+        out = [list(map(get, p)) for p in parts]
+        for w in fresh:
+            if len(w) > WORD_CHARS:
+                del self.words[w]
+        return out
+
+
+def shares(text: list[str], size: int = 1 << 21) -> Iterator[list[str]]:
+    """Runs of texts of about ``size`` characters, or of one text that is longer."""
+    some, n = [], 0
+    for t in text:
+        some.append(t)
+        n += len(t)
+        if n >= size:
+            yield some
+            some, n = [], 0
+    if some:
+        yield some
 
 
 def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,10 +245,11 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = N
 
         def each(b: pa.RecordBatch) -> tuple:
             text, rows = b.column(1).to_pylist(), []
-            for k in range(0, len(text), 500):
-                for segments in codec.encode(text[k : k + 500]):
-                    n, ids, raw = zip(*segments, strict=True) if segments else ((), (), ())
-                    rows.append((sum(n), sha256(" ".join(ids).encode()).hexdigest(), sha256(b"".join(raw)).hexdigest()))
+            for some in shares(text):
+                for words in codec.encode(some):
+                    ids, raw = zip(*words, strict=True) if words else ((), ())
+                    ids = " ".join(ids)
+                    rows.append((ids.count(" ") + bool(ids), sha256(ids.encode()).hexdigest(), sha256(b"".join(raw)).hexdigest()))
             return b.column(0), *zip(*rows, strict=True)
 
         return each

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,12 +12,15 @@ from pyspark.sql import functions as F
 
 from ..storage import spill
 
-__all__ = ["LOWER", "ROWS", "UPPER", "lower_ascii", "map_batches", "raw_texts", "read", "spill", "texts"]
+__all__ = ["HOT", "LOWER", "ROWS", "UPPER", "join_unique", "lower_ascii", "map_batches", "plain_classes", "raw_texts", "read", "spill", "texts"]
 
 #: A-Z to a-z; other characters keep their case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: A key is hot if more than one in HOT rows has it.
+HOT = 1000
+
 #: Rows that a function of a batch sees at once.
 ROWS = 2048
 
@@ -51,5 +56,28 @@ def raw_texts(b: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return b.column(b.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()
 
 
+def plain_classes() -> tuple[str, str, str, re.Pattern]:
+    """(white space, letters, digits, what has another character than plain ones), for character classes.
+
+    Plain are white space and the printable characters below U+0250 whose lower case is one of them too: they
+    are in normal form, and their classes are the same to tokenizers and here.
+    """
+    white = " \t\n\v\f\r"
+    below = [c for c in map(chr, range(33, 0x250)) if not 127 <= ord(c) <= 160 and len(c.lower()) == 1 and c.lower() < "\u0250"]
+    letters, digits = (re.escape("".join(c for c in below if unicodedata.category(c)[0] == x)) for x in "LN")
+    return white, letters, digits, re.compile(f"[^{white}{re.escape(''.join(below))}]")
+
+
+def join_unique(rows: DataFrame, other: DataFrame, hot: DataFrame, key: list[str]) -> DataFrame:
+    """The inner join of rows with other, whose key is unique; rows of hot keys don't go through a shuffle.
+
+    hot: the keys that more than one in HOT rows has, so at most HOT of them; they and their rows of other are
+    broadcast. The others go by a sort-merge join, where no key is more than a small part.
+    """
+    hot = F.broadcast(hot.select(key))
+    few = F.broadcast(other.join(hot, key, "left_semi"))
+    return rows.join(few, key).unionByName(rows.join(hot, key, "left_anti").join(other.hint("merge"), key))
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)

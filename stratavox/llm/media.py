@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, read, spill, texts
+from .common import HOT, join_unique, map_batches, read, spill, texts
 
 UNIT, MIN_CHUNK, MAX_CHUNK, CUT_BITS = 64, 256, 8192, 10
 BITMAP_BITS = 1 << 27
 RATE = 8000
-HOT, SEEN = 1000, 1 << 20
+SEEN = 1 << 20
 _CATALOG = "doc_id long, k binary, parts array<binary>"
 _STORE = "doc_id long, alone boolean, k binary, n_bytes long, header binary, media_sha256 string, digests array<binary>, own array<struct<seq: int, bytes: binary, shared: boolean>>, missing array<binary>"
 _FEATURES = "doc_id long, k binary, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -170,14 +170,6 @@ def bitmap(keys: DataFrame, name: str) -> np.ndarray:
     return bits
 
 
-def by_key(rows: DataFrame, other: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    """The inner join of rows with other, whose key is unique; keys of hot (at most HOT) don't go through a shuffle."""
-    hot = F.broadcast(hot.select(key))
-    few = F.broadcast(other.join(hot, key, "left_semi"))  # as few rows as hot has
-    rest = rows.join(hot, key, "left_anti").join(other.hint("merge"), key)
-    return rows.join(few, key).unionByName(rest)
-
-
 def catalog(docs: DataFrame) -> DataFrame:
     """A written table of docs' (doc_id, text) rows: doc_id, content key k, and parts for the first row of a text in a task."""
     return spill(map_batches(keyed(docs), _catalog_rows, _CATALOG))
@@ -199,7 +191,7 @@ def chunk_store(docs: DataFrame, listing: DataFrame) -> tuple[DataFrame, DataFra
     owners = parts.groupBy("digest").agg(F.min("k").alias("owner"), F.max("k").alias("other"), F.count("*").alias("n"))
     shared = spill(owners.filter("owner <> other").select("digest", "owner", "n"))
     hot_chunks = shared.filter(F.col("n") * HOT > n["parts"])
-    theirs = by_key(parts, shared, hot_chunks, "digest").filter("k <> owner").groupBy("k").agg(F.collect_set("digest").alias("theirs"))
+    theirs = join_unique(parts, shared, hot_chunks, ["digest"]).filter("k <> owner").groupBy("k").agg(F.collect_set("digest").alias("theirs"))
     copies = listing.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1")
     known = spill(theirs.hint("merge").join(copies, "k", "full"))
     hot_keys = known.filter(F.col("n") * HOT > n["rows"])
@@ -231,7 +223,7 @@ def completed(store: DataFrame, hot_chunks: DataFrame) -> DataFrame:
     """The store's rows that lack chunks, with these in a column more."""
     part = store.filter(F.size("missing") > 0)
     own = store.select(F.explode(F.filter("own", lambda c: c["shared"])).alias("c"), "digests").select(F.element_at("digests", F.col("c.seq") + 1).alias("digest"), F.col("c.bytes").alias("bytes"))
-    fetched = by_key(part.select("k", F.explode("missing").alias("digest")), own, hot_chunks, "digest")
+    fetched = join_unique(part.select("k", F.explode("missing").alias("digest")), own, hot_chunks, ["digest"])
     more = fetched.groupBy("k").agg(F.collect_list(F.struct("digest", "bytes")).alias("more"))
     return part.join(more.hint("merge"), "k").select(*store.columns, "more")
 
@@ -255,7 +247,7 @@ def stored_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     whole = rebuilt(store.filter("NOT alone AND size(missing) = 0"))
     told = spill(whole.unionByName(rebuilt(completed(store, hot_chunks)))).drop("doc_id")
     listing = listing.filter(maybe(keys, "k")).select("doc_id", "k")
-    return rebuilt(store.filter("alone")).drop("k").unionByName(by_key(listing, told, hot_keys, "k").drop("k"))
+    return rebuilt(store.filter("alone")).drop("k").unionByName(join_unique(listing, told, hot_keys, ["k"]).drop("k"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

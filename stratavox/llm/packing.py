@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import math
 import re
-import unicodedata
 from collections import defaultdict
 from struct import pack as pack_ids
 from zlib import crc32
@@ -22,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, read, spill, texts
+from .common import map_batches, plain_classes, read, spill, texts
 
 CAPACITY, SHARD_PIECES, GROUPS, LARGE = 4096, 20_000, 64, 4096 // 6
 END = 1
@@ -54,16 +53,10 @@ def byte_ranks(tok):
     return tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
 
 
-def plain_text() -> tuple[re.Pattern, re.Pattern]:
-    """(what has a character outside the plain ones, the tokenizer's pre-tokens in plain lower-case text).
-
-    Plain are white space and the printable characters below U+0250 whose lower case is one of them too: they
-    are in normal form, and their classes are the same to the tokenizer and here.
-    """
-    white = " \t\n\v\f\r"
-    below = [c for c in map(chr, range(33, 0x250)) if not 127 <= ord(c) <= 160 and len(c.lower()) == 1 and c.lower() < "\u0250"]
-    letters, digits = (re.escape("".join(c for c in below if unicodedata.category(c)[0] == x)) for x in "LN")
-    return re.compile(f"[^{white}{re.escape(''.join(below))}]"), re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{white}{letters}{digits}]+")
+def plain_tokens() -> re.Pattern:
+    """The tokenizer's pre-tokens in plain lower-case text."""
+    white, letters, digits, _ = plain_classes()
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{white}{letters}{digits}]+")
 
 
 class Pieces(dict):
@@ -102,7 +95,7 @@ def encoder(vocab: str):
     tok = Tokenizer.from_file(vocab)
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
     merges = byte_ranks(tok)
-    odd, tokens = plain_text()
+    odd, tokens = plain_classes()[3], plain_tokens()
 
     def whole(text: str) -> bytes:
         ids = tok.encode(text, add_special_tokens=False).ids
