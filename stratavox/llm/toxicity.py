@@ -3,14 +3,17 @@
 The lexicon is learned: words, and first bytes of words, whose document frequency among toxic training texts is far above that among
 the others. Features of a training text use a lexicon counted without its own fold, so that chance words
 earn no trust. The trees and the calibration see different rows. Training takes at most ``max_train``
-labelled rows (the first by a hash of their id), once per distinct text; scoring takes every row.
+labelled rows (the first by a hash of their id), once per distinct text, toxic if any of its rows is; scoring
+takes every row. The lexicon has all words beyond the least count and weight, as many as the labelled rows give.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from math import log
 
+import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -19,7 +22,9 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, read, spill, texts
 
-MAX_TRAIN, MAX_LEXICON, FOLDS, NEAR, STEM = 20_000, 3_000, 3, 5, 4
+MAX_TRAIN, FOLDS, NEAR, STEM = 20_000, 3, 5, 4
+#: Labelled rows (two numbers each) that may be broadcast.
+MAX_BROADCAST = 1_000_000
 MIN_TOXIC, MIN_WEIGHT = 3, 2.0
 #: Second-person words of the corpus' languages.
 SECOND_PERSON = frozenset(b"you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos ti tus usted ustedes vosotros".split())
@@ -124,14 +129,13 @@ class Model:
             return rows.select(*keep, F.lit(self.constant).alias("score"))
         weights = self.weights
 
-        @F.pandas_udf("array<double>")
-        def dense(t):
-            import pandas as pd
-
+        def dense(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
             lexicon = Lexicon(weights)
             stars = masked(lexicon)
-            return pd.Series([features(x, lexicon, stars, SECOND_PERSON) for x in t])
+            for t in parts:
+                yield pd.Series([features(x, lexicon, stars, SECOND_PERSON) for x in t])
 
+        dense = F.pandas_udf(dense, "array<double>")
         return self._calibrated(rows.select(*keep, array_to_vector(dense("text")).alias("features"))).select(*keep, "score")
 
     def _calibrated(self, rows: DataFrame) -> DataFrame:
@@ -147,11 +151,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     spark = docs.sparkSession
     usable = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col("toxic").cast("int").alias("toxic")).dropna().filter(F.crc32(F.col("l_id").cast("string")) % 5 != 0)
     usable = usable.groupBy("l_id").agg(F.max("toxic").alias("toxic"))
-    chosen = usable.orderBy(F.xxhash64("l_id"), "l_id").limit(max_train)  # so few rows that they may be broadcast
+    chosen = usable.orderBy(F.xxhash64("l_id"), "l_id").limit(max_train)
     rows = texts(docs)
-    rows = rows.join(F.broadcast(chosen), rows["doc_id"] == chosen["l_id"])
+    rows = rows.join(F.broadcast(chosen) if max_train <= MAX_BROADCAST else chosen, rows["doc_id"] == chosen["l_id"])
     h = F.xxhash64("text", F.lit("fold"))
-    train = spill(rows.dropDuplicates(["text"]).select("text", "toxic", F.pmod(h, F.lit(FOLDS)).cast("int").alias("fold"), (F.pmod(F.shiftright(h, 20), F.lit(4)) == 0).alias("calibrate")))
+    train = spill(rows.groupBy("text").agg(F.max("toxic").alias("toxic")).select("text", "toxic", F.pmod(h, F.lit(FOLDS)).cast("int").alias("fold"), (F.pmod(F.shiftright(h, 20), F.lit(4)) == 0).alias("calibrate")))
 
     sizes = {(r["fold"], r["toxic"]): r["count"] for r in train.groupBy("fold", "toxic").count().collect()}
     toxic = [sizes.get((k, 1), 0) for k in range(FOLDS)]
@@ -164,8 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     by = lambda k, t: F.count_if((F.col("fold") == k) & (F.col("toxic") == t))
     counts = counts.agg(F.array(*[by(k, 1) for k in range(FOLDS)]).alias("a"), F.array(*[by(k, 0) for k in range(FOLDS)]).alias("b"), F.count_if(F.col("toxic") == 1).alias("x"), F.count_if(F.col("toxic") == 0).alias("y"))
     odds = F.log((F.col("x") + 0.5) / (sum(toxic) + 1)) - F.log((F.col("y") + 0.5) / (sum(total) - sum(toxic) + 1))
-    best = counts.withColumn("s", odds).filter((F.col("x") >= MIN_TOXIC) & (F.col("s") >= MIN_WEIGHT)).orderBy(F.desc(F.col("s") * F.col("x")), "w").limit(MAX_LEXICON)
-    rows = [(r["w"], r["a"], r["b"]) for r in best.collect()]
+    best = counts.withColumn("s", odds).filter((F.col("x") >= MIN_TOXIC) & (F.col("s") >= MIN_WEIGHT))
+    rows = sorted((r["w"], r["a"], r["b"]) for r in best.collect())  # of at most max_train rows' words
     weights, folds = _weights(rows, total, toxic, None), [_weights(rows, total, toxic, k) for k in range(FOLDS)]
 
     def make():
@@ -174,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
         return lambda b: ([features(t, folded[k], stars[k], SECOND_PERSON) for t, k in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)], b.column(1), b.column(3))
 
     known = spill(map_batches(train, make, "f array<double>, toxic int, calibrate boolean"))
-    known = known.select(array_to_vector("f").alias("features"), F.col("toxic").cast("double").alias("label"), "calibrate").coalesce(4).cache()
+    known = known.select(array_to_vector("f").alias("features"), F.col("toxic").cast("double").alias("label"), "calibrate").cache()
     trees = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, minInstancesPerNode=2, seed=7).fit(known.filter("NOT calibrate") if known.filter("NOT calibrate").select("label").distinct().count() == 2 else known)
     calibration = None
     held = known.filter("calibrate")
@@ -199,7 +203,12 @@ def scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Da
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """The rows of docs whose score is below one half, all columns as they are."""
+    """The rows of docs whose score is below one half, all columns as they are.
+
+    Null and empty texts are scored as in scores(); repeated rows stay or go together; null ids stay; an empty table
+    gives no rows; without toxic labels all rows stay. Columns of any name pass through, but docs must have doc_id
+    and text.
+    """
     model = fit(docs, labels, max_train)
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     return model.score(packed, ["row"]).filter("score < 0.5").select("row.*")

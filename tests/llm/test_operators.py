@@ -200,6 +200,27 @@ def test_toxicity(spark, none):
     assert kept.columns == docs.columns and kept.count() == sum(r["score"] < 0.5 for r in got)
 
 
+def test_toxicity_learns_all_words_and_settles_differing_labels(spark):
+    """A lexicon of thousands of words is kept whole; a text that is labelled both ways is toxic, whichever row comes first."""
+    rng = random.Random(9)
+    bad = [f"zq{a}{b}{c}ub" for a in "abcdefghijklmnopqrstuvw" for b in "aeiourstlnmpk" for c in "aeiouhdgfbklms"]
+    rows, labels = [], []
+    for i in range(3000):
+        words = prose(rng, 30).split()
+        if toxic := i % 3 == 0:
+            words += rng.sample(bad, 40)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert len({w for w in model.weights if w in {b.encode() for b in bad}}) > 3500
+    both = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 10_000))
+    more = spark.createDataFrame([*labels, *((i + 10_000, 0) for i, _ in labels)], "doc_id long, toxic int")
+    got = [sorted((r["doc_id"], r["score"]) for r in toxicity.scores(both.repartition(n), more).collect()) for n in (2, 7)]
+    assert [x[0] for x in got[0]] == [x[0] for x in got[1]] and np.allclose([x[1] for x in got[0]], [x[1] for x in got[1]])
+    assert np.mean([(s >= 0.5) == (i % 10_000 % 3 == 0) for i, s in got[0]]) > 0.97
+
+
 def test_obfuscated_words_are_features():
     lex = toxicity.Lexicon({b"zorbish": 3.0, b"^vile": 2.0})
     f = lambda t: toxicity.features(t, lex, toxicity.masked(lex), toxicity.SECOND_PERSON)
@@ -565,7 +586,14 @@ def test_bpe(docs, none, corpus):
     codec = bpe.Codec(bpe.rank_file(), public_tokenizers.PATTERN)
     odd = ["  a  b", "a\n\n b\tc ", "it's they'll", "x\u2003y\u3000 z  q", "\x1c a \x85b", " lead", "ab" * 3000, "a\n b"]
     for t, s in zip(odd, codec.encode(odd)):
-        assert " ".join(x[1] for x in s) == " ".join(map(str, enc.encode_ordinary(t)))
+        assert " ".join(x[0] for x in s) == " ".join(map(str, enc.encode_ordinary(t)))
+    rng = random.Random(7)
+    odd = ["".join(rng.choice("aAbé\u0130\u01c5 '\u2019sretvdlm.,!?12\u00b2\u00bd  \t\n\r\x0b\x1c\x85\xa0\u0301\u65e5\U0001f642\u2003\xad_") for _ in range(rng.randint(1, 14))) for _ in range(5000)]
+    odd += ["".join(chr(rng.randrange(1, 0x250)) for _ in range(8)) for _ in range(5000)] + ["y" * 1000]
+    for k in range(0, len(odd), 3000):
+        for t, s in zip(odd[k : k + 3000], codec.encode(odd[k : k + 3000])):
+            assert " ".join(x[0] for x in s) == " ".join(map(str, enc.encode_ordinary(t))), t
+    assert max(map(len, codec.words)) <= bpe.WORD_CHARS
 
 
 def test_pipeline(spark):
