@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only where the session names none."""
+    """The folder that all executors share, from the session's spark.checkpoint.dir.
+
+    Where it is unset, one process on one machine (a local master) gets a folder of its own; on a cluster that
+    would be a folder that other machines never see, so there it is an error.
+    """
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         found = sc.getCheckpointDir()
     return found.rstrip("/")
