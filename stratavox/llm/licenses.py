@@ -119,9 +119,10 @@ def phrase_places(words: list[bytes]) -> list[tuple[int, str]]:
     line = b" " + b" ".join(words) + b" "
     out = []
     for phrase, label in PHRASES:
-        at = line.find(b" " + phrase + b" ")
+        at, n, done = line.find(b" " + phrase + b" "), 0, 0
         while at >= 0:
-            out.append((line.count(b" ", 0, at), label))
+            n, done = n + line.count(b" ", done, at), at  # words are counted on from the place before
+            out.append((n, label))
             at = line.find(b" " + phrase + b" ", at + 1)
     return out
 
@@ -169,7 +170,8 @@ def least_words(found: list, span: dict[int, int]) -> dict[int, int]:
 def met_templates(blocks: DataFrame, found: list, words: list[bytes], span: dict[int, int]) -> DataFrame:
     """(key, label, containment): the best containment by key and label over blocks that meet a template.
 
-    blocks: key (any type), span, block (array of word numbers, distinct). found: as with_marks() gives them;
+    A null or empty block meets none; blocks that repeat count once in the result; rows of a null key are grouped as
+    one key; an empty table gives no rows. blocks: key (any type), span, block (array of word numbers, distinct). found: as with_marks() gives them;
     span: as spans() gives them.
     """
     spark = blocks.sparkSession
