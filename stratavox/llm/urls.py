@@ -3,7 +3,7 @@
 Each site (host and head of the path) is expanded into host suffixes times path prefixes of the lengths
 that rules have. Expressions and rules meet in an equi-join on the first 8 hex digits of their SHA-256; the
 full digests confirm a meeting, and the longest rule wins. Sites are expanded once each, however many pages
-they have.
+they have; those of very many pages find them by broadcast. What no rule fits has the default verdict.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, read
+from .common import HOT, join_unique, lower_ascii, read, spill
 
 #: (host, path, verdict): a rule fits its host and all subdomains where the path starts with its path.
 RULES = (
@@ -21,8 +21,8 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-#: For pages that no rule fits: blocked hosts, subdomains included; what these do not name is allowed.
-BLOCKED_HOSTS = (("spam-farm.example.net", "", "block"), ("cheap-pills.example.net", "", "block"), ("spam-farm.example.com", "", "block"), ("cheap-pills.example.com", "", "block"))
+#: The verdict on pages that no rule fits.
+DEFAULT = "allow"
 
 
 def split_url(pages: DataFrame, url_col: str = "url") -> DataFrame:
@@ -60,23 +60,23 @@ def match(sites: DataFrame, table: DataFrame, lengths: list[int]) -> DataFrame:
     return hits.groupBy("host", "head").agg(best).select("host", "head", "best.rule", "best.verdict")
 
 
-def verdicts(pages: DataFrame, rules=RULES, blocked=BLOCKED_HOSTS, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def verdicts(pages: DataFrame, rules=RULES, default: str = DEFAULT, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule and verdict for every row of pages.
 
-    rule is the longest one that fits (of equal lengths the greater text), else null. Null, empty and odd
+    rules: tuples or a DataFrame of (host, path, verdict). rule is the longest one that fits (of equal lengths
+    the greater text), else null, and the verdict then ``default``. Null, empty and odd
     urls have an empty host and path, fit no rule and are allowed. Repeated rows get equal rows, null ids
     stay null, an empty table gives no rows; other columns are ignored.
     """
     rows = split_url(pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"))).drop("url")
-    tables = [rule_table(pages.sparkSession, x) for x in (rules, blocked)]
-    lengths = [path_lengths(t) for t in tables]
-    rows = rows.withColumn("head", F.substring("path", 1, max([0, *lengths[0], *lengths[1]])))
-    sites = rows.select("host", "head").distinct()
-    ours = match(sites, tables[0], lengths[0])
-    other = match(sites, tables[1], lengths[1]).select("host", "head", F.col("verdict").alias("host_verdict"))
-    known = sites.join(ours, ["host", "head"], "left").join(other, ["host", "head"], "left")
-    out = rows.join(known, ["host", "head"])
-    return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", "host_verdict", F.lit("allow")).alias("verdict"))
+    table = rule_table(pages.sparkSession, rules)
+    lengths = path_lengths(table)
+    rows = rows.withColumn("head", F.substring("path", 1, max([0, *lengths])))
+    sites = spill(rows.groupBy("host", "head").agg(F.count("*").alias("n")))
+    hot = sites.filter(F.col("n") * HOT > pages.count())
+    found = sites.select("host", "head").join(match(sites.select("host", "head"), table, lengths), ["host", "head"], "left")
+    out = join_unique(rows, spill(found), hot, ["host", "head"])
+    return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,14 +88,12 @@ def _values(rules) -> str:
 
 
 ORACLE_SQL = f"""
-WITH rules(h, p, v) AS (VALUES {_values(RULES)}), hosts(h, p, v) AS (VALUES {_values(BLOCKED_HOSTS)}),
+WITH rules(h, p, v) AS (VALUES {_values(RULES)}),
 cut AS (SELECT page_id, CASE WHEN url IS NULL OR position('://' IN url) = 0 THEN '' ELSE substr(url, position('://' IN url) + 3) END AS rest FROM pages),
 parts AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
 sites AS (SELECT DISTINCT host, path FROM parts),
 best AS (SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v
-  FROM sites JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY host, path),
-named AS (SELECT host, path, min(hosts.v) AS hv FROM sites JOIN hosts ON host = h OR ends_with(host, '.' || h) GROUP BY host, path)
-SELECT page_id, host, path, rule, coalesce(best.v, hv, 'allow') AS verdict
-FROM parts LEFT JOIN best USING (host, path) LEFT JOIN named USING (host, path)
+  FROM sites JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY host, path)
+SELECT page_id, host, path, rule, coalesce(v, '{DEFAULT}') AS verdict FROM parts LEFT JOIN best USING (host, path)
 """
