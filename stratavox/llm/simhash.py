@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import map_batches, raw_texts, read, spill, texts
+from .common import HOT, join_unique, map_batches, raw_texts, read, spill, texts
 
 BANDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 RADIUS, BLOCK, N_PIVOTS = 3, 4096, 16
@@ -159,22 +159,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     table gives no rows; columns other than the two named are ignored.
     """
     fps = spill(fingerprints(docs, id_col, text_col))
-    one = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    one = fps.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
     roots = connected_components(links(fps))
-    one = spill(one.join(roots, one["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root")))
+    one = spill(one.join(roots, one["fp"] == roots["node"], "left").select("fp", "low", "n", F.coalesce("root", "fp").alias("root")))
     least = one.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = one.join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each doc_id that is the least of its near-duplicate group. Rows without doc_id stay.
-
-    Only where doc_id is a key that each row has is this one row for each group; else see keep_survivors.
-    """
-    kept = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select([f"`{c}`" for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
+    named = spill(one.join(least, "root").select("fp", "component_id", "n"))
+    hot = named.filter(F.col("n") * HOT > fps.count())
+    return join_unique(fps, named, hot, ["fp"]).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_survivors(docs: DataFrame) -> DataFrame:
