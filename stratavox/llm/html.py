@@ -1,14 +1,19 @@
 """HTML extraction by layout: a tree builder with implied tags, then a renderer of all visible text.
 
 Blocks stand on lines of their own, paragraphs, headings and tables apart by a blank line; list items carry
-their bullet or number and are indented by nesting; table cells are padded to aligned columns; preformatted
+their bullet or number and are indented by nesting; table cells stand in aligned columns, cells of several rows
+or columns keep their place, and lines of a cell beyond COLUMN characters are wrapped; preformatted
 text keeps its lines. Labels of a drawing stand on lines of their own; of a select's options those that the page
-shows are kept. Invisible elements (by name, ``hidden``, or an inline style) give nothing.
+shows are kept. Invisible elements (by name, ``hidden``, an inline style, a dialog that isn't open, the values of
+fields that don't show them) give nothing; what a reader can unfold (details) is kept. Elements nest to any depth:
+the builder and the renderer keep stacks of their own.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right as bisect
+from collections.abc import Generator
 from html import unescape
 
 import pyarrow as pa
@@ -39,18 +44,49 @@ CLOSES = {
     "body": ({"head"}, {"html"}),
 }
 P_ENDS = BLOCK - {"html", "body", "li", "dt", "dd", "tr", "td", "th", "caption", "thead", "tbody", "tfoot", "option", "legend"}
-MAX_DEPTH = 200
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+TABLE_TAGS = frozenset("table tr tbody thead tfoot body html".split())
+#: inputs whose value is seen
+VALUED = frozenset(("", *"text search email url tel number date month week time datetime-local button submit reset".split()))
+COLUMN = 80
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 Node = tuple  # (tag, attributes, children); text is a str
 
 
+class Open:
+    """The stack of open elements, and where in it each name stands."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack, self.where = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.where.setdefault(node[0], []).append(len(self.stack))
+        self.stack.append(node)
+
+    def last(self, *names: str) -> int:
+        """The highest place of one of the names, 0 if none is open."""
+        return max((self.where[n][-1] for n in names if self.where.get(n)), default=0)
+
+    def above(self, low: int, names) -> int:
+        """The lowest place over ``low`` of one of the names, 0 if there is none."""
+        found = (at[k] for n in names if (at := self.where.get(n)) and (k := bisect(at, low)) < len(at))
+        return min(found, default=0)
+
+    def cut(self, k: int) -> None:
+        while len(self.stack) > k:
+            self.where[self.stack.pop()[0]].pop()
+
+
 def parse(html: str) -> Node:
-    """The tree under a root of tag ''. Every piece of text is in it, whatever the mark-up."""
+    """The tree under a root of tag ''. Every piece of text is in it; only a tag that the page's end cuts off isn't.
+
+    A quote that is never closed ends with its tag.
+    """
     root: Node = ("", {}, [])
-    stack = [root]
+    opened = Open(root)
+    stack = opened.stack
     at = 0
 
     def text(s: str) -> None:
@@ -68,30 +104,23 @@ def parse(html: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if stack[k][0] in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
-                    break  # a stray end tag in a cell does not close what is around the table
+            k = opened.last(tag)
+            if k and (tag in TABLE_TAGS or k >= opened.last("table", "td", "th")):
+                opened.cut(k)  # else a stray end tag: one in a cell does not close what is around the table
             continue
         if tag in CLOSES:
             names, barrier = CLOSES[tag]
-            low = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in barrier), 0)
-            if opened := [k for k in range(low + 1, len(stack)) if stack[k][0] in names]:
-                del stack[opened[0] :]
+            if k := opened.above(opened.last(*barrier), names):
+                opened.cut(k)
         if tag in P_ENDS or tag in ("li", "dt", "dd"):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    del stack[k:]
-                    break
-                if stack[k][0] in ("table", "td", "th", "li", "button", "object"):
-                    break
+            k = opened.last("p")
+            if k > opened.last("table", "td", "th", "li", "button", "object"):
+                opened.cut(k)
         if stack[-1][0] == "head" and tag not in NOT_SHOWN and tag not in ("html", "head"):
-            stack.pop()
+            opened.cut(len(stack) - 1)
         attrs = {a.lower(): b or c or d for a, b, c, d in _ATTR.findall(m[3])} if m[3].strip(" /\n\t\r") else {}
         node: Node = (tag, attrs, [])
-        around = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in FOREIGN), 0)
+        around = opened.last(*FOREIGN)
         if around and tag in FOREIGN[stack[around][0]]:
             attrs["hidden"] = ""
         stack[-1][2].append(node)
@@ -103,28 +132,43 @@ def parse(html: str) -> Node:
             if stop > at:
                 node[2].append(unescape(html[at:stop]) if tag in ("textarea", "title") else html[at:stop])
             at = end.end() if end else len(html)
-        elif len(stack) < MAX_DEPTH:  # deeper elements become siblings, their text stays
-            stack.append(node)
+        else:
+            opened.push(node)
 
 
 def shown(node: Node) -> bool:
     tag, attrs, _ = node
-    return not (tag in NOT_SHOWN or "hidden" in attrs or tag == "input" and attrs.get("type", "").lower() == "hidden" or (s := attrs.get("style")) and _HIDING.search(s))
+    return not (tag in NOT_SHOWN or "hidden" in attrs or tag == "dialog" and "open" not in attrs or (s := attrs.get("style")) and _HIDING.search(s))
+
+
+# The functions that render nest as elements do. Each is a generator that yields the call it needs and is sent its
+# result, and run() keeps the stack.
+
+
+def run(call: Generator):
+    """The result of a rendering call."""
+    stack, value = [call], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+    return value
 
 
 def options(node: Node) -> list[Node]:
     """The options of a select that a page shows: all of a list, else the one selected, or the first."""
     found: list[Node] = []
-
-    def gather(n: Node) -> None:
-        for c in n[2]:
-            if not isinstance(c, str) and shown(c):
-                if c[0] == "option":
-                    found.append(c)
-                else:
-                    gather(c)
-
-    gather(node)
+    todo = node[2][::-1]
+    while todo:
+        c = todo.pop()
+        if not isinstance(c, str) and shown(c):
+            if c[0] == "option":
+                found.append(c)
+            else:
+                todo += c[2][::-1]
     size = (node[1].get("size") or "").strip()
     if "multiple" in node[1] or re.fullmatch(r"[0-9]{1,9}", size) and int(size) > 1:
         return found
@@ -133,11 +177,15 @@ def options(node: Node) -> list[Node]:
     return chosen[-1:] or ready[:1] or found[:1]
 
 
-def option_text(node: Node) -> str:
-    return " ".join(flow(node[2])) or node[1].get("label", "")
+def option_texts(node: Node) -> Generator:
+    out = []
+    for c in options(node):
+        lines = yield flow(c[2])
+        out.append(" ".join(lines) or c[1].get("label", ""))
+    return out
 
 
-def flow(nodes: list) -> list[str]:
+def flow(nodes: list) -> Generator:
     """The lines of a run of nodes."""
     lines: list[str] = []
     inline: list[str] = []
@@ -161,47 +209,47 @@ def flow(nodes: list) -> list[str]:
             if any(parts):
                 add(parts, 0)
 
-    def walk(node) -> None:
+    todo = nodes[::-1]
+    while todo:
+        node = todo.pop()
         if isinstance(node, str):
             inline.append(node.replace("\0", ""))
-            return
+            continue
         if not shown(node):
-            return
+            continue
         tag, attrs, children = node
         if tag == "br":
             inline.append("\0")
         elif tag == "img":
             inline.append(attrs.get("alt", "").replace("\0", ""))
         elif tag == "input":
-            inline.append(attrs.get("value", "").replace("\0", ""))
-        elif tag == "wbr":
-            pass
+            if attrs.get("type", "").strip().lower() in VALUED:
+                inline.append(attrs.get("value", "").replace("\0", ""))
         elif tag == "select":
-            inline.append("\0".join(option_text(c).replace("\0", "") for c in options(node)))
+            texts = yield option_texts(node)
+            inline.append("\0".join(x.replace("\0", "") for x in texts))
         elif tag in BLOCK or tag == "text":
             flush()
-            add(block(node), 1 if tag in SPACED else 0)
-        else:
-            for c in children:
-                walk(c)
-
-    for n in nodes:
-        walk(n)
+            new = yield block(node)
+            add(new, 1 if tag in SPACED else 0)
+        elif tag != "wbr":
+            todo += children[::-1]
     flush()
     return lines
 
 
-def block(node: Node) -> list[str]:
+def block(node: Node) -> Generator:
     tag, attrs, children = node
     if tag in ("ul", "ol", "menu"):
-        return items(node)
+        return (yield items(node))
     if tag == "table":
-        return table(node)
+        return (yield table(node))
     if tag == "hr":
         return ["---"]
     if tag == "pre":
-        return raw_text(node).strip("\n").split("\n")
-    lines = flow(children)
+        whole = yield raw_text(node)
+        return whole.strip("\n").split("\n")
+    lines = yield flow(children)
     if tag == "li":
         return bulleted(lines, "- ")
     if tag in ("blockquote", "dd"):
@@ -209,21 +257,28 @@ def block(node: Node) -> list[str]:
     return lines
 
 
-def raw_text(node) -> str:
-    if isinstance(node, str):
-        return node
-    if not shown(node):
-        return ""
-    if node[0] == "select":
-        return "\n".join(map(option_text, options(node)))
-    return "\n" if node[0] == "br" else "".join(raw_text(c) for c in node[2])
+def raw_text(node: Node) -> Generator:
+    out, todo = [], [node]
+    while todo:
+        n = todo.pop()
+        if isinstance(n, str):
+            out.append(n)
+        elif shown(n):
+            if n[0] == "select":
+                texts = yield option_texts(n)
+                out.append("\n".join(texts))
+            elif n[0] == "br":
+                out.append("\n")
+            else:
+                todo += n[2][::-1]
+    return "".join(out)
 
 
 def bulleted(lines: list[str], mark: str) -> list[str]:
     return [(mark if not k else " " * len(mark)) + x if x or not k else x for k, x in enumerate(lines)]
 
 
-def items(node: Node) -> list[str]:
+def items(node: Node) -> Generator:
     """A list's lines; what is not in an item stands unmarked between them."""
     out: list[str] = []
     at = node[1].get("start", "1").strip()
@@ -233,71 +288,131 @@ def items(node: Node) -> list[str]:
         if c is not None and (isinstance(c, str) or c[0] != "li"):
             other.append(c)
             continue
-        out += flow(other)
-        other = []
+        if other:
+            out += yield flow(other)
+            other = []
         if c is not None and shown(c):
-            lines = flow(c[2])
+            lines = yield flow(c[2])
             if lines:
                 out += bulleted(lines, f"{number}. " if node[0] == "ol" else "- ")
             number += 1
     return out
 
 
-def table(node: Node) -> list[str]:
-    """Rows of cells, each column as wide as its widest line; captions and stray text stand before."""
+def span_of(cell: Node, name: str) -> int:
+    """Rows or columns of a cell; 0 for all rows that follow."""
+    n = (cell[1].get(name) or "").strip()
+    if not re.fullmatch(r"[0-9]{1,9}", n):
+        return 1
+    return int(n) or (0 if name == "rowspan" else 1)
+
+
+def wrapped(lines: list[str]) -> list[str]:
+    """Lines cut at blanks so that none is longer than COLUMN, but for single words."""
+    out = []
+    for x in lines:
+        while len(x) > COLUMN:
+            at = x.rfind(" ", 1, COLUMN + 1)
+            at = at if x[:at].strip() else x.find(" ", COLUMN)
+            if at < 0:
+                break
+            out.append(x[:at].rstrip())
+            x = x[at + 1 :]
+        out.append(x)
+    return out
+
+
+def table(node: Node) -> Generator:
+    """Rows of cells in columns; captions and stray text stand before.
+
+    A cell stands in the first column that no cell of an earlier row reaches into. Columns in which no cell begins
+    take no room, and one is as wide as the widest line of its cells of a single column, up to COLUMN; a line that is
+    wider moves what follows on it.
+    """
     before: list[str] = []
-    rows: list[list[list[str]]] = []
+    rows: list[dict[int, tuple[list[str], bool]]] = []
     loose: list = []
-
-    def gather(n: Node) -> None:
-        for c in n[2]:
-            if isinstance(c, str):
-                if c.strip():
-                    loose.append(c)
-            elif not shown(c):
-                continue
-            elif c[0] in ("thead", "tbody", "tfoot"):
-                gather(c)
-            elif c[0] == "tr":
-                row: list[list[str]] = []
-                for d in c[2]:
-                    if not isinstance(d, str) and d[0] in ("td", "th"):
-                        if shown(d):
-                            span = d[1].get("colspan") or "1"
-                            row.append(flow(d[2]))
-                            row += [[] for _ in range(min(int(span), 100) - 1 if re.fullmatch(r"[0-9]{1,4}", span) else 0)]
-                    elif not isinstance(d, str) or d.strip():
-                        loose.append(d)
-                rows.append(row)
-            elif c[0] in ("td", "th"):
-                rows.append([flow(c[2])])
-            elif c[0] == "caption":
-                before.extend(flow(c[2]))
-            else:
+    held: list[list] = []  # first column, end, rows left (None: all) of cells that reach into the rows to come
+
+    def put(row: list[tuple[list[str], int, int]]) -> None:
+        nonlocal held
+        placed, at, new = {}, 0, []
+        taken = sorted((a, b) for a, b, _ in held)
+        k = 0
+        for lines, wide, high in row:
+            while k < len(taken) and taken[k][0] <= at:
+                at = max(at, taken[k][1])
+                k += 1
+            placed[at] = lines, wide == 1
+            if high != 1:
+                new.append([at, at + wide, high - 1 if high else None])
+            at += wide
+        held = [[a, b, n if n is None else n - 1] for a, b, n in held if n is None or n > 1] + new
+        rows.append(placed)
+
+    groups = [iter(node[2])]
+    while groups:
+        c = next(groups[-1], None)
+        if c is None:
+            groups.pop()
+            held = []  # a cell ends with its group of rows
+        elif isinstance(c, str):
+            if c.strip():
                 loose.append(c)
-
-    gather(node)
+        elif not shown(c):
+            continue
+        elif c[0] in ("thead", "tbody", "tfoot"):
+            held = []
+            groups.append(iter(c[2]))
+        elif c[0] == "tr":
+            row = []
+            for d in c[2]:
+                if not isinstance(d, str) and d[0] in ("td", "th"):
+                    if shown(d):
+                        lines = yield flow(d[2])
+                        row.append((wrapped(lines), span_of(d, "colspan"), span_of(d, "rowspan")))
+                elif not isinstance(d, str) or d.strip():
+                    loose.append(d)
+            put(row)
+        elif c[0] in ("td", "th"):
+            lines = yield flow(c[2])
+            put([(wrapped(lines), 1, 1)])
+        elif c[0] == "caption":
+            before += yield flow(c[2])
+        else:
+            loose.append(c)
     width: dict[int, int] = {}
     for row in rows:
-        for k, cell in enumerate(row):
-            width[k] = max(width.get(k, 0), max(map(len, cell), default=0))
-    out = flow(loose) + before
+        for at, (lines, single) in row.items():
+            width[at] = max(width.get(at, 0), min(COLUMN, max(map(len, lines), default=0)) if single else 0)
+    offset, x = {}, 0
+    for at in sorted(width):
+        offset[at] = x
+        x += width[at] + 2
+    stray = yield flow(loose)
+    out = stray + before
     for row in rows:
-        for k in range(max((len(c) for c in row), default=0)):
-            line = "  ".join((c[k] if k < len(c) else "").ljust(width[j]) for j, c in enumerate(row))
+        cells = [(offset[at], lines) for at, (lines, _) in row.items()]
+        for k in range(max((len(lines) for _, lines in cells), default=0)):
+            line = ""
+            for at, lines in cells:
+                if k < len(lines) and lines[k]:
+                    line = line.ljust(at) if len(line) <= at - 2 or not line else line + "  "
+                    line += lines[k]
             out.append(line.rstrip())
     return out
 
 
 def render(html: str) -> str:
-    return "\n".join(flow(parse(html)[2]))
+    return "\n".join(run(flow(parse(html)[2])))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """page_id and text for every row of pages.
 
-    Null and empty pages give an empty text; broken mark-up loses no visible text; repeated rows get equal
-    rows and ids may be null; an empty table gives no rows; other columns are ignored.
+    Null and empty pages give an empty text; broken mark-up loses no visible text, but for a last tag or comment that
+    isn't closed; repeated rows get equal rows and ids may be null; an empty table gives no rows; other columns
+    are ignored.
     """
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), F.coalesce(pages[html_col], F.lit("")).alias("html"))
 

@@ -558,7 +558,7 @@ def test_html(spark):
     }
     for source, want in cases.items():
         assert html.render(source) == want, source
-    assert html.render("<div>" * 5000 + "deep" + "<p>er") == "deep\ner"  # beyond the depth kept, elements are flattened, text is not lost
+    assert html.render("<div>" * 5000 + "deep" + "<p>er") == "deep\n\ner"
     pages = spark.createDataFrame([(1, "<p>a", "t"), (1, "<p>a", "t"), (None, None, "t"), (2, "", "t")], "page_id long, html string, text string")
     assert table(html.extract(pages)) == sorted(map(repr, [(1, "a"), (1, "a"), (None, ""), (2, "")]))
     assert html.extract(pages.limit(0)).count() == 0
