@@ -31,8 +31,10 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _RUN = re.compile(r"(.)\1+")
+_PAIRS = re.compile(r"(..)\1+")
 _CLASSES = bytes(ord("d") if 48 <= c < 58 else ord("h") if 97 <= c < 103 else ord("x") if 103 <= c < 123 or c > 127 else ord("X") if 65 <= c < 91 else c for c in range(256))
-PLAIN_WORDS = 150_000
+#: Words and shapes that are remembered, each of at most so many bytes.
+PLAIN_WORDS, WORD_BYTES = 150_000, 64
 _SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 Span = tuple[int, int, int]  # start, place of the kind, end
 
@@ -77,13 +79,13 @@ def signature(word: bytes) -> bytes:
 def own_features(sig: bytes) -> list[str]:
     """Word-shape features; all a word's scores depend on its signature alone."""
     bare = sig.strip(b"\"'<>[]{},;:!?").decode()
-    s = _RUN.sub(r"\1", (bare if len(bare) <= 80 else bare[:40] + bare[-40:]).replace("h", "x"))
+    s = _PAIRS.sub(r"\1", _RUN.sub(r"\1", bare.replace("h", "x")))
     n, digits = len(sig), sig.count(b"d")
     lower = sig.count(b"h")
     alpha = lower + sig.count(b"x") + sig.count(b"X")
     some = "0" if not digits else "1" if digits < 4 else "4" if digits < 12 else "12" if digits < 20 else "20"
     mix = ("h" if digits + lower == len(bare.strip(".")) else "m") if digits and alpha else "a" if alpha else "d" if digits else "p"
-    return ["*", f"s={s[:16]}", f"n={some}", f"m={mix}", f"l={min(n // 4, 9)}", f"nm={some}{mix}{n > 3}", f"@={b'@' in sig[1:-1]}", f".={min(bare.strip('.').count('.'), 4)}", f"f={s[:1]}", f"e={s[-1:]}"]
+    return ["*", f"s={s}", f"n={some}", f"m={mix}", f"l={min(n // 4, 9)}", f"nm={some}{mix}{n > 3}", f"@={b'@' in sig[1:-1]}", f".={min(bare.strip('.').count('.'), 4)}", f"f={s[:1]}", f"e={s[-1:]}"]
 
 
 def context_class(word: str | None) -> str:
@@ -208,10 +210,13 @@ def finder(crf: Crf):
     def score(word: bytes) -> np.ndarray | None:
         """Scores, or None for a word that stays outside."""
         sig = word.translate(_CLASSES)
-        if sig not in known:
-            s = crf.scores(sig)
-            known[sig] = None if crf.outside(s) else s
-        return known[sig]
+        if sig in known:
+            return known[sig]
+        s = crf.scores(sig)
+        s = None if crf.outside(s) else s
+        if len(sig) <= WORD_BYTES:
+            known[sig] = s
+        return s
 
     def find(batch: list[str]) -> list[tuple[list[Span], list[Span]]]:
         if len(plain) > PLAIN_WORDS:
@@ -225,7 +230,8 @@ def finder(crf: Crf):
             odd = False
             for w in fresh:
                 if score(w) is None:
-                    plain.add(w)
+                    if len(w) <= WORD_BYTES:
+                        plain.add(w)
                 else:
                     odd = True
             if not odd:

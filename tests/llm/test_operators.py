@@ -522,6 +522,25 @@ def test_crf_learns_its_table():
     assert right / total > 0.99
 
 
+def test_crf_finds_secrets_of_unseen_forms_and_leaves_prose_alone():
+    import string
+
+    rng = random.Random(3)
+    letters, hexa = string.ascii_letters + string.digits, "0123456789abcdef"
+    some = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    forms = (lambda: some(hexa, 24), lambda: some(hexa, 96), lambda: some(letters, 20), lambda: some(letters, 64), lambda: "glpat-" + some(letters, 20), lambda: f"xoxb-{some(string.digits, 11)}-{some(letters, 24)}", lambda: some(string.ascii_uppercase + string.digits, 32), lambda: some(letters + "+/", 43) + "=")
+    find, share = pii.finder(pii.Crf()), []
+    for form in forms:
+        values = [form() for _ in range(200)]
+        texts = [rng.choice(("The value {} was found in the log.", "token: {}", 'they sent "{}", which expired', "{}")).format(v) for v in values]
+        share.append(np.mean([any(a <= t.index(v) + 2 and b >= t.index(v) + len(v) - 2 for a, _, b in spans) for t, v, (_, spans) in zip(texts, values, find(texts))]))
+    assert min(share) > 0.6 and np.mean(share) > 0.9, share
+    plain = [" ".join(rng.choice(WORDS).title() if rng.random() < 0.2 else rng.choice(WORDS) + rng.choice(("", "", ",", ".")) for _ in range(40)) for _ in range(300)]
+    assert not any(spans for _, spans in find(plain))
+    shape = lambda n: pii.own_features(b"x" * n + b"dh" * n + b"X")
+    assert [f for f in shape(30) if f[:2] in ("s=", "f=", "e=")] == [f for f in shape(4000) if f[:2] in ("s=", "f=", "e=")]  # whole words, however long
+
+
 def test_urls(spark):
     given = ["https://a.Example.ORG/es/x?q#f", "http://example.org/en/123", "http://x.org", "ftp://b.com/fr/", "//no", None, "", "x://HÉ.com/de/1", "http://example.org./es/", "https://c.net/p", "http://spam-farm.example.net/a", "y://z://w.org/", "http://org/"]
     pages = spark.createDataFrame([(k, u, "h", "r") for k, u in enumerate(given)] + [(None, given[0], "h", "r"), (0, given[0], "h", "r")], "page_id long, url string, host string, rule string")
