@@ -247,7 +247,10 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS, la
 
 
 def pack_pieces(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """found (with a column length) and sequence_id, offset."""
+    """found, a written table of pieces() columns, and sequence_id, offset.
+
+    Rows that repeat are pieces of their own; null ids stay; an empty table gives no rows; no other columns come out.
+    """
     shards = max(1, math.ceil(found.count() / SHARD_PIECES))
     # the row's number spreads rows that are equal in all columns; found is a written table, so it is stable
     dealt = found.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(shards)).cast("long"))

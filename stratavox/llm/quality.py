@@ -119,7 +119,11 @@ def verdicts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_c
 
 
 def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that are kept, all columns as they are."""
+    """The rows of docs that are kept, all columns as they are.
+
+    Null and empty texts fail the base rules and go; rows that repeat stay or go together; null ids are judged like
+    others; an empty table gives no rows; columns of any name pass through.
+    """
     ratio = log_ratio(docs, trusted)
 
     @F.pandas_udf("boolean")

@@ -24,6 +24,7 @@ from .common import HOT, join_unique, map_batches, raw_texts, read, spill, texts
 
 BANDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 RADIUS, BLOCK, N_PIVOTS = 3, 4096, 16
+_ROW = "the row's digest (near-duplicates)"
 
 
 def pivots(n: int = N_PIVOTS) -> np.ndarray:
@@ -172,17 +173,19 @@ def keep_survivors(docs: DataFrame) -> DataFrame:
     """docs with exactly one row of each near-duplicate group: that of its least doc_id, null ids last, and of
     rows of that id the one whose digest over all columns is least.
 
-    Rows of one doc_id in different groups don't touch each other. An empty table gives no rows.
+    Rows of one doc_id in different groups don't touch each other. Of rows equal in all columns one stays. Null and
+    wordless texts are one group. Other columns of any name pass through. An empty table gives no rows.
     """
     names = [f"`{c}`" for c in docs.columns]
     # the digest of the whole row is its key: rows that share it are equal in all columns
-    keyed = docs.withColumn("_row", F.unhex(F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)))
-    rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "_row", F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.withColumn(_ROW, F.unhex(F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)))
+    rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(_ROW).alias("_row"), F.coalesce("text", F.lit("")).alias("text"))
     fps = spill(map_batches(rows, lambda: lambda b: (b.column(0), b.column(1), [fingerprint(t) for t in raw_texts(b)]), "doc_id long, _row binary, fp long"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")
     one = fps.groupBy("fp").agg(first).join(_rooted(fps), "fp")
     kept = spill(one.groupBy("root").agg(F.min("first").alias("first")).select("first._row"))
-    return keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(names)
+    # rows that repeat meet in each task before the shuffle, so that no key brings many
+    return keyed.dropDuplicates([_ROW]).join(kept.withColumnRenamed("_row", _ROW), _ROW, "left_semi").select(names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

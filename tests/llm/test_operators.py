@@ -649,5 +649,116 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in docs.collect()} == ids
 
 
+def test_pipeline_against_plain_loops(spark, tmp_path):
+    """run() over a small corpus, each stage done again without its Spark code."""
+    import re
+
+    from pyspark.ml.linalg import Vectors
+    from tokenizers import Tokenizer
+    from xxhash import xxh3_64_intdigest, xxh64_intdigest
+
+    rng = random.Random(12)
+    texts = []
+    for i in range(150):
+        w = prose(rng, rng.randint(30, 90)).split()
+        if i % 4 == 0:
+            for _ in range(4):
+                w[rng.randrange(len(w))] = rng.choice(("zorbish", "grubnak", "vilepox"))
+        if i % 7 == 0:
+            w.insert(5, f"mail{i}@host{i}.example.org")
+        texts.append(" ".join(w))
+    texts += [texts[1], near(rng, texts[2]), near(rng, prose(rng, 200)), "too short", "", None, "again and again and " * 20, prose(rng, 9000)]
+    rows = [(i, t, "en", None, len(t or "")) for i, t in enumerate(texts)] + [(3, texts[5], "en", None, 0), (None, texts[6], "en", "s", None), (None, prose(rng, 40), None, None, None)]
+    labels = [(i, int(i % 3 == 0), int(i % 4 == 0)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    lab.write.parquet(f"{tmp_path}/labels.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    # quality: base rules, then the mean log ratio of hashed 1- and 2-grams
+    def grams(t):
+        h = [xxh3_64_intdigest(w) for w in (t or "").encode().split()]
+        return [x >> 48 for x in h] + [((a * 0x9E3779B97F4A7C15 + b) % 2**64) >> 48 for a, b in zip(h, h[1:])]
+
+    raw, target = Counter(), Counter()
+    for i, t, *_ in rows:
+        raw.update(grams(t))
+        target.update(grams(t) if i is not None and i < 120 and i % 3 == 0 else [])
+    part = sum(target.values()) / sum(raw.values())
+
+    def good(t):
+        w = (t or "").split()
+        n = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        again = {k + j for k in range(len(w) - 4) if n[tuple(w[k : k + 5])] > 1 for j in range(5)}
+        return len(w) >= 10 and 100 * len(again) <= 20 * len(w) and np.mean([np.log(target[g] + 6) - np.log(raw[g] * part + 6) for g in grams(t)]) >= quality.THRESHOLD
+
+    left = [r for r in rows if good(r[1])]
+    assert 100 < len(left) < len(rows)
+    # toxicity: the fitted model's features, trees and calibration, text by text
+    model = toxicity.fit(spark.createDataFrame(left, docs.schema), lab)
+    lexicon = toxicity.Lexicon(model.weights)
+
+    def toxic(t):
+        p = model.trees.predictProbability(Vectors.dense(toxicity.features(t, lexicon, toxicity.masked(lexicon), toxicity.SECOND_PERSON)))[1]
+        return (np.interp(p, model.calibration.boundaries.toArray(), model.calibration.predictions.toArray()) if model.calibration else p) >= 0.5
+
+    left = [r for r in left if not toxic(r[1])]
+    assert not any("grubnak" in r[1] for r in left) and len(left) > 80
+
+    # near duplicates: all pairs of fingerprints; the least id of a group, null last
+    def print_of(t):
+        w = t.lower().encode().split()
+        h = [xxh64_intdigest(b" ".join(w[k : k + 3]), 42) for k in range(len(w) - 2)]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    fps, group = [print_of(r[1]) for r in left], list(range(len(left)))
+    for _ in left:
+        for a in range(len(left)):
+            group[a] = min(group[b] for b in range(len(left)) if (fps[a] ^ fps[b]).bit_count() <= 3)
+    best = {}
+    for g, r in zip(group, left):
+        if g not in best or (r[0] is None, r[0] or 0) < (best[g][0] is None, best[g][0] or 0):
+            best[g] = r
+    assert len(best) < len(left)
+    # PII, whole texts decoded at once, then the tokenizer's ids in pieces
+    crf, tok, want = pii.Crf(), Tokenizer.from_file(packing.vocabulary()), Counter()
+    for i, t, *_ in best.values():
+        words = list(re.finditer(r"\S+", t))
+        near_ = [pii.CLASSES.index(pii.context_class(w)) for w in [None, *(m[0] for m in words), None]]
+        e = np.array([crf.scores(pii.signature(m[0].encode())) for m in words]) + crf.before[near_[:-2]] + crf.after[near_[2:]]
+        assert all(pii.LABELS[y] in ("O", "email") for y in crf.decode([(e, True, True)])[0])
+        ids = [*tok.encode(re.sub(r"[a-z0-9]+@[a-z0-9.]+", "[EMAIL]", t), add_special_tokens=False).ids, 1]
+        for p, at in enumerate(range(0, len(ids), 4096)):
+            some = ids[at : at + 4096]
+            want[i, p, at, len(some), crc32(struct.pack(f"<{len(some)}I", *some))] += 1
+    assert Counter(tuple(r)[:5] for r in got) == want
+    filled = Counter()
+    for r in got:
+        filled[r["sequence_id"]] += r["length"]
+    assert max(filled.values()) <= 4096 and len(filled) <= -(-sum(filled.values()) // 4096) + 2
+
+
+def test_stages_with_empty_tables_and_odd_columns(spark, docs, none, tmp_path):
+    """Each stage over no rows, and over rows with clashing columns, null and repeated ids."""
+    d = str(tmp_path)
+    spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    clash = {n: F.lit(n) for n in ("_row", "row", "features", "prediction", "probability", "rawPrediction", "calibrated", "p", "t_id", "good", "first", "root", "node", "shard", "k k", "a.b", "length")}
+    odd = docs.withColumns(clash)
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        assert stage(spark, none, d).count() == 0, name
+        out = stage(spark, odd, d)
+        plain = stage(spark, docs, d)
+        if n < 4:
+            assert out.columns == odd.columns and out.select("p").distinct().count() == 1, name
+            key = lambda df: Counter((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect())
+            assert key(out) == key(plain), name
+        else:
+            assert out.columns == plain.columns and out.count() == plain.count()
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{d}/labels.parquet")
+    none.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{d}/documents.parquet")
+    assert corpus_pipeline.run(spark, d).count() == 0
+
+
 def test_registry_names():
     assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
