@@ -58,20 +58,56 @@ def from_bricks(bricks: DataFrame) -> DataFrame:
     return bricks.mapInPandas(unpack, "z int, y int, x int, value int")
 
 
-def to_slices(vox: DataFrame, shape: tuple[int, int, int], dtype: str = "<u2", prefix: str = "mask") -> DataFrame:
-    """(z, name, height, width, dtype, data): one dense image for each occupied slice."""
+def to_slices(vox: DataFrame, shape: tuple[int, int, int], dtype: str = "<u2", prefix: str = "mask", tile: int = 1024) -> DataFrame:
+    """(z, name, height, width, dtype, data): one dense image for each occupied slice.
+
+    Voxels become bricks of a plane and ``tile`` x ``tile`` cells, and a slice is pasted from its bricks, so no task
+    takes the voxels of a whole slice as rows.
+    """
     _, ny, nx = shape
+    tiles = to_bricks(vox, shape, (1, tile, tile), dtype)
+    whole = tiles.groupBy(F.col("bz").alias("z")).agg(F.collect_list(F.struct("y0", "x0", "dy", "dx", "data")).alias("tiles"))
 
-    def assemble(pdf):
+    def paste(parts):
         import numpy as np
         import pandas as pd
 
-        cells = np.zeros((ny, nx), dtype)
-        cells[pdf["y"], pdf["x"]] = pdf["value"]
-        z = int(pdf["z"].iloc[0])
-        return pd.DataFrame([(z, f"{prefix}_{z:04d}", ny, nx, dtype, cells.tobytes())], columns=["z", "name", "height", "width", "dtype", "data"])
+        for pdf in parts:
+            for z, found in zip(pdf["z"], pdf["tiles"], strict=True):
+                cells = np.zeros((ny, nx), dtype)
+                for t in found:
+                    cells[t["y0"] : t["y0"] + t["dy"], t["x0"] : t["x0"] + t["dx"]] = np.frombuffer(t["data"], dtype).reshape(t["dy"], t["dx"])
+                yield pd.DataFrame([(z, f"{prefix}_{z:04d}", ny, nx, dtype, cells.tobytes())], columns=["z", "name", "height", "width", "dtype", "data"])
+
+    return whole.mapInPandas(paste, "z int, name string, height int, width int, dtype string, data binary")
+
+
+def predict_bricks(bricks: DataFrame, load: Callable, batch: int = 8, dtype: str = "<u2") -> DataFrame:
+    """bricks with data replaced by a model's prediction of the same shape, as ``dtype``.
 
-    return vox.groupBy("z").applyInPandas(assemble, "z int, name string, height int, width int, dtype string, data binary")
+    load() gives the model once for a partition; model(array of [batch, z, y, x]) -> the same shape. Up to ``batch``
+    bricks that follow each other with one shape and type go in at once.
+    """
+
+    def run(parts):
+        import numpy as np
+
+        model = None
+        for pdf in parts:
+            model = model or load()
+            kind = list(zip(pdf["dtype"], pdf["dz"], pdf["dy"], pdf["dx"], strict=True))
+            out, at = [], 0
+            while at < len(kind):
+                end = at + 1
+                while end < len(kind) and end - at < batch and kind[end] == kind[at]:
+                    end += 1
+                t, *size = kind[at]
+                cells = np.stack([np.frombuffer(x, t).reshape(size) for x in pdf["data"].iloc[at:end]])
+                out += [np.ascontiguousarray(x, dtype).tobytes() for x in model(cells)]
+                at = end
+            yield pdf.assign(data=out, dtype=dtype)
+
+    return bricks.mapInPandas(run, bricks.schema)
 
 
 def map_slices(slices: DataFrame, fn: Callable, dtype: str = "<f8") -> DataFrame:

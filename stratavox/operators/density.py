@@ -12,12 +12,16 @@ from .voxels import KEY, mask_to, overlay
 SCALE = 10_000
 
 
-def rasterize_spots(spots: DataFrame, height: int, width: int, radius: int = 3) -> DataFrame:
-    """(y, x, value 255): cells whose squared distance to a spot's truncated centre is below radius squared."""
-    c = spots.select(F.col("y").cast("int").alias("cy"), F.col("x").cast("int").alias("cx"))
+def rasterize_spots(spots: DataFrame, height: int, width: int, radius: int = 3, by: list[str] | None = None) -> DataFrame:
+    """(y, x, value 255): cells whose squared distance to a spot's truncated centre is below radius squared.
+
+    by: columns that name the image of a spot, each an image of its own.
+    """
+    by = by or []
+    c = spots.select(*by, F.col("y").cast("int").alias("cy"), F.col("x").cast("int").alias("cx"))
     reach = F.sequence(F.lit(-radius), F.lit(radius))
     cells = c.withColumn("dy", F.explode(reach)).withColumn("dx", F.explode(reach)).filter(F.col("dy") * F.col("dy") + F.col("dx") * F.col("dx") < radius * radius)
-    at = cells.select((F.col("cy") + F.col("dy")).alias("y"), (F.col("cx") + F.col("dx")).alias("x"))
+    at = cells.select(*by, (F.col("cy") + F.col("dy")).alias("y"), (F.col("cx") + F.col("dx")).alias("x"))
     return at.filter(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1)).distinct().withColumn("value", F.lit(255))
 
 
@@ -73,12 +77,17 @@ def mean_heat(heats: DataFrame, samples: int) -> DataFrame:
     return heats.groupBy(*KEY).agg((F.sum("value") / samples).alias("value"))
 
 
-def gaussian_smooth(vox: DataFrame, shape: tuple[int, int, int], sigma: float = 1.0, slab: int | None = None) -> DataFrame:
-    """Normalised Gaussian of radius int(4 sigma + 1/2) with mirrored borders, planes mirrored in each slab."""
+def gaussian_smooth(vox: DataFrame, shape: tuple[int, int, int], sigma: float = 1.0, slab: int | None = None, whole: bool = False) -> DataFrame:
+    """Normalised Gaussian of radius int(4 sigma + 1/2) with mirrored borders, planes mirrored in each slab.
+
+    whole: values stay whole numbers, cut off after each axis, as those of an integer image do.
+    """
     reach = int(4 * sigma + 0.5)
     w = [exp(-d * d / (2 * sigma * sigma)) for d in range(-reach, reach + 1)]
     weights = [(d, int(x / sum(w) * SCALE + 0.5)) for d, x in zip(range(-reach, reach + 1), w, strict=True)]
     out = vox.select(*KEY, "value")
     for axis, n in zip(KEY, shape, strict=True):
         out = stencil(out, axis, weights, n, True, slab if axis == "z" else None)
-    return out.select(*KEY, (F.col("value") / F.lit(float(SCALE) ** 3)).alias("value"))
+        if whole:
+            out = out.withColumn("value", F.floor(F.col("value") / SCALE).cast("int")).filter("value <> 0")
+    return out if whole else out.select(*KEY, (F.col("value") / F.lit(float(SCALE) ** 3)).alias("value"))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import spill
 from .voxels import KEY
 
-MAX_DEPTH = 20
-
 
 def region_voxels(labels: DataFrame) -> DataFrame:
     """(label, total_vox) of every label but 0."""
@@ -33,17 +32,24 @@ def common_planes(mask: DataFrame, labels: DataFrame, nz_mask: int, nz_labels: i
     return mask.filter(F.col("z") < n), labels.filter(F.col("z") < n)
 
 
-def closure(regions: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """(region_id, ancestor) for each region and itself and all above it; a cycle ends at max_depth."""
-    parents = regions.select(F.col("region_id").alias("p_id"), F.col("parent_id").alias("p_parent"))
-    step = regions.select("region_id", F.col("region_id").alias("ancestor"), F.col("parent_id").alias("up"))
-    out = step.select("region_id", "ancestor")
-    for _ in range(max_depth):
-        step = step.filter("up IS NOT NULL").join(parents, F.col("up") == F.col("p_id")).select("region_id", F.col("up").alias("ancestor"), F.col("p_parent").alias("up"))
-        if step.isEmpty():
-            break
-        out = out.unionByName(step.select("region_id", "ancestor"))
-    return out.distinct()
+def closure(regions: DataFrame) -> DataFrame:
+    """(region_id, ancestor) for each region and itself and all above it, to any depth; a cycle raises.
+
+    A round doubles how far each region looks up: its list grows by the list of the region that it ends at. So the
+    rounds grow with the logarithm of the depth; each is a small written table, as the ontology is one.
+    """
+    unknown = F.col("up").isNotNull() & F.col("next").isNull()  # a parent that is no region ends the list
+    now = regions.select("region_id", F.array("region_id").alias("line"), F.col("parent_id").alias("up"))
+    left, known = None, None
+    while left is None or left:
+        above = now.select(F.col("region_id").alias("next"), F.col("line").alias("more"), F.col("up").alias("further"))
+        met = now.join(above, F.col("up") == F.col("next"), "left")
+        now = spill(met.select("region_id", F.concat("line", F.coalesce("more", F.when(unknown, F.array("up")), F.array())).alias("line"), F.when(unknown, None).otherwise(F.col("further")).alias("up")))
+        size = now.agg(F.count_if(F.col("up").isNotNull()).alias("left"), F.coalesce(F.max(F.size("line")), F.lit(0)).alias("longest"), F.count("*").alias("n")).first()
+        left = size["left"]
+        if size["longest"] > size["n"] + 1:
+            raise ValueError("the regions' parents form a cycle")
+    return now.select("region_id", F.explode("line").alias("ancestor"))
 
 
 def rollup(counts: DataFrame, regions: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ volume has cells. Three nearest rules exist and are named: corner, linspace and
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,23 +42,24 @@ def axis_map(spark: SparkSession, n: int, m: int, rule, name: str) -> DataFrame:
     return spark.range(m).select(rule(F.col("id"), n, m).alias(name), k.alias(f"t_{name}"))
 
 
-def slabs(nz: int, depth: int | None, factor: float) -> list[tuple[int, int, int, int]]:
-    """(first plane, planes, target planes, first target plane) of each slab; one slab for a depth of None."""
-    out, at = [], 0
-    for z in range(0, nz, depth or nz):
-        n = min(depth or nz, nz - z)
-        m = target_size(n, factor)
-        out.append((z, n, m, at))
-        at += m
-    return out
+def slabs(nz: int, depth: int | None, factor: float) -> list[tuple[int, int, int, int, int]]:
+    """(slabs, planes, target planes, first plane, first target plane) of all whole slabs, and of a last thinner one."""
+    depth = min(depth or nz, nz)
+    whole, rest = divmod(nz, depth)
+    m = target_size(depth, factor)
+    return [(whole, depth, m, 0, 0)] + ([(1, rest, target_size(rest, factor), whole * depth, whole * m)] if rest else [])
+
+
+def _plane_rows(spark: SparkSession, part: tuple[int, int, int, int, int]) -> DataFrame:
+    """(k, t_z, first): target plane within its slab and in the volume, and the slab's first plane."""
+    count, n, m, z0, t0 = part
+    slab = F.floor(F.col("id") / m).cast("int")
+    return spark.range(count * m).select((F.col("id") % m).alias("k"), (F.col("id") + t0).cast("int").alias("t_z"), (slab * n + z0).alias("first"))
 
 
 def _z_map(spark: SparkSession, nz: int, depth: int | None, factor: float) -> DataFrame:
-    parts = [axis_map(spark, n, m, corner, "z").select((F.col("z") + z0).alias("z"), (F.col("t_z") + t0).alias("t_z")) for z0, n, m, t0 in slabs(nz, depth, factor) if m]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts = [_plane_rows(spark, x).select((F.col("first") + corner(F.col("k"), x[1], x[2])).alias("z"), "t_z") for x in slabs(nz, depth, factor) if x[2]]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "z int, t_z int")
 
 
 def gather(vox: DataFrame, maps: list[DataFrame], value: str = "value") -> DataFrame:
@@ -74,14 +77,17 @@ def downsample_nearest(vox: DataFrame, shape: tuple[int, int, int], factors: tup
     return gather(vox, maps)
 
 
-def _linear_map(spark: SparkSession, n: int, m: int, name: str) -> DataFrame:
-    """(name, t_name, w_name): the one or two sources of each target, weights in units of 1 / (m - 1)."""
-    d = max(m - 1, 1)
-    k = spark.range(m)
-    low, part = (F.floor(F.col("id") * (n - 1) / F.lit(d)).cast("int"), F.pmod(F.col("id") * (n - 1), F.lit(d))) if m > 1 else (F.lit(0), F.lit(0).cast("long"))
+def _linear_rows(rows: DataFrame, n: int, m: int, name: str) -> DataFrame:
+    """(name, t_name, w_name): the one or two sources of each target (k, t_name, first), weights in units of 1 / (m - 1)."""
+    d, k = max(m - 1, 1), F.col("k")
+    low, part = (F.floor(k * (n - 1) / F.lit(d)).cast("int"), F.pmod(k * (n - 1), F.lit(d))) if m > 1 else (F.lit(0), F.lit(0).cast("long"))
     both = F.array(F.struct(low.alias("s"), (d - part).alias("w")), F.struct(F.least(low + 1, F.lit(n - 1)).alias("s"), part.alias("w")))
-    rows = k.select(F.col("id").cast("int").alias(f"t_{name}"), F.explode(both).alias("b"))
-    return rows.select(F.col("b.s").alias(name), f"t_{name}", F.col("b.w").alias(f"w_{name}")).filter(f"w_{name} > 0")
+    rows = rows.select("first", f"t_{name}", F.explode(both).alias("b"))
+    return rows.select((F.col("first") + F.col("b.s")).alias(name), f"t_{name}", F.col("b.w").alias(f"w_{name}")).filter(f"w_{name} > 0")
+
+
+def _linear_map(spark: SparkSession, n: int, m: int, name: str) -> DataFrame:
+    return _linear_rows(spark.range(m).select(F.col("id").alias("k"), F.col("id").cast("int").alias(f"t_{name}"), F.lit(0).alias("first")), n, m, name)
 
 
 def downsample_linear(vox: DataFrame, shape: tuple[int, int, int], factors: tuple[float, float, float], depth: int | None = 100) -> DataFrame:
@@ -91,11 +97,8 @@ def downsample_linear(vox: DataFrame, shape: tuple[int, int, int], factors: tupl
     """
     spark, (nz, ny, nx), (fz, fy, fx) = vox.sparkSession, shape, factors
     my, mx = target_size(ny, fy), target_size(nx, fx)
-    planes = None
-    for z0, n, m, t0 in slabs(nz, depth, fz):
-        if m:
-            part = _linear_map(spark, n, m, "z").select((F.col("z") + z0).alias("z"), (F.col("t_z") + t0).alias("t_z"), "w_z", F.lit(max(m - 1, 1)).alias("d_z"))
-            planes = part if planes is None else planes.unionByName(part)
+    parts = [_linear_rows(_plane_rows(spark, x), x[1], x[2], "z").withColumn("d_z", F.lit(max(x[2] - 1, 1))) for x in slabs(nz, depth, fz) if x[2]]
+    planes = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "z int, t_z int, w_z long, d_z int")
     out = vox.select(*KEY, "value")
     for m in (planes, _linear_map(spark, ny, my, "y"), _linear_map(spark, nx, mx, "x")):
         out = out.join(F.broadcast(m), [c for c in m.columns if c in KEY])
@@ -136,9 +139,36 @@ def warp_nearest(fixed: DataFrame, moving: DataFrame, affine: list[float], displ
     return found.select(*KEY, F.coalesce(value, F.lit(0)).alias(value))
 
 
-def world_coordinates(vox: DataFrame, spacing_xyz: tuple, origin_xyz: tuple) -> DataFrame:
-    """vox with wx, wy, wz = origin + index * spacing."""
-    return vox.select("*", *[(F.lit(float(o)) + F.col(c) * F.lit(float(s))).alias(f"w{c}") for c, s, o in zip("xyz", spacing_xyz, origin_xyz, strict=True)])
+def warp_between(atlas: DataFrame, sample: DataFrame, affine: list[float], mode: str = "atlas2image", value: str = "value") -> DataFrame:
+    """One volume on the other's grid; affine leads from the sample's cells to the atlas's.
+
+    ``atlas2image``: the atlas's values at the sample's cells; ``image2atlas``: the sample's values at the atlas's
+    cells, by the inverse.
+    """
+    if mode == "atlas2image":
+        return warp_nearest(sample, atlas, affine, value=value)
+    if mode != "image2atlas":
+        raise ValueError(f"no direction {mode}")
+    import numpy as np
+
+    back = np.linalg.inv(np.vstack([np.reshape(affine, (3, 4)), [0, 0, 0, 1]]))
+    return warp_nearest(atlas, sample, back[:3].ravel().tolist(), value=value)
+
+
+def world_coordinates(vox: DataFrame, spacing_xyz: tuple, origin_xyz: tuple, direction: tuple | None = None) -> DataFrame:
+    """vox with wx, wy, wz = origin + direction * (index * spacing); direction: nine numbers by rows, or none turned."""
+    step = [F.col(c) * F.lit(float(s)) for c, s in zip("xyz", spacing_xyz, strict=True)]
+    if direction:
+        step = [sum((F.lit(float(d)) * s for d, s in zip(direction[3 * k + 1 : 3 * k + 3], step[1:], strict=True)), F.lit(float(direction[3 * k])) * step[0]) for k in range(3)]
+    return vox.select("*", *[(F.lit(float(o)) + s).alias(f"w{c}") for c, s, o in zip("xyz", step, origin_xyz, strict=True)])
+
+
+def permute_axes(vox: DataFrame, order: str) -> DataFrame:
+    """vox whose z, y and x are the axes named by order: ``"xyz"`` turns a volume kept as (x, y, z) to (z, y, x)."""
+    if sorted(order) != sorted(KEY):
+        raise ValueError(f"{order} does not name the three axes")
+    rest = [c for c in vox.columns if c not in KEY]
+    return vox.select(*[F.col(old).alias(new) for new, old in zip(KEY, order, strict=True)], *rest)
 
 
 def pyramid(vox: DataFrame, shape: tuple[int, int, int], levels: int, factor: float = 0.5) -> DataFrame:

@@ -8,9 +8,20 @@ from pyspark.sql import functions as F
 from ..storage import spill
 
 
+def global_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
+    """df with its rank from 1 in the given order, numbered in ranges: no task sees more than its range."""
+    parts = spill(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    local = parts.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    sizes = parts.groupBy("_part").count()  # a row for each range
+    starts = sizes.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_start"))
+    return local.join(starts, "_part").withColumn(name, F.col("_start") + F.col("_row")).drop("_part", "_row", "_start")
+
+
 def inventory(files: DataFrame, key: str = "channel", name: str = "name") -> DataFrame:
-    """files with z: the rank of the name within its channel, from 0."""
-    return files.withColumn("z", F.row_number().over(Window.partitionBy(key).orderBy(name)) - 1)
+    """files with z: the rank of the name within its channel, from 0; numbered in ranges, so that no channel is one task's."""
+    ranked = global_rank(files, [key, name], "_rank")
+    first = ranked.groupBy(key).agg(F.min("_rank").alias("_low"))
+    return ranked.join(first, key).withColumn("z", (F.col("_rank") - F.col("_low")).cast("int")).select(*files.columns, "z")
 
 
 def volume_shape(slices: DataFrame) -> DataFrame:
@@ -51,15 +62,6 @@ def even_sample(slices: DataFrame, rate: float) -> DataFrame:
     return slices.join(at.select("channel", step.cast("int").alias("z")).distinct(), ["channel", "z"], "left_semi")
 
 
-def global_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
-    """df with its rank from 1 in the given order, numbered in ranges: no task sees more than its range."""
-    parts = spill(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    local = parts.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = parts.groupBy("_part").count()  # a row for each range
-    starts = sizes.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_start"))
-    return local.join(starts, "_part").withColumn(name, F.col("_start") + F.col("_row")).drop("_part", "_row", "_start")
-
-
 def pair_up(a: DataFrame, b: DataFrame, order: str) -> DataFrame:
     """(rank, a_<order>, b_<order>): lists zipped by rank and cut to the shorter."""
     number = lambda df, side: global_rank(df.select(F.col(order).alias(f"{side}_{order}")), [f"{side}_{order}"])
@@ -89,5 +91,10 @@ def whole_batches(todo: DataFrame, done: DataFrame, key: str, batch: str) -> Dat
     return todo.join(seen, key, "left").groupBy(batch).agg(F.bool_and(F.coalesce("_d", F.lit(False))).alias("complete"))
 
 
+def drop_blank(images: DataFrame) -> DataFrame:
+    """Slice images (with data) that have a pixel other than 0; compared as bytes, whatever the type."""
+    return images.filter("data <> CAST(rpad('', length(data), '\\0') AS BINARY)")
+
+
 def status_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("status").agg(F.count("*").alias("n"))

@@ -61,13 +61,16 @@ def binarise(v: Column) -> Column:
 
 
 def densify(vox: DataFrame, shape: tuple[int, int, int], by: str | None = None) -> DataFrame:
-    """Every cell of the shape, absent ones with value 0; by: a column whose values each get a grid."""
-    spark = vox.sparkSession
+    """Every cell of the shape, absent ones with value 0; by: a column whose values each get a grid.
+
+    The grid is dealt out by (by, z) before it unfolds, so that a plane is the most that a task makes at once.
+    """
     nz, ny, nx = shape
-    cells = spark.range(nz * ny).select(F.floor(F.col("id") / ny).cast("int").alias("z"), (F.col("id") % ny).cast("int").alias("y"), F.explode(F.sequence(F.lit(0), F.lit(nx - 1))).alias("x"))
-    if by:
-        cells = vox.groupBy(by).agg(F.array(*[F.lit(k) for k in range(nz)]).alias("zs")).select(by, F.explode("zs").alias("z")).join(cells, "z")
+    axis = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     key = [by, *KEY] if by else KEY
+    grids = vox.select(by).distinct() if by else vox.sparkSession.range(1).select()
+    planes = grids.select("*", axis(nz).alias("z")).repartition(*key[:-2])
+    cells = planes.select("*", axis(ny).alias("y")).select("*", axis(nx).alias("x"))
     return cells.join(vox.select(*key, "value"), key, "left").select(*key, F.coalesce("value", F.lit(0)).alias("value"))
 
 

@@ -12,11 +12,11 @@ from ..sources import files as io
 from ..storage import fresh_path
 from ..streaming import slices as streaming
 from . import fixtures as X
-from .fixtures import NX, NY, NZ, SEG_SHAPE, SHAPE, with_tables
+from .fixtures import NX, NY, SEG_NX, SEG_NY, with_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-SMALL = (13, 64, 64)
+NZ_SQL = "(SELECT nz FROM dims)"
 FACTORS = (0.4, 0.25, 0.25)
 SLAB = 10
 
@@ -166,6 +166,11 @@ def threshold_volume(spark, d):
     return voxels.threshold_volume(X.vox(spark, d), 1000, by=["channel", "z"])
 
 
+@query(with_tables("mask", "SELECT CAST(sum(value) AS BIGINT) AS total FROM mask"))
+def mask_sum(spark, d):
+    return voxels.mask_sum(X.mask(spark, d), False)
+
+
 @query(with_tables("mask", "SELECT z, CAST(sum(value) AS BIGINT) AS total FROM mask GROUP BY z"))
 def mask_sum_by_slice(spark, d):
     return voxels.mask_sum(X.mask(spark, d))
@@ -222,17 +227,17 @@ def densify_small(spark, d):
     return voxels.densify(cells, (4, 8, 8), "block")
 
 
-_HIST = f"counts AS (SELECT z // 8 AS slab, value, count(*) AS n FROM vox WHERE channel = 0 GROUP BY 1, 2), hist AS (SELECT * FROM counts UNION ALL SELECT CAST(s AS INT), 0, 8 * {NY} * {NX} - coalesce((SELECT sum(n) FROM counts WHERE slab = s), 0) FROM range({NZ // 8}) t(s))"
+_HIST = f"counts AS (SELECT z // 8 AS slab, value, count(*) AS n FROM vox WHERE channel = 0 GROUP BY 1, 2), stored AS (SELECT slab, sum(n) AS n FROM counts GROUP BY slab), hist AS (SELECT * FROM counts UNION ALL SELECT CAST(s AS INT), 0, 8 * {NY} * {NX} - coalesce(n, 0) FROM (SELECT unnest(range(nz // 8)) AS s FROM dims) LEFT JOIN stored ON slab = s)"
 
 
 @query(with_tables("vox", "SELECT slab, value, CAST(n AS BIGINT) AS n FROM hist", _HIST))
 def slab_histogram(spark, d):
-    return voxels.slab_histogram(X.vox(spark, d).filter("channel = 0"), 8, SHAPE)
+    return voxels.slab_histogram(X.vox(spark, d).filter("channel = 0"), 8, X.shape(spark, d))
 
 
 @query(with_tables("vox", "SELECT slab, CAST(arg_min(value, (-score, value)) AS INT) AS threshold FROM (SELECT *, CASE WHEN w1 < nn THEN (ss * w1 - nn * s1) * (ss * w1 - nn * s1) / (w1 * (nn - w1)) ELSE -1 END AS score FROM (SELECT slab, value, CAST(sum(n) OVER a AS DOUBLE) AS w1, CAST(sum(n * value) OVER a AS DOUBLE) AS s1, CAST(sum(n) OVER b AS DOUBLE) AS nn, CAST(sum(n * value) OVER b AS DOUBLE) AS ss FROM hist WINDOW a AS (PARTITION BY slab ORDER BY value), b AS (PARTITION BY slab))) GROUP BY slab", _HIST))
 def otsu_slab(spark, d):
-    return voxels.otsu(voxels.slab_histogram(X.vox(spark, d).filter("channel = 0"), 8, SHAPE))
+    return voxels.otsu(voxels.slab_histogram(X.vox(spark, d).filter("channel = 0"), 8, X.shape(spark, d)))
 
 
 # regions
@@ -248,6 +253,13 @@ def region_signal(spark, d):
     return regions.region_signal(X.mask(spark, d), X.labels(spark, d))
 
 
+@query(with_tables("labels_vox mask", "SELECT label, count(*) AS total_vox, count(*) FILTER (m.value > 0) AS signal_vox FROM labels_vox LEFT JOIN mask m USING (z, y, x), dims WHERE label <> 0 AND z < nz - 5 GROUP BY label"))
+def density_common_planes(spark, d):
+    """A mask and labels whose volumes differ in planes: the last five of the longer one don't count."""
+    n = X.planes(spark, d)
+    return regions.region_density(*regions.common_planes(X.mask(spark, d), X.labels(spark, d), n - 5, n))
+
+
 _DENSITY = "dens AS (SELECT label, count(*) AS total_vox, count(*) FILTER (m.value > 0) AS signal_vox FROM labels_vox LEFT JOIN mask m USING (z, y, x) WHERE label <> 0 GROUP BY label)"
 _ROLL = _DENSITY + ", clos AS (SELECT region_id, region_id AS ancestor, parent_id AS up FROM regions UNION ALL SELECT c.region_id, c.up, r.parent_id FROM clos c JOIN regions r ON c.up = r.region_id), sums AS (SELECT ancestor, CAST(coalesce(sum(total_vox), 0) AS BIGINT) AS total_vox, CAST(coalesce(sum(signal_vox), 0) AS BIGINT) AS signal_vox FROM clos LEFT JOIN dens ON clos.region_id = label GROUP BY ancestor), rolled AS (SELECT region_id, name, parent_id, level, total_vox, signal_vox FROM regions JOIN sums ON region_id = ancestor)"
 
@@ -270,50 +282,58 @@ def level_report(spark, d):
 
 # resampling
 
-_MZ = [m for *_, m, _ in resample.slabs(NZ, SLAB, FACTORS[0])]
-_ZMAP = " UNION ALL ".join(f"SELECT CAST({z0} + {'0' if m == 1 else f'(2 * k * {n - 1} + {m - 1}) // {2 * (m - 1)}'} AS INT) AS z, CAST({t0} + k AS INT) AS tz FROM range({m}) t(k)" for z0, n, m, t0 in resample.slabs(NZ, SLAB, FACTORS[0]) if m)
+#: Slabs of the volume: s, n planes, m target planes, target plane k of the slab.
+_SLABS = f"slabs AS (SELECT s, n, m, unnest(range(m)) AS k FROM (SELECT s, n, CAST(round_even(n * {FACTORS[0]}, 0) AS BIGINT) AS m FROM (SELECT s, least({SLAB}, nz - {SLAB} * s) AS n FROM (SELECT nz, unnest(range((nz + {SLAB - 1}) // {SLAB})) AS s FROM dims))))"
+_FULL = resample.target_size(SLAB, FACTORS[0])
+_ZMAP = f"SELECT CAST({SLAB} * s + CASE WHEN m > 1 THEN (2 * k * (n - 1) + m - 1) // (2 * (m - 1)) ELSE 0 END AS INT) AS z, CAST({_FULL} * s + k AS INT) AS tz FROM slabs"
+
+
+def _z_axis_sql(m: str) -> str:
+    """The corner rule for all planes at once; m: the target planes by nz."""
+    return f"SELECT CAST((2 * k * (nz - 1) + m - 1) // (2 * (m - 1)) AS INT) AS z, CAST(k AS INT) AS tz FROM (SELECT nz, m, unnest(range(m)) AS k FROM (SELECT nz, CAST({m} AS BIGINT) AS m FROM dims))"
 
 
 def _axis_sql(n: int, m: int, c: str) -> str:
     return f"SELECT CAST((2 * k * {n - 1} + {m - 1}) // {2 * (m - 1)} AS INT) AS {c}, CAST(k AS INT) AS t{c} FROM range({m}) t(k)"
 
 
-_MAPS = f"zm AS ({_ZMAP}), ym AS ({_axis_sql(NY, 64, 'y')}), xm AS ({_axis_sql(NX, 64, 'x')})"
+_MAPS = f"{_SLABS}, zm AS ({_ZMAP}), ym AS ({_axis_sql(NY, 64, 'y')}), xm AS ({_axis_sql(NX, 64, 'x')})"
 
 
 @query(with_tables("mask", "SELECT tz AS z, ty AS y, tx AS x, value FROM mask JOIN zm USING (z) JOIN ym USING (y) JOIN xm USING (x)", _MAPS))
 def downsample_nearest(spark, d):
-    return resample.downsample_nearest(X.mask(spark, d), SHAPE, FACTORS, SLAB)
+    return resample.downsample_nearest(X.mask(spark, d), X.shape(spark, d), FACTORS, SLAB)
 
 
-def _lin_sql(n: int, m: int, c: str, z0: int = 0, t0: int = 0) -> str:
+def _lin_sql(n: int, m: int, c: str) -> str:
     den = max(m - 1, 1)
     low, part = (f"(k * {n - 1}) // {den}", f"(k * {n - 1}) % {den}") if m > 1 else ("0", "0")
-    return f"SELECT CAST({z0} + s AS INT) AS {c}, CAST({t0} + k AS INT) AS t{c}, w AS w{c}, {den} AS d{c} FROM (SELECT k, {low} AS s, {den} - {part} AS w FROM range({m}) t(k) UNION ALL SELECT k, least({low} + 1, {n - 1}), {part} FROM range({m}) t(k)) WHERE w > 0"
+    return f"SELECT CAST(s AS INT) AS {c}, CAST(k AS INT) AS t{c}, w AS w{c}, {den} AS d{c} FROM (SELECT k, {low} AS s, {den} - {part} AS w FROM range({m}) t(k) UNION ALL SELECT k, least({low} + 1, {n - 1}), {part} FROM range({m}) t(k)) WHERE w > 0"
 
 
-_LZ = " UNION ALL ".join(_lin_sql(n, m, "z", z0, t0) for z0, n, m, t0 in resample.slabs(NZ, SLAB, FACTORS[0]) if m)
+_LZ = f"SELECT CAST({SLAB} * s + p AS INT) AS z, CAST({_FULL} * s + k AS INT) AS tz, w AS wz, greatest(m - 1, 1) AS dz FROM (SELECT *, k * (n - 1) // greatest(m - 1, 1) AS p, greatest(m - 1, 1) - k * (n - 1) % greatest(m - 1, 1) AS w FROM slabs UNION ALL SELECT *, least(k * (n - 1) // greatest(m - 1, 1) + 1, n - 1), k * (n - 1) % greatest(m - 1, 1) FROM slabs) WHERE w > 0"
 
 
-@query(with_tables("mask", "SELECT tz AS z, ty AS y, tx AS x, CAST(sum(CAST(value AS BIGINT) * wz * wy * wx) AS DOUBLE) / CAST(max(dz * dy * dx) AS DOUBLE) AS value FROM mask JOIN zl USING (z) JOIN yl USING (y) JOIN xl USING (x) GROUP BY 1, 2, 3", f"zl AS ({_LZ}), yl AS ({_lin_sql(NY, 64, 'y')}), xl AS ({_lin_sql(NX, 64, 'x')})"))
+@query(with_tables("mask", "SELECT tz AS z, ty AS y, tx AS x, CAST(sum(CAST(value AS BIGINT) * wz * wy * wx) AS DOUBLE) / CAST(max(dz * dy * dx) AS DOUBLE) AS value FROM mask JOIN zl USING (z) JOIN yl USING (y) JOIN xl USING (x) GROUP BY 1, 2, 3", f"{_SLABS}, zl AS ({_LZ}), yl AS ({_lin_sql(NY, 64, 'y')}), xl AS ({_lin_sql(NX, 64, 'x')})"))
 def downsample_linear(spark, d):
-    return resample.downsample_linear(X.mask(spark, d), SHAPE, FACTORS, SLAB)
+    return resample.downsample_linear(X.mask(spark, d), X.shape(spark, d), FACTORS, SLAB)
 
 
-@query(with_tables("mask", "SELECT tz AS z, ty AS y, tx AS x, 255 AS value FROM mask JOIN zw USING (z) JOIN ym USING (y) JOIN xm USING (x)", _MAPS + f", zw AS ({_axis_sql(NZ, 13, 'z')})"))
+@query(with_tables("mask", "SELECT tz AS z, ty AS y, tx AS x, 255 AS value FROM mask JOIN zw USING (z) JOIN ym USING (y) JOIN xm USING (x)", _MAPS + f", zw AS ({_z_axis_sql(f'round_even(nz * {FACTORS[0]}, 0)')})"))
 def heatmap_mask_downsample(spark, d):
-    return resample.mask_for_heatmap(X.mask(spark, d), SHAPE, FACTORS)
+    return resample.mask_for_heatmap(X.mask(spark, d), X.shape(spark, d), FACTORS)
 
 
-def _half(source: str, n: tuple, level: int) -> str:
+def _half(source: str, level: int) -> str:
     """A level of the pyramid by the corner rule."""
-    at = ", ".join(f"s{c} AS (SELECT CAST((2 * k * {a - 1} + {a // 2 - 1}) // {2 * (a // 2 - 1)} AS INT) AS {c}, CAST(k AS INT) AS t{c} FROM range({a // 2}) t(k))" for c, a in zip("zyx", n, strict=True))
-    return f"p{level} AS (WITH {at} SELECT tz AS z, ty AS y, tx AS x, value FROM {source} JOIN sz USING (z) JOIN sy USING (y) JOIN sx USING (x))"
+    at = ", ".join(f"s{c} AS (SELECT CAST((2 * k * {a - 1} + {a // 2 - 1}) // {2 * (a // 2 - 1)} AS INT) AS {c}, CAST(k AS INT) AS t{c} FROM range({a // 2}) t(k))" for c, a in (("y", NY >> level - 1), ("x", NX >> level - 1)))
+    deep = _z_axis_sql(f"nz // {2**level}").replace("(nz - 1)", f"(nz // {2 ** (level - 1)} - 1)")
+    return f"p{level} AS (WITH sz AS ({deep}), {at} SELECT tz AS z, ty AS y, tx AS x, value FROM {source} JOIN sz USING (z) JOIN sy USING (y) JOIN sx USING (x))"
 
 
-@query(with_tables("mask", "SELECT 0 AS level, z, y, x, value FROM mask UNION ALL SELECT 1, z, y, x, value FROM p1 UNION ALL SELECT 2, z, y, x, value FROM p2", _half("mask", SHAPE, 1) + ", " + _half("p1", (NZ // 2, NY // 2, NX // 2), 2)))
+@query(with_tables("mask", "SELECT 0 AS level, z, y, x, value FROM mask UNION ALL SELECT 1, z, y, x, value FROM p1 UNION ALL SELECT 2, z, y, x, value FROM p2", _half("mask", 1) + ", " + _half("p1", 2)))
 def resolution_pyramid(spark, d):
-    return resample.pyramid(X.mask(spark, d), SHAPE, 3)
+    return resample.pyramid(X.mask(spark, d), X.shape(spark, d), 3)
 
 
 @query(with_tables("vox bright", "SELECT channel, z, y, x, value FROM vox WHERE (z // 4, y // 16, x // 16) IN (SELECT (z // 4, y // 16, x // 16) FROM bright)"))
@@ -322,17 +342,20 @@ def block_prune(spark, d):
     return resample.occupied_blocks(X.vox(spark, d), low, (4, 16, 16))
 
 
-_UP = (40, 300, 300)
+_UP = 300
+
+
+def _up_sql(n: int, m: int, c: str) -> str:
+    return f"SELECT CAST((k * {n}) // {m} AS INT) AS {c}, CAST(k AS INT) AS t{c} FROM range({m}) t(k)"
 
 
-def _up_sql(n: int, m: int, c: str, even: bool) -> str:
-    src = f"round_even(CAST(k * {n - 1} AS DOUBLE) / {m - 1}, 0)" if even else f"(k * {n}) // {m}"
-    return f"SELECT CAST({src} AS INT) AS {c}, CAST(k AS INT) AS t{c} FROM range({m}) t(k)"
+_UP_Z = "SELECT CAST(round_even(CAST(k * (nz - 1) AS DOUBLE) / (nz * 5 // 4 - 1), 0) AS INT) AS z, CAST(k AS INT) AS tz FROM (SELECT nz, unnest(range(nz * 5 // 4)) AS k FROM dims)"
 
 
-@query(with_tables("labels_vox", "SELECT tz AS z, ty AS y, tx AS x, label FROM labels_vox JOIN zu USING (z) JOIN yu USING (y) JOIN xu USING (x)", f"zu AS ({_up_sql(NZ, _UP[0], 'z', True)}), yu AS ({_up_sql(NY, _UP[1], 'y', False)}), xu AS ({_up_sql(NX, _UP[2], 'x', False)})"))
+@query(with_tables("labels_vox", "SELECT tz AS z, ty AS y, tx AS x, label FROM labels_vox JOIN zu USING (z) JOIN yu USING (y) JOIN xu USING (x)", f"zu AS ({_UP_Z}), yu AS ({_up_sql(NY, _UP, 'y')}), xu AS ({_up_sql(NX, _UP, 'x')})"))
 def upsample_labels(spark, d):
-    return resample.upsample_labels(X.labels(spark, d), SHAPE, _UP)
+    nz, ny, nx = X.shape(spark, d)
+    return resample.upsample_labels(X.labels(spark, d), (nz, ny, nx), (nz * 5 // 4, _UP, _UP))
 
 
 _AFFINE = [1.0, 0, 0, 1.0, 0, 0.5, 0, 0, 0, 0, 0.5, 0]
@@ -343,6 +366,12 @@ def warp_affine(spark, d):
     return resample.warp_nearest(X.mask(spark, d), X.vox(spark, d).filter("channel = 1"), _AFFINE)
 
 
+@query(with_tables("mask vox", "SELECT a.z, a.y, a.x, coalesce(s.value, 0) AS value FROM (SELECT * FROM vox WHERE channel = 1) a LEFT JOIN mask s ON s.z = a.z - 1 AND s.y = a.y + 2 AND s.x = a.x - 3"))
+def warp_image2atlas(spark, d):
+    """The sample on the atlas's grid, by the inverse of the sample's way to the atlas."""
+    return resample.warp_between(X.vox(spark, d).filter("channel = 1"), X.mask(spark, d), [1, 0, 0, 1, 0, 1, 0, -2, 0, 0, 1, 3], "image2atlas")
+
+
 @query(with_tables("mask labels_vox", "SELECT f.z, f.y, f.x, coalesce(m.label, 0) AS label FROM mask f LEFT JOIN labels_vox m ON m.z = f.z AND m.y = f.y + f.x % 3 - 1 AND m.x = f.x + f.y % 3 - 1"))
 def warp_displacement(spark, d):
     f = X.mask(spark, d)
@@ -355,9 +384,19 @@ def world_coords(spark, d):
     return resample.world_coordinates(X.mask(spark, d), (1.8, 1.8, 2.0), (-5.5, 3.25, 0.0))
 
 
+@query(with_tables("mask", "SELECT z, y, x, value, 1.0::DOUBLE + (0.0::DOUBLE * (x * 2.0::DOUBLE) + (-1.0::DOUBLE) * (y * 3.0::DOUBLE) + 0.0::DOUBLE * (z * 4.0::DOUBLE)) AS wx, 2.0::DOUBLE + (x * 2.0::DOUBLE) AS wy, 3.0::DOUBLE + (-(z * 4.0::DOUBLE)) AS wz FROM mask"))
+def world_turned(spark, d):
+    return resample.world_coordinates(X.mask(spark, d), (2.0, 3.0, 4.0), (1.0, 2.0, 3.0), (0, -1, 0, 1, 0, 0, 0, 0, -1))
+
+
+@query(with_tables("vox", "SELECT x AS z, y, z AS x, channel, value FROM vox"))
+def axis_permute(spark, d):
+    return resample.permute_axes(X.vox(spark, d), "xyz")
+
+
 # objects
 
-_COMP = f"""nodes AS (SELECT z // 8 AS slab, z, y, x, (CAST(z AS BIGINT) * {SEG_SHAPE[1]} + y) * {SEG_SHAPE[2]} + x AS lin FROM seg_in),
+_COMP = f"""nodes AS (SELECT z // 8 AS slab, z, y, x, (CAST(z AS BIGINT) * {SEG_NY} + y) * {SEG_NX} + x AS lin FROM seg_in),
 half AS (SELECT a.lin AS p, b.lin AS q FROM nodes a JOIN nodes b ON a.slab = b.slab AND a.z + 1 = b.z AND a.y = b.y AND a.x = b.x UNION ALL SELECT a.lin, b.lin FROM nodes a JOIN nodes b ON a.z = b.z AND a.y + 1 = b.y AND a.x = b.x UNION ALL SELECT a.lin, b.lin FROM nodes a JOIN nodes b ON a.z = b.z AND a.y = b.y AND a.x + 1 = b.x),
 edges AS (SELECT p, q FROM half UNION ALL SELECT q, p FROM half),
 reach AS (SELECT lin, lin AS root FROM nodes UNION SELECT e.q, r.root FROM reach r JOIN edges e ON r.lin = e.p WHERE r.root < e.q),
@@ -367,7 +406,7 @@ sz AS (SELECT slab, obj_id, count(*) AS size FROM obj GROUP BY 1, 2)"""
 
 
 def _objects(spark, d):
-    return objects.numbered(objects.components(X.seg_in(spark, d), SEG_SHAPE, 8))
+    return objects.numbered(objects.components(X.seg_in(spark, d), X.seg_shape(spark, d), 8))
 
 
 @query(with_tables("seg_in", "SELECT slab, z, y, x, obj_id FROM obj", _COMP))
@@ -419,7 +458,7 @@ _BLOCK = (16, 24, 24)
 
 
 def _block_objects(spark, d):
-    return objects.segment_blocks(X.seg_in(spark, d), SEG_SHAPE, lambda cells: objects.label_faces(cells > 1700), _BLOCK)
+    return objects.segment_blocks(X.seg_in(spark, d), X.seg_shape(spark, d), lambda cells: objects.label_faces(cells > 1700), _BLOCK)
 
 
 @query(with_tables("seg_in", "SELECT z, y, x, root AS obj_id FROM found", _WHOLE))
@@ -432,20 +471,23 @@ def object_boxes(spark, d):
     return objects.boxes(_block_objects(spark, d))
 
 
-@query(with_tables("vox", "SELECT slab, z, y, x, root FROM found", f"th AS (SELECT slab, arg_min(value, (-score, value)) AS threshold FROM (SELECT *, CASE WHEN w1 < nn THEN (ss * w1 - nn * s1) * (ss * w1 - nn * s1) / (w1 * (nn - w1)) ELSE -1 END AS score FROM (SELECT slab, value, CAST(sum(n) OVER a AS DOUBLE) AS w1, CAST(sum(n * value) OVER a AS DOUBLE) AS s1, CAST(sum(n) OVER b AS DOUBLE) AS nn, CAST(sum(n * value) OVER b AS DOUBLE) AS ss FROM hist WINDOW a AS (PARTITION BY slab ORDER BY value), b AS (PARTITION BY slab))) GROUP BY slab), seg_in AS (SELECT z, y, x, value FROM vox JOIN th ON slab = z // 8 WHERE channel = 0 AND value > threshold), ".join([_HIST + ", ", ""]) + _COMP.replace(f"* {SEG_SHAPE[1]} + y) * {SEG_SHAPE[2]}", f"* {NY} + y) * {NX}")))
+@query(with_tables("vox", "SELECT slab, z, y, x, root FROM found", f"th AS (SELECT slab, arg_min(value, (-score, value)) AS threshold FROM (SELECT *, CASE WHEN w1 < nn THEN (ss * w1 - nn * s1) * (ss * w1 - nn * s1) / (w1 * (nn - w1)) ELSE -1 END AS score FROM (SELECT slab, value, CAST(sum(n) OVER a AS DOUBLE) AS w1, CAST(sum(n * value) OVER a AS DOUBLE) AS s1, CAST(sum(n) OVER b AS DOUBLE) AS nn, CAST(sum(n * value) OVER b AS DOUBLE) AS ss FROM hist WINDOW a AS (PARTITION BY slab ORDER BY value), b AS (PARTITION BY slab))) GROUP BY slab), seg_in AS (SELECT z, y, x, value FROM vox JOIN th ON slab = z // 8 WHERE channel = 0 AND value > threshold), ".join([_HIST + ", ", ""]) + _COMP.replace(f"* {SEG_NY} + y) * {SEG_NX}", f"* {NY} + y) * {NX}")))
 def segment_otsu(spark, d):
-    return objects.segment_threshold(X.vox(spark, d).filter("channel = 0"), SHAPE, "otsu", 1, 8).select("slab", "z", "y", "x", "root")
+    return objects.segment_threshold(X.vox(spark, d).filter("channel = 0"), X.shape(spark, d), "otsu", 1, 8, 0).select("slab", "z", "y", "x", "root")
+
+
+_SMOOTH = f"g1 AS ({{z}}), c1 AS (SELECT z, y, x, value // 10000 AS value FROM g1 WHERE value >= 10000), g2 AS ({{y}}), c2 AS (SELECT z, y, x, value // 10000 AS value FROM g2 WHERE value >= 10000), g3 AS ({{x}}), c3 AS (SELECT 0 AS channel, z, y, x, CAST(value // 10000 AS INT) AS value FROM g3 WHERE value >= 10000)"
 
 
 # density images
 
 
-@query(with_tables("spots", "SELECT DISTINCT CAST(trunc(s.y) AS INT) + dy AS y, CAST(trunc(s.x) AS INT) + dx AS x, 255 AS value FROM spots s CROSS JOIN (SELECT CAST(unnest(range(-3, 4)) AS INT) AS dy) CROSS JOIN (SELECT CAST(unnest(range(-3, 4)) AS INT) AS dx) WHERE dy * dy + dx * dx < 9 AND CAST(trunc(s.y) AS INT) + dy BETWEEN 0 AND 511 AND CAST(trunc(s.x) AS INT) + dx BETWEEN 0 AND 4095"))
+@query(with_tables("spots", "SELECT DISTINCT image, CAST(trunc(s.y) AS INT) + dy AS y, CAST(trunc(s.x) AS INT) + dx AS x, 255 AS value FROM spots s CROSS JOIN (SELECT CAST(unnest(range(-3, 4)) AS INT) AS dy) CROSS JOIN (SELECT CAST(unnest(range(-3, 4)) AS INT) AS dx) WHERE dy * dy + dx * dx < 9 AND CAST(trunc(s.y) AS INT) + dy BETWEEN 0 AND 511 AND CAST(trunc(s.x) AS INT) + dx BETWEEN 0 AND 4095"))
 def spot_raster(spark, d):
-    return density.rasterize_spots(X.spots(spark, d), 512, 4096)
+    return density.rasterize_spots(X.spots(spark, d), 512, 4096, by=["image"])
 
 
-def _pass_sql(source: str, axis: str, weights, n: int, reflect: bool = False, slab: int | None = None) -> str:
+def _pass_sql(source: str, axis: str, weights, n: int | str, reflect: bool = False, slab: int | None = None) -> str:
     rest = [c for c in "zyx" if c != axis]
     w = ", ".join(f"({k}, {v})" for k, v in weights if v)
     lo = f"{axis} // {slab} * {slab}" if slab else "0"
@@ -455,11 +497,11 @@ def _pass_sql(source: str, axis: str, weights, n: int, reflect: bool = False, sl
 
 
 _K = density.kernel(1.5)
-_HEAT = f"h0 AS (SELECT z, y, x, value FROM bright JOIN (SELECT z, y, x FROM atlas WHERE value <> 0) USING (z, y, x)), h1 AS ({_pass_sql('h0', 'z', _K, NZ)}), h2 AS ({_pass_sql('h1', 'y', _K, NY)}), h3 AS ({_pass_sql('h2', 'x', _K, NX)}), heat AS (SELECT z, y, x, CAST(value AS DOUBLE) / CAST(1e12 AS DOUBLE) * 2.0::DOUBLE AS value FROM h3)"
+_HEAT = f"h0 AS (SELECT z, y, x, value FROM bright JOIN (SELECT z, y, x FROM atlas WHERE value <> 0) USING (z, y, x)), h1 AS ({_pass_sql('h0', 'z', _K, NZ_SQL)}), h2 AS ({_pass_sql('h1', 'y', _K, NY)}), h3 AS ({_pass_sql('h2', 'x', _K, NX)}), heat AS (SELECT z, y, x, CAST(value AS DOUBLE) / CAST(1e12 AS DOUBLE) * 2.0::DOUBLE AS value FROM h3)"
 
 
 def _heat(spark, d):
-    return density.heat_density(X.bright(spark, d), X.atlas(spark, d), SHAPE, 1.5, 2.0)
+    return density.heat_density(X.bright(spark, d), X.atlas(spark, d), X.shape(spark, d), 1.5, 2.0)
 
 
 @query(with_tables("bright atlas", "SELECT z, y, x, round(value, 6) AS value FROM heat", _HEAT))
@@ -485,9 +527,25 @@ def _gauss_weights():
 _G = _gauss_weights()
 
 
-@query(with_tables("bright", "SELECT z, y, x, CAST(value AS DOUBLE) / CAST(1e12 AS DOUBLE) AS value FROM g3", f"g1 AS ({_pass_sql('bright', 'z', _G, NZ, True, 8)}), g2 AS ({_pass_sql('g1', 'y', _G, NY, True)}), g3 AS ({_pass_sql('g2', 'x', _G, NX, True)})"))
+_SMOOTHED = _SMOOTH.format(z=_pass_sql("bright", "z", _G, NZ_SQL, True, 8), y=_pass_sql("c1", "y", _G, NY, True), x=_pass_sql("c2", "x", _G, NX, True))
+_OTSU = "th AS (SELECT slab, arg_min(value, (-score, value)) AS threshold FROM (SELECT *, CASE WHEN w1 < nn THEN (ss * w1 - nn * s1) * (ss * w1 - nn * s1) / (w1 * (nn - w1)) ELSE -1 END AS score FROM (SELECT slab, value, CAST(sum(n) OVER a AS DOUBLE) AS w1, CAST(sum(n * value) OVER a AS DOUBLE) AS s1, CAST(sum(n) OVER b AS DOUBLE) AS nn, CAST(sum(n * value) OVER b AS DOUBLE) AS ss FROM hist WINDOW a AS (PARTITION BY slab ORDER BY value), b AS (PARTITION BY slab))) GROUP BY slab)"
+_FOUND = f"{_SMOOTHED}, {_HIST.replace('FROM vox', 'FROM c3')}, {_OTSU}, seg_in AS (SELECT z, y, x, value FROM c3 JOIN th ON slab = z // 8 WHERE value > threshold), " + _COMP.replace(f"* {SEG_NY} + y) * {SEG_NX}", f"* {NY} + y) * {NX}")
+
+
+@query(with_tables("bright", "SELECT slab, obj_id, count(*) AS size FROM obj GROUP BY 1, 2 HAVING count(*) >= 10", _FOUND))
+def segment_smoothed(spark, d):
+    """The whole chain with its usual settings: smoothing, Otsu by slab, components, small ones dropped."""
+    return objects.sizes(objects.segment_threshold(X.bright(spark, d), X.shape(spark, d), "otsu", 10, 8, 1.0)).withColumn("obj_id", F.col("obj_id").cast("int"))
+
+
+@query(with_tables("vox", "SELECT z, y, x, CAST(sum(value) AS DOUBLE) / 2 AS value FROM vox GROUP BY z, y, x"))
+def heat_mean(spark, d):
+    return density.mean_heat(X.vox(spark, d), 2)
+
+
+@query(with_tables("bright", "SELECT z, y, x, CAST(value AS DOUBLE) / CAST(1e12 AS DOUBLE) AS value FROM g3", f"g1 AS ({_pass_sql('bright', 'z', _G, NZ_SQL, True, 8)}), g2 AS ({_pass_sql('g1', 'y', _G, NY, True)}), g3 AS ({_pass_sql('g2', 'x', _G, NX, True)})"))
 def gaussian_smooth(spark, d):
-    return density.gaussian_smooth(X.bright(spark, d), SHAPE, 1.0, 8)
+    return density.gaussian_smooth(X.bright(spark, d), X.shape(spark, d), 1.0, 8)
 
 
 # filters
@@ -499,6 +557,11 @@ def radial_energy_cutoff(spark, d):
     return filters.energy_cutoff(s)
 
 
+@query("SELECT coalesce(median(l_quantity), 30) AS d0 FROM lineitem WHERE l_linenumber % 3 <> 0")
+def cutoff_median(spark, d):
+    return filters.median_d0(X.table(spark, d, "lineitem").select(F.when(F.col("l_linenumber") % 3 != 0, F.col("l_quantity").cast("double")).alias("d0")))
+
+
 _ANCHORS = ", ".join(f"CAST({i}.0 AS DOUBLE) / 65" for i in range(66))
 
 
@@ -511,7 +574,7 @@ def hist_match(spark, d):
 
 def _images(spark, d, dtype: str = "<u2") -> DataFrame:
     """Slice images of channel 0 as dense arrays."""
-    return blocks.to_slices(X.vox(spark, d).filter("channel = 0").drop("channel"), SHAPE, dtype, "img")
+    return blocks.to_slices(X.vox(spark, d).filter("channel = 0").drop("channel"), X.shape(spark, d), dtype, "img")
 
 
 def _image_stats(images: DataFrame) -> DataFrame:
@@ -543,7 +606,7 @@ def homomorphic_2d(spark, d):
 def homomorphic_3d(spark, d):
     images = _images(spark, d).withColumn("channel", F.lit(0))
     d0 = filters.median_d0(filters.adaptive_d0(slices.even_sample(images, 0.2))).first()["d0"]
-    out = filters.homomorphic_3d(X.vox(spark, d).filter("channel = 0").drop("channel"), SHAPE, d0, (16, 128, 128))
+    out = filters.homomorphic_3d(X.vox(spark, d).filter("channel = 0").drop("channel"), X.shape(spark, d), d0, (16, 128, 128))
     return out.groupBy("z").agg(F.count("*").alias("n"), F.round(F.avg("value"), 4).alias("mean"))
 
 
@@ -577,23 +640,137 @@ def brick_counts(spark, d):
 
 @query(with_tables("vox", "SELECT z, y, x, value FROM vox WHERE channel = 0"))
 def brick_roundtrip(spark, d):
-    return blocks.from_bricks(blocks.to_bricks(X.vox(spark, d).filter("channel = 0").drop("channel"), SHAPE, _CHUNK))
+    return blocks.from_bricks(blocks.to_bricks(X.vox(spark, d).filter("channel = 0").drop("channel"), X.shape(spark, d), _CHUNK))
 
 
 @query(with_tables("labels_vox", "SELECT label, count(*) AS total_vox FROM labels_vox WHERE label <> 0 GROUP BY label"))
 def brick_region_voxels(spark, d):
-    return regions.brick_totals(blocks.to_bricks(X.labels(spark, d).withColumnRenamed("label", "value"), SHAPE, _CHUNK))
+    return regions.brick_totals(blocks.to_bricks(X.labels(spark, d).withColumnRenamed("label", "value"), X.shape(spark, d), _CHUNK))
 
 
-@query(with_tables("vox", "SELECT z, 'mask_' || lpad(CAST(z AS VARCHAR), 4, '0') AS name, 256 AS height, 256 AS width, 131072 AS bytes FROM vox WHERE channel = 0 GROUP BY z"))
+@query(with_tables("vox", f"SELECT z, 'mask_' || lpad(CAST(z AS VARCHAR), 4, '0') AS name, 256 AS height, 256 AS width, 131072 AS bytes, CAST(sum(value) AS BIGINT) AS total, CAST(sum(value * (y * {NX} + x)) AS BIGINT) AS weighted FROM vox WHERE channel = 0 GROUP BY z"))
 def slice_export(spark, d):
-    return _images(spark, d).select("z", F.regexp_replace("name", "img", "mask").alias("name"), "height", "width", F.length("data").alias("bytes"))
+    def sums(parts):
+        import numpy as np
+
+        for pdf in parts:
+            cells = [np.frombuffer(x, "<u2").astype(np.int64) for x in pdf["data"]]
+            yield pdf.assign(bytes=pdf["data"].map(len), total=[int(c.sum()) for c in cells], weighted=[int((c * np.arange(len(c))).sum()) for c in cells]).drop(columns=["dtype", "data"])
+
+    out = _images(spark, d).mapInPandas(sums, "z int, name string, height int, width int, bytes int, total long, weighted long")
+    return out.withColumn("name", F.regexp_replace("name", "img", "mask"))
 
 
 @query(with_tables("labels_vox mask vox", "SELECT label, count(*) AS total_vox, count(m.value) AS signal_vox FROM labels_vox LEFT JOIN mask m USING (z, y, x) WHERE label <> 0 GROUP BY label"))
 def stream_region_totals(spark, d):
+    path, labels = fresh_path(spark), X.labels(spark, d)
+    cut = blocks.to_bricks(X.mask(spark, d), X.shape(spark, d), _CHUNK)
+    empty = labels.select(*blocks.brick_of(_CHUNK)).distinct().join(cut, blocks.B_KEY, "left_anti")
+    nothing = [F.lit(0).alias(c) for c in ("z0", "y0", "x0", "dz", "dy", "dx")]
+    bricks = cut.unionByName(empty.select(*blocks.B_KEY, *nothing, F.lit("<u2").alias("dtype"), F.lit(b"").alias("data")))
+    bricks.repartitionByRange(8, "bz").write.parquet(path)
+    return streaming.drain_region_totals(spark, path, labels, _CHUNK, fresh_path(spark), fresh_path(spark))
+
+
+@query(with_tables("vox", "SELECT z, 256 AS height, 256 AS width, CAST(sum(value) + 65536 AS BIGINT) AS total FROM vox WHERE channel = 0 GROUP BY z"))
+def stream_enhance(spark, d):
+    path, out = fresh_path(spark), fresh_path(spark)
+    _images(spark, d).withColumn("channel", F.lit(0)).select("channel", "z", "name", "height", "width", "dtype", "data").write.parquet(path)
+    streaming.enhance_stream(spark, path, out, fresh_path(spark), lambda a, z: a.astype(float) + 1)
+
+    def sums(parts):
+        import numpy as np
+
+        for pdf in parts:
+            yield pdf[["z", "height", "width"]].assign(total=[int(np.frombuffer(x, "<f8").sum()) for x in pdf["data"]])
+
+    return spark.read.parquet(out).mapInPandas(sums, "z int, height int, width int, total long")
+
+
+@query(with_tables("vox", "SELECT z // 8 AS bz, y // 100 AS by, x // 100 AS bx, count(*) FILTER (value > 1000) AS n FROM vox WHERE channel = 0 GROUP BY 1, 2, 3"))
+def model_bricks(spark, d):
+    def load():
+        import numpy as np
+
+        return lambda cells: (cells > 1000).astype(np.uint8)
+
+    found = blocks.predict_bricks(blocks.to_bricks(X.vox(spark, d).filter("channel = 0"), X.shape(spark, d), _CHUNK), load, dtype="|u1")
+
+    def count(parts):
+        import numpy as np
+
+        for pdf in parts:
+            yield pdf[blocks.B_KEY].assign(n=[int(np.frombuffer(x, "u1").sum()) for x in pdf["data"]])
+
+    return found.mapInPandas(count, "bz int, by int, bx int, n long")
+
+
+# sources, sinks and settings: written, read back, and compared with what went in
+
+
+@query("SELECT CAST(value AS DOUBLE) AS y, user_id * 2.0::DOUBLE AS x FROM events WHERE value IS NOT NULL")
+def spots_csv(spark, d):
+    path = fresh_path(spark)
+    X.table(spark, d, "events").filter("value IS NOT NULL").select(F.col("event_id").alias("id"), F.col("value").cast("double").alias("y"), (F.col("user_id") * 2.0).alias("x")).write.option("header", True).csv(path)
+    return io.scan_spots(spark, path)
+
+
+@query("SELECT c_nationkey % 3 AS layout, CASE c_nationkey % 3 WHEN 2 THEN 1.8 ELSE 1 + c_custkey % 5 END::DOUBLE AS source_x, CASE c_nationkey % 3 WHEN 0 THEN 10 + c_custkey % 7 ELSE 25 END::DOUBLE AS target_x, count(*) AS n FROM customer GROUP BY ALL")
+def resolution_settings(spark, d):
+    """One settings text for each customer, in three layouts."""
+    k, s, t = F.col("c_nationkey") % 3, (1 + F.col("c_custkey") % 5).cast("double"), (10 + F.col("c_custkey") % 7).cast("double")
+    new = F.format_string('{"input": {"resolution_xyz": [%.1f, 2.0, 2.0]}, "preprocessing": {"downsample": {"target_resolution_xyz": [%.1f, 9.0, 9.0]}}}', s, t)
+    old = F.format_string('{"source_resolution": [%.1f, 2.0, 2.0], "other": [1]}', s)
+    texts = X.table(spark, d, "customer").select(k.alias("layout"), F.when(k == 0, new).when(k == 1, old).otherwise("{}").alias("value"))
+    found = io.with_resolution(texts).select("layout", F.col("source")[0].alias("source_x"), F.col("target")[0].alias("target_x"))
+    return found.groupBy("layout", "source_x", "target_x").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 9 ELSE o_orderkey % 100 END::INT AS z, CASE WHEN o_orderkey % 3 = 0 THEN 8 ELSE o_custkey END::INT AS y, CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE 5 END::INT AS x FROM orders")
+def chunk_setting(spark, d):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    text = F.when(k % 3 == 0, F.concat(c.cast("string"), F.lit(",b,3"))).otherwise(F.concat_ws(", ", (k % 100).cast("string"), c.cast("string"), F.lit("5")))
+    p = io.parse_triple(text, (9, 8, 7))
+    return X.table(spark, d, "orders").select(k.alias("k"), *[p[i].alias(n) for i, n in enumerate("zyx")])
+
+
+@query(with_tables("labels_vox mask regions", "SELECT level, region_id, name, total_vox, signal_vox FROM rolled", _ROLL))
+def report_by_level(spark, d):
+    path = fresh_path(spark)
+    rolled = regions.rollup(regions.region_density(X.mask(spark, d), X.labels(spark, d)), X.regions(spark, d))
+    io.write_report(regions.level_report(rolled), path)
+    return spark.read.parquet(path).select("level", "region_id", "name", "total_vox", "signal_vox")
+
+
+@query("SELECT CAST(r_regionkey + 100 AS BIGINT) AS region_id, r_name AS name, CAST(1000 AS BIGINT) AS parent_id, 1 AS level FROM region UNION ALL SELECT n_nationkey + 1, n_name, n_regionkey + 100, 2 FROM nation UNION ALL SELECT 1000, 'root', NULL, 0 UNION ALL SELECT c_custkey + 10000, c_name, c_nationkey + 1, 3 FROM customer")
+def ontology_file(spark, d):
+    """A tree of regions, nations and customers, written as one JSON document and read back."""
+    path = fresh_path(spark)
+    t = lambda name: X.table(spark, d, name)
+    leaves = t("customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.collect_list(F.struct((F.col("c_custkey") + 10000).alias("id"), F.col("c_name").alias("name"))).alias("children"))
+    nations = t("nation").join(leaves, "n_nationkey", "left").groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(F.collect_list(F.struct((F.col("n_nationkey") + 1).alias("id"), F.col("n_name").alias("name"), "children")).alias("children"))
+    tops = t("region").join(nations, "r_regionkey", "left").agg(F.collect_list(F.struct((F.col("r_regionkey") + 100).alias("id"), F.col("r_name").alias("name"), "children")).alias("children"))
+    tops.select(F.to_json(F.struct(F.lit(1000).alias("id"), F.lit("root").alias("name"), "children"))).coalesce(1).write.text(path)
+    return io.scan_ontology(spark, path)
+
+
+@query("SELECT CAST(c_custkey AS BIGINT) AS k, c_custkey % 2 AS run, c_name AS name FROM customer")
+def append_records(spark, d):
     path = fresh_path(spark)
-    planes = X.vox(spark, d).select("z").distinct().join(X.mask(spark, d).groupBy("z").agg(F.collect_list(F.struct("y", "x", "value")).alias("v")), "z", "left")
-    empty = F.array().cast("array<struct<y: int, x: int, value: int>>")
-    planes.select("z", F.coalesce("v", empty).alias("voxels")).repartitionByRange(8, "z").write.parquet(path)
-    return streaming.drain_region_totals(spark, path, X.labels(spark, d), "totals_" + path[-8:], fresh_path(spark))
+    rows = X.table(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("k"), (F.col("c_custkey") % 2).alias("run"), F.col("c_name").alias("name"))
+    for k in (0, 1):
+        io.append_record(rows.filter(F.col("run") == k), path)
+    return spark.read.parquet(path)
+
+
+@query(with_tables("vox", "SELECT z, y, x, CAST((value * 40 + 1) % 65536 AS INT) AS value, 'reg_' || lpad(CAST(z AS VARCHAR), 4, '0') AS name FROM vox WHERE channel = 0"))
+def registered_slices(spark, d):
+    return io.uint16_slices(X.vox(spark, d).filter("channel = 0").select("z", "y", "x", (F.col("value") * 40 + 1).alias("value")), "reg")
+
+
+@query(with_tables("vox", "SELECT z, count(*) AS n FROM vox WHERE channel = 0 AND z % 5 <> 0 GROUP BY z"))
+def blank_slices(spark, d):
+    """Planes whose every fifth is cleared; the blank images go."""
+    v = X.vox(spark, d).filter("channel = 0").select("z", "y", "x", F.when(F.col("z") % 5 == 0, 0).otherwise(F.col("value")).alias("value"))
+    kept = slices.drop_blank(blocks.to_slices(v, X.shape(spark, d)))
+    return v.join(kept.select("z"), "z").groupBy("z").agg(F.count("*").alias("n"))

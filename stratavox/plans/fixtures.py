@@ -5,20 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHAPE = (32, 256, 256)
-NZ, NY, NX = SHAPE
-SEG_SHAPE = (32, 64, 64)
+#: Planes, rows and columns of a stack. A volume is as many stacks, one on the other, as the order keys need.
+STACK, NY, NX = 32, 256, 256
+ORDERS = 8192
+SEG_NY, SEG_NX = 64, 64
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def planes(spark: SparkSession, d: str) -> int:
+    """Planes of the volume; they grow with the table."""
+    top = table(spark, d, "lineitem").agg(F.max("l_orderkey")).first()[0]
+    return STACK * (1 + (top or 0) // ORDERS)
+
+
+def shape(spark: SparkSession, d: str) -> tuple[int, int, int]:
+    return planes(spark, d), NY, NX
+
+
+def seg_shape(spark: SparkSession, d: str) -> tuple[int, int, int]:
+    return planes(spark, d), SEG_NY, SEG_NX
+
+
 def vox(spark: SparkSession, d: str) -> DataFrame:
     """(channel, z, y, x, value): two channels, value 40 to 2000."""
     li = table(spark, d, "lineitem")
-    key = [(F.col(c) % n).cast("int").alias(k) for c, n, k in (("l_linenumber", 2, "channel"), ("l_suppkey", NZ, "z"), ("l_orderkey", NY, "y"), ("l_partkey", NX, "x"))]
-    return li.groupBy(*key).agg((F.max("l_quantity") * 40).cast("int").alias("value"))
+    key = [(F.col(c) % n).cast("int").alias(k) for c, n, k in (("l_linenumber", 2, "channel"), ("l_orderkey", NY, "y"), ("l_partkey", NX, "x"))]
+    z = (F.col("l_suppkey") % STACK + STACK * F.floor(F.col("l_orderkey") / ORDERS)).cast("int").alias("z")
+    return li.groupBy(key[0], z, *key[1:]).agg((F.max("l_quantity") * 40).cast("int").alias("value"))
 
 
 def mask(spark: SparkSession, d: str) -> DataFrame:
@@ -26,7 +42,7 @@ def mask(spark: SparkSession, d: str) -> DataFrame:
 
 
 def seg_in(spark: SparkSession, d: str) -> DataFrame:
-    """Bright voxels on a grid a quarter as fine (SEG_SHAPE), so that they touch."""
+    """Bright voxels on a grid a quarter as fine (SEG_NY x SEG_NX), so that they touch."""
     cells = vox(spark, d).filter("channel = 0 AND value > 1700")
     return cells.groupBy("z", F.floor(F.col("y") / 4).cast("int").alias("y"), F.floor(F.col("x") / 4).cast("int").alias("x")).agg(F.max("value").alias("value"))
 
@@ -36,8 +52,8 @@ def bright(spark: SparkSession, d: str) -> DataFrame:
 
 
 def labels(spark: SparkSession, d: str) -> DataFrame:
-    """(z, y, x, label) of all occupied cells; the first and last plane are background."""
-    label = F.when(F.col("z").isin(0, NZ - 1), 0).otherwise(1 + F.floor(F.col("x") / 52) * 5 + F.floor(F.col("y") / 52)).cast("int")
+    """(z, y, x, label) of all occupied cells; the first and last plane of a stack are background."""
+    label = F.when((F.col("z") % STACK).isin(0, STACK - 1), 0).otherwise(1 + F.floor(F.col("x") / 52) * 5 + F.floor(F.col("y") / 52)).cast("int")
     return vox(spark, d).select("z", "y", "x").distinct().withColumn("label", label)
 
 
@@ -58,7 +74,7 @@ def edge(spark: SparkSession, d: str) -> DataFrame:
 
 
 def spots(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select(F.col("event_id").alias("spot_id"), F.col("value").cast("double").alias("y"), (F.col("user_id") * 2.0).alias("x"))
+    return table(spark, d, "events").select(F.col("event_id").alias("spot_id"), F.floor(F.col("user_id") / 2048).cast("int").alias("image"), F.col("value").cast("double").alias("y"), (F.col("user_id") % 2048 * 2.0).alias("x"))
 
 
 def files(spark: SparkSession, d: str) -> DataFrame:
@@ -66,9 +82,9 @@ def files(spark: SparkSession, d: str) -> DataFrame:
     s = lambda c: F.col(c).cast("string")
     k = F.col("l_linenumber") % 4
     name = (
-        F.when(k == 0, F.concat(F.lit("YF_s"), s("l_suppkey"), F.lit("_C"), s("l_linenumber"), F.lit("_Z"), F.lpad((F.col("l_partkey") % 10000).cast("string"), 4, "0"), F.lit(".tif")))
+        F.when(k == 0, F.concat(F.lit("scan_s"), s("l_suppkey"), F.lit("_C"), s("l_linenumber"), F.lit("_Z"), F.lpad((F.col("l_partkey") % 10000).cast("string"), 4, "0"), F.lit(".tif")))
         .when(k == 1, F.concat(F.lit("old_"), s("l_orderkey"), F.lit("_Ch"), s("l_linenumber"), F.lit(".tif")))
-        .when(k == 2, F.concat(F.lit("yf_c"), s("l_linenumber"), F.lit("_z"), s("l_partkey"), F.lit(".TIFF")))
+        .when(k == 2, F.concat(F.lit("scan_c"), s("l_linenumber"), F.lit("_z"), s("l_partkey"), F.lit(".TIFF")))
         .otherwise(F.concat(F.lit("readme_"), s("l_orderkey"), F.lit(".txt")))
     )
     return table(spark, d, "lineitem").select(name.alias("name")).distinct()
@@ -88,19 +104,20 @@ def slice_files(spark: SparkSession, d: str) -> DataFrame:
 
 #: The same tables in SQL.
 SQL = {
-    "vox": f"SELECT CAST(l_linenumber % 2 AS INT) AS channel, CAST(l_suppkey % {NZ} AS INT) AS z, CAST(l_orderkey % {NY} AS INT) AS y, CAST(l_partkey % {NX} AS INT) AS x, CAST(MAX(l_quantity) * 40 AS INT) AS value FROM lineitem GROUP BY 1, 2, 3, 4",
+    "dims": f"SELECT CAST({STACK} * (1 + max(l_orderkey) // {ORDERS}) AS BIGINT) AS nz FROM lineitem",
+    "vox": f"SELECT CAST(l_linenumber % 2 AS INT) AS channel, CAST(l_suppkey % {STACK} + {STACK} * (l_orderkey // {ORDERS}) AS INT) AS z, CAST(l_orderkey % {NY} AS INT) AS y, CAST(l_partkey % {NX} AS INT) AS x, CAST(MAX(l_quantity) * 40 AS INT) AS value FROM lineitem GROUP BY 1, 2, 3, 4",
     "mask": "SELECT z, y, x, value FROM vox WHERE channel = 0 AND value > 1000",
     "seg_in": "SELECT z, y // 4 AS y, x // 4 AS x, max(value) AS value FROM vox WHERE channel = 0 AND value > 1700 GROUP BY 1, 2, 3",
     "bright": "SELECT z, y, x, 255 AS value FROM vox WHERE channel = 0 AND value > 1960",
-    "labels_vox": f"SELECT DISTINCT z, y, x, CAST(CASE WHEN z IN (0, {NZ - 1}) THEN 0 ELSE 1 + (x // 52) * 5 + y // 52 END AS INT) AS label FROM vox",
+    "labels_vox": f"SELECT DISTINCT z, y, x, CAST(CASE WHEN z % {STACK} IN (0, {STACK - 1}) THEN 0 ELSE 1 + (x // 52) * 5 + y // 52 END AS INT) AS label FROM vox",
     "regions": "SELECT 1000 AS region_id, 'root' AS name, CAST(NULL AS INT) AS parent_id, 0 AS level UNION ALL SELECT CAST(100 + r_regionkey AS INT), r_name, 1000, 1 FROM region UNION ALL SELECT CAST(1 + n_nationkey AS INT), n_name, CAST(100 + n_regionkey AS INT), 2 FROM nation",
     "atlas": "SELECT z, y, x, CASE WHEN label <> 0 THEN 1 ELSE 0 END AS value FROM labels_vox",
     "edge": "SELECT z, y, x, CASE WHEN x % 52 = 0 OR y % 52 = 0 THEN 200 ELSE 0 END AS value FROM labels_vox",
-    "spots": "SELECT event_id AS spot_id, CAST(value AS DOUBLE) AS y, user_id * 2.0 AS x FROM events",
+    "spots": "SELECT event_id AS spot_id, CAST(user_id // 2048 AS INT) AS image, CAST(value AS DOUBLE) AS y, user_id % 2048 * 2.0 AS x FROM events",
     "files": """SELECT DISTINCT CASE l_linenumber % 4
-        WHEN 0 THEN 'YF_s' || l_suppkey || '_C' || l_linenumber || '_Z' || lpad(CAST(l_partkey % 10000 AS VARCHAR), 4, '0') || '.tif'
+        WHEN 0 THEN 'scan_s' || l_suppkey || '_C' || l_linenumber || '_Z' || lpad(CAST(l_partkey % 10000 AS VARCHAR), 4, '0') || '.tif'
         WHEN 1 THEN 'old_' || l_orderkey || '_Ch' || l_linenumber || '.tif'
-        WHEN 2 THEN 'yf_c' || l_linenumber || '_z' || l_partkey || '.TIFF'
+        WHEN 2 THEN 'scan_c' || l_linenumber || '_z' || l_partkey || '.TIFF'
         ELSE 'readme_' || l_orderkey || '.txt' END AS name FROM lineitem""",
     "slice_files": "SELECT DISTINCT CAST(o_orderkey % 5 AS INT) AS channel, 's_' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '.tif' AS name, CAST(100 + o_custkey % 3 AS INT) AS height, 64 AS width, CASE WHEN o_orderkey % 2 = 0 THEN '<u2' ELSE '|u1' END AS dtype FROM orders",
     "slices": "SELECT *, CAST(row_number() OVER (PARTITION BY channel ORDER BY name) - 1 AS INT) AS z FROM slice_files",
@@ -118,7 +135,7 @@ def with_tables(names: str, body: str, more: str = "") -> str:
         if n not in order:
             order.append(n)
 
-    for n in names.split():
+    for n in ["dims", *names.split()]:
         need(n)
     parts = [f"{n} AS ({SQL[n]})" for n in order] + ([more] if more else [])
     return f"WITH RECURSIVE {', '.join(parts)} {body}"

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from ..operators.slices import inventory
 from ..operators.voxels import wrap_uint16
@@ -72,12 +73,34 @@ def scan_spots(spark: SparkSession, path: str) -> DataFrame:
 
 def resolution(spark: SparkSession, path: str) -> DataFrame:
     """One row: source and target resolution (x, y, z) from a settings file, in the new or the older layout."""
-    raw = spark.read.text(path, wholetext=True).select("value")
+    return with_resolution(spark.read.text(path, wholetext=True).select("value")).drop("value")
+
+
+def with_resolution(raw: DataFrame) -> DataFrame:
+    """Settings texts (value, any other columns) with source, target and factor; defaults where a text lacks them."""
     get = lambda p: F.from_json(F.get_json_object("value", p), "array<double>")
     default = lambda *v: F.array(*[F.lit(float(x)) for x in v])
     source = F.coalesce(get("$.input.resolution_xyz"), get("$.source_resolution"), default(1.8, 1.8, 2.0))
     target = F.coalesce(get("$.preprocessing.downsample.target_resolution_xyz"), get("$.target_resolution_xyz"), get("$.target_resolution"), default(25, 25, 25))
-    return raw.select(source.alias("source"), target.alias("target")).withColumn("factor", F.zip_with("source", "target", lambda a, b: a / b))
+    return raw.withColumns({"source": source, "target": target}).withColumn("factor", F.zip_with("source", "target", lambda a, b: a / b))
+
+
+def scan_ontology(spark: SparkSession, path: str, region_id: str = "id", name: str = "name", children: str = "children") -> DataFrame:
+    """(region_id, name, parent_id, level) of a JSON tree of nested children, one document or a list of them.
+
+    The schema that Spark reads from the file is as deep as the tree, so each level is one more explode. A region
+    without children lacks the field or has an empty list.
+    """
+    nodes = spark.read.option("multiLine", True).json(path).withColumn("_parent", F.lit(None).cast("long"))
+    out, level = None, 0
+    while True:
+        rows = nodes.select(F.col(region_id).cast("long").alias("region_id"), F.col(name).cast("string").alias("name"), F.col("_parent").alias("parent_id"), F.lit(level).alias("level"))
+        out = rows if out is None else out.unionByName(rows)
+        kind = nodes.schema[children].dataType if children in nodes.columns else None
+        if not isinstance(kind, ArrayType) or not isinstance(kind.elementType, StructType):
+            return out.filter("region_id IS NOT NULL")
+        nodes = nodes.select(F.col(region_id).cast("long").alias("_parent"), F.explode(children).alias("_c")).select("_c.*", "_parent")
+        level += 1
 
 
 def parse_triple(text, default: tuple[int, int, int]):
@@ -106,8 +129,3 @@ def write_channels(volume: DataFrame, path: str) -> None:
 def uint16_slices(vox: DataFrame, prefix: str) -> DataFrame:
     """vox narrowed to 16 bits, with the name of the slice that each voxel belongs to."""
     return vox.withColumn("value", wrap_uint16(F.col("value"))).withColumn("name", F.format_string(f"{prefix}_%04d", "z"))
-
-
-def indexed(report: DataFrame, order: str) -> DataFrame:
-    """report with a 1-based index in each level."""
-    return report.withColumn("index", F.row_number().over(Window.partitionBy("level").orderBy(order)))

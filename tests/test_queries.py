@@ -1,6 +1,7 @@
 """Every query that has SQL equals it on the small tables."""
 
 import math
+import os
 from pathlib import Path
 
 import pytest
@@ -8,7 +9,7 @@ import pytest
 from stratavox.plans import catalog
 
 duckdb = pytest.importorskip("duckdb")
-DATA = Path("/root/testdata/sf0.001")
+DATA = Path(os.environ.get("QUERY_DATA", "/root/testdata/sf0.001"))
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="needs the driver's tables")
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratavox.operators import blocks, density, filters, names, objects, regions, resample, slices, voxels
+from stratavox.operators import blocks, components, density, filters, names, objects, regions, resample, slices, voxels
 from stratavox.sources import files as io
 from stratavox.streaming import slices as streaming
 
@@ -100,6 +100,173 @@ def test_homomorphic_3d_is_dense_around_signal(spark):
         assert np.allclose(dense(filters.homomorphic_3d(sparse(spark, a), a.shape, 4.0, block), a.shape), want)
 
 
+def slice_table(spark, images):
+    return spark.createDataFrame([(z, *a.shape, a.dtype.str, bytearray(a.tobytes())) for z, a in enumerate(images)], "z int, height int, width int, dtype string, data binary")
+
+
+def test_cutoff_by_plain_loops(spark):
+    """Radius that holds 98 % of the power of the resized log image, pixel by pixel."""
+    rng = np.random.default_rng(3)
+    images = [rng.integers(0, 2000, (40, 52)).astype("<u2"), np.add.outer(np.arange(40), np.arange(52)).astype("<u2") * 30]
+    side = 16
+    for img, got in zip(images, filters.adaptive_d0(slice_table(spark, images), 0.98, side).orderBy("z").collect(), strict=True):
+        h, w = img.shape
+        small = np.zeros((side, side))
+        for i in range(side):
+            for j in range(side):
+                y, x = min(max((i + 0.5) * h / side - 0.5, 0), h - 1), min(max((j + 0.5) * w / side - 0.5, 0), w - 1)
+                a, b = int(y), int(x)
+                c, e = min(a + 1, h - 1), min(b + 1, w - 1)
+                small[i, j] = (float(img[a, b]) * (1 - x + b) + float(img[a, e]) * (x - b)) * (1 - y + a) + (float(img[c, b]) * (1 - x + b) + float(img[c, e]) * (x - b)) * (y - a)
+        power = np.abs(np.fft.fft2(np.log1p(small))) ** 2
+        cells = sorted((min(u, side - u) ** 2 + min(v, side - v) ** 2, power[u, v]) for u in range(side) for v in range(side))
+        total, reached = sum(p for _, p in cells), 0.0
+        for d in sorted({d for d, _ in cells}):
+            reached += sum(p for c, p in cells if c == d)
+            if reached >= 0.98 * total:
+                break
+        assert got["d0"] == pytest.approx(min(max(np.sqrt(d) * h / side, max(30.0, min(h, w) * 0.005)), min(h, w) * 0.2))
+
+
+def test_homomorphic_2d_by_direct_transform():
+    """The filter as a double sum over frequencies, on a small image."""
+    img = np.random.default_rng(6).integers(0, 900, (8, 6))
+    h, w = img.shape
+    log = np.log(img + 1.0)
+    u, v = np.arange(h), np.arange(w)
+    eh, ew = np.exp(-2j * np.pi * np.outer(u, u) / h), np.exp(-2j * np.pi * np.outer(v, v) / w)
+    spectrum = eh @ log @ ew
+    du, dv = (u + h // 2) % h - h // 2, (v + w // 2) % w - w // 2
+    gain = 1.5 * (1 - np.exp(-(du[:, None] ** 2 + dv[None, :] ** 2) / 2.5**2)) + 0.5
+    want = np.exp((eh.conj() @ (spectrum * gain) @ ew.conj() / (h * w)).real) - 1
+    assert np.allclose(filters.homomorphic(img, 2.5), want)
+
+
+def plain_clahe(img, clip, grid):
+    """Pixel by pixel, with the whole table of each tile."""
+    bins = 256 if img.dtype == np.uint8 else 65536
+    h, w = img.shape
+    ph, pw = -h % grid, -w % grid
+    padded = np.pad(img, ((0, ph), (0, pw)), "reflect") if ph or pw else img
+    th, tw = padded.shape[0] // grid, padded.shape[1] // grid
+    table = {}
+    for i in range(grid):
+        for j in range(grid):
+            hist = [0] * bins
+            for v in padded[i * th : (i + 1) * th, j * tw : (j + 1) * tw].ravel().tolist():
+                hist[v] += 1
+            limit = max(int(clip * th * tw / bins), 1)
+            excess = sum(max(n - limit, 0) for n in hist)
+            hist = [min(n, limit) + excess // bins for n in hist]
+            left, step = excess % bins, max(bins // max(excess % bins, 1), 1)
+            for k in range(left):
+                hist[k * step] += 1
+            total, lut = 0, []
+            for n in hist:
+                total += n
+                lut.append(min(max(int(np.rint(total * ((bins - 1) / (th * tw)))), 0), bins - 1))
+            table[i, j] = lut
+    out = np.zeros_like(img)
+    inside = lambda k: min(max(k, 0), grid - 1)
+    for y in range(h):
+        for x in range(w):
+            py, px = y / th - 0.5, x / tw - 0.5
+            i, j = int(np.floor(py)), int(np.floor(px))
+            at = lambda a, b: table[inside(a), inside(b)][img[y, x]]
+            fy, fx = py - i, px - j
+            top = at(i, j) * (1 - fx) + at(i, j + 1) * fx
+            low = at(i + 1, j) * (1 - fx) + at(i + 1, j + 1) * fx
+            out[y, x] = np.rint(top * (1 - fy) + low * fy)
+    return out
+
+
+def test_clahe_and_the_chain_by_plain_loops():
+    rng = np.random.default_rng(5)
+    for kind, top, shape, grid, clip in ((np.uint8, 256, (23, 31), 3, 2.0), (np.uint8, 256, (16, 16), 4, 40.0), (np.uint16, 3000, (18, 21), 2, 2.0)):
+        img = rng.integers(0, top, shape).astype(kind)
+        assert (filters.clahe(img, clip, grid) == plain_clahe(img, clip, grid)).all()
+    img = rng.integers(0, 900, (20, 24)).astype(np.uint16)
+    lifted = np.clip(filters.homomorphic(img, 6.0), 0, 65535).astype(np.uint16)
+    assert (filters.enhance(img, 6.0, grid=2) == plain_clahe(lifted, 2.0, 2)).all()
+
+
+def test_background_by_plain_windows():
+    rng = np.random.default_rng(8)
+    img = rng.integers(0, 500, (20, 17)).astype(np.uint16)
+    w = filters.gaussian_1d(1.0)
+    r = len(w) // 2
+    fold = lambda k, n: k if 0 <= k < n else (-1 - k if k < 0 else 2 * n - 1 - k)
+    one = np.array([[sum(w[d + r] * img[fold(y + d, 20), x] for d in range(-r, r + 1)) for x in range(17)] for y in range(20)])
+    smooth = np.array([[sum(w[d + r] * one[y, fold(x + d, 17)] for d in range(-r, r + 1)) for x in range(17)] for y in range(20)])
+    window = lambda a, best: np.array([[best(a[max(y - 3, 0) : y + 4, max(x - 3, 0) : x + 4]) for x in range(17)] for y in range(20)])
+    want = np.maximum(img - window(window(smooth, np.min), np.max), 0).astype(np.uint16)
+    assert (filters.remove_background(img, 3, 1.0) == want).all()
+
+
+def test_models_load_once_and_take_batches(spark, volume, tmp_path):
+    cut = blocks.to_bricks(sparse(spark, volume), volume.shape, (4, 8, 8)).repartition(1)
+    marks = str(tmp_path)
+
+    def load():
+        import uuid
+
+        open(f"{marks}/{uuid.uuid4().hex}", "w").close()
+        return lambda cells: np.where(cells > 500, len(cells), 0)
+
+    got = blocks.predict_bricks(cut, load, batch=3).collect()
+    assert len(list(tmp_path.iterdir())) == 1
+    for r in got:
+        a = volume[r["z0"] : r["z0"] + r["dz"], r["y0"] : r["y0"] + r["dy"], r["x0"] : r["x0"] + r["dx"]]
+        found = np.frombuffer(r["data"], "<u2").reshape(a.shape)
+        assert ((found > 0) == (a > 500)).all() and found.max() <= 3
+
+
+def test_smoothing_in_whole_numbers_then_segmentation(spark, volume):
+    w = [int(x * density.SCALE + 0.5) for x in filters.gaussian_1d(1.0)]
+    want = volume.astype(np.int64)
+    for k in range(3):
+        for lo in range(0, 8, 4) if k == 0 else (0,):
+            part = (slice(lo, lo + 4),) if k == 0 else (slice(None),)
+            want[part] = (filters.convolve(want[part], np.array(w, float), k, (True, True)) + 1e-6).astype(np.int64) // density.SCALE
+    v = sparse(spark, volume)
+    assert (dense(density.gaussian_smooth(v, volume.shape, 1.0, 4, whole=True), volume.shape) == want).all()
+    got = objects.segment_threshold(v, volume.shape, 200, 5, 4, 1.0)
+    labels = [objects.label_faces(want[k : k + 4] > 200) for k in (0, 4)]
+    sizes = sorted(n for x in labels for n in np.unique(x[x > 0], return_counts=True)[1] if n >= 5)
+    assert sorted(r["size"] for r in objects.sizes(got).collect()) == sizes
+
+
+def test_blank_slices_axes_and_directions(spark, volume):
+    images = slice_table(spark, [np.zeros((3, 4), "<u2"), np.eye(3, 4, dtype="<u2"), np.zeros((3, 4), "<f8"), np.full((1, 1), 256, "<u2")])
+    assert sorted(r["z"] for r in slices.drop_blank(images).collect()) == [1, 3]
+    turned = dense(resample.permute_axes(sparse(spark, volume), "xzy"), (16, 8, 16))
+    assert (turned == volume.transpose(2, 0, 1)).all()
+    with pytest.raises(ValueError):
+        resample.permute_axes(sparse(spark, volume), "xyy")
+    one = spark.createDataFrame([(1, 2, 3)], "z int, y int, x int")
+    r = resample.world_coordinates(one, (2, 3, 4), (10, 20, 30), (0, 1, 0, 1, 0, 0, 0, 0, -1)).first()
+    assert (r["wx"], r["wy"], r["wz"]) == (10 + 6, 20 + 6, 30 - 4)
+    cells = voxels.densify(sparse(spark, volume), volume.shape).select("z", "y", "x", "value")
+    shift = [1, 0, 0, 1, 0, 1, 0, 0, 0, 0, 1, -2]
+    ahead = dense(resample.warp_between(sparse(spark, volume), cells, shift), volume.shape)
+    assert (ahead[:-1, :, 2:] == volume[1:, :, :-2]).all()
+    back = dense(resample.warp_between(cells, sparse(spark, volume), shift, "image2atlas"), volume.shape)
+    assert (back[1:, :, :-2] == volume[:-1, :, 2:]).all()
+    with pytest.raises(ValueError):
+        resample.warp_between(cells, cells, shift, "sideways")
+
+
+def test_large_slices_are_pasted_from_tiles(spark, volume):
+    rows = blocks.to_slices(sparse(spark, volume), volume.shape, tile=5).collect()
+    assert len(rows) == 8 and all((np.frombuffer(r["data"], "<u2").reshape(16, 16) == volume[r["z"]]).all() for r in rows)
+
+
+def test_densify_by_group(spark):
+    v = spark.createDataFrame([("a", 0, 1, 1, 5), ("b", 1, 0, 2, 7)], "g string, z int, y int, x int, value int")
+    got = {tuple(r)[:4]: r["value"] for r in voxels.densify(v, (2, 2, 3), "g").collect()}
+    assert len(got) == 24 and got["a", 0, 1, 1] == 5 and got["b", 1, 0, 2] == 7 and sum(got.values()) == 12
+
+
 def test_homomorphic_2d_gains():
     img = np.random.default_rng(1).integers(0, 500, (32, 48)).astype(float)
     assert np.allclose(filters.homomorphic(img, 10, 1.0, 1.0), img)
@@ -152,7 +319,8 @@ def test_resampling(spark, volume):
     v = sparse(spark, volume)
     for f in (resample.downsample_nearest, resample.downsample_linear):
         assert (dense(f(v, volume.shape, (1, 1, 1), 3), volume.shape) == volume).all()
-    assert resample.slabs(7, 4, 0.1) == [(0, 4, 0, 0), (4, 3, 0, 0)]
+    assert resample.slabs(7, 4, 0.1) == [(1, 4, 0, 0, 0), (1, 3, 0, 4, 0)] and resample.slabs(32, 10, 0.4) == [(3, 10, 4, 0, 0), (1, 2, 1, 30, 12)]
+    assert resample.downsample_nearest(v, volume.shape, (0.05, 1, 1), 4).count() == 0 and resample.downsample_linear(v, volume.shape, (0.05, 1, 1), 4).count() == 0
     half = dense(resample.downsample_nearest(v, volume.shape, (0.5, 0.5, 0.5), None), (4, 8, 8))
     at = lambda m, n: [(2 * k * (n - 1) + m - 1) // (2 * (m - 1)) for k in range(m)]
     assert (half == volume[np.ix_(at(4, 8), at(8, 16), at(8, 16))]).all()
@@ -182,8 +350,12 @@ def test_upsample_of_downsample_keeps_a_constant(spark):
 def test_region_properties(spark, volume):
     lab = np.zeros_like(volume)
     lab[1:, :, :8], lab[1:, :, 8:] = 1, 2
-    tree = spark.createDataFrame([(9, "root", None, 0), (1, "a", 9, 1), (2, "b", 9, 1), (5, "empty", 1, 2), (7, "loop", 8, 1), (8, "pool", 7, 1)], "region_id int, name string, parent_id int, level int")
+    tree = spark.createDataFrame([(9, "root", None, 0), (1, "a", 9, 1), (2, "b", 9, 1), (5, "empty", 1, 2), (7, "lost", 77, 1)], "region_id int, name string, parent_id int, level int")
     mask, labels = sparse(spark, volume), sparse(spark, lab, "label")
+    with pytest.raises(ValueError, match="cycle"):
+        regions.closure(tree.unionByName(spark.createDataFrame([(20, "loop", 21, 1), (21, "pool", 20, 1)], tree.schema)))
+    with pytest.raises(ValueError, match="cycle"):
+        regions.closure(spark.createDataFrame([(1, "self", 1, 0)], tree.schema))
     both = regions.region_density(mask, labels)
     rolled = {r["region_id"]: (r["total_vox"], r["signal_vox"]) for r in regions.rollup(both, tree).collect()}
     assert rolled[9] == ((lab > 0).sum(), ((lab > 0) & (volume > 0)).sum()) and rolled[5] == (0, 0) and rolled[7] == (0, 0)
@@ -194,6 +366,41 @@ def test_region_properties(spark, volume):
     assert max(r["z"] for r in k.collect()) == 2 and max(r["z"] for r in m.collect()) == 2
 
 
+def test_rollup_of_a_deep_tree(spark):
+    """A chain of 300 regions, voxels in the deepest alone."""
+    chain = [(k, f"r{k}", k - 1 if k else None, k) for k in range(300)]
+    tree = spark.createDataFrame(chain, "region_id int, name string, parent_id int, level int")
+    counts = spark.createDataFrame([(299, 7, 3)], "label int, total_vox long, signal_vox long")
+    assert {(r["total_vox"], r["signal_vox"]) for r in regions.rollup(counts, tree).collect()} == {(7, 3)}
+    pairs = {tuple(r) for r in regions.closure(tree).collect()}
+    assert pairs == {(a, b) for a in range(300) for b in range(a + 1)}
+    assert regions.closure(tree.limit(0)).count() == 0
+
+
+def test_ontology_from_a_file(spark, tmp_path):
+    tree = {"id": 1, "name": "root", "children": [{"id": 2, "name": "a", "children": [{"id": 5, "name": "deep", "children": [{"id": 6, "name": "deeper"}]}]}, {"id": 3, "name": "b"}, {"id": 4, "name": "c", "children": []}]}
+    (tmp_path / "o.json").write_text(json.dumps(tree, indent=1))
+    got = sorted(map(tuple, io.scan_ontology(spark, str(tmp_path / "o.json")).collect()))
+    assert got == [(1, "root", None, 0), (2, "a", 1, 1), (3, "b", 1, 1), (4, "c", 1, 1), (5, "deep", 2, 2), (6, "deeper", 5, 3)]
+    (tmp_path / "one.json").write_text('{"id": 9, "name": "alone"}')
+    assert [tuple(r) for r in io.scan_ontology(spark, str(tmp_path / "one.json")).collect()] == [(9, "alone", None, 0)]
+
+
+def test_components_of_stars_chains_and_hubs(spark):
+    """By rounds alone, and as usual: a star around its greatest and one around its least node, a chain, loops."""
+    n = 3000
+    star = [(10_000, k) for k in range(n)] + [(20_000, 20_001 + k) for k in range(n)]
+    chain = [(40_000 + k, 40_001 + k) for k in range(700)]
+    edges = spark.createDataFrame([*star, *chain, (5, 5), (60_001, 60_000), (60_000, 60_001)], "a long, b long").repartition(7)
+    want = {k: 0 for k in [*range(1, n), 10_000]} | {20_001 + k: 20_000 for k in range(n)} | {40_001 + k: 40_000 for k in range(700)} | {60_001: 60_000}
+    for few in (0, components.FEW):
+        assert {r["node"]: r["root"] for r in components.connected_components(edges, few=few).collect()} == want
+    assert components.connected_components(edges.limit(0)).count() == 0
+    million = spark.range(1, 1_000_001).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    found = components.connected_components(million, few=0)
+    assert found.count() == 1_000_000 and found.filter("root <> 0").count() == 0
+
+
 def test_roi_and_threshold_edges(spark, volume):
     v = sparse(spark, volume)
     assert voxels.zero_roi(v, (5, 2, 0, 3), 16, 16).count() == 0
