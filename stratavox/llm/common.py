@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import HOT, join_unique
 from ..storage import spill
 
 __all__ = ["HOT", "LOWER", "ROWS", "UPPER", "join_unique", "lower_ascii", "map_batches", "plain_classes", "raw_texts", "read", "spill", "texts"]
@@ -18,9 +19,6 @@ __all__ = ["HOT", "LOWER", "ROWS", "UPPER", "join_unique", "lower_ascii", "map_b
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-#: A key is hot if more than one in HOT rows has it.
-HOT = 1000
-
 #: Rows that a function of a batch sees at once.
 ROWS = 2048
 
@@ -68,16 +66,5 @@ def plain_classes() -> tuple[str, str, str, re.Pattern]:
     return white, letters, digits, re.compile(f"[^{white}{re.escape(''.join(below))}]")
 
 
-def join_unique(rows: DataFrame, other: DataFrame, hot: DataFrame, key: list[str]) -> DataFrame:
-    """The inner join of rows with other, whose key is unique; rows of hot keys don't go through a shuffle.
-
-    hot: the keys that more than one in HOT rows has, so at most HOT of them; they and their rows of other are
-    broadcast. The others go by a sort-merge join, where no key is more than a small part.
-    """
-    hot = F.broadcast(hot.select(key))
-    few = F.broadcast(other.join(hot, key, "left_semi"))
-    return rows.join(few, key).unionByName(rows.join(hot, key, "left_anti").join(other.hint("merge"), key))
-
-
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.components import connected_components
+from ..operators.components import connected_components, forest
 from .common import HOT, join_unique, map_batches, raw_texts, read, spill, texts
 
 BANDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
@@ -62,22 +62,6 @@ def _survivors(fp: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray,
     return i[linked], j[linked]
 
 
-def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n rows the least row of its component under links (i, j)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        np.minimum.at(new, label[i], low)
-        np.minimum.at(new, label[j], low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def bucket_links(key: np.ndarray, fp: np.ndarray, refs: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Links (a, b) that span each bucket's components; rows come sorted by bucket."""
     fp = fp.view(np.uint64)
@@ -107,7 +91,7 @@ def bucket_links(key: np.ndarray, fp: np.ndarray, refs: np.ndarray, radius: int
             j = i + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             found.append(_survivors(fp, table, order[i], order[j], radius))
     i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-    label = _forest(len(fp), i, j)
+    label = forest(len(fp), i, j)
     out = np.flatnonzero(label != np.arange(len(fp)))
     return fp[out].view(np.int64), fp[label[out]].view(np.int64)
 

@@ -107,7 +107,7 @@ def test_links_of_large_buckets_split_in_blocks(spark):
     from stratavox.operators.components import connected_components
 
     want = {}
-    label = simhash._forest(len(fps), *np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3, 1)))
+    label = simhash.forest(len(fps), *np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3, 1)))
     for block in (4096, 5):
         got = {r["node"]: r["root"] for r in connected_components(simhash.links(df, block)).collect()}
         groups = {}
@@ -121,7 +121,7 @@ def test_bucket_links_of_one_large_run():
     rng = np.random.default_rng(0)
     fp = np.unique(np.uint64(0xABCDEF) ^ (np.uint64(1) << rng.integers(0, 40, 90).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 40, 90).astype(np.uint64)))
     a, b = simhash.bucket_links(np.zeros(len(fp), np.int64), fp.view(np.int64), simhash.pivots())
-    want = simhash._forest(len(fp), *np.nonzero(np.triu(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 3, 1)))
+    want = simhash.forest(len(fp), *np.nonzero(np.triu(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 3, 1)))
     assert len(a) == len(fp) - len(set(want))
 
 
