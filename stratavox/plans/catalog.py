@@ -606,7 +606,7 @@ def homomorphic_2d(spark, d):
 def homomorphic_3d(spark, d):
     images = _images(spark, d).withColumn("channel", F.lit(0))
     d0 = filters.median_d0(filters.adaptive_d0(slices.even_sample(images, 0.2))).first()["d0"]
-    out = filters.homomorphic_3d(X.vox(spark, d).filter("channel = 0").drop("channel"), X.shape(spark, d), d0, (16, 128, 128))
+    out = filters.homomorphic_3d(X.vox(spark, d).filter("channel = 0").drop("channel"), X.shape(spark, d), d0)
     return out.groupBy("z").agg(F.count("*").alias("n"), F.round(F.avg("value"), 4).alias("mean"))
 
 
