@@ -6,6 +6,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,15 @@ from pyspark.sql import functions as F
 from ..operators.joins import HOT, join_unique
 from ..storage import spill
 
-__all__ = ["HOT", "LOWER", "ROWS", "UPPER", "join_unique", "lower_ascii", "map_batches", "plain_classes", "raw_texts", "read", "spill", "texts"]
+__all__ = ["HOT", "LOWER", "ROWS", "UPPER", "bitmap", "join_unique", "listed", "lower_ascii", "map_batches", "maybe", "plain_classes", "raw_texts", "read", "spill", "texts"]
 
 #: A-Z to a-z; other characters keep their case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Bits of a bitmap of keys at most (16 MB).
+BITMAP_BITS = 1 << 27
+
 #: Rows that a function of a batch sees at once.
 ROWS = 2048
 
@@ -66,5 +70,37 @@ def plain_classes() -> tuple[str, str, str, re.Pattern]:
     return white, letters, digits, re.compile(f"[^{white}{re.escape(''.join(below))}]")
 
 
+def listed(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the hashes (uint64) a bitmap may hold: all that were entered, and a few others."""
+    size = np.uint64(32 * len(bits))
+    a, b = ((h >> np.uint64(s)) % size for s in (0, 32))
+    bit = lambda at: bits[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32) & np.uint32(1)
+    return (bit(a) & bit(b)) > 0
+
+
+def bitmap(keys: DataFrame, name: str) -> np.ndarray:
+    """A bitmap of at most BITMAP_BITS with two bits set for each value of the column."""
+    size = min(BITMAP_BITS, 1 << max(10, (16 * keys.count()).bit_length()))
+    h = F.xxhash64(name)
+    at = keys.select(F.explode(F.array(h.bitwiseAND(size - 1), F.shiftrightunsigned(h, 32).bitwiseAND(size - 1))).alias("at"))
+    words = at.groupBy(F.shiftright("at", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(at & 31))")).alias("bits")).toPandas()
+    bits = np.zeros(size >> 5, np.uint32)
+    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    return bits
+
+
+def maybe(bits: np.ndarray, name: str) -> Column:
+    """Whether a bitmap may hold the column's value."""
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def test(h):
+        import pandas as pd
+
+        return pd.Series(listed(h.to_numpy(np.int64).view(np.uint64), shared.value))
+
+    return test(F.xxhash64(name))
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)

@@ -19,13 +19,12 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import HOT, join_unique, map_batches, read, spill, texts
+from .common import HOT, bitmap, join_unique, listed, map_batches, maybe, read, spill, texts
 
 UNIT, MIN_CHUNK, MAX_CHUNK, CUT_BITS = 64, 256, 8192, 10
-BITMAP_BITS = 1 << 27
 RATE = 8000
 SEEN = 1 << 20
 _CATALOG = "doc_id long, k binary, parts array<binary>"
@@ -151,25 +150,6 @@ def _rebuilt(b: pa.RecordBatch) -> tuple:
     return zip(*out, strict=True)
 
 
-def listed(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Which of the hashes (uint64) a bitmap may hold: all that were entered, and a few others."""
-    size = np.uint64(32 * len(bits))
-    a, b = ((h >> np.uint64(s)) % size for s in (0, 32))
-    bit = lambda at: bits[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32) & np.uint32(1)
-    return (bit(a) & bit(b)) > 0
-
-
-def bitmap(keys: DataFrame, name: str) -> np.ndarray:
-    """A bitmap of at most BITMAP_BITS with two bits set for each value of the column."""
-    size = min(BITMAP_BITS, 1 << max(10, (16 * keys.count()).bit_length()))
-    h = F.xxhash64(name)
-    at = keys.select(F.explode(F.array(h.bitwiseAND(size - 1), F.shiftrightunsigned(h, 32).bitwiseAND(size - 1))).alias("at"))
-    words = at.groupBy(F.shiftright("at", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(at & 31))")).alias("bits")).toPandas()
-    bits = np.zeros(size >> 5, np.uint32)
-    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    return bits
-
-
 def catalog(docs: DataFrame) -> DataFrame:
     """A written table of docs' (doc_id, text) rows: doc_id, content key k, and parts for the first row of a text in a task."""
     return spill(map_batches(keyed(docs), _catalog_rows, _CATALOG))
@@ -206,19 +186,6 @@ def chunk_store(docs: DataFrame, listing: DataFrame) -> tuple[DataFrame, DataFra
     return spill(map_batches(alone, make, _STORE).unionByName(map_batches(some, make, _STORE))), hot_chunks, hot_keys, keys
 
 
-def maybe(bits: np.ndarray, name: str) -> Column:
-    """Whether a bitmap may hold the column's value."""
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def test(h):
-        import pandas as pd
-
-        return pd.Series(listed(h.to_numpy(np.int64).view(np.uint64), shared.value))
-
-    return test(F.xxhash64(name))
-
-
 def completed(store: DataFrame, hot_chunks: DataFrame) -> DataFrame:
     """The store's rows that lack chunks, with these in a column more."""
     part = store.filter(F.size("missing") > 0)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, raw_texts, read
+from .common import bitmap, map_batches, maybe, raw_texts, read, spill
 
 BITS, SMOOTHING, THRESHOLD = 16, 6.0, -0.2
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
@@ -83,9 +83,14 @@ def log_ratio(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_
     """
     ids = trusted.select(F.col(id_col).cast("long").alias("t_id")).filter("t_id IS NOT NULL").distinct()
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).filter("text IS NOT NULL")
-    # a shuffled join at every size: the trusted ids grow with the corpus
-    marked = rows.join(ids.hint("merge"), rows["doc_id"] == ids["t_id"], "left").select("text", F.col("t_id").isNotNull().alias("good"))
-    parts = map_batches(marked, _counter, "bucket long, raw long, target long")
+    ids = spill(ids)
+    # the trusted ids grow with the corpus, so they are joined by shuffle; but only rows that a bitmap of bounded size can't
+    # rule out take part (a false hit is told apart by the join)
+    rows = rows.withColumn("some", maybe(bitmap(ids, "t_id"), "doc_id"))
+    some = rows.filter("some").join(ids.hint("merge"), F.col("doc_id") == F.col("t_id"), "left").select("text", F.col("t_id").isNotNull().alias("good"))
+    other = rows.filter("NOT some").select("text", F.lit(False).alias("good"))
+    count = lambda df: map_batches(df, _counter, "bucket long, raw long, target long")
+    parts = count(some).unionByName(count(other))
     total = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     both = np.zeros((2, 1 << BITS))
     both[:, total["bucket"].to_numpy(np.int64)] = total[["raw", "target"]].to_numpy(float).T
