@@ -183,8 +183,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     calibration = None
     held = known.filter("calibrate")
     if held.select("label").distinct().count() == 2:
-        p = trees.transform(held).select("label", vector_to_array("probability")[1].alias("p"))
-        calibration = IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="calibrated").fit(p)
+        # most rows have one of few probabilities: each counts once, with its weight
+        p = trees.transform(held).groupBy("label", vector_to_array("probability")[1].alias("p")).agg(F.count("*").cast("double").alias("n"))
+        calibration = IsotonicRegression(featuresCol="p", labelCol="label", weightCol="n", predictionCol="calibrated").fit(p)
     known.unpersist()
     return Model(weights, trees, calibration, None)
 
