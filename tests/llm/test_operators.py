@@ -195,6 +195,15 @@ def test_toxicity(spark, none):
     assert toxicity.scores(none, lab).count() == 0 and toxicity.scores(docs, lab.limit(0)).count() == len(rows)
     kept = toxicity.keep_clean(docs, lab)
     assert kept.columns == docs.columns and kept.count() == sum(r["score"] < 0.5 for r in got)
+    # each score again, from one text's features through the trees and the calibration's steps
+    from pyspark.ml.linalg import Vectors
+
+    model = toxicity.fit(docs, lab)
+    lexicon = toxicity.Lexicon(model.weights)
+    for r in model.score(toxicity.texts(docs), ["text"]).limit(60).collect():
+        p = model.trees.predictProbability(Vectors.dense(toxicity.features(r["text"], lexicon, toxicity.masked(lexicon), toxicity.SECOND_PERSON)))[1]
+        q = np.interp(p, model.calibration.boundaries.toArray(), model.calibration.predictions.toArray()) if model.calibration else p
+        assert r["score"] == pytest.approx(min(max(q, 0), 1))
 
 
 def test_toxicity_learns_all_words_and_settles_differing_labels(spark):
