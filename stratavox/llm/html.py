@@ -6,7 +6,7 @@ or columns keep their place, and lines of a cell beyond COLUMN characters are wr
 text keeps its lines. Labels of a drawing stand on lines of their own; of a select's options those that the page
 shows are kept. Invisible elements (by name, ``hidden``, an inline style, a dialog that isn't open, the values of
 fields that don't show them) give nothing; what a reader can unfold (details) is kept. Elements nest to any depth:
-the builder and the renderer keep stacks of their own.
+the builder and the renderer keep stacks of their own; past 40 levels items, quotes and tables stand in no further.
 """
 
 from __future__ import annotations
@@ -45,9 +45,13 @@ CLOSES = {
 }
 P_ENDS = BLOCK - {"html", "body", "li", "dt", "dd", "tr", "td", "th", "caption", "thead", "tbody", "tfoot", "option", "legend"}
 TABLE_TAGS = frozenset("table tr tbody thead tfoot body html".split())
+#: elements that stand in, by what counts as a level of theirs
+LEVELS = {"table": ("table",)} | dict.fromkeys(("li", "dd", "blockquote"), ("li", "dd", "blockquote"))
 #: inputs whose value is seen
 VALUED = frozenset(("", *"text search email url tel number date month week time datetime-local button submit reset".split()))
 COLUMN = 80
+#: Items, quotes and tables beyond NESTED levels of their kind are marked so: they stand in no further, or text would grow with its depth.
+DEEP, NESTED = "\0deep", 40
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
@@ -74,6 +78,9 @@ class Open:
         found = (at[k] for n in names if (at := self.where.get(n)) and (k := bisect(at, low)) < len(at))
         return min(found, default=0)
 
+    def count(self, *names: str) -> int:
+        return sum(len(self.where.get(n, ())) for n in names)
+
     def cut(self, k: int) -> None:
         while len(self.stack) > k:
             self.where[self.stack.pop()[0]].pop()
@@ -123,6 +130,8 @@ def parse(html: str) -> Node:
         around = opened.last(*FOREIGN)
         if around and tag in FOREIGN[stack[around][0]]:
             attrs["hidden"] = ""
+        if tag in LEVELS and opened.count(*LEVELS[tag]) >= NESTED:
+            attrs[DEEP] = ""
         stack[-1][2].append(node)
         if tag in VOID or (around or tag in FOREIGN) and m[3].endswith("/"):
             continue
@@ -192,11 +201,14 @@ def flow(nodes: list) -> Generator:
     gap = 0
 
     def add(new: list[str], space: int) -> None:
-        nonlocal gap
+        nonlocal gap, lines
         if new:
             if lines and max(gap, space):
                 lines.append("")
-            lines.extend(new)
+            if lines:
+                lines.extend(new)
+            else:
+                lines = new  # of elements nested alone nothing is copied
             gap = space
 
     def flush() -> None:
@@ -251,9 +263,9 @@ def block(node: Node) -> Generator:
         return whole.strip("\n").split("\n")
     lines = yield flow(children)
     if tag == "li":
-        return bulleted(lines, "- ")
+        return [*(f"- {x}" for x in lines[:1]), *lines[1:]] if DEEP in attrs else bulleted(lines, "- ")
     if tag in ("blockquote", "dd"):
-        return ["    " + x if x else x for x in lines]
+        return lines if DEEP in attrs else ["    " + x if x else x for x in lines]
     return lines
 
 
@@ -294,7 +306,8 @@ def items(node: Node) -> Generator:
         if c is not None and shown(c):
             lines = yield flow(c[2])
             if lines:
-                out += bulleted(lines, f"{number}. " if node[0] == "ol" else "- ")
+                mark = f"{number}. " if node[0] == "ol" else "- "
+                out += [mark + lines[0], *lines[1:]] if DEEP in c[1] else bulleted(lines, mark)
             number += 1
     return out
 
@@ -392,6 +405,9 @@ def table(node: Node) -> Generator:
     stray = yield flow(loose)
     out = stray + before
     for row in rows:
+        if DEEP in node[1]:
+            out += [line for lines, _ in row.values() for line in lines]
+            continue
         cells = [(offset[at], lines) for at, (lines, _) in row.items()]
         for k in range(max((len(lines) for _, lines in cells), default=0)):
             line = ""

@@ -182,6 +182,13 @@ def test_any_depth_and_hiding_below_it():
     assert html.render("<table><tr><td>" * 2000 + "cell") == "cell"
 
 
+def test_deep_nesting_does_not_multiply_the_text():
+    for source in ("<ul><li>x" * 3000 + "<br>y" * 3000, "<blockquote>x" * 3000 + "<br>y" * 3000, "<table><tr><td>x<td>" * 2000 + "y"):
+        text = html.render(source)
+        assert text.count("x") + text.count("y") == source.count("x") + source.count("y") and len(text) < 100 * len(source)
+    assert html.render("<div>" * 20_000 + "<br>y" * 20_000).count("y") == 20_000
+
+
 def test_cells_that_span():
     assert html.render("<table><tr><td rowspan=2>A<td>b<tr><td>c</table>") == "A  b\n   c"
     assert html.render("<table><tr><td colspan=300>wide one here<td>z<tr><td>a<td>b</table>") == "wide one here  z\na  b"
