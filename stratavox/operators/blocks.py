@@ -94,7 +94,7 @@ def predict_bricks(bricks: DataFrame, load: Callable, batch: int = 8, dtype: str
 
         model = None
         for pdf in parts:
-            model = model or load()
+            model = load() if model is None else model
             kind = list(zip(pdf["dtype"], pdf["dz"], pdf["dy"], pdf["dx"], strict=True))
             out, at = [], 0
             while at < len(kind):
