@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, map_batches, maybe, raw_texts, read, spill
+from .common import bitmap, listed, map_batches, maybe, raw_texts, read, spill
 
 BITS, SMOOTHING, THRESHOLD = 16, 6.0, -0.2
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
@@ -52,17 +52,19 @@ def _repeated(h: np.ndarray, width: int = 5) -> int:
     return int((np.cumsum(cover) > 0).sum())
 
 
-def _counter():
+def _counter(bits: np.ndarray | None = None):
+    """Columns: text, and whether it is trusted; or with a bitmap text and its id's hash, and those that it may hold are left out."""
     size = 1 << BITS
 
     def each(b: pa.RecordBatch) -> tuple:
-        good = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        told = b.column(1).to_numpy(zero_copy_only=False)
+        good = told.astype(bool) if bits is None else np.where(listed(told.view(np.uint64), bits), None, False)
         sums = np.zeros((2, size), np.int64)
         for which in (False, True):
             held, n = [], 0
-            for t, g in zip(raw_texts(b), good, strict=True):
-                if g == which:
-                    held.append(_grams(_hashes(t.split())))
+            for t, g in zip(b.column(0).cast(pa.large_binary()), good.tolist(), strict=True):
+                if g is which:
+                    held.append(_grams(_hashes(t.as_py().split())))
                     n += len(held[-1])
                     if n > 2_000_000:
                         sums[int(which)] += np.bincount(np.concatenate(held), minlength=size)
@@ -86,11 +88,11 @@ def log_ratio(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_
     ids = spill(ids)
     # the trusted ids grow with the corpus, so they are joined by shuffle; but only rows that a bitmap of bounded size can't
     # rule out take part (a false hit is told apart by the join)
-    rows = rows.withColumn("some", maybe(bitmap(ids, "t_id"), "doc_id"))
-    some = rows.filter("some").join(ids.hint("merge"), F.col("doc_id") == F.col("t_id"), "left").select("text", F.col("t_id").isNotNull().alias("good"))
-    other = rows.filter("NOT some").select("text", F.lit(False).alias("good"))
-    count = lambda df: map_batches(df, _counter, "bucket long, raw long, target long")
-    parts = count(some).unionByName(count(other))
+    bits = bitmap(ids, "t_id")
+    some = rows.filter(maybe(bits, "doc_id")).join(ids.hint("merge"), F.col("doc_id") == F.col("t_id"), "left").select("text", F.col("t_id").isNotNull().alias("good"))
+    shared, schema = docs.sparkSession.sparkContext.broadcast(bits), "bucket long, raw long, target long"
+    other = map_batches(rows.select("text", F.xxhash64("doc_id").alias("h")), lambda: _counter(shared.value), schema)
+    parts = map_batches(some, _counter, schema).unionByName(other)
     total = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     both = np.zeros((2, 1 << BITS))
     both[:, total["bucket"].to_numpy(np.int64)] = total[["raw", "target"]].to_numpy(float).T
