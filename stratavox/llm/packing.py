@@ -72,10 +72,9 @@ class Pieces(dict):
             self.size += 200 + len(word) + len(ids)
         return ids
 
-    def trim(self) -> None:
-        if self.size > MEMORY_BYTES:
-            self.clear()
-            self.size = 0
+    def forget(self) -> None:
+        self.clear()
+        self.size = 0
 
 
 def encoder(vocab: str):
@@ -111,8 +110,9 @@ def encoder(vocab: str):
     strange = Pieces(whole)  # words with other characters
 
     def encode(text: str) -> bytes:
-        known.trim()
-        strange.trim()
+        if known.size + strange.size > MEMORY_BYTES:
+            known.forget()
+            strange.forget()
         if any(s in text for s in special):
             return whole(text)
         if not odd.search(text):
