@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, html, licenses, media, packing, pii, quality, simhash, toxicity, urls
+from . import bpe, centroids, html, licenses, media, mixing, negatives, packing, pii, quality, simhash, toxicity, urls
 
 QUERIES = {
     "op1_simhash_components": simhash.query,
@@ -15,7 +15,13 @@ QUERIES = {
     "op8_url_filter": urls.query,
     "op9_html_text": html.query,
     "op10_byte_bpe": bpe.query,
+    "op11_centroid_tables": centroids.query,
+    "op12_source_schedule": mixing.query,
+    "op13_angular_negatives": negatives.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op8_url_filter": urls.ORACLE_SQL,
+    "op11_centroid_tables": centroids.ORACLE_SQL,
+    "op12_source_schedule": mixing.ORACLE_SQL,
+    "op13_angular_negatives": negatives.ORACLE_SQL,
 }
