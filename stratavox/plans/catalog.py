@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import blocks, density, filters, names, objects, regions, resample, slices, voxels
 from ..sources import files as io
-from ..storage import fresh_path
+from ..storage import fresh_path, spill
 from ..streaming import slices as streaming
 from . import fixtures as X
 from .fixtures import NX, NY, SEG_NX, SEG_NY, with_tables
@@ -663,13 +663,39 @@ def slice_export(spark, d):
 
 @query(with_tables("labels_vox mask vox", "SELECT label, count(*) AS total_vox, count(m.value) AS signal_vox FROM labels_vox LEFT JOIN mask m USING (z, y, x) WHERE label <> 0 GROUP BY label"))
 def stream_region_totals(spark, d):
-    path, labels = fresh_path(spark), X.labels(spark, d)
-    cut = blocks.to_bricks(X.mask(spark, d), X.shape(spark, d), _CHUNK)
-    empty = labels.select(*blocks.brick_of(_CHUNK)).distinct().join(cut, blocks.B_KEY, "left_anti")
+    sent, labels = _sent_bricks(spark, d, X.mask(spark, d), 1), _label_bricks(spark, d)
+    path = fresh_path(spark)
+    sent.repartitionByRange(8, "bz").write.parquet(path)
+    return streaming.drain_region_totals(spark, path, labels, fresh_path(spark), fresh_path(spark))
+
+
+def _label_bricks(spark, d):
+    return spill(blocks.to_bricks(X.labels(spark, d).withColumnRenamed("label", "value"), X.shape(spark, d), _CHUNK, "<i4"))
+
+
+def _sent_bricks(spark, d, mask, version):
+    """The mask's bricks, and one without cells wherever there are labels but no signal."""
+    cut = blocks.to_bricks(mask, X.shape(spark, d), _CHUNK)
+    empty = X.labels(spark, d).select(*blocks.brick_of(_CHUNK)).distinct().join(cut, blocks.B_KEY, "left_anti")
     nothing = [F.lit(0).alias(c) for c in ("z0", "y0", "x0", "dz", "dy", "dx")]
-    bricks = cut.unionByName(empty.select(*blocks.B_KEY, *nothing, F.lit("<u2").alias("dtype"), F.lit(b"").alias("data")))
-    bricks.repartitionByRange(8, "bz").write.parquet(path)
-    return streaming.drain_region_totals(spark, path, labels, _CHUNK, fresh_path(spark), fresh_path(spark))
+    whole = cut.unionByName(empty.select(*blocks.B_KEY, *nothing, F.lit("<u2").alias("dtype"), F.lit(b"").alias("data")))
+    return whole.withColumn("version", F.lit(version).cast("long"))
+
+
+_TENTH = "(z // 8 + y // 100 + x // 100) % 10"
+
+
+@query(with_tables("labels_vox mask vox", "SELECT label, count(*) AS total_vox, count(m.z) AS signal_vox FROM labels_vox LEFT JOIN last m USING (z, y, x) WHERE label <> 0 GROUP BY label", f"last AS (SELECT z, y, x FROM mask WHERE {_TENTH} <> 1 UNION ALL SELECT z, y, x FROM vox WHERE channel = 1 AND value > 600 AND {_TENTH} = 1)"))
+def stream_region_resent(spark, d):
+    """A tenth of the bricks comes twice, a tenth comes again with other cells, and of a tenth an older version comes late."""
+    first = _sent_bricks(spark, d, X.mask(spark, d), 1)
+    other = X.vox(spark, d).filter("channel = 1 AND value > 600").drop("channel")
+    tenth = (F.col("bz") + F.col("by") + F.col("bx")) % 10
+    again, newer, older = first.filter(tenth == 0), _sent_bricks(spark, d, other, 2).filter(tenth == 1), _sent_bricks(spark, d, other, 0).filter(tenth == 2)
+    path = fresh_path(spark)
+    for part in (first.unionByName(newer.filter("bz % 2 = 0")), again.unionByName(newer.filter("bz % 2 = 1")).unionByName(older)):
+        part.repartition(4, *blocks.B_KEY).write.mode("append").parquet(path)
+    return streaming.drain_region_totals(spark, path, _label_bricks(spark, d), fresh_path(spark), fresh_path(spark))
 
 
 @query(with_tables("vox", "SELECT z, 256 AS height, 256 AS width, CAST(sum(value) + 65536 AS BIGINT) AS total FROM vox WHERE channel = 0 GROUP BY z"))
