@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import blocks, density, filters, names, objects, regions, resample, slices, voxels
+from ..operators import blocks, density, filters, names, objects, regions, resample, slices, transforms, voxels
 from ..sources import files as io
 from ..storage import fresh_path, spill
 from ..streaming import slices as streaming
@@ -379,6 +379,62 @@ def warp_displacement(spark, d):
     return resample.warp_nearest(f, X.labels(spark, d), [1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 0], moved, "label")
 
 
+_STEP = (4, 16, 16)
+_NODES = "nodes AS (SELECT z // 4 AS z, y // 16 AS y, x // 16 AS x, CAST(count(*) % 3 - 1 AS DOUBLE) / 2 AS dz, CAST(sum(value) % 9 - 4 AS DOUBLE) / 4 AS dy, CAST(min(value) % 7 - 3 AS DOUBLE) / 4 AS dx FROM mask GROUP BY 1, 2, 3)"
+_AHEAD = (1.0, 0, 0, 2.0, 0, 0.5, 0, 4.0, 0, 0.25, 2.0, -3.0)
+
+
+def _field(spark, d, **how) -> transforms.Field:
+    """A field on a grid of every fourth plane and sixteenth row and column, from what the mask holds there."""
+    at = [F.floor(F.col(c) / n).cast("int").alias(c) for c, n in zip("zyx", _STEP, strict=True)]
+    sums = X.mask(spark, d).groupBy(*at).agg(F.count("*").alias("n"), F.sum("value").alias("s"), F.min("value").alias("m"))
+    move = [((F.col(c) % k - k // 2).cast("double") / q).alias(m) for c, k, q, m in (("n", 3, 2, "dz"), ("s", 9, 4, "dy"), ("m", 7, 4, "dx"))]
+    return transforms.Field(sums.select("z", "y", "x", *move), _STEP, **how)
+
+
+def _field_sql(points: str, columns: str) -> str:
+    """columns and dz, dy, dx of the field at pz, py, px of points, corner by corner in order."""
+    joins = " ".join(f"LEFT JOIN nodes n{k} ON n{k}.z = cz + {a} AND n{k}.y = cy + {b} AND n{k}.x = cx + {c}" for k, (a, b, c) in enumerate(transforms.CORNERS))
+    share = [" * ".join(f"f{c}" if o else f"(1 - f{c})" for c, o in zip("zyx", corner, strict=True)) for corner in transforms.CORNERS]
+    move = ", ".join(f"{' + '.join(f'{w} * coalesce(n{k}.d{c}, 0)' for k, w in enumerate(share))} AS d{c}" for c in "zyx")
+    cut = ", ".join(f"CAST(floor(p{c} / {n}) AS BIGINT) AS c{c}, p{c} / {n} - floor(p{c} / {n}) AS f{c}" for c, n in zip("zyx", _STEP, strict=True))
+    return f"SELECT {columns}, {move} FROM (SELECT *, {cut} FROM {points}) q {joins}"
+
+
+def _affine_sql(matrix, source: str) -> str:
+    row = lambda r: f"{float(r[0])!r}::DOUBLE * pz + {float(r[1])!r}::DOUBLE * py + {float(r[2])!r}::DOUBLE * px + {float(r[3])!r}::DOUBLE"
+    return "SELECT z, y, x, " + ", ".join(f"{row(r)} AS p{c}" for c, r in zip("zyx", matrix, strict=True)) + f" FROM {source}"
+
+
+_LIST = f"""{_NODES}, p0 AS (SELECT z, y, x, CAST(z AS DOUBLE) AS pz, CAST(y AS DOUBLE) AS py, CAST(x AS DOUBLE) AS px FROM mask),
+p1 AS ({_affine_sql(transforms.Affine(_AHEAD).matrix(), 'p0')}), p2 AS ({_field_sql('p1', 'q.z, q.y, q.x, pz, py, px')}),
+p3 AS (SELECT z, y, x, pz + dz AS pz, py + dy AS py, px + dx AS px FROM p2), p4 AS ({_affine_sql(transforms.Affine(_AHEAD, True).matrix(), 'p3')})"""
+
+
+@query(with_tables("mask labels_vox", "SELECT p.z, p.y, p.x, coalesce(m.label, 0) AS label FROM p4 p LEFT JOIN labels_vox m ON m.z = CAST(floor(pz + 0.5) AS INT) AND m.y = CAST(floor(py + 0.5) AS INT) AND m.x = CAST(floor(px + 0.5) AS INT)", _LIST))
+def warp_list(spark, d):
+    """Labels at the mask's cells through an affine, a coarse field, and the affine's inverse."""
+    steps = [transforms.Affine(_AHEAD), _field(spark, d), transforms.Affine(_AHEAD, True)]
+    return transforms.warp_list(X.mask(spark, d), X.labels(spark, d), steps, "label")
+
+
+_ROUNDS = 3
+_GRID = f"nodes_all AS (SELECT CAST(i AS INT) AS z, CAST(j AS INT) AS y, CAST(k AS INT) AS x FROM (SELECT unnest(range(nz // {_STEP[0]})) AS i FROM dims) CROSS JOIN range({NY // _STEP[1]}) a(j) CROSS JOIN range({NX // _STEP[2]}) b(k)), v0 AS (SELECT *, 0.0::DOUBLE AS dz, 0.0::DOUBLE AS dy, 0.0::DOUBLE AS dx FROM nodes_all)"
+
+
+def _inverse_sql(k: int) -> str:
+    points = ", ".join(f"{c} * {n}.0::DOUBLE + d{c} AS p{c}" for c, n in zip("zyx", _STEP, strict=True))
+    found = _field_sql(f"a{k}", "q.z, q.y, q.x")
+    return f"a{k} AS (SELECT z, y, x, {points} FROM v{k - 1}), v{k} AS (SELECT z, y, x, 0 - dz AS dz, 0 - dy AS dy, 0 - dx AS dx FROM ({found}))"
+
+
+@query(with_tables("mask", f"SELECT z, y, x, dz, dy, dx FROM v{_ROUNDS} WHERE dz <> 0 OR dy <> 0 OR dx <> 0", f"{_NODES}, {_GRID}, " + ", ".join(_inverse_sql(k) for k in range(1, _ROUNDS + 1))))
+def field_inverse(spark, d):
+    nz = X.planes(spark, d)
+    field = _field(spark, d, invert=True, grid=(nz // _STEP[0], NY // _STEP[1], NX // _STEP[2]))
+    return transforms.inverse_field(field, _ROUNDS, -1.0)
+
+
 @query(with_tables("mask", "SELECT z, y, x, value, CAST(-5.5 AS DOUBLE) + x * CAST(1.8 AS DOUBLE) AS wx, CAST(3.25 AS DOUBLE) + y * CAST(1.8 AS DOUBLE) AS wy, CAST(0.0 AS DOUBLE) + z * CAST(2.0 AS DOUBLE) AS wz FROM mask"))
 def world_coords(spark, d):
     return resample.world_coordinates(X.mask(spark, d), (1.8, 1.8, 2.0), (-5.5, 3.25, 0.0))
