@@ -1,4 +1,4 @@
-"""Density images: spots, Gaussian density by separable stencils, colour ramp."""
+"""Density images: spots, Gaussian density by separable sums on bricks, colour ramp."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from math import exp
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import to_bricks
+from .kernels import cell_rows, line_sums, with_halo
 from .voxels import KEY, mask_to, overlay
 
 SCALE = 10_000
@@ -30,32 +32,20 @@ def kernel(sigma: float, reach: int = 5) -> list[tuple[int, int]]:
     return [(d, int(exp(-d * d / (2 * sigma * sigma)) * SCALE + 0.5)) for d in range(-reach, reach + 1)]
 
 
-def stencil(vox: DataFrame, axis: str, weights: list[tuple[int, int]], n: int, reflect: bool = False, slab: int | None = None) -> DataFrame:
-    """One pass along an axis of n cells: sums of value times weight over the offsets, in integers.
+#: Bricks that kernels run on.
+CHUNK = (64, 128, 128)
+
+
+def heat_bricks(signal: DataFrame, shape: tuple[int, int, int], sigma: float = 1.5, alpha: float = 1.0, chunk: tuple[int, int, int] = CHUNK) -> DataFrame:
+    """Bricks (doubles) of alpha times the Gaussian sum over the cells of signal bricks within 5, inside the volume."""
+    weights = [w for _, w in kernel(sigma)]
+    heat = lambda cells: line_sums(cells, weights) / float(SCALE) ** 3 * alpha
+    return with_halo(signal, shape, chunk, (len(weights) // 2,) * 3, heat)
 
-    Beyond the border is 0, or the mirror image (d c b a | a b c d) with reflect. slab: planes that are mirrored
-    apart from each other (axis z only).
-    """
-    steps = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(w).cast("long").alias("w")) for d, w in weights if w])).alias("s")
-    rest = [c for c in KEY if c != axis]
-    at, low = F.col(axis), F.lit(0)
-    size = F.lit(n)
-    if slab:
-        low = F.floor(at / slab).cast("int") * slab
-        size = F.least(F.lit(slab), F.lit(n) - low)
-    p = vox.select(*rest, "value", low.alias("lo"), size.alias("size"), (at - low).alias("p"))
-    if reflect:
-        p = p.withColumn("p", F.explode(F.array(F.col("p"), -1 - F.col("p"), 2 * F.col("size") - 1 - F.col("p"))))
-    moved = p.select(*rest, "value", "lo", "size", "p", steps).select(*rest, (F.col("value").cast("long") * F.col("s.w")).alias("v"), "lo", "size", (F.col("p") - F.col("s.d")).alias("q"))
-    return moved.filter("q >= 0 AND q < size").select(*rest, (F.col("lo") + F.col("q")).cast("int").alias(axis), "v").groupBy(*KEY).agg(F.sum("v").alias("value"))
-
-
-def heat_density(signal: DataFrame, atlas: DataFrame, shape: tuple[int, int, int], sigma: float = 1.5, alpha: float = 1.0) -> DataFrame:
-    """alpha times the Gaussian sum over signal voxels within 5 cells, inside the volume; three passes of 11 offsets."""
-    out = mask_to(signal, atlas)
-    for axis, n in zip(KEY, shape, strict=True):
-        out = stencil(out, axis, kernel(sigma), n)
-    return out.select(*KEY, (F.col("value") / F.lit(float(SCALE) ** 3) * alpha).alias("value"))
+
+def heat_density(signal: DataFrame, atlas: DataFrame, shape: tuple[int, int, int], sigma: float = 1.5, alpha: float = 1.0, chunk: tuple[int, int, int] = CHUNK) -> DataFrame:
+    """(z, y, x, value): alpha times the Gaussian sum over signal voxels of the atlas within 5 cells, inside the volume."""
+    return cell_rows(heat_bricks(to_bricks(mask_to(signal, atlas), shape, chunk, "<i4"), shape, sigma, alpha, chunk), "double")
 
 
 def colour_ramp(heat: DataFrame) -> DataFrame:
@@ -77,17 +67,21 @@ def mean_heat(heats: DataFrame, samples: int) -> DataFrame:
     return heats.groupBy(*KEY).agg((F.sum("value") / samples).alias("value"))
 
 
-def gaussian_smooth(vox: DataFrame, shape: tuple[int, int, int], sigma: float = 1.0, slab: int | None = None, whole: bool = False) -> DataFrame:
-    """Normalised Gaussian of radius int(4 sigma + 1/2) with mirrored borders, planes mirrored in each slab.
+def gaussian_bricks(bricks: DataFrame, shape: tuple[int, int, int], sigma: float = 1.0, slab: int | None = None, whole: bool = False, chunk: tuple[int, int, int] = CHUNK) -> DataFrame:
+    """Bricks of the normalised Gaussian of radius int(4 sigma + 1/2) with mirrored borders, planes mirrored in each slab.
 
     whole: values stay whole numbers, cut off after each axis, as those of an integer image do.
     """
     reach = int(4 * sigma + 0.5)
     w = [exp(-d * d / (2 * sigma * sigma)) for d in range(-reach, reach + 1)]
-    weights = [(d, int(x / sum(w) * SCALE + 0.5)) for d, x in zip(range(-reach, reach + 1), w, strict=True)]
-    out = vox.select(*KEY, "value")
-    for axis, n in zip(KEY, shape, strict=True):
-        out = stencil(out, axis, weights, n, True, slab if axis == "z" else None)
-        if whole:
-            out = out.withColumn("value", F.floor(F.col("value") / SCALE).cast("int")).filter("value <> 0")
-    return out if whole else out.select(*KEY, (F.col("value") / F.lit(float(SCALE) ** 3)).alias("value"))
+    weights = [int(x / sum(w) * SCALE + 0.5) for x in w]
+    chunk = (slab, *chunk[1:]) if slab else chunk
+    smooth = lambda cells: line_sums(cells, weights, SCALE) if whole else line_sums(cells, weights) / float(SCALE) ** 3
+    return with_halo(bricks, shape, chunk, (reach,) * 3, smooth, "symmetric", bool(slab))
+
+
+def gaussian_smooth(vox: DataFrame, shape: tuple[int, int, int], sigma: float = 1.0, slab: int | None = None, whole: bool = False, chunk: tuple[int, int, int] = CHUNK) -> DataFrame:
+    """(z, y, x, value) of gaussian_bricks over the voxels, which are whole numbers; voxels of 0 are left out."""
+    cut = (slab, *chunk[1:]) if slab else chunk
+    out = cell_rows(gaussian_bricks(to_bricks(vox, shape, cut, "<i4"), shape, sigma, slab, whole, chunk), "long" if whole else "double")
+    return out.withColumn("value", F.col("value").cast("int")) if whole else out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import blocks, density, filters, names, objects, regions, resample, slices, transforms, voxels
+from ..operators import blocks, density, filters, kernels, names, objects, regions, resample, slices, transforms, voxels
 from ..sources import files as io
 from ..storage import fresh_path, spill
 from ..streaming import slices as streaming
@@ -567,7 +567,11 @@ def heat_density(spark, d):
 
 @query(with_tables("bright atlas edge", "SELECT z, y, x, coalesce(e, r, 0) AS r, coalesce(e, g, 0) AS g, coalesce(e, b, 0) AS b FROM (SELECT z, y, x, CAST(trunc(least(greatest(CASE WHEN value > 255 THEN value - 255 ELSE 0 END, 0), 255)) AS INT) AS r, 0 AS g, CAST(trunc(least(greatest(CASE WHEN value <= 255 THEN value WHEN value <= 510 THEN 255 ELSE 255 - (value - 510) END, 0), 255)) AS INT) AS b FROM heat) FULL JOIN (SELECT z, y, x, value AS e FROM edge WHERE value <> 0) USING (z, y, x) JOIN (SELECT z, y, x FROM atlas WHERE value <> 0) USING (z, y, x)", _HEAT))
 def heat_rgb(spark, d):
-    return density.heat_rgb(_heat(spark, d), X.edge(spark, d), X.atlas(spark, d))
+    shape, atlas = X.shape(spark, d), X.atlas(spark, d)
+    cut = lambda vox, dtype: blocks.to_bricks(vox, shape, density.CHUNK, dtype)
+    heat = density.heat_bricks(cut(voxels.mask_to(X.bright(spark, d), atlas), "<i4"), shape, 1.5, 2.0)
+    shown = kernels.cells_where(heat, cut(atlas, "|u1"), "double").filter("value <> 0")
+    return density.heat_rgb(shown, X.edge(spark, d), atlas)
 
 
 _REACH = 4
@@ -662,8 +666,9 @@ def homomorphic_2d(spark, d):
 def homomorphic_3d(spark, d):
     images = _images(spark, d).withColumn("channel", F.lit(0))
     d0 = filters.median_d0(filters.adaptive_d0(slices.even_sample(images, 0.2))).first()["d0"]
-    out = filters.homomorphic_3d(X.vox(spark, d).filter("channel = 0").drop("channel"), X.shape(spark, d), d0)
-    return out.groupBy("z").agg(F.count("*").alias("n"), F.round(F.avg("value"), 4).alias("mean"))
+    cubes = spill(blocks.to_bricks(X.vox(spark, d).filter("channel = 0").drop("channel"), X.shape(spark, d), (32, 32, 32)))
+    out = kernels.plane_sums(filters.homomorphic_bricks(cubes, X.shape(spark, d), d0))
+    return out.select("z", "n", F.round(F.col("total") / F.col("n"), 4).alias("mean"))
 
 
 @query()

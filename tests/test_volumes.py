@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratavox.operators import blocks, components, density, filters, names, objects, regions, resample, slices, voxels
+from stratavox.operators import blocks, components, density, filters, kernels, names, objects, regions, resample, slices, voxels
 from stratavox.sources import files as io
 from stratavox.streaming import slices as streaming
 
@@ -528,3 +528,40 @@ def test_region_totals_of_bricks_sent_again(spark, tmp_path):
         t, s = got[x]
         sure = (lit & ~unsure & (label == x)).sum()
         assert t == (label == x).sum() and s in (sure, sure + (lit & unsure & (label == x)).sum())
+
+
+def test_kernels_do_not_depend_on_how_bricks_are_cut(spark, volume):
+    v = sparse(spark, volume)
+    w = [int(x * density.SCALE + 0.5) for x in filters.gaussian_1d(1.0)]
+    for slab, whole in ((None, False), (4, False), (4, True), (3, True)):
+        got = {c: dense(density.gaussian_smooth(v, volume.shape, 1.0, slab, whole, c), volume.shape) for c in ((8, 16, 16), (3, 5, 7), (2, 2, 3))}
+        want = volume.astype(np.int64)
+        for k in range(3):
+            for lo in range(0, 8, slab) if k == 0 and slab else (0,):
+                part = (slice(lo, lo + slab if k == 0 and slab else None),)
+                x = (filters.convolve(want[part].astype(float), np.array(w, float), k, (True, True)) + 1e-6).astype(np.int64)
+                want[part] = x // density.SCALE if whole else x
+        for x in got.values():
+            assert (x == (want if whole else want / float(density.SCALE) ** 3)).all()
+    heat = [dense(density.heat_density(v, v, volume.shape, 1.5, 2.0, c), volume.shape) for c in ((8, 16, 16), (3, 5, 7), (2, 3, 2))]
+    assert (heat[0] == heat[1]).all() and (heat[0] == heat[2]).all()
+
+
+def test_halo_slabs_are_binary_and_bounded(spark):
+    """Bytes sent: the bricks and their halos, no more; empty bricks are neither sent nor made."""
+    a = np.zeros((64, 64, 64), int)
+    a[:32] = np.random.default_rng(5).integers(1, 9, (32, 64, 64))
+    bricks = blocks.to_bricks(sparse(spark, a), a.shape, (32, 32, 32), "<i4").cache()
+    own = sum(len(r["data"]) for r in bricks.collect())
+    sent = [(r["bz"], len(r["data"])) for r in kernels.halo_slabs(bricks, a.shape, (32, 32, 32), (2, 2, 2)).collect()]
+    assert sum(n for b, n in sent if b == 0) == 4 * 32 * 34 * 34 * 4 and sum(n for _, n in sent) < 1.3 * own
+    made = kernels.with_halo(bricks, a.shape, (32, 32, 32), (2, 2, 2), lambda c: c[2:-2, 2:-2, 2:-2].copy())
+    assert {r["bz"] for r in made.collect()} == {0} and (dense(kernels.cell_rows(made), a.shape) == a).all()
+    recut = kernels.with_halo(bricks, a.shape, (20, 64, 7), (0, 0, 0), lambda c: c)
+    assert (dense(kernels.cell_rows(recut), a.shape) == a).all()
+    assert kernels.with_halo(bricks.limit(0), a.shape, (32, 32, 32), (1, 1, 1), lambda c: c).count() == 0
+
+
+def test_sums_that_leave_64_bits_raise():
+    with pytest.raises(OverflowError):
+        kernels.line_sums(np.full((3, 3, 3), 1 << 30), [10_000] * 3)
