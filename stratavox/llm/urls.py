@@ -1,16 +1,17 @@
 """URL filters by hashed expressions, DataFrame functions only.
 
-Each site (host and head of the path) is expanded into host suffixes times path prefixes of the lengths
-that rules have. Expressions and rules meet in an equi-join on the first 8 hex digits of their SHA-256; the
+Each site (host and head of the path) is expanded into host suffixes of the label counts times path prefixes of the
+lengths that rules have. Expressions and rules meet in an equi-join on the first 8 hex digits of their SHA-256; the
 full digests confirm a meeting, and the longest rule wins. Sites are expanded once each, however many pages
 they have; those of very many pages find them by broadcast. What no rule fits has the default verdict.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import hot_keys
 from .common import HOT, join_unique, lower_ascii, read, spill
 
 #: (host, path, verdict): a rule fits its host and all subdomains where the path starts with its path.
@@ -47,14 +48,29 @@ def path_lengths(table: DataFrame) -> list[int]:
     return sorted(r[0] for r in table.select(F.length("r_path")).distinct().collect())
 
 
-def match(sites: DataFrame, table: DataFrame, lengths: list[int]) -> DataFrame:
-    """(host, head, rule, verdict) of the sites that a rule fits; sites holds distinct (host, head)."""
-    labels = F.split("host", r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def label_counts(table: DataFrame) -> list[int]:
+    """The numbers of labels that rules' hosts have; host names have few, however many rules."""
+    return sorted(r[0] for r in table.select(labels("r_host")).distinct().collect())
+
+
+def labels(host: str) -> Column:
+    return F.length(host) - F.length(F.replace(F.col(host), F.lit("."), F.lit(""))) + 1
+
+
+def match(sites: DataFrame, table: DataFrame, lengths: list[int], counts: list[int]) -> DataFrame:
+    """(host, head, rule, verdict) of the sites that a rule fits; sites holds distinct (host, head).
+
+    A host has one suffix for each number of labels that rules have, so the work is linear in its length. Expressions
+    that very many sites share find their rules by broadcast.
+    """
+    suffixes = F.array_compact(F.array(*[F.when(labels("host") >= n, F.substring_index("host", ".", -n)) for n in counts]))
     heads = F.array_compact(F.array(*[F.when(F.length("head") >= n, F.substring("head", 1, n)) for n in lengths]))
     expressions = sites.withColumn("e_host", F.explode(suffixes)).withColumn("e_path", F.explode(heads))
-    expressions = expressions.withColumn("e_digest", F.sha2(F.concat("e_host", F.lit("\0"), "e_path"), 256)).withColumn("short", F.substring("e_digest", 1, 8))
-    hits = expressions.join(table, "short").filter("e_digest = digest")
+    digest = F.sha2(F.concat("e_host", F.lit("\0"), "e_path"), 256)
+    expressions = spill(expressions.select("host", "head", digest.alias("e_digest")).withColumn("short", F.substring("e_digest", 1, 8)))
+    rules = table.groupBy("short").agg(F.collect_list(F.struct("digest", "r_host", "r_path", "r_verdict")).alias("rules"))  # those of one short hash are few
+    met = join_unique(expressions, rules, hot_keys(expressions, ["short"], expressions.count()), ["short"])
+    hits = met.select("host", "head", "e_digest", F.inline("rules")).filter("e_digest = digest")
     rule = F.concat("r_host", "r_path")
     best = F.max(F.struct(F.length(rule).alias("n"), rule.alias("rule"), F.col("r_verdict").alias("verdict"))).alias("best")
     return hits.groupBy("host", "head").agg(best).select("host", "head", "best.rule", "best.verdict")
@@ -64,17 +80,17 @@ def verdicts(pages: DataFrame, rules=RULES, default: str = DEFAULT, id_col: str
     """page_id, host, path, rule and verdict for every row of pages.
 
     rules: tuples or a DataFrame of (host, path, verdict). rule is the longest one that fits (of equal lengths
-    the greater text), else null, and the verdict then ``default``. Null, empty and odd
+    the greater text, of equal rules the greater verdict, so block before allow), else null, and the verdict then ``default``. Null, empty and odd
     urls have an empty host and path, fit no rule and are allowed. Repeated rows get equal rows, null ids
     stay null, an empty table gives no rows; other columns are ignored.
     """
     rows = split_url(pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"))).drop("url")
     table = rule_table(pages.sparkSession, rules)
-    lengths = path_lengths(table)
+    lengths, counts = path_lengths(table), label_counts(table)
     rows = rows.withColumn("head", F.substring("path", 1, max([0, *lengths])))
     sites = spill(rows.groupBy("host", "head").agg(F.count("*").alias("n")))
     hot = sites.filter(F.col("n") * HOT > pages.count())
-    found = sites.select("host", "head").join(match(sites.select("host", "head"), table, lengths), ["host", "head"], "left")
+    found = sites.select("host", "head").join(match(sites.select("host", "head"), table, lengths, counts), ["host", "head"], "left")
     out = join_unique(rows, spill(found), hot, ["host", "head"])
     return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
