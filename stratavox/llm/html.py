@@ -52,9 +52,13 @@ VALUED = frozenset(("", *"text search email url tel number date month week time
 COLUMN = 80
 #: Items, quotes and tables beyond NESTED levels of their kind are marked so: they stand in no further, or text would grow with its depth.
 DEEP, NESTED = "\0deep", 40
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_COMMENT, _VALUE = re.compile(r"/\*.*?(?:\*/|\Z)", re.S), re.compile(r"([a-z-]+)\s*(!\s*important)?\Z")
+#: Shown without any text in them.
+SEEN = frozenset("img input select hr".split())
+#: In these a form's tags are dropped, so that they split no row.
+ROWS = frozenset("table thead tbody tfoot tr".split())
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 Node = tuple  # (tag, attributes, children); text is a str
 
@@ -98,12 +102,16 @@ def parse(html: str) -> Node:
 
     def text(s: str) -> None:
         if s:
+            if stack[-1][0] == "head" and s.strip(" \t\n\r\f"):
+                opened.cut(len(stack) - 1)  # a head holds no text: the body has begun
             stack[-1][2].append(unescape(s) if "&" in s else s)
 
     while True:
         m = _TOKEN.search(html, at)
         if not m:
             text(html[at:])
+            if _VEIL.search(html):
+                veil(root)
             return root
         text(html[at : m.start()])
         at = m.end()
@@ -123,7 +131,9 @@ def parse(html: str) -> Node:
             k = opened.last("p")
             if k > opened.last("table", "td", "th", "li", "button", "object"):
                 opened.cut(k)
-        if stack[-1][0] == "head" and tag not in NOT_SHOWN and tag not in ("html", "head"):
+        if tag == "form" and stack[-1][0] in ROWS or tag == "head" and stack[-1][0] not in ("", "html") or tag == "html" and stack[-1][0] == "head":
+            continue
+        if stack[-1][0] == "head" and tag not in NOT_SHOWN:
             opened.cut(len(stack) - 1)
         attrs = {a.lower(): b or c or d for a, b, c, d in _ATTR.findall(m[3])} if m[3].strip(" /\n\t\r") else {}
         node: Node = (tag, attrs, [])
@@ -145,9 +155,35 @@ def parse(html: str) -> Node:
             opened.push(node)
 
 
+def declared(style: str, name: str) -> str | None:
+    """The value of a property in an inline style: of several the last one, one marked important before others."""
+    value, strong = None, False
+    for part in _COMMENT.sub("", style).lower().split(";"):
+        key, _, v = part.partition(":")
+        if key.strip() == name and (m := _VALUE.match(v.strip())) and bool(m[2]) >= strong:
+            value, strong = m[1], bool(m[2])
+    return value
+
+
 def shown(node: Node) -> bool:
     tag, attrs, _ = node
-    return not (tag in NOT_SHOWN or "hidden" in attrs or tag == "dialog" and "open" not in attrs or (s := attrs.get("style")) and _HIDING.search(s))
+    return not (tag in NOT_SHOWN or "hidden" in attrs or tag == "dialog" and "open" not in attrs or (s := attrs.get("style")) and declared(s, "display") == "none")
+
+
+_VEIL = re.compile(r"visibility", re.I)
+
+
+def veil(root: Node) -> None:
+    """Takes out what ``visibility`` hides; elements in it stay, as what they hold may be visible again."""
+    todo = [(root, False)]
+    while todo:
+        (_, attrs, children), hidden = todo.pop()
+        value = declared(attrs["style"], "visibility") if attrs.get("style") else None
+        hidden = value != "visible" if value in ("visible", "hidden", "collapse") else hidden
+        inner = [c for c in children if not isinstance(c, str)]
+        if hidden:
+            children[:] = [c for c in inner if c[0] not in SEEN or "visible" == declared(c[1].get("style", ""), "visibility")]
+        todo += [(c, hidden) for c in inner]
 
 
 # The functions that render nest as elements do. Each is a generator that yields the call it needs and is sent its
@@ -270,31 +306,99 @@ def block(node: Node) -> Generator:
 
 
 def raw_text(node: Node) -> Generator:
-    out, todo = [], [node]
+    """Preformatted text as it stands; blocks in it begin and end lines, lists and tables are laid out."""
+    out, todo, edge = [], [node], False
+
+    def add(s: str) -> None:
+        nonlocal edge
+        if s:
+            if edge and out and not out[-1].endswith("\n") and not s.startswith("\n"):
+                out.append("\n")
+            edge = False
+            out.append(s)
+
     while todo:
         n = todo.pop()
-        if isinstance(n, str):
-            out.append(n)
+        if n is None:
+            edge = True
+        elif isinstance(n, str):
+            add(n)
         elif shown(n):
             if n[0] == "select":
                 texts = yield option_texts(n)
-                out.append("\n".join(texts))
+                add("\n".join(texts))
             elif n[0] == "br":
                 out.append("\n")
+                edge = False
+            elif n[0] in ("img", "input", "hr"):
+                lines = yield flow([n])
+                edge = edge or n[0] == "hr"
+                add("\n".join(lines))
+                edge = edge or n[0] == "hr"
+            elif n[0] in ("ul", "ol", "menu", "table"):
+                lines = yield block(kept(n))
+                edge = True
+                add("\n".join(lines).replace("\1", " "))
+                edge = True
             else:
+                if n[0] in BLOCK and n is not node:
+                    edge = True
+                    todo.append(None)
                 todo += n[2][::-1]
     return "".join(out)
 
 
+def kept(node: Node) -> Node:
+    """A copy whose blanks and line ends survive being laid out: blanks as the character 1, line ends as br."""
+    copy: Node = (node[0], node[1], [])
+    todo = [(node, copy)]
+    while todo:
+        (_, _, children), (tag, _, new) = todo.pop()
+        for c in children:
+            if not isinstance(c, str):
+                new.append((c[0], c[1], []))
+                todo.append((c, new[-1]))
+            elif tag in ("table", "thead", "tbody", "tfoot", "tr", "ul", "ol", "menu") and not c.strip():
+                new.append(c)
+            else:
+                for k, line in enumerate(c.split("\n")):
+                    new += [("br", {}, [])] * (k > 0) + [line.replace(" ", "\1").replace("\t", "\1" * 4)]
+    return copy
+
+
 def bulleted(lines: list[str], mark: str) -> list[str]:
     return [(mark if not k else " " * len(mark)) + x if x or not k else x for k, x in enumerate(lines)]
 
 
+def numeral(n: int, kind: str) -> str:
+    """An item's number as its list counts: in digits, letters or Roman numerals."""
+    if kind in ("a", "A") and n > 0:
+        out = ""
+        while n:
+            n, k = divmod(n - 1, 26)
+            out = chr(ord(kind) + k) + out
+        return out
+    if kind in ("i", "I") and 0 < n < 4000:
+        out = ""
+        for one, five, ten, p in (("m", "", "", 1000), ("c", "d", "m", 100), ("x", "l", "c", 10), ("i", "v", "x", 1)):
+            k, n = divmod(n, p)
+            out += one + ten if k == 9 else one + five if k == 4 else five * (k > 4) + one * (k % 5)
+        return out.upper() if kind == "I" else out
+    return str(n)
+
+
+def integer(attrs: dict, name: str) -> int | None:
+    at = (attrs.get(name) or "").strip()
+    return int(at) if re.fullmatch(r"[+-]?[0-9]{1,9}", at) else None
+
+
 def items(node: Node) -> Generator:
     """A list's lines; what is not in an item stands unmarked between them."""
     out: list[str] = []
-    at = node[1].get("start", "1").strip()
-    number = int(at) if re.fullmatch(r"-?[0-9]{1,9}", at) else 1
+    step = -1 if "reversed" in node[1] else 1
+    number = integer(node[1], "start")
+    if number is None:
+        number = 1 if step > 0 else sum(not isinstance(c, str) and c[0] == "li" and shown(c) for c in node[2])
     other: list = []
     for c in [*node[2], None]:
         if c is not None and (isinstance(c, str) or c[0] != "li"):
@@ -304,11 +408,12 @@ def items(node: Node) -> Generator:
             out += yield flow(other)
             other = []
         if c is not None and shown(c):
+            number = number if (own := integer(c[1], "value")) is None else own
             lines = yield flow(c[2])
             if lines:
-                mark = f"{number}. " if node[0] == "ol" else "- "
+                mark = f"{numeral(number, node[1].get('type', '').strip())}. " if node[0] == "ol" else "- "
                 out += [mark + lines[0], *lines[1:]] if DEEP in c[1] else bulleted(lines, mark)
-            number += 1
+            number += step
     return out
 
 
