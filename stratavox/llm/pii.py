@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -202,6 +203,12 @@ class Crf:
         return out
 
 
+@lru_cache(maxsize=8)
+def trained(lines: tuple[str, ...]) -> Crf:
+    """The weights for a labelled table, fitted once in a process."""
+    return Crf(lines)
+
+
 def finder(crf: Crf):
     """A function from texts to (base spans, all spans) of each."""
     plain: set[bytes] = set()
@@ -289,7 +296,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines
     Null and empty texts have no spans; ids may be null and rows may repeat; an empty table gives no rows.
     Other columns are ignored. Spans of the method never meet a base span.
     """
-    crf = Crf(lines)
+    crf = trained(tuple(lines))
 
     def make():
         find = finder(crf)
@@ -308,8 +315,11 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines
 
 
 def redact(docs: DataFrame, lines=LABELLED) -> DataFrame:
-    """docs with each span of text replaced by its kind in brackets, and n_chars to match; nulls stay null."""
-    crf = Crf(lines)
+    """docs with each span of text replaced by its kind in brackets, and n_chars to match; nulls stay null.
+
+    Rows that repeat stay and are changed alike; an empty table gives an empty table; other columns pass through.
+    """
+    crf = trained(tuple(lines))
 
     def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         find = finder(crf)
