@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import blocks, density, filters, kernels, names, objects, regions, resample, slices, transforms, voxels
+from ..operators import blocks, density, filters, fourier, kernels, names, objects, regions, resample, slices, transforms, voxels
 from ..sources import files as io
 from ..storage import fresh_path, spill
 from ..streaming import slices as streaming
@@ -662,6 +662,14 @@ def homomorphic_2d(spark, d):
     return _image_stats(blocks.map_slices(_images(spark, d), lambda a, z: filters.homomorphic(a, 30.0)))
 
 
+@query()
+def homomorphic_bundles(spark, d):
+    """The same filter with the cutoff of each volume's own spectra, on bundles of rows: no task holds a slice."""
+    bundles = spill(fourier.to_bundles(_images(spark, d), 64))
+    d0 = filters.median_d0(fourier.adaptive_d0_bundles(bundles)).first()["d0"]
+    return _image_stats(fourier.homomorphic_bundles(bundles, d0).withColumnRenamed("height", "_").withColumn("height", F.length("data") / 8 / F.col("width")).withColumn("height", F.col("height").cast("int")))
+
+
 @query()
 def homomorphic_3d(spark, d):
     images = _images(spark, d).withColumn("channel", F.lit(0))
