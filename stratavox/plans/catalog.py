@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import blocks, density, filters, fourier, kernels, names, objects, regions, resample, slices, transforms, voxels
+from ..operators import blocks, density, filters, fourier, kernels, names, objects, overlap, regions, resample, slices, transforms, voxels
 from ..sources import files as io
 from ..storage import fresh_path, spill
 from ..streaming import slices as streaming
@@ -450,6 +450,25 @@ def axis_permute(spark, d):
     return resample.permute_axes(X.vox(spark, d), "xyz")
 
 
+_QUALITY = f"""other AS (SELECT z, y, x, CAST(CASE WHEN z % {X.STACK} IN (0, {X.STACK - 1}) THEN 0 ELSE 1 + ((x + 3) // 52) * 5 + y // 52 END AS INT) AS label FROM labels_vox),
+ea AS (SELECT * FROM labels_vox WHERE label <> 0 AND (x % 52 = 0 OR y % 52 = 0)), eb AS (SELECT * FROM other WHERE label <> 0 AND ((x + 3) % 52 = 0 OR y % 52 = 1)),
+d AS (SELECT a.z, a.y, a.x, a.label, min((a.z - b.z) * (a.z - b.z) + 4 * (a.y - b.y) * (a.y - b.y) + 4 * (a.x - b.x) * (a.x - b.x)) AS d2 FROM ea a CROSS JOIN eb b GROUP BY ALL),
+e AS (SELECT b.z, b.y, b.x, b.label, min((a.z - b.z) * (a.z - b.z) + 4 * (a.y - b.y) * (a.y - b.y) + 4 * (a.x - b.x) * (a.x - b.x)) AS d2 FROM ea a CROSS JOIN eb b GROUP BY ALL),
+na AS (SELECT label, count(*) AS n_a FROM labels_vox WHERE label <> 0 GROUP BY label), nb AS (SELECT label, count(*) AS n_b FROM other WHERE label <> 0 GROUP BY label),
+ab AS (SELECT a.label, count(*) AS n FROM labels_vox a JOIN other b USING (z, y, x) WHERE a.label = b.label AND a.label <> 0 GROUP BY 1)"""
+
+
+@query(with_tables("labels_vox", "SELECT label, coalesce(n_a, 0) AS n_a, coalesce(n_b, 0) AS n_b, 2 * CAST(coalesce(n, 0) AS DOUBLE) / (coalesce(n_a, 0) + coalesce(n_b, 0)) AS dice, round(mean_ab, 6) AS mean_ab, most_ab, round(mean_ba, 6) AS mean_ba, most_ba FROM na FULL JOIN nb USING (label) LEFT JOIN ab USING (label) LEFT JOIN (SELECT label, avg(sqrt(d2)) AS mean_ab, max(sqrt(d2)) AS most_ab FROM d GROUP BY label) USING (label) LEFT JOIN (SELECT label, avg(sqrt(d2)) AS mean_ba, max(sqrt(d2)) AS most_ba FROM e GROUP BY label) USING (label)", _QUALITY))
+def registration_quality(spark, d):
+    """The atlas's regions against regions moved by three columns: Dice, and distances of the edges (rows and columns twice as far as planes)."""
+    a = X.labels(spark, d)
+    other = F.when(F.col("label") != 0, 1 + F.floor((F.col("x") + 3) / 52) * 5 + F.floor(F.col("y") / 52)).otherwise(0).cast("int")
+    b = a.withColumn("label", other)
+    ea, eb = a.filter("x % 52 = 0 OR y % 52 = 0"), b.filter("label <> 0 AND ((x + 3) % 52 = 0 OR y % 52 = 1)")
+    found = overlap.registration_quality(a, b, ea.filter("label <> 0"), eb, X.shape(spark, d), (1, 2, 2))
+    return found.withColumns({c: F.round(c, 6) for c in ("mean_ab", "mean_ba")})
+
+
 # objects
 
 _COMP = f"""nodes AS (SELECT z // 8 AS slab, z, y, x, (CAST(z AS BIGINT) * {SEG_NY} + y) * {SEG_NX} + x AS lin FROM seg_in),
