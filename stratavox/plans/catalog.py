@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import blocks, density, filters, fourier, kernels, names, objects, overlap, regions, resample, slices, transforms, voxels
+from ..operators import blocks, density, equalise, filters, fourier, kernels, names, objects, overlap, regions, resample, slices, transforms, voxels
 from ..sources import files as io
 from ..storage import fresh_path, spill
 from ..streaming import slices as streaming
@@ -703,6 +703,41 @@ def clahe(spark, d):
     return _image_stats(blocks.map_slices(_images(spark, d), lambda a, z: filters.clahe(a, 2.0, 8), "<u2"))
 
 
+_TILES_3D, _BINS = (4, 8, 8), 65536
+
+
+def _clahe_sql() -> str:
+    """Both channels, each with its own tiles; a slab of nz // 4 planes (rounded up) and 32 x 32 cells is a tile."""
+    tz, ty, tx = "((nz + 3) // 4)", NY // _TILES_3D[1], NX // _TILES_3D[2]
+    size = dict(zip("zyx", (tz, ty, tx), strict=True))
+    n = dict(zip("zyx", ("nz", NY, NX), strict=True))
+    away = {c: f"(2 * {c} + 1 - {t})" for c, t in size.items()}
+    low = {c: f"CAST(floor(CAST({away[c]} AS DOUBLE) / (2 * {t})) AS BIGINT)" for c, t in size.items()}
+    placed = ", ".join(f"{low[c]} AS c{c}, {away[c]} - 2 * {t} * {low[c]} AS f{c}" for c, t in size.items())
+    corners = " UNION ALL ".join(f"SELECT {k} AS k, {a} AS oz, {b} AS oy, {c} AS ox" for k, (a, b, c) in enumerate(transforms.CORNERS))
+    wanted = ", ".join(f"greatest(0, least(c{c} + o{c}, ({n[c]} + {t} - 1) // {t} - 1)) AS t{c}" for c, t in size.items())
+    area = " * ".join(f"least({t}, {n[c]} - t{c} * {t})" for c, t in size.items())
+    share = "(" + " * ".join(f"(CASE WHEN o{c} = 1 THEN f{c} ELSE 2 * {t} - f{c} END)" for c, t in size.items()) + ")"
+    whole = f"(8 * {tz} * {ty} * {tx})"
+    key = "channel, tz, ty, tx"
+    return f"""placed AS (SELECT channel, z, y, x, value, nz, {placed} FROM vox, dims), corners AS ({corners}),
+wanted AS (SELECT *, {wanted} FROM placed, corners), asked AS (SELECT DISTINCT {key}, value FROM wanted),
+hist AS (SELECT channel, {", ".join(f"{c} // {t} AS t{c}" for c, t in size.items())}, value, count(*) AS n FROM vox, dims GROUP BY ALL),
+tiles AS (SELECT {key}, {area} AS area, coalesce(h.n, 0) AS n FROM (SELECT DISTINCT {key} FROM asked) LEFT JOIN (SELECT {key}, sum(n) AS n FROM hist GROUP BY ALL) h USING ({key}), dims),
+counts AS (SELECT {key}, value, CAST(sum(c.n) AS BIGINT) AS n, max(area) AS area, greatest(1, CAST(floor(max(area) * 2.0 / {_BINS}) AS BIGINT)) AS cap
+  FROM (SELECT {key}, value, n FROM hist UNION ALL SELECT {key}, 0, area - n FROM tiles) c JOIN tiles t USING ({key}) GROUP BY {key}, value),
+spare AS (SELECT {key}, CAST(sum(greatest(0, n - cap)) AS BIGINT) AS spare, max(area) AS area FROM counts GROUP BY ALL),
+sums AS (SELECT a.channel, a.tz, a.ty, a.tx, a.value, CAST(coalesce(sum(least(c.n, c.cap)), 0) AS BIGINT) AS s FROM asked a LEFT JOIN counts c ON a.channel = c.channel AND a.tz = c.tz AND a.ty = c.ty AND a.tx = c.tx AND c.value <= a.value GROUP BY ALL),
+lut AS (SELECT {key}, value, least({_BINS - 1}, (2 * (s + (value + 1) * (spare // {_BINS}) + CASE WHEN spare % {_BINS} > 0 THEN least(spare % {_BINS}, value // greatest(1, {_BINS} // greatest(1, spare % {_BINS})) + 1) ELSE 0 END) * {_BINS - 1} + area) // (2 * area)) AS lut FROM sums JOIN spare USING ({key})),
+done AS (SELECT channel, z, y, x, CAST((2 * sum({share} * lut) + max({whole})) // (2 * max({whole})) AS INT) AS value FROM wanted JOIN lut USING ({key}, value) GROUP BY channel, z, y, x)"""
+
+
+@query(with_tables("vox", "SELECT channel, z, y, x, value FROM done", _clahe_sql()))
+def clahe_3d(spark, d):
+    parts = [equalise.clahe_3d(X.vox(spark, d).filter(F.col("channel") == c), X.shape(spark, d), 2.0, _TILES_3D, _BINS).withColumn("channel", F.lit(c)) for c in (0, 1)]
+    return parts[0].unionByName(parts[1])
+
+
 @query()
 def background_removal(spark, d):
     return _image_stats(blocks.map_slices(_images(spark, d), lambda a, z: filters.remove_background(a, 20), "<u2"))
