@@ -146,7 +146,7 @@ def plain_clahe(img, clip, grid):
     """Pixel by pixel, with the whole table of each tile."""
     bins = 256 if img.dtype == np.uint8 else 65536
     h, w = img.shape
-    ph, pw = -h % grid, -w % grid
+    ph, pw = (grid - h % grid, grid - w % grid) if h % grid or w % grid else (0, 0)
     padded = np.pad(img, ((0, ph), (0, pw)), "reflect") if ph or pw else img
     th, tw = padded.shape[0] // grid, padded.shape[1] // grid
     table = {}
@@ -190,6 +190,35 @@ def test_clahe_and_the_chain_by_plain_loops():
     assert (filters.enhance(img, 6.0, grid=2) == plain_clahe(lifted, 2.0, 2)).all()
 
 
+def test_clahe_pads_both_sides_if_one_does_not_divide():
+    """18 x 21 in 2 x 2 tiles: both sides grow, the even one by two rows, so tiles are 10 x 11; written out by hand."""
+    img = np.random.default_rng(7).integers(0, 256, (18, 21)).astype(np.uint8)
+    rows, cols = [*range(18), 16, 15], [*range(21), 19]
+    by_hand = img[rows][:, cols]
+    assert by_hand.shape == (20, 22)
+    assert (filters.clahe(img, 2.0, 2) == filters.clahe(by_hand, 2.0, 2)[:18, :21]).all()
+    even = img[:, :20]
+    assert (filters.clahe(even, 2.0, 2) == plain_clahe(even, 2.0, 2)).all()  # nothing is padded here
+
+
+def test_histogram_match_of_floats_is_within_the_rank_error(spark):
+    rng = np.random.default_rng(1)
+    x, y = rng.gamma(2.0, size=20_000), rng.normal(size=20_000)
+    df = lambda v: spark.createDataFrame([(k, float(t)) for k, t in enumerate(v)], "k int, value double").repartition(7)
+    for ranks in (10_000, 200):
+        for values in (x, np.repeat(0.5, 5000)):
+            got = filters.quantiles(df(values), [i / 65 for i in range(66)], ranks)
+            order = np.sort(values)
+            for i, q in enumerate(got):
+                want = i / 65 * len(values)
+                assert np.searchsorted(order, q, "left") - len(values) / ranks - 2 <= want <= np.searchsorted(order, q, "right") + len(values) / ranks + 2
+    moved = {r["k"]: r["value"] for r in filters.match_histogram(df(x), df(y)).collect()}
+    got = np.sort(list(moved.values()))
+    assert np.abs(got[1000:-1000] - np.sort(y)[1000:-1000]).max() < 0.1
+    plan = filters.match_histogram(df(x), df(y))._jdf.queryExecution().toString()
+    assert "Join" not in plan.split("== Physical Plan ==")[1]
+
+
 def test_background_by_plain_windows():
     rng = np.random.default_rng(8)
     img = rng.integers(0, 500, (20, 17)).astype(np.uint16)
