@@ -891,16 +891,36 @@ def report_by_level(spark, d):
     return spark.read.parquet(path).select("level", "region_id", "name", "total_vox", "signal_vox")
 
 
-@query("SELECT CAST(r_regionkey + 100 AS BIGINT) AS region_id, r_name AS name, CAST(1000 AS BIGINT) AS parent_id, 1 AS level FROM region UNION ALL SELECT n_nationkey + 1, n_name, n_regionkey + 100, 2 FROM nation UNION ALL SELECT 1000, 'root', NULL, 0 UNION ALL SELECT c_custkey + 10000, c_name, c_nationkey + 1, 3 FROM customer")
+_TREE = "SELECT CAST(r_regionkey + 100 AS BIGINT) AS region_id, r_name AS name, CAST(1000 AS BIGINT) AS parent_id, 1 AS level FROM region UNION ALL SELECT n_nationkey + 1, n_name, n_regionkey + 100, 2 FROM nation UNION ALL SELECT 1000, 'root', NULL, 0"
+_BLOCK_OF, _BLOCK_ID = 1000, 100_000_000
+
+
+@query(f"{_TREE} UNION ALL SELECT DISTINCT {_BLOCK_ID} + c_custkey // {_BLOCK_OF}, 'block ' || c_custkey // {_BLOCK_OF}, CAST(NULL AS BIGINT), 0 FROM customer UNION ALL SELECT c_custkey + 10000, c_name, {_BLOCK_ID} + c_custkey // {_BLOCK_OF}, 1 FROM customer")
 def ontology_file(spark, d):
-    """A tree of regions, nations and customers, written as one JSON document and read back."""
+    """Trees of regions with nations, and of customers by the thousand, each a JSON document, written and read back."""
     path = fresh_path(spark)
     t = lambda name: X.table(spark, d, name)
-    leaves = t("customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.collect_list(F.struct((F.col("c_custkey") + 10000).alias("id"), F.col("c_name").alias("name"))).alias("children"))
-    nations = t("nation").join(leaves, "n_nationkey", "left").groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(F.collect_list(F.struct((F.col("n_nationkey") + 1).alias("id"), F.col("n_name").alias("name"), "children")).alias("children"))
+    nations = t("nation").groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(F.collect_list(F.struct((F.col("n_nationkey") + 1).alias("id"), F.col("n_name").alias("name"))).alias("children"))
     tops = t("region").join(nations, "r_regionkey", "left").agg(F.collect_list(F.struct((F.col("r_regionkey") + 100).alias("id"), F.col("r_name").alias("name"), "children")).alias("children"))
-    tops.select(F.to_json(F.struct(F.lit(1000).alias("id"), F.lit("root").alias("name"), "children"))).coalesce(1).write.text(path)
-    return io.scan_ontology(spark, path)
+    block = F.floor(F.col("c_custkey") / _BLOCK_OF)
+    leaves = t("customer").groupBy(block.alias("b")).agg(F.collect_list(F.struct((F.col("c_custkey") + 10000).alias("id"), F.col("c_name").alias("name"))).alias("children"))
+    root = tops.select(F.to_json(F.struct(F.lit(1000).alias("id"), F.lit("root").alias("name"), "children")).alias("value"))
+    more = leaves.select(F.to_json(F.struct((F.col("b") + _BLOCK_ID).alias("id"), F.concat(F.lit("block "), F.col("b").cast("string")).alias("name"), "children")).alias("value"))
+    root.unionByName(more).write.text(path)
+    return io.scan_ontology(spark, path, lines=True)
+
+
+@query(f"{_TREE} UNION ALL SELECT c_custkey + 10000, c_name, c_nationkey + 1, 3 FROM customer")
+def region_sheet(spark, d):
+    """A tree of regions, nations and customers as a CSV sheet of nodes; levels are found from the parents."""
+    path, sheets = fresh_path(spark), fresh_path(spark)
+    t = lambda name: X.table(spark, d, name)
+    node = lambda df, i, n, p: df.select(i.cast("long").alias("id"), n.alias("name"), p.cast("long").alias("parent"))
+    rows = node(t("region"), F.col("r_regionkey") + 100, F.col("r_name"), F.lit(1000)).unionByName(node(t("nation"), F.col("n_nationkey") + 1, F.col("n_name"), F.col("n_regionkey") + 100))
+    rows = rows.unionByName(node(t("customer"), F.col("c_custkey") + 10000, F.col("c_name"), F.col("c_nationkey") + 1)).unionByName(node(spark.range(1), F.lit(1000), F.lit("root"), F.lit(None)))
+    rows.write.option("header", True).csv(path)
+    io.write_level_sheets(io.scan_regions(spark, path), sheets)
+    return spark.read.schema("region_id long, name string, parent_id long, level int").option("header", True).csv(sheets)
 
 
 @query("SELECT CAST(c_custkey AS BIGINT) AS k, c_custkey % 2 AS run, c_name AS name FROM customer")

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from ..operators.regions import closure
 from ..operators.slices import inventory
 from ..operators.voxels import wrap_uint16
+from ..storage import spill
 
 
 def scan_slices(spark: SparkSession, folder: str, decode: Callable[[bytes], object], glob: str = "*.tif*", channel: int = 0) -> DataFrame:
@@ -85,13 +87,15 @@ def with_resolution(raw: DataFrame) -> DataFrame:
     return raw.withColumns({"source": source, "target": target}).withColumn("factor", F.zip_with("source", "target", lambda a, b: a / b))
 
 
-def scan_ontology(spark: SparkSession, path: str, region_id: str = "id", name: str = "name", children: str = "children") -> DataFrame:
+def scan_ontology(spark: SparkSession, path: str, region_id: str = "id", name: str = "name", children: str = "children", lines: bool = False) -> DataFrame:
     """(region_id, name, parent_id, level) of a JSON tree of nested children, one document or a list of them.
 
+    lines: files hold a document a line, each a tree of its own.
+
     The schema that Spark reads from the file is as deep as the tree, so each level is one more explode. A region
     without children lacks the field or has an empty list.
     """
-    nodes = spark.read.option("multiLine", True).json(path).withColumn("_parent", F.lit(None).cast("long"))
+    nodes = spark.read.option("multiLine", not lines).json(path).withColumn("_parent", F.lit(None).cast("long"))
     out, level = None, 0
     while True:
         rows = nodes.select(F.col(region_id).cast("long").alias("region_id"), F.col(name).cast("string").alias("name"), F.col("_parent").alias("parent_id"), F.lit(level).alias("level"))
@@ -103,6 +107,37 @@ def scan_ontology(spark: SparkSession, path: str, region_id: str = "id", name: s
         level += 1
 
 
+def scan_regions(spark: SparkSession, path: str, region_id: str = "id", name: str = "name", parent: str = "parent") -> DataFrame:
+    """(region_id, name, parent_id, level) of a region sheet in CSV with a header; a region without a parent has level 0.
+
+    Other columns are ignored. Missing columns, numbers that are none, repeated ids, parents that are no region and
+    cycles raise. The depth comes from the closure of the tree, whose rounds grow with the logarithm of the depth.
+    """
+    rows = spark.read.csv(path, header=True)
+    if missing := {region_id, name, parent} - set(rows.columns):
+        raise ValueError(f"no column {', '.join(sorted(missing))}")
+    number = lambda c: F.trim(c).try_cast("long")
+    sheet = spill(rows.select(number(F.col(region_id)).alias("region_id"), F.trim(name).alias("name"), number(F.col(parent)).alias("parent_id"), (F.length(F.trim(parent)) > 0).alias("_given")))
+    known = sheet.groupBy("region_id").agg(F.count("*").alias("_n"))
+    checks = {
+        "ids that are no numbers": sheet.filter("region_id IS NULL"),
+        "parents that are no numbers": sheet.filter("_given AND parent_id IS NULL"),
+        "repeated ids": known.filter("_n > 1"),
+        "parents that are no region": sheet.filter("parent_id IS NOT NULL").join(known.select(F.col("region_id").alias("parent_id")), "parent_id", "left_anti"),
+    }
+    for what, bad in checks.items():
+        if found := bad.limit(5).collect():
+            raise ValueError(f"{what}: {', '.join(str(tuple(r)) for r in found)}")
+    tree = sheet.drop("_given")
+    depth = closure(tree).groupBy("region_id").agg((F.count("*") - 1).cast("int").alias("level"))
+    return tree.join(depth, "region_id")
+
+
+def write_level_sheets(regions: DataFrame, path: str) -> None:
+    """The regions as CSV sheets with a header, a folder for each level, in order of their ids in each file."""
+    regions.repartition("level").sortWithinPartitions("level", "region_id").write.mode("overwrite").partitionBy("level").option("header", True).csv(path)
+
+
 def parse_triple(text, default: tuple[int, int, int]):
     """``"z,y,x"`` as integers, the default where a part is no number or parts are missing."""
     parts = F.transform(F.split(text, ","), lambda x: F.trim(x).try_cast("int"))
