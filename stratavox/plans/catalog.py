@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import blocks, density, equalise, filters, fourier, kernels, names, objects, overlap, regions, resample, slices, transforms, voxels
-from ..sources import files as io
+from ..sources import files as io, store
 from ..storage import fresh_path, spill
 from ..streaming import slices as streaming
 from . import fixtures as X
@@ -857,6 +857,33 @@ def model_bricks(spark, d):
 # sources, sinks and settings: written, read back, and compared with what went in
 
 
+@query(with_tables("vox", "SELECT channel, z, 256 AS height, 256 AS width, CAST(sum(value) AS BIGINT) AS total FROM vox WHERE channel = 1 AND z BETWEEN 5 AND 21 GROUP BY channel, z"))
+def volume_range(spark, d):
+    """Slices of both channels are stored, and a range of planes of one is read back."""
+    path = fresh_path(spark)
+    images = [blocks.to_slices(X.vox(spark, d).filter(F.col("channel") == c).drop("channel"), X.shape(spark, d), "<u2", "img").withColumn("channel", F.lit(c)) for c in (0, 1)]
+    store.write_volume(images[0].unionByName(images[1]), path, 8)
+
+    def sums(parts):
+        import numpy as np
+
+        for pdf in parts:
+            yield pdf[["channel", "z", "height", "width"]].assign(total=[int(np.frombuffer(x, "<u2").sum(dtype=np.int64)) for x in pdf["data"]])
+
+    return store.scan_volume(spark, path, [1], (5, 21), 8).mapInPandas(sums, "channel int, z int, height int, width int, total long")
+
+
+@query(with_tables("vox", "SELECT channel, z, y, x, value FROM vox WHERE value > 1900 AND z BETWEEN 3 AND 40 AND y BETWEEN 20 AND 130 AND x BETWEEN 100 AND 255"))
+def brick_box(spark, d):
+    """Bright voxels of a box, from a brick store of both channels that knows each brick's extremes."""
+    path, chunk = fresh_path(spark), (8, 32, 32)
+    cut = [blocks.to_bricks(X.vox(spark, d).filter(F.col("channel") == c), X.shape(spark, d), chunk).withColumn("channel", F.lit(c)) for c in (0, 1)]
+    store.write_bricks(cut[0].unionByName(cut[1]), path, ["channel"])
+    found = store.scan_bricks(spark, path, ((3, 40), (20, 130), (100, 255)), above=1900)
+    rows = [blocks.from_bricks(found.filter(F.col("channel") == c)).withColumn("channel", F.lit(c)) for c in (0, 1)]
+    return rows[0].unionByName(rows[1]).filter("value > 1900 AND z BETWEEN 3 AND 40 AND y BETWEEN 20 AND 130 AND x BETWEEN 100 AND 255")
+
+
 @query("SELECT CAST(value AS DOUBLE) AS y, user_id * 2.0::DOUBLE AS x FROM events WHERE value IS NOT NULL")
 def spots_csv(spark, d):
     path = fresh_path(spark)
