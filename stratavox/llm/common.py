@@ -11,10 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import HOT, join_unique
+from ..operators.joins import HOT, hot_keys, join_unique
 from ..storage import spill
 
-__all__ = ["HOT", "LOWER", "ROWS", "UPPER", "bitmap", "join_unique", "listed", "lower_ascii", "map_batches", "maybe", "plain_classes", "raw_texts", "read", "spill", "texts"]
+__all__ = ["HOT", "LOWER", "ROWS", "UPPER", "bitmap", "hot_keys", "join_unique", "listed", "lower_ascii", "map_batches", "maybe", "plain_classes", "quoted", "raw_texts", "read", "spill", "texts"]
 
 #: A-Z to a-z; other characters keep their case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -31,6 +31,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def quoted(names: list[str]) -> list[str]:
+    """Names of columns for expressions, whatever characters they hold."""
+    return ["`" + n.replace("`", "``") + "`" for n in names]
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text), null texts empty; other columns, whatever their names, are left out."""
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))

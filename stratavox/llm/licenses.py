@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, raw_texts, read, spill, texts
+from .common import hot_keys, join_unique, map_batches, raw_texts, read, spill, texts
 
 #: phrase, label
 PHRASES = ((b"cc by", "cc-by"), (b"general public license", "gpl"), (b"all rights reserved", "reserved"))
@@ -221,7 +221,8 @@ def scan(docs: DataFrame, items=TEMPLATES, threshold: float = THRESHOLD, id_col:
     if blocks is None:
         return base.drop("key").select("*", F.col("base_labels").alias("labels"), F.least(F.col("n_base"), F.lit(1)).cast("double").alias("score"))
     met = met_templates(blocks, found, words, span).groupBy("key").agg(F.collect_set("label").alias("more"), F.max("containment").alias("most"))
-    out = base.join(met, "key", "left")
+    # rows without an id and with equal blocks share a key; it may be that of most rows
+    out = join_unique(base, spill(met), hot_keys(base, ["key"], base.count()), ["key"], "left")
     own = F.filter(F.split("base_labels", ","), lambda x: x != "")
     labels = F.array_join(F.array_sort(F.array_distinct(F.concat(own, F.coalesce("more", F.array().cast("array<string>"))))), ",")
     score = F.greatest(F.coalesce("most", F.lit(0.0)), F.when(F.col("n_base") > 0, 1.0).otherwise(0.0))

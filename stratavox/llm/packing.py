@@ -123,7 +123,11 @@ def encoder(vocab: str):
 
 
 def pieces(docs: DataFrame, vocab: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) for every row of docs."""
+    """(doc_id, piece, start, length, ids_crc32) for every row of docs.
+
+    A null or empty text is one piece of the end id; rows that repeat have pieces each; null ids stay; an empty table
+    gives no rows; other columns are ignored.
+    """
 
     def make():
         encode, end = encoder(vocab), pack_ids("<I", END)

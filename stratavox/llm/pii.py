@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, read, texts
+from .common import map_batches, quoted, read, texts
 from .pii_table import LABELLED
 
 KINDS = ("email", "ip", "card", "phone")
@@ -317,7 +317,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines
 def redact(docs: DataFrame, lines=LABELLED) -> DataFrame:
     """docs with each span of text replaced by its kind in brackets, and n_chars to match; nulls stay null.
 
-    Rows that repeat stay and are changed alike; an empty table gives an empty table; other columns pass through.
+    Rows that repeat stay and are changed alike; an empty table gives an empty table; other columns of any name pass through.
     """
     crf = trained(tuple(lines))
 
@@ -332,7 +332,7 @@ def redact(docs: DataFrame, lines=LABELLED) -> DataFrame:
 
     clean = F.pandas_udf(clean, "string")
     out = docs.withColumn("text", clean(docs["text"]))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select([f"`{c}`" for c in docs.columns]) if "n_chars" in docs.columns else out
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(quoted(docs.columns)) if "n_chars" in docs.columns else out
 
 
 def hide(text: str, all_: list[Span]) -> str:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, raw_texts, read
+from .common import hot_keys, join_unique, map_batches, raw_texts, read
 
 BITS, SMOOTHING, THRESHOLD = 16, 6.0, -0.2
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
@@ -81,10 +81,12 @@ def log_ratio(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_
     trusted: ids, in a column named as id_col, of the target's documents; repeats and nulls are ignored.
     The result has as many numbers as buckets, whatever the corpus.
     """
-    ids = trusted.select(F.col(id_col).cast("long").alias("t_id")).filter("t_id IS NOT NULL").distinct()
+    ids = trusted.select(F.col(id_col).cast("long").alias("doc_id"), F.lit(True).alias("good")).filter("doc_id IS NOT NULL").distinct()
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).filter("text IS NOT NULL")
-    # a shuffled join at every size: the trusted ids grow with the corpus
-    marked = rows.join(ids.hint("merge"), rows["doc_id"] == ids["t_id"], "left").select("text", F.col("t_id").isNotNull().alias("good"))
+    named = rows.filter("doc_id IS NOT NULL")
+    # a shuffled join at every size, as the trusted ids grow with the corpus; rows without an id stay where they are
+    marked = join_unique(named, ids, hot_keys(rows, ["doc_id"], rows.count()).filter("doc_id IS NOT NULL"), ["doc_id"], "left")
+    marked = marked.select("text", F.coalesce("good", F.lit(False)).alias("good")).unionByName(rows.filter("doc_id IS NULL").select("text", F.lit(False).alias("good")))
     parts = map_batches(marked, _counter, "bucket long, raw long, target long")
     total = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     both = np.zeros((2, 1 << BITS))

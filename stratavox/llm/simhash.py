@@ -20,11 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components, forest
-from .common import HOT, join_unique, map_batches, raw_texts, read, spill, texts
+from .common import HOT, hot_keys, join_unique, map_batches, quoted, raw_texts, read, spill, texts
 
 BANDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 RADIUS, BLOCK, N_PIVOTS = 3, 4096, 16
 _ROW = "the row's digest (near-duplicates)"
+#: Rows as text that tells all their values apart: nulls are written, times have all their digits.
+_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def pivots(n: int = N_PIVOTS) -> np.ndarray:
@@ -114,7 +116,11 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between different fingerprints of column fp that span all components."""
+    """(a, b): links between different fingerprints of column fp that span all components.
+
+    fp holds no nulls (a null text has fingerprint zero); fingerprints that repeat are one; an empty table gives no
+    links; other columns are ignored.
+    """
     part = [F.shiftrightunsigned(F.shiftleft(F.col("fp"), 64 - at - n), 64 - n) for at, n in BANDS]
     keys = [F.shiftleft(F.lit(k).cast("long"), 26) + F.shiftleft(part[i], 13) + part[j] for k, (i, j) in enumerate(combinations(range(5), 2))]
     rows = fps.select("fp").distinct().select("fp", F.explode(F.array(*keys)).alias("key"))
@@ -148,7 +154,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = connected_components(links(fps))
     one = spill(one.join(roots, one["fp"] == roots["node"], "left").select("fp", "low", "n", F.coalesce("root", "fp").alias("root")))
     least = one.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = spill(one.join(least, "root").select("fp", "component_id", "n"))
+    # most fingerprints may be of one component, whose row then goes to them by broadcast
+    named = spill(join_unique(one, least, hot_keys(one, ["root"], one.count()), ["root"]).select("fp", "component_id", "n"))
     hot = named.filter(F.col("n") * HOT > fps.count())
     return join_unique(fps, named, hot, ["fp"]).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -160,9 +167,9 @@ def keep_survivors(docs: DataFrame) -> DataFrame:
     Rows of one doc_id in different groups don't touch each other. Of rows equal in all columns one stays. Null and
     wordless texts are one group. Other columns of any name pass through. An empty table gives no rows.
     """
-    names = [f"`{c}`" for c in docs.columns]
+    names = quoted(docs.columns)
     # the digest of the whole row is its key: rows that share it are equal in all columns
-    keyed = docs.withColumn(_ROW, F.unhex(F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)))
+    keyed = docs.withColumn(_ROW, F.unhex(F.sha2(F.to_json(F.struct(*names), _JSON), 256)))
     rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(_ROW).alias("_row"), F.coalesce("text", F.lit("")).alias("text"))
     fps = spill(map_batches(rows, lambda: lambda b: (b.column(0), b.column(1), [fingerprint(t) for t in raw_texts(b)]), "doc_id long, _row binary, fp long"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")

@@ -20,7 +20,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, read, spill, texts
+from .common import map_batches, quoted, read, spill, texts
 
 MAX_TRAIN, FOLDS, NEAR, STEM = 20_000, 3, 5, 4
 #: Labelled rows (two numbers each) that may be broadcast.
@@ -211,7 +211,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -
     and text.
     """
     model = fit(docs, labels, max_train)
-    packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+    packed = docs.select(F.struct(*[docs[c] for c in quoted(docs.columns)]).alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     return model.score(packed, ["row"]).filter("score < 0.5").select("row.*")
 
 

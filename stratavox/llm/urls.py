@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import hot_keys
-from .common import HOT, join_unique, lower_ascii, read, spill
+from .common import HOT, hot_keys, join_unique, lower_ascii, read, spill
 
 #: (host, path, verdict): a rule fits its host and all subdomains where the path starts with its path.
 RULES = (
