@@ -76,10 +76,11 @@ def halo_slabs(bricks: DataFrame, shape: Triple, chunk: Triple, reach: Triple) -
     return bricks.select(FIELDS).mapInPandas(send, BRICK)
 
 
-def with_halo(bricks: DataFrame, shape: Triple, chunk: Triple, reach: Triple, fn: Callable[[np.ndarray], np.ndarray], border: str = "constant", apart: bool = False) -> DataFrame:
+def with_halo(bricks: DataFrame, shape: Triple, chunk: Triple, reach: Triple, fn: Callable[..., np.ndarray], border: str | None = "constant", apart: bool = False) -> DataFrame:
     """Bricks of fn(cells of a brick and ``reach`` more on each side) -> its own cells.
 
-    Beyond the volume is 0 (border ``constant``) or its mirror image d c b a | a b c d (``symmetric``). apart: bricks are
+    Beyond the volume is 0 (border ``constant``) or its mirror image d c b a | a b c d (``symmetric``); with border None
+    the cells end there, and fn also gets the part of them that is the brick's own. apart: bricks are
     slabs that do not see the planes of those above and below; there the border rule holds too.
     """
     sent = (0, *reach[1:]) if apart else reach
@@ -95,7 +96,8 @@ def with_halo(bricks: DataFrame, shape: Triple, chunk: Triple, reach: Triple, fn
             for r in rows:
                 cells[tuple(slice(s - o, s - o + d) for s, o, d in zip((r.z0, r.y0, r.x0), low, (r.dz, r.dy, r.dx), strict=True))] = cells_of(r)
             pad = [(h - (o - s), h - (t - e)) for h, o, s, t, e in zip(reach, own, low, high, end, strict=True)]
-            out = fn(np.pad(cells, pad, border))
+            at = tuple(slice(o - s, e - s) for o, e, s in zip(own, end, low, strict=True))
+            out = fn(np.pad(cells, pad, border)) if border else fn(cells, at)
             if out.any():
                 yield _frame([brick_row(b, own, out)])
 

@@ -227,17 +227,17 @@ def densify_small(spark, d):
     return voxels.densify(cells, (4, 8, 8), "block")
 
 
-_HIST = f"counts AS (SELECT z // 8 AS slab, value, count(*) AS n FROM vox WHERE channel = 0 GROUP BY 1, 2), stored AS (SELECT slab, sum(n) AS n FROM counts GROUP BY slab), hist AS (SELECT * FROM counts UNION ALL SELECT CAST(s AS INT), 0, 8 * {NY} * {NX} - coalesce(n, 0) FROM (SELECT unnest(range(nz // 8)) AS s FROM dims) LEFT JOIN stored ON slab = s)"
+_HIST = f"counts AS (SELECT z // 8 AS slab, value, count(*) AS n FROM flat GROUP BY 1, 2), stored AS (SELECT slab, sum(n) AS n FROM counts GROUP BY slab), hist AS (SELECT * FROM counts UNION ALL SELECT CAST(s AS INT), 0, 8 * {NY} * {NX} - coalesce(n, 0) FROM (SELECT unnest(range(nz // 8)) AS s FROM dims) LEFT JOIN stored ON slab = s)"
 
 
-@query(with_tables("vox", "SELECT slab, value, CAST(n AS BIGINT) AS n FROM hist", _HIST))
+@query(with_tables("flat", "SELECT slab, value, CAST(n AS BIGINT) AS n FROM hist", _HIST))
 def slab_histogram(spark, d):
-    return voxels.slab_histogram(X.vox(spark, d).filter("channel = 0"), 8, X.shape(spark, d))
+    return voxels.slab_histogram(X.flat(spark, d), 8, X.shape(spark, d))
 
 
-@query(with_tables("vox", "SELECT slab, CAST(arg_min(value, (-score, value)) AS INT) AS threshold FROM (SELECT *, CASE WHEN w1 < nn THEN (ss * w1 - nn * s1) * (ss * w1 - nn * s1) / (w1 * (nn - w1)) ELSE -1 END AS score FROM (SELECT slab, value, CAST(sum(n) OVER a AS DOUBLE) AS w1, CAST(sum(n * value) OVER a AS DOUBLE) AS s1, CAST(sum(n) OVER b AS DOUBLE) AS nn, CAST(sum(n * value) OVER b AS DOUBLE) AS ss FROM hist WINDOW a AS (PARTITION BY slab ORDER BY value), b AS (PARTITION BY slab))) GROUP BY slab", _HIST))
+@query(with_tables("flat", "SELECT slab, CAST(arg_min(value, (-score, value)) AS INT) AS threshold FROM (SELECT *, CASE WHEN w1 < nn THEN (ss * w1 - nn * s1) * (ss * w1 - nn * s1) / (w1 * (nn - w1)) ELSE -1 END AS score FROM (SELECT slab, value, CAST(sum(n) OVER a AS DOUBLE) AS w1, CAST(sum(n * value) OVER a AS DOUBLE) AS s1, CAST(sum(n) OVER b AS DOUBLE) AS nn, CAST(sum(n * value) OVER b AS DOUBLE) AS ss FROM hist WINDOW a AS (PARTITION BY slab ORDER BY value), b AS (PARTITION BY slab))) GROUP BY slab", _HIST))
 def otsu_slab(spark, d):
-    return voxels.otsu(voxels.slab_histogram(X.vox(spark, d).filter("channel = 0"), 8, X.shape(spark, d)))
+    return voxels.otsu(voxels.slab_histogram(X.flat(spark, d), 8, X.shape(spark, d)))
 
 
 # regions
@@ -546,9 +546,9 @@ def object_boxes(spark, d):
     return objects.boxes(_block_objects(spark, d))
 
 
-@query(with_tables("vox", "SELECT slab, z, y, x, root FROM found", f"th AS (SELECT slab, arg_min(value, (-score, value)) AS threshold FROM (SELECT *, CASE WHEN w1 < nn THEN (ss * w1 - nn * s1) * (ss * w1 - nn * s1) / (w1 * (nn - w1)) ELSE -1 END AS score FROM (SELECT slab, value, CAST(sum(n) OVER a AS DOUBLE) AS w1, CAST(sum(n * value) OVER a AS DOUBLE) AS s1, CAST(sum(n) OVER b AS DOUBLE) AS nn, CAST(sum(n * value) OVER b AS DOUBLE) AS ss FROM hist WINDOW a AS (PARTITION BY slab ORDER BY value), b AS (PARTITION BY slab))) GROUP BY slab), seg_in AS (SELECT z, y, x, value FROM vox JOIN th ON slab = z // 8 WHERE channel = 0 AND value > threshold), ".join([_HIST + ", ", ""]) + _COMP.replace(f"* {SEG_NY} + y) * {SEG_NX}", f"* {NY} + y) * {NX}")))
+@query(with_tables("flat", "SELECT slab, z, y, x, root FROM found", f"th AS (SELECT slab, arg_min(value, (-score, value)) AS threshold FROM (SELECT *, CASE WHEN w1 < nn THEN (ss * w1 - nn * s1) * (ss * w1 - nn * s1) / (w1 * (nn - w1)) ELSE -1 END AS score FROM (SELECT slab, value, CAST(sum(n) OVER a AS DOUBLE) AS w1, CAST(sum(n * value) OVER a AS DOUBLE) AS s1, CAST(sum(n) OVER b AS DOUBLE) AS nn, CAST(sum(n * value) OVER b AS DOUBLE) AS ss FROM hist WINDOW a AS (PARTITION BY slab ORDER BY value), b AS (PARTITION BY slab))) GROUP BY slab), seg_in AS (SELECT z, y, x, value FROM flat JOIN th ON slab = z // 8 WHERE value > threshold), ".join([_HIST + ", ", ""]) + _COMP.replace(f"* {SEG_NY} + y) * {SEG_NX}", f"* {NY} + y) * {NX}")))
 def segment_otsu(spark, d):
-    return objects.segment_threshold(X.vox(spark, d).filter("channel = 0"), X.shape(spark, d), "otsu", 1, 8, 0).select("slab", "z", "y", "x", "root")
+    return objects.segment_threshold(X.flat(spark, d), X.shape(spark, d), "otsu", 1, 8, 0).select("slab", "z", "y", "x", "root")
 
 
 _SMOOTH = f"g1 AS ({{z}}), c1 AS (SELECT z, y, x, value // 10000 AS value FROM g1 WHERE value >= 10000), g2 AS ({{y}}), c2 AS (SELECT z, y, x, value // 10000 AS value FROM g2 WHERE value >= 10000), g3 AS ({{x}}), c3 AS (SELECT 0 AS channel, z, y, x, CAST(value // 10000 AS INT) AS value FROM g3 WHERE value >= 10000)"
@@ -608,7 +608,7 @@ _G = _gauss_weights()
 
 _SMOOTHED = _SMOOTH.format(z=_pass_sql("bright", "z", _G, NZ_SQL, True, 8), y=_pass_sql("c1", "y", _G, NY, True), x=_pass_sql("c2", "x", _G, NX, True))
 _OTSU = "th AS (SELECT slab, arg_min(value, (-score, value)) AS threshold FROM (SELECT *, CASE WHEN w1 < nn THEN (ss * w1 - nn * s1) * (ss * w1 - nn * s1) / (w1 * (nn - w1)) ELSE -1 END AS score FROM (SELECT slab, value, CAST(sum(n) OVER a AS DOUBLE) AS w1, CAST(sum(n * value) OVER a AS DOUBLE) AS s1, CAST(sum(n) OVER b AS DOUBLE) AS nn, CAST(sum(n * value) OVER b AS DOUBLE) AS ss FROM hist WINDOW a AS (PARTITION BY slab ORDER BY value), b AS (PARTITION BY slab))) GROUP BY slab)"
-_FOUND = f"{_SMOOTHED}, {_HIST.replace('FROM vox', 'FROM c3')}, {_OTSU}, seg_in AS (SELECT z, y, x, value FROM c3 JOIN th ON slab = z // 8 WHERE value > threshold), " + _COMP.replace(f"* {SEG_NY} + y) * {SEG_NX}", f"* {NY} + y) * {NX}")
+_FOUND = f"{_SMOOTHED}, {_HIST.replace('FROM flat', 'FROM c3')}, {_OTSU}, seg_in AS (SELECT z, y, x, value FROM c3 JOIN th ON slab = z // 8 WHERE value > threshold), " + _COMP.replace(f"* {SEG_NY} + y) * {SEG_NX}", f"* {NY} + y) * {NX}")
 
 
 @query(with_tables("bright", "SELECT slab, obj_id, count(*) AS size FROM obj GROUP BY 1, 2 HAVING count(*) >= 10", _FOUND))
@@ -652,8 +652,8 @@ def hist_match(spark, d):
 
 
 def _images(spark, d, dtype: str = "<u2") -> DataFrame:
-    """Slice images of channel 0 as dense arrays."""
-    return blocks.to_slices(X.vox(spark, d).filter("channel = 0").drop("channel"), X.shape(spark, d), dtype, "img")
+    """Slice images of the volume as dense arrays."""
+    return blocks.to_slices(X.flat(spark, d), X.shape(spark, d), dtype, "img")
 
 
 def _image_stats(images: DataFrame) -> DataFrame:
@@ -693,7 +693,7 @@ def homomorphic_bundles(spark, d):
 def homomorphic_3d(spark, d):
     images = _images(spark, d).withColumn("channel", F.lit(0))
     d0 = filters.median_d0(filters.adaptive_d0(slices.even_sample(images, 0.2))).first()["d0"]
-    cubes = spill(blocks.to_bricks(X.vox(spark, d).filter("channel = 0").drop("channel"), X.shape(spark, d), (32, 32, 32)))
+    cubes = spill(blocks.to_bricks(X.flat(spark, d), X.shape(spark, d), (32, 32, 32)))
     out = kernels.plane_sums(filters.homomorphic_bricks(cubes, X.shape(spark, d), d0))
     return out.select("z", "n", F.round(F.col("total") / F.col("n"), 4).alias("mean"))
 
@@ -740,7 +740,29 @@ def clahe_3d(spark, d):
 
 @query()
 def background_removal(spark, d):
-    return _image_stats(blocks.map_slices(_images(spark, d), lambda a, z: filters.remove_background(a, 20), "<u2"))
+    """The usual radius and smoothing, on bricks that borrow their rims."""
+    shape, chunk = X.shape(spark, d), (4, 128, 128)
+    out = filters.remove_background_bricks(blocks.to_bricks(X.flat(spark, d), shape, chunk), shape, chunk, 20)
+    return kernels.plane_sums(out)
+
+
+# a grid 32 times as coarse, on which nearly all cells have a value, so that the opening is not 0 everywhere
+_COARSE = NY // 32
+_OPEN = """coarse AS (SELECT z, y // 32 AS y, x // 32 AS x, max(value) AS value FROM vox GROUP BY 1, 2, 3),
+ g0 AS (SELECT z, y, x, coalesce(value, 0) AS value FROM (SELECT unnest(range(nz)) AS z FROM dims) CROSS JOIN (SELECT unnest(range({n})) AS y) CROSS JOIN (SELECT unnest(range({n})) AS x) LEFT JOIN coarse USING (z, y, x)),
+ g1 AS (SELECT z, y, x, value, min(value) OVER (PARTITION BY z, x ORDER BY y ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS e FROM g0),
+ g2 AS (SELECT z, y, x, value, min(e) OVER (PARTITION BY z, y ORDER BY x ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS e FROM g1),
+ g3 AS (SELECT z, y, x, value, max(e) OVER (PARTITION BY z, x ORDER BY y ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS e FROM g2),
+ g4 AS (SELECT z, y, x, value, max(e) OVER (PARTITION BY z, y ORDER BY x ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS e FROM g3)"""
+
+
+@query(with_tables("vox", "SELECT CAST(z AS INT) AS z, CAST(y AS INT) AS y, CAST(x AS INT) AS x, CAST(value - e AS INT) AS value FROM g4 WHERE value > e", _OPEN.format(n=_COARSE)))
+def background_opening(spark, d):
+    """Background removal without smoothing, so that every number is whole."""
+    coarse = X.vox(spark, d).groupBy("z", *[F.floor(F.col(c) / 32).cast("int").alias(c) for c in "yx"]).agg(F.max("value").alias("value"))
+    shape = (X.planes(spark, d), _COARSE, _COARSE)
+    bricks = blocks.to_bricks(coarse, shape, (8, 4, 4))
+    return kernels.cell_rows(filters.remove_background_bricks(bricks, shape, (8, 3, 5), 1, 0.0), "int")
 
 
 @query()
@@ -756,14 +778,14 @@ def enhance_chain(spark, d):
 _CHUNK = (8, 100, 100)
 
 
-@query(with_tables("vox", "SELECT z // 8 AS bz, y // 100 AS by, x // 100 AS bx, count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM vox WHERE channel = 0 GROUP BY 1, 2, 3"))
+@query(with_tables("flat", "SELECT z // 8 AS bz, y // 100 AS by, x // 100 AS bx, count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM flat GROUP BY 1, 2, 3"))
 def brick_counts(spark, d):
-    return blocks.brick_counts(X.vox(spark, d).filter("channel = 0"), _CHUNK)
+    return blocks.brick_counts(X.flat(spark, d), _CHUNK)
 
 
-@query(with_tables("vox", "SELECT z, y, x, value FROM vox WHERE channel = 0"))
+@query(with_tables("flat", "SELECT z, y, x, value FROM flat"))
 def brick_roundtrip(spark, d):
-    return blocks.from_bricks(blocks.to_bricks(X.vox(spark, d).filter("channel = 0").drop("channel"), X.shape(spark, d), _CHUNK))
+    return blocks.from_bricks(blocks.to_bricks(X.flat(spark, d), X.shape(spark, d), _CHUNK))
 
 
 @query(with_tables("labels_vox", "SELECT label, count(*) AS total_vox FROM labels_vox WHERE label <> 0 GROUP BY label"))
@@ -771,7 +793,7 @@ def brick_region_voxels(spark, d):
     return regions.brick_totals(blocks.to_bricks(X.labels(spark, d).withColumnRenamed("label", "value"), X.shape(spark, d), _CHUNK))
 
 
-@query(with_tables("vox", f"SELECT z, 'mask_' || lpad(CAST(z AS VARCHAR), 4, '0') AS name, 256 AS height, 256 AS width, 131072 AS bytes, CAST(sum(value) AS BIGINT) AS total, CAST(sum(value * (y * {NX} + x)) AS BIGINT) AS weighted FROM vox WHERE channel = 0 GROUP BY z"))
+@query(with_tables("flat", f"SELECT z, 'mask_' || lpad(CAST(z AS VARCHAR), 4, '0') AS name, 256 AS height, 256 AS width, 131072 AS bytes, CAST(sum(value) AS BIGINT) AS total, CAST(sum(value * (y * {NX} + x)) AS BIGINT) AS weighted FROM flat GROUP BY z"))
 def slice_export(spark, d):
     def sums(parts):
         import numpy as np
@@ -821,7 +843,7 @@ def stream_region_resent(spark, d):
     return streaming.drain_region_totals(spark, path, _label_bricks(spark, d), fresh_path(spark), fresh_path(spark))
 
 
-@query(with_tables("vox", "SELECT z, 256 AS height, 256 AS width, CAST(sum(value) + 65536 AS BIGINT) AS total FROM vox WHERE channel = 0 GROUP BY z"))
+@query(with_tables("flat", "SELECT z, 256 AS height, 256 AS width, CAST(sum(value) + 65536 AS BIGINT) AS total FROM flat GROUP BY z"))
 def stream_enhance(spark, d):
     path, out = fresh_path(spark), fresh_path(spark)
     _images(spark, d).withColumn("channel", F.lit(0)).select("channel", "z", "name", "height", "width", "dtype", "data").write.parquet(path)
@@ -836,14 +858,14 @@ def stream_enhance(spark, d):
     return spark.read.parquet(out).mapInPandas(sums, "z int, height int, width int, total long")
 
 
-@query(with_tables("vox", "SELECT z // 8 AS bz, y // 100 AS by, x // 100 AS bx, count(*) FILTER (value > 1000) AS n FROM vox WHERE channel = 0 GROUP BY 1, 2, 3"))
+@query(with_tables("flat", "SELECT z // 8 AS bz, y // 100 AS by, x // 100 AS bx, count(*) FILTER (value > 1000) AS n FROM flat GROUP BY 1, 2, 3"))
 def model_bricks(spark, d):
     def load():
         import numpy as np
 
         return lambda cells: (cells > 1000).astype(np.uint8)
 
-    found = blocks.predict_bricks(blocks.to_bricks(X.vox(spark, d).filter("channel = 0"), X.shape(spark, d), _CHUNK), load, dtype="|u1")
+    found = blocks.predict_bricks(blocks.to_bricks(X.flat(spark, d), X.shape(spark, d), _CHUNK), load, dtype="|u1")
 
     def count(parts):
         import numpy as np
@@ -959,14 +981,14 @@ def append_records(spark, d):
     return spark.read.parquet(path)
 
 
-@query(with_tables("vox", "SELECT z, y, x, CAST((value * 40 + 1) % 65536 AS INT) AS value, 'reg_' || lpad(CAST(z AS VARCHAR), 4, '0') AS name FROM vox WHERE channel = 0"))
+@query(with_tables("flat", "SELECT z, y, x, CAST((value * 40 + 1) % 65536 AS INT) AS value, 'reg_' || lpad(CAST(z AS VARCHAR), 4, '0') AS name FROM flat"))
 def registered_slices(spark, d):
-    return io.uint16_slices(X.vox(spark, d).filter("channel = 0").select("z", "y", "x", (F.col("value") * 40 + 1).alias("value")), "reg")
+    return io.uint16_slices(X.flat(spark, d).select("z", "y", "x", (F.col("value") * 40 + 1).alias("value")), "reg")
 
 
-@query(with_tables("vox", "SELECT z, count(*) AS n FROM vox WHERE channel = 0 AND z % 5 <> 0 GROUP BY z"))
+@query(with_tables("flat", "SELECT z, count(*) AS n FROM flat WHERE z % 5 <> 0 GROUP BY z"))
 def blank_slices(spark, d):
     """Planes whose every fifth is cleared; the blank images go."""
-    v = X.vox(spark, d).filter("channel = 0").select("z", "y", "x", F.when(F.col("z") % 5 == 0, 0).otherwise(F.col("value")).alias("value"))
+    v = X.flat(spark, d).select("z", "y", "x", F.when(F.col("z") % 5 == 0, 0).otherwise(F.col("value")).alias("value"))
     kept = slices.drop_blank(blocks.to_slices(v, X.shape(spark, d)))
     return v.join(kept.select("z"), "z").groupBy("z").agg(F.count("*").alias("n"))

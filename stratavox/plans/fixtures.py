@@ -37,18 +37,23 @@ def vox(spark: SparkSession, d: str) -> DataFrame:
     return li.groupBy(key[0], z, *key[1:]).agg((F.max("l_quantity") * 40).cast("int").alias("value"))
 
 
+def flat(spark: SparkSession, d: str) -> DataFrame:
+    """(z, y, x, value): both channels in one volume, the brighter voxel of each place."""
+    return vox(spark, d).groupBy("z", "y", "x").agg(F.max("value").alias("value"))
+
+
 def mask(spark: SparkSession, d: str) -> DataFrame:
-    return vox(spark, d).filter("channel = 0 AND value > 1000").drop("channel")
+    return flat(spark, d).filter("value > 1000")
 
 
 def seg_in(spark: SparkSession, d: str) -> DataFrame:
     """Bright voxels on a grid a quarter as fine (SEG_NY x SEG_NX), so that they touch."""
-    cells = vox(spark, d).filter("channel = 0 AND value > 1700")
+    cells = flat(spark, d).filter("value > 1700")
     return cells.groupBy("z", F.floor(F.col("y") / 4).cast("int").alias("y"), F.floor(F.col("x") / 4).cast("int").alias("x")).agg(F.max("value").alias("value"))
 
 
 def bright(spark: SparkSession, d: str) -> DataFrame:
-    return vox(spark, d).filter("channel = 0 AND value > 1960").select("z", "y", "x", F.lit(255).alias("value"))
+    return flat(spark, d).filter("value > 1960").select("z", "y", "x", F.lit(255).alias("value"))
 
 
 def labels(spark: SparkSession, d: str) -> DataFrame:
@@ -106,9 +111,10 @@ def slice_files(spark: SparkSession, d: str) -> DataFrame:
 SQL = {
     "dims": f"SELECT CAST({STACK} * (1 + max(l_orderkey) // {ORDERS}) AS BIGINT) AS nz FROM lineitem",
     "vox": f"SELECT CAST(l_linenumber % 2 AS INT) AS channel, CAST(l_suppkey % {STACK} + {STACK} * (l_orderkey // {ORDERS}) AS INT) AS z, CAST(l_orderkey % {NY} AS INT) AS y, CAST(l_partkey % {NX} AS INT) AS x, CAST(MAX(l_quantity) * 40 AS INT) AS value FROM lineitem GROUP BY 1, 2, 3, 4",
-    "mask": "SELECT z, y, x, value FROM vox WHERE channel = 0 AND value > 1000",
-    "seg_in": "SELECT z, y // 4 AS y, x // 4 AS x, max(value) AS value FROM vox WHERE channel = 0 AND value > 1700 GROUP BY 1, 2, 3",
-    "bright": "SELECT z, y, x, 255 AS value FROM vox WHERE channel = 0 AND value > 1960",
+    "flat": "SELECT z, y, x, max(value) AS value FROM vox GROUP BY 1, 2, 3",
+    "mask": "SELECT z, y, x, value FROM flat WHERE value > 1000",
+    "seg_in": "SELECT z, y // 4 AS y, x // 4 AS x, max(value) AS value FROM flat WHERE value > 1700 GROUP BY 1, 2, 3",
+    "bright": "SELECT z, y, x, 255 AS value FROM flat WHERE value > 1960",
     "labels_vox": f"SELECT DISTINCT z, y, x, CAST(CASE WHEN z % {STACK} IN (0, {STACK - 1}) THEN 0 ELSE 1 + (x // 52) * 5 + y // 52 END AS INT) AS label FROM vox",
     "regions": "SELECT 1000 AS region_id, 'root' AS name, CAST(NULL AS INT) AS parent_id, 0 AS level UNION ALL SELECT CAST(100 + r_regionkey AS INT), r_name, 1000, 1 FROM region UNION ALL SELECT CAST(1 + n_nationkey AS INT), n_name, CAST(100 + n_regionkey AS INT), 2 FROM nation",
     "atlas": "SELECT z, y, x, CASE WHEN label <> 0 THEN 1 ELSE 0 END AS value FROM labels_vox",
@@ -122,7 +128,7 @@ SQL = {
     "slice_files": "SELECT DISTINCT CAST(o_orderkey % 5 AS INT) AS channel, 's_' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '.tif' AS name, CAST(100 + o_custkey % 3 AS INT) AS height, 64 AS width, CASE WHEN o_orderkey % 2 = 0 THEN '<u2' ELSE '|u1' END AS dtype FROM orders",
     "slices": "SELECT *, CAST(row_number() OVER (PARTITION BY channel ORDER BY name) - 1 AS INT) AS z FROM slice_files",
 }
-NEEDS = {"mask": ["vox"], "seg_in": ["vox"], "bright": ["vox"], "labels_vox": ["vox"], "atlas": ["labels_vox"], "edge": ["labels_vox"], "slices": ["slice_files"]}
+NEEDS = {"flat": ["vox"], "mask": ["flat"], "seg_in": ["flat"], "bright": ["flat"], "labels_vox": ["vox"], "atlas": ["labels_vox"], "edge": ["labels_vox"], "slices": ["slice_files"]}
 
 
 def with_tables(names: str, body: str, more: str = "") -> str:
