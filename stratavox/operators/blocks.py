@@ -14,6 +14,8 @@ from .voxels import KEY
 
 BRICK = "bz int, by int, bx int, z0 int, y0 int, x0 int, dz int, dy int, dx int, dtype string, data binary"
 B_KEY = ["bz", "by", "bx"]
+#: Bytes of finished bricks that go on together.
+_HELD = 1 << 25
 
 
 def brick_of(chunk: tuple[int, int, int]) -> list:
@@ -26,20 +28,43 @@ def brick_counts(vox: DataFrame, chunk: tuple[int, int, int]) -> DataFrame:
 
 
 def to_bricks(vox: DataFrame, shape: tuple[int, int, int], chunk: tuple[int, int, int] = (128, 256, 256), dtype: str = "<u2") -> DataFrame:
-    """Dense bricks of the occupied parts of a volume."""
+    """Dense bricks of the occupied parts of a volume.
 
-    def pack(pdf):
+    Voxels come sorted by brick and are written into it as they come, so a task holds one brick's cells and one batch of
+    rows, however many voxels a brick has and however many bricks a batch.
+    """
+    fields = [f.split()[0] for f in BRICK.split(", ")]
+
+    def pack(parts):
         import numpy as np
         import pandas as pd
 
-        b = pdf[B_KEY].iloc[0].to_numpy()
-        low = b * np.array(chunk)
-        size = np.minimum(low + chunk, shape) - low
-        cells = np.zeros(size, dtype)
-        cells[tuple(pdf[c].to_numpy() - o for c, o in zip(KEY, low, strict=True))] = pdf["value"].to_numpy()
-        return pd.DataFrame([(*b, *low, *size, dtype, cells.tobytes())], columns=[f.split()[0] for f in BRICK.split(", ")])
+        now, low, cells, done, held = None, None, None, [], 0
 
-    return vox.select(*brick_of(chunk), *KEY, "value").groupBy(*B_KEY).applyInPandas(pack, BRICK)
+        def row():
+            return (*now, *low, *cells.shape, dtype, cells.tobytes())
+
+        for pdf in parts:
+            brick, at, value = pdf[B_KEY].to_numpy(), pdf[KEY].to_numpy(), pdf["value"].to_numpy()
+            cut = np.flatnonzero((brick[1:] != brick[:-1]).any(axis=1)) + 1
+            for s, e in zip(np.r_[0, cut], np.r_[cut, len(brick)], strict=True):
+                if s == e:
+                    continue
+                if (b := tuple(brick[s])) != now:
+                    if now is not None:
+                        done.append(row())
+                        held += cells.nbytes
+                    now, low = b, brick[s] * np.array(chunk)
+                    cells = np.zeros(np.minimum(low + chunk, shape) - low, dtype)
+                    if held > _HELD:
+                        yield pd.DataFrame(done, columns=fields)
+                        done, held = [], 0
+                cells[tuple((at[s:e] - low).T)] = value[s:e]
+        if now is not None:
+            yield pd.DataFrame([*done, row()], columns=fields)
+
+    rows = vox.select(*brick_of(chunk), *KEY, "value")
+    return rows.repartition(*B_KEY).sortWithinPartitions(*B_KEY).mapInPandas(pack, BRICK)
 
 
 def from_bricks(bricks: DataFrame) -> DataFrame:
