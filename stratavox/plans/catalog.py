@@ -876,12 +876,12 @@ def model_bricks(spark, d):
     return found.mapInPandas(count, "bz int, by int, bx int, n long")
 
 
-_WINDOW, _STEP = (12, 96, 96), (8, 64, 64)
+_WINDOW, _EVERY = (12, 96, 96), (8, 64, 64)
 
 
 def _windows_sql() -> str:
     """Where windows begin by axis, and which window holds a voxel with what weight."""
-    axes = [f"{c}w AS (SELECT DISTINCT least(k * {s}, {n} - {w}) AS {c}0 FROM dims, generate_series(0, ({n} - {w} + {s} - 1) // {s}) AS t(k))" for c, n, w, s in zip("zyx", ("nz", X.NY, X.NX), _WINDOW, _STEP, strict=True)]
+    axes = [f"{c}w AS (SELECT DISTINCT least(k * {s}, {n} - {w}) AS {c}0 FROM dims, generate_series(0, ({n} - {w} + {s} - 1) // {s}) AS t(k))" for c, n, w, s in zip("zyx", ("nz", X.NY, X.NX), _WINDOW, _EVERY, strict=True)]
     on = " ".join(f"JOIN {c}w ON {c} >= {c}0 AND {c} < {c}0 + {w}" for c, w in zip("zyx", _WINDOW, strict=True))
     weight = " * ".join(f"least({c} - {c}0 + 1, {c}0 + {w} - {c})" for c, w in zip("zyx", _WINDOW, strict=True))
     return f"{', '.join(axes)}, met AS (SELECT z, y, x, value, z0, y0, x0, {weight} AS weight FROM flat {on}), tops AS (SELECT z0, y0, x0, max(value) AS top FROM met GROUP BY 1, 2, 3)"
@@ -897,7 +897,7 @@ def model_windows(spark, d):
         return lambda cells: 100 * (4 * cells.astype(np.int64) > 3 * cells.max(axis=(1, 2, 3), keepdims=True).astype(np.int64)).astype(np.uint8)
 
     shape = X.shape(spark, d)
-    return kernels.cell_rows(windows.predict_windows(blocks.to_bricks(X.flat(spark, d), shape, _CHUNK), shape, _WINDOW, _STEP, load, dtype="|u1"))
+    return kernels.cell_rows(windows.predict_windows(blocks.to_bricks(X.flat(spark, d), shape, _CHUNK), shape, _WINDOW, _EVERY, load, dtype="|u1"))
 
 
 # sources, sinks and settings: written, read back, and compared with what went in
