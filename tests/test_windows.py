@@ -95,9 +95,9 @@ def test_bricks_of_many_batches(spark):
     """A brick's voxels may come in several batches, and a batch may hold many bricks."""
     vol = np.random.default_rng(6).integers(1, 60000, (12, 40, 50))
     was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "201")
     try:
-        for chunk in ((12, 40, 50), (3, 7, 11), (1, 2, 3)):
+        for chunk in ((12, 40, 50), (3, 7, 11), (2, 4, 5)):
             got = bricks_of(spark, vol, chunk)
             assert got.count() == np.prod([-(-n // c) for n, c in zip(vol.shape, chunk, strict=True)])
             assert (dense(got, vol.shape, "<u2") == vol).all()
