@@ -90,7 +90,8 @@ def with_resolution(raw: DataFrame) -> DataFrame:
 def scan_ontology(spark: SparkSession, path: str, region_id: str = "id", name: str = "name", children: str = "children", lines: bool = False) -> DataFrame:
     """(region_id, name, parent_id, level) of a JSON tree of nested children, one document or a list of them.
 
-    lines: files hold a document a line, each a tree of its own.
+    lines: files hold a document a line, each a tree of its own or a part of one. In a part, nodes marked ``elsewhere``
+    give the place of their children only; another document lists them.
 
     The schema that Spark reads from the file is as deep as the tree, so each level is one more explode. A region
     without children lacks the field or has an empty list.
@@ -98,15 +99,28 @@ def scan_ontology(spark: SparkSession, path: str, region_id: str = "id", name: s
     nodes = spark.read.option("multiLine", not lines).json(path).withColumn("_parent", F.lit(None).cast("long"))
     out, level = None, 0
     while True:
-        rows = nodes.select(F.col(region_id).cast("long").alias("region_id"), F.col(name).cast("string").alias("name"), F.col("_parent").alias("parent_id"), F.lit(level).alias("level"))
+        field = lambda c, kind: (F.col(c) if c in nodes.columns else F.lit(None)).cast(kind)  # noqa: B023, E731
+        listed = nodes.filter(~F.coalesce(F.col("elsewhere").try_cast("boolean"), F.lit(False))) if lines and "elsewhere" in nodes.columns else nodes
+        rows = listed.select(field(region_id, "long").alias("region_id"), field(name, "string").alias("name"), F.col("_parent").alias("parent_id"), F.lit(level).alias("level"))
         out = rows if out is None else out.unionByName(rows)
         kind = nodes.schema[children].dataType if children in nodes.columns else None
         if not isinstance(kind, ArrayType) or not isinstance(kind.elementType, StructType):
             return out.filter("region_id IS NOT NULL")
-        nodes = nodes.select(F.col(region_id).cast("long").alias("_parent"), F.explode(children).alias("_c")).select("_c.*", "_parent")
+        nodes = nodes.select(field(region_id, "long").alias("_parent"), F.explode(children).alias("_c")).select("_c.*", "_parent")
         level += 1
 
 
+def write_ontology(nodes: DataFrame, path: str, lot: int = 10_000) -> None:
+    """Nodes (region_id, name, above: ids from the root down to the parent) as JSON trees of nested children, a document a line.
+
+    Siblings with ids in one range of lot numbers share a document, nested under their path from the root, whose nodes
+    are marked ``elsewhere``. Ids are unique, so no row holds more than lot nodes, whatever the tree's shape.
+    """
+    lots = nodes.groupBy("above", F.floor(F.col("region_id") / lot).alias("_lot")).agg(F.to_json(F.collect_list(F.struct(F.col("region_id").alias("id"), "name"))).alias("value"))
+    under = lambda inner, above: F.concat(F.lit('[{"id":'), F.coalesce(above.cast("string"), F.lit("null")), F.lit(',"elsewhere":true,"children":'), inner, F.lit("}]"))
+    lots.select(F.aggregate(F.reverse("above"), F.col("value"), under).alias("value")).write.text(path)
+
+
 def scan_regions(spark: SparkSession, path: str, region_id: str = "id", name: str = "name", parent: str = "parent") -> DataFrame:
     """(region_id, name, parent_id, level) of a region sheet in CSV with a header; a region without a parent has level 0.
 
