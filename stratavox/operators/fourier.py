@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import in_frames
 from .filters import clip_d0, energy_cutoff
 from .kernels import _groups
 
@@ -51,7 +52,7 @@ def from_bundles(bundles: DataFrame) -> DataFrame:
         for pdf in frames:
             yield pdf.drop(columns="p").assign(data=[b"".join(x["data"] for x in p) for p in pdf["p"]])
 
-    return whole.mapInPandas(join, "z int, height int, width int, dtype string, data binary")
+    return whole.transform(in_frames, join, "z int, height int, width int, dtype string, data binary")
 
 
 def homomorphic_bundles(bundles: DataFrame, d0: float, rl: float = 0.5, rh: float = 2.0, c: float = 1.0, columns: int = 64) -> DataFrame:
@@ -88,9 +89,9 @@ def homomorphic_bundles(bundles: DataFrame, d0: float, rl: float = 0.5, rh: floa
             out = np.exp(np.fft.irfft(half, first.width, axis=1)) - 1
             yield _frame([(first.z, first.height, first.width, first.r0, "<f8", out.astype("<f8").tobytes())], BUNDLE)
 
-    met = bundles.select(NAMES).mapInPandas(ahead, TILE)
+    met = bundles.select(NAMES).transform(in_frames, ahead, TILE)
     for key, fn, schema in ((["z", "c0"], across, TILE), (["z", "r0"], home, BUNDLE)):
-        met = met.repartition(*key).sortWithinPartitions(*key).mapInPandas(fn, schema)
+        met = met.repartition(*key).sortWithinPartitions(*key).transform(in_frames, fn, schema)
     return met
 
 
@@ -129,7 +130,7 @@ def adaptive_d0_bundles(bundles: DataFrame, share: float = 0.98, side: int = 256
             first = rows[0]
             yield _frame([(first.z, first.height, first.width, int(d), float(e)) for d, e in zip(r2, np.bincount(at, power.ravel()), strict=True)], "z int, height int, width int, dist2 long, energy double")
 
-    parts = bundles.select(NAMES).mapInPandas(shrink, part_schema).repartition("z").sortWithinPartitions("z")
-    rows = parts.mapInPandas(spectra, "z int, height int, width int, dist2 long, energy double")
+    parts = bundles.select(NAMES).transform(in_frames, shrink, part_schema).repartition("z").sortWithinPartitions("z")
+    rows = parts.transform(in_frames, spectra, "z int, height int, width int, dist2 long, energy double")
     size = bundles.select("z", "height", "width").distinct()
     return energy_cutoff(rows, share).join(size, "z").select("z", clip_d0(F.sqrt("dist2"), F.col("height"), F.least("height", "width"), side).alias("d0"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import spill
+from ..storage import in_frames, spill
 from .voxels import KEY
 
 
@@ -89,4 +89,4 @@ def brick_totals(bricks: DataFrame) -> DataFrame:
                 label, n = np.unique(np.frombuffer(data, dtype), return_counts=True)
                 yield pd.DataFrame({"label": label.astype("int32"), "n": n.astype("int64")})
 
-    return bricks.select("dtype", "data").mapInPandas(count, "label int, n long").filter("label <> 0").groupBy("label").agg(F.sum("n").alias("total_vox"))
+    return bricks.select("dtype", "data").transform(in_frames, count, "label int, n long").filter("label <> 0").groupBy("label").agg(F.sum("n").alias("total_vox"))

@@ -14,6 +14,7 @@ from itertools import product
 import numpy as np
 from pyspark.sql import DataFrame
 
+from ..storage import in_frames
 from .blocks import B_KEY, BRICK
 from .kernels import FIELDS, Triple, _frame, _groups, brick_row, cells_of
 
@@ -117,7 +118,7 @@ def predict_windows(bricks: DataFrame, shape: Triple, window: Triple, step: Trip
             if out.any():
                 yield _frame([brick_row(b, own, out)])
 
-    by_window = bricks.select(FIELDS).mapInPandas(send, BRICK).repartition(*B_KEY).sortWithinPartitions(*B_KEY)
-    slabs = by_window.mapInPandas(predict, BRICK + "".join(f", {c} int" for c in _FROM))
+    by_window = bricks.select(FIELDS).transform(in_frames, send, BRICK).repartition(*B_KEY).sortWithinPartitions(*B_KEY)
+    slabs = by_window.transform(in_frames, predict, BRICK + "".join(f", {c} int" for c in _FROM))
     # in order of the windows, so that sums of fractions come out alike each time
-    return slabs.repartition(*B_KEY).sortWithinPartitions(*B_KEY, *_FROM).mapInPandas(blend, BRICK)
+    return slabs.repartition(*B_KEY).sortWithinPartitions(*B_KEY, *_FROM).transform(in_frames, blend, BRICK)
