@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import to_bricks
-from .kernels import cell_rows, line_sums, with_halo
+from .kernels import cell_rows, halo_at, line_sums, with_halo
 from .voxels import KEY, mask_to, overlay
 
 SCALE = 10_000
@@ -38,9 +38,18 @@ CHUNK = (64, 128, 128)
 
 def heat_bricks(signal: DataFrame, shape: tuple[int, int, int], sigma: float = 1.5, alpha: float = 1.0, chunk: tuple[int, int, int] = CHUNK) -> DataFrame:
     """Bricks (doubles) of alpha times the Gaussian sum over the cells of signal bricks within 5, inside the volume."""
+    return with_halo(signal, shape, chunk, *_heat(sigma, alpha))
+
+
+def _heat(sigma: float, alpha: float):
+    """The reach of the Gaussian sum, and the sum."""
     weights = [w for _, w in kernel(sigma)]
-    heat = lambda cells: line_sums(cells, weights) / float(SCALE) ** 3 * alpha
-    return with_halo(signal, shape, chunk, (len(weights) // 2,) * 3, heat)
+    return (len(weights) // 2,) * 3, lambda cells: line_sums(cells, weights) / float(SCALE) ** 3 * alpha
+
+
+def heat_at(signal: DataFrame, where: DataFrame, shape: tuple[int, int, int], sigma: float = 1.5, alpha: float = 1.0, chunk: tuple[int, int, int] = CHUNK) -> DataFrame:
+    """(z, y, x, value) of heat_bricks where the bricks of where, cut by ``chunk``, are not 0 and the heat is not."""
+    return halo_at(signal, where, shape, chunk, *_heat(sigma, alpha))
 
 
 def heat_density(signal: DataFrame, atlas: DataFrame, shape: tuple[int, int, int], sigma: float = 1.5, alpha: float = 1.0, chunk: tuple[int, int, int] = CHUNK) -> DataFrame:

@@ -3,7 +3,8 @@
 A slice is a set of bundles of whole rows. Rows are transformed bundle by bundle; the half spectra are cut into tiles
 of a few columns, and a shuffle brings the tiles of the same columns together; whole columns are transformed, weighed
 by the gain and transformed back, and a second shuffle brings the rows together again. A task holds one bundle of
-rows or of columns, never a slice.
+rows or of columns, never a slice. Slices of which a task can hold many (WHOLE) need none of that: their bundles meet in
+one task once, as the numbers they are, and no spectrum travels.
 
 bundle rows: z, height, width (of the slice), r0 (first row), dtype, data (whole rows).
 """
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import in_frames
-from .filters import clip_d0, energy_cutoff
+from .filters import CUTOFF, cutoff_of, d0_of, homomorphic, spectrum_rows
 from .kernels import _groups
 
 BUNDLE = "z int, height int, width int, r0 int, dtype string, data binary"
@@ -24,6 +25,21 @@ NAMES = [f.split()[0] for f in BUNDLE.split(", ")]
 TILE = "z int, height int, width int, r0 int, c0 int, data binary"
 
 
+#: Bytes of a slice's spectrum up to which a task takes the slice as a whole.
+WHOLE = 1 << 24
+
+
+def _by_size(bundles: DataFrame, whole: int) -> tuple[DataFrame, DataFrame]:
+    """Bundles of the slices that a task takes as a whole, all of a slice together, and those of the others."""
+    small = F.col("height").cast("long") * F.col("width") * 16 <= whole
+    rows = bundles.select(NAMES)
+    return rows.filter(small).repartition("z").sortWithinPartitions("z", "r0"), rows.filter(~small)
+
+
+def _image(rows: list) -> np.ndarray:
+    return np.concatenate([_cells(r) for r in rows])
+
+
 def _frame(rows: list[tuple], schema: str):
     import pandas as pd
 
@@ -55,7 +71,7 @@ def from_bundles(bundles: DataFrame) -> DataFrame:
     return whole.transform(in_frames, join, "z int, height int, width int, dtype string, data binary")
 
 
-def homomorphic_bundles(bundles: DataFrame, d0: float, rl: float = 0.5, rh: float = 2.0, c: float = 1.0, columns: int = 64) -> DataFrame:
+def homomorphic_bundles(bundles: DataFrame, d0: float, rl: float = 0.5, rh: float = 2.0, c: float = 1.0, columns: int = 64, whole: int = WHOLE) -> DataFrame:
     """Bundles (doubles) of exp of the log slice filtered with gain rl at rest and rh far out, minus 1.
 
     The same numbers as the whole transform gives, to rounding, however rows are bundled.
@@ -89,10 +105,17 @@ def homomorphic_bundles(bundles: DataFrame, d0: float, rl: float = 0.5, rh: floa
             out = np.exp(np.fft.irfft(half, first.width, axis=1)) - 1
             yield _frame([(first.z, first.height, first.width, first.r0, "<f8", out.astype("<f8").tobytes())], BUNDLE)
 
-    met = bundles.select(NAMES).transform(in_frames, ahead, TILE)
+    def at_once(frames):
+        for _, rows in _groups(frames, ["z"]):
+            out = homomorphic(_image(rows), d0, rl, rh, c).astype("<f8")
+            ends = [r.r0 for r in rows[1:]] + [len(out)]
+            yield _frame([(r.z, r.height, r.width, r.r0, "<f8", out[r.r0 : e].tobytes()) for r, e in zip(rows, ends, strict=True)], BUNDLE)
+
+    small, large = _by_size(bundles, whole)
+    met = large.transform(in_frames, ahead, TILE)
     for key, fn, schema in ((["z", "c0"], across, TILE), (["z", "r0"], home, BUNDLE)):
         met = met.repartition(*key).sortWithinPartitions(*key).transform(in_frames, fn, schema)
-    return met
+    return small.transform(in_frames, at_once, BUNDLE).unionByName(met)
 
 
 def _resized(n: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,8 +125,8 @@ def _resized(n: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return low, np.minimum(low + 1, n - 1), p - low
 
 
-def adaptive_d0_bundles(bundles: DataFrame, share: float = 0.98, side: int = 256) -> DataFrame:
-    """(z, d0) of slices in bundles. A bundle hands on its share of the side x side image that the spectrum is taken of."""
+def adaptive_d0_bundles(bundles: DataFrame, share: float = 0.98, side: int = 256, whole: int = WHOLE) -> DataFrame:
+    """(z, d0) of slices in bundles. A bundle of a slice that no task takes as a whole hands on its share of the side x side image that the spectrum is taken of."""
     part_schema = "z int, height int, width int, i int, data binary"
 
     def shrink(frames):
@@ -128,9 +151,13 @@ def adaptive_d0_bundles(bundles: DataFrame, share: float = 0.98, side: int = 256
             k = np.minimum(np.arange(side), side - np.arange(side))
             r2, at = np.unique((k[:, None] ** 2 + k[None, :] ** 2).ravel(), return_inverse=True)
             first = rows[0]
-            yield _frame([(first.z, first.height, first.width, int(d), float(e)) for d, e in zip(r2, np.bincount(at, power.ravel()), strict=True)], "z int, height int, width int, dist2 long, energy double")
+            yield _frame([(first.z, first.height, first.width, cutoff_of(r2, np.bincount(at, power.ravel()), share))], CUTOFF)
+
+    def at_once(frames):
+        for _, rows in _groups(frames, ["z"]):
+            first = rows[0]
+            yield _frame([(first.z, first.height, first.width, cutoff_of(*spectrum_rows(_image(rows), side), share))], CUTOFF)
 
-    parts = bundles.select(NAMES).transform(in_frames, shrink, part_schema).repartition("z").sortWithinPartitions("z")
-    rows = parts.transform(in_frames, spectra, "z int, height int, width int, dist2 long, energy double")
-    size = bundles.select("z", "height", "width").distinct()
-    return energy_cutoff(rows, share).join(size, "z").select("z", clip_d0(F.sqrt("dist2"), F.col("height"), F.least("height", "width"), side).alias("d0"))
+    small, large = _by_size(bundles, whole)
+    parts = large.transform(in_frames, shrink, part_schema).repartition("z").sortWithinPartitions("z")
+    return d0_of(parts.transform(in_frames, spectra, CUTOFF).unionByName(small.transform(in_frames, at_once, CUTOFF)), side)

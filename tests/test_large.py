@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratavox.operators import blocks
+from stratavox.operators import blocks, overlap
 from stratavox.plans import catalog, fixtures
 from stratavox.storage import in_frames
 
@@ -76,3 +76,35 @@ def test_objects_by_region_beyond_32_bits(spark, tmp_path):
         best = min(set(labels), key=lambda x: (-labels.count(x), x))
         want[best] = want.get(best, 0) + 1
     assert got == want and want
+
+
+def test_near_distances_of_every_way(spark):
+    """Dense surfaces, sparse ones, and voxels that meet nothing within any reach, against all pairs."""
+    rng = np.random.default_rng(3)
+    shape, steps = (70, 40, 40), (1, 2, 2)
+    a = np.unique(np.r_[rng.integers(0, (12, 12, 12), (900, 3)), rng.integers(0, shape, (60, 3)), [[69, 39, 39]]], axis=0)
+    for b in (np.unique(rng.integers(0, (14, 12, 12), (1200, 3)), axis=0), np.array([[0, 0, 0]]), np.zeros((0, 3), int)):
+        frame = lambda p: spark.createDataFrame([tuple(map(int, r)) for r in p], "z int, y int, x int")
+        got = {(r["z"], r["y"], r["x"]): r["dist2"] for r in overlap.surface_distance(frame(a), frame(b), shape, steps, 4).collect()}
+        want = {tuple(map(int, p)): int((((p - b) * steps) ** 2).sum(axis=1).min()) for p in a} if len(b) else {}
+        assert got == want
+
+
+def test_no_transform_of_the_volume_where_surfaces_are_near(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "distance_bricks", lambda *a: pytest.fail("the whole volume was transformed"))
+    a = spark.createDataFrame([(5, 5, 5), (40, 9, 9)], "z int, y int, x int")
+    b = spark.createDataFrame([(6, 5, 5), (40, 9, 4)], "z int, y int, x int")
+    assert sorted(r["dist2"] for r in overlap.surface_distance(a, b, (64, 16, 16)).collect()) == [1, 25]
+
+
+def test_block_with_too_many_voxels_hands_them_on(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "HELD", 20)
+    a = spark.range(64).selectExpr("CAST(id % 4 AS INT) AS z", "CAST(id / 16 AS INT) AS y", "CAST(id / 4 % 4 AS INT) AS x")
+    b = a.filter("z = 3")
+    assert sorted(r["dist2"] for r in overlap.surface_distance(a, b, (8, 8, 8)).collect()) == sorted([0, 1, 4, 9] * 16)
+
+
+def test_surfaces_as_dense_as_they_come():
+    rng = np.random.default_rng(5)
+    p, q, scale = rng.integers(0, 9, (300, 3)), rng.integers(3, 12, (200, 3)), np.array((1, 2, 3))
+    assert (overlap._transformed(p, q, scale) == overlap._nearest(p, q, scale)).all()
