@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratavox.operators import blocks, overlap
 from stratavox.plans import catalog, fixtures
-from stratavox.storage import in_frames
+from stratavox.storage import in_frames, spill
 
 from test_queries import rows
 
@@ -108,3 +108,15 @@ def test_surfaces_as_dense_as_they_come():
     rng = np.random.default_rng(5)
     p, q, scale = rng.integers(0, 9, (300, 3)), rng.integers(3, 12, (200, 3)), np.array((1, 2, 3))
     assert (overlap._transformed(p, q, scale) == overlap._nearest(p, q, scale)).all()
+
+
+def test_stored_images_have_small_row_groups(spark):
+    """64 rows at most, though all these empty images compress to less than one row group's bytes."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    images = spark.range(300, numPartitions=1).select(F.expr("CAST(rpad('', 100000, '\\0') AS BINARY)").alias("data"))
+    path = spill(images).inputFiles()[0].rpartition("/")[0].removeprefix("file://")
+    found = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path}/*.parquet")]
+    assert max(m.row_group(k).num_rows for m in found for k in range(m.num_row_groups)) <= 64
