@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratavox.operators import blocks, overlap
+from stratavox.operators import blocks, density, filters, fourier, kernels, overlap, voxels
 from stratavox.plans import catalog, fixtures
 from stratavox.storage import in_frames, spill
 
@@ -120,3 +120,51 @@ def test_stored_images_have_small_row_groups(spark):
     path = spill(images).inputFiles()[0].rpartition("/")[0].removeprefix("file://")
     found = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path}/*.parquet")]
     assert max(m.row_group(k).num_rows for m in found for k in range(m.num_row_groups)) <= 64
+
+
+def test_masks_are_never_broadcast(spark):
+    vox = spark.createDataFrame([(0, 0, 0, 5), (1, 2, 3, 7)], "z int, y int, x int, value int")
+    out = voxels.mask_to(vox, vox.filter("value > 5"))
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 1
+
+
+def test_heat_at_cells_is_the_heat_there(spark):
+    rng = np.random.default_rng(6)
+    shape, chunk = (9, 20, 30), (4, 8, 16)
+    frame = lambda n, seed: spark.createDataFrame([(*map(int, p), 255) for p in np.unique(np.random.default_rng(seed).integers(0, shape, (n, 3)), axis=0)], "z int, y int, x int, value int")
+    signal, atlas = blocks.to_bricks(frame(6, 1), shape, chunk), blocks.to_bricks(frame(900, 2), shape, chunk, "|u1")
+    want = kernels.cells_where(density.heat_bricks(signal, shape, 1.5, 2.0, chunk), atlas, "double").filter("value <> 0").collect()
+    assert want and sorted(map(tuple, density.heat_at(signal, atlas, shape, 1.5, 2.0, chunk).collect())) == sorted(map(tuple, want))
+
+
+def test_cutoffs_are_found_where_spectra_are_made(spark):
+    img = np.random.default_rng(7).integers(0, 900, (40, 50)).astype("<u2")
+    images = spark.createDataFrame([(z, 40, 50, "<u2", bytearray((img + z).tobytes())) for z in range(3)], "z int, height int, width int, dtype string, data binary")
+    found = filters.adaptive_d0(images)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    spectra = spark.createDataFrame([(z, int(r), float(e)) for z in range(3) for r, e in zip(*filters.spectrum_rows(img + z), strict=True)], "z int, dist2 long, energy double")
+    want = {r["z"]: r["dist2"] for r in filters.energy_cutoff(spectra).collect()}
+    assert {r["z"]: filters.cutoff_of(*filters.spectrum_rows(img + r["z"])) for r in found.collect()} == want
+
+
+def test_slices_whole_or_in_tiles_are_the_same(spark):
+    img = np.random.default_rng(8).integers(0, 900, (21, 18)).astype("<u2")
+    images = spark.createDataFrame([(z, 21, 18, "<u2", bytearray((img + z).tobytes())) for z in range(3)], "z int, height int, width int, dtype string, data binary")
+    bundles = fourier.to_bundles(images, 8)
+    read = lambda df: {(r["z"], r["r0"]): np.frombuffer(r["data"], "<f8") for r in df.collect()}
+    small, tiled = (read(fourier.homomorphic_bundles(bundles, 5.0, columns=4, whole=w)) for w in (fourier.WHOLE, 0))
+    assert set(small) == set(tiled) and len(small) == 9
+    assert all(np.allclose(small[k], tiled[k], rtol=1e-9, atol=1e-9) for k in small)
+    a, b = (sorted(map(tuple, fourier.adaptive_d0_bundles(bundles, whole=w).collect())) for w in (fourier.WHOLE, 0))
+    assert a == b and len(a) == 3
+
+
+def test_smoothing_with_rims_is_that_along_lines(spark):
+    rng = np.random.default_rng(9)
+    shape = (20, 18, 25)
+    vox = spark.createDataFrame([(*map(int, p), int(rng.integers(1, 900))) for p in np.unique(rng.integers(0, shape, (60, 3)), axis=0)], "z int, y int, x int, value int")
+    out = {}
+    for tile in (8, 32):  # a reach of 6 cells is more than half of 8
+        cubes = blocks.to_bricks(vox, shape, (tile,) * 3)
+        out[tile] = {(r["z"], r["y"], r["x"]): r["value"] for r in kernels.cell_rows(filters.homomorphic_bricks(cubes, shape, 3.0, tile=tile), "double").collect()}
+    assert set(out[8]) == set(out[32]) and all(abs(out[8][k] - v) < 1e-9 for k, v in out[32].items())
