@@ -168,3 +168,14 @@ def test_smoothing_with_rims_is_that_along_lines(spark):
         cubes = blocks.to_bricks(vox, shape, (tile,) * 3)
         out[tile] = {(r["z"], r["y"], r["x"]): r["value"] for r in kernels.cell_rows(filters.homomorphic_bricks(cubes, shape, 3.0, tile=tile), "double").collect()}
     assert set(out[8]) == set(out[32]) and all(abs(out[8][k] - v) < 1e-9 for k, v in out[32].items())
+
+
+def test_results_of_slices_go_on_a_few_at_a_time(spark):
+    """Doubles are four times as large as what came in; a frame that goes on holds some MB of them."""
+    images = spark.range(40, numPartitions=1).select(F.col("id").cast("int").alias("z"), F.lit(256).alias("height"), F.lit(256).alias("width"), F.lit("<u2").alias("dtype"), F.expr("CAST(rpad('', 131072, '\\0') AS BINARY)").alias("data"))
+    kept = {}
+    frame = type("Frame", (), {"schema": images.schema, "transform": lambda self, how, fn, schema: kept.update(fn=fn)})()
+    blocks.map_slices(frame, lambda a, z: a + z)
+    parts = list(kept["fn"](iter([images.toPandas()])))
+    assert [z for p in parts for z in p["z"]] == list(range(40)) and max(p["data"].map(len).sum() for p in parts) <= 5 << 20
+    assert all(np.frombuffer(x, "<f8").sum() == 65536.0 * z for p in parts for z, x in zip(p["z"], p["data"], strict=True))
